@@ -154,7 +154,7 @@ def contains_flag(c: Column | str, pattern: str) -> Column:
     return F.coalesce(F.contains(_col(c), F.lit(pattern)).cast("int"), F.lit(0))
 
 
-def words(c: Column | str, pattern: str = r"\w\w+") -> Column:
+def words(c: Column | str, pattern: str) -> Column:
     """All matches of ``pattern`` in the lower-cased text, in text order."""
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(f"({pattern})"), F.lit(1))
 

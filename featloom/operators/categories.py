@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featloom.session import pin_small
@@ -95,3 +95,28 @@ def interactions(df: DataFrame, key: str, categories: str, weights: DataFrame) -
 def fit_popularity(df: DataFrame, categories: str, measure: str | None = None) -> DataFrame:
     """Popularity of the training rows, pinned for reuse on other splits."""
     return pin_small(popularity(df, categories, measure))
+
+
+def category_vector(categories: Column | str, weights: Mapping[str, float | None], pairs: bool = True) -> Column:
+    """Dense array per row: weighted count per category (sorted by name), then all pair products.
+
+    The fitted categories are a column set, so they are literals here and the
+    array is built inside the row: no explode, no pivot, no shuffle.
+    """
+    names = sorted(weights)
+    listed = F.col(categories) if isinstance(categories, str) else categories
+    if not names:
+        return F.array(F.lit(0.0))
+    factors = F.array(*[F.lit(float(weights[n] or 0.0)) for n in names])
+    hits = F.transform(
+        F.array(*[F.lit(n) for n in names]), lambda g: F.size(F.filter(listed, lambda x: x == g)).cast("double")
+    )
+    single = F.when(listed.isNull(), F.transform(factors, lambda _: F.lit(0.0))).otherwise(
+        F.zip_with(hits, factors, lambda n, w: n * w)
+    )
+    if not pairs or len(names) < 2:
+        return single
+    products = F.flatten(
+        F.transform(single, lambda a, i: F.transform(F.slice(single, i + 2, len(names)), lambda b: a * b))
+    )
+    return F.concat(single, products)

@@ -86,6 +86,20 @@ def top_k_flags(links: DataFrame, top: DataFrame, key: str, person: str, alias:
     return links.join(chosen, person, "left_semi").groupBy(key).agg((F.count("*") > 0).cast("int").alias(alias))
 
 
+def top_people_flags(
+    facts: DataFrame, directors: DataFrame, writers: DataFrame, key: str, director: str, writer: str, measure: str, k: int = 10
+) -> DataFrame:
+    """(person, _top_d, _top_w) for the top ``k`` directors and writers: at most 2k rows."""
+    top_d = top_people_by_mean(directors, facts, key, director, measure, "_mean", k)
+    top_w = top_people_by_mean(writers, facts, key, writer, measure, "_mean", k)
+    return (
+        top_d.select(F.col(director).alias("person"), F.lit(1).alias("_top_d"), F.lit(0).alias("_top_w"))
+        .unionByName(top_w.select(F.col(writer).alias("person"), F.lit(0).alias("_top_d"), F.lit(1).alias("_top_w")))
+        .groupBy("person")
+        .agg(F.max("_top_d").alias("_top_d"), F.max("_top_w").alias("_top_w"))
+    )
+
+
 def credit_features(
     facts: DataFrame,
     directors: DataFrame,
@@ -95,20 +109,16 @@ def credit_features(
     writer: str = "writer",
     measure: str = "numVotes",
     k: int = 10,
+    top: DataFrame | None = None,
 ) -> DataFrame:
     """Facts with director/writer counts, shared-person flag and top-k flags.
 
     One aggregation chain and one join instead of five: counts, flags and top-k
-    membership all come from the (title, person) table.
+    membership all come from the (title, person) table. ``top`` is a fitted
+    ``top_people_flags`` table, by default fitted on ``facts``.
     """
-    top_d = top_people_by_mean(directors, facts, key, director, measure, "_mean", k)
-    top_w = top_people_by_mean(writers, facts, key, writer, measure, "_mean", k)
-    top = (
-        top_d.select(F.col(director).alias("person"), F.lit(1).alias("_top_d"), F.lit(0).alias("_top_w"))
-        .unionByName(top_w.select(F.col(writer).alias("person"), F.lit(0).alias("_top_d"), F.lit(1).alias("_top_w")))
-        .groupBy("person")
-        .agg(F.max("_top_d").alias("_top_d"), F.max("_top_w").alias("_top_w"))
-    )
+    if top is None:
+        top = top_people_flags(facts, directors, writers, key, director, writer, measure, k)
     known = F.col("person").isNotNull().cast("int")
     per_title = (
         role_links(directors, writers, key, director, writer)

@@ -7,20 +7,20 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from featloom.functions import columns as fc
-from featloom.operators.cleaning import align_schema, first_per_key
-from featloom.session import pin_small
+from featloom.operators.cleaning import first_per_key
+from featloom.session import materialize, pin_small
 
 # Columns never used as features.
 NON_FEATURES = (
@@ -38,6 +38,7 @@ NETWORK_RANGES = {"max_iter": (200, 500)}
 SEED = 42
 TRIALS = 20
 FOLDS = 5
+SLICE_ROWS = 1_000_000
 
 
 # --- labels and features ---------------------------------------------------
@@ -51,13 +52,28 @@ def clean_label(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def select_features(df: DataFrame, label: str = "label", exclude: Sequence[str] = NON_FEATURES) -> list[str]:
-    return fc.numeric_columns(df, exclude=[*exclude, label])
+    """Numeric, boolean and vector columns, without the excluded ones."""
+    skip = {*exclude, label}
+    numeric = set(fc.numeric_columns(df, skip))
+    return [f.name for f in df.schema.fields if f.name in numeric or (f.name not in skip and _is_vector(df, f.name))]
+
+
+def _is_vector(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, VectorUDT)
+
+
+def _feature(df: DataFrame, column: str) -> Column:
+    """The column as model input: vectors as they are, numbers as double, missing (or absent) ones as 0."""
+    if column not in df.columns:
+        return F.lit(0.0)
+    return F.col(column) if _is_vector(df, column) else F.coalesce(F.col(column).cast("double"), F.lit(0.0))
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """One vector per row; missing values count as 0."""
-    filled = df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(filled)
+    inputs = {f"_in_{i}": _feature(df, f) for i, f in enumerate(features)}
+    assembler = VectorAssembler(inputCols=list(inputs), outputCol=out)
+    return assembler.transform(df.withColumns(inputs)).drop(*inputs)
 
 
 @dataclass(frozen=True)
@@ -138,29 +154,37 @@ def combine_vectors(df: DataFrame, columns: Sequence[str], out: str) -> DataFram
 
 
 def stratified_folds(
-    df: DataFrame, key: str, label: str, folds: int = FOLDS, seed: int = SEED, slices: int = 256, out: str = "fold"
+    df: DataFrame,
+    key: str,
+    label: str,
+    folds: int = FOLDS,
+    seed: int = SEED,
+    out: str = "fold",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Shuffled folds whose sizes differ by at most one row per label.
+    """Shuffled folds of labelled rows whose sizes differ by at most one row per label.
 
-    Rows are ordered by a keyed hash. Ranking a whole label would put it in one
-    task, so each label is cut into ``slices`` hash ranges: rows are ranked
-    within their slice, and the slice's offset (a prefix sum over at most
-    labels x slices counts) continues the numbering exactly.
+    Rows are numbered in the order of a keyed hash. Numbering a whole label would
+    put it in one task, so the hash range is cut into slices of about
+    ``slice_rows`` rows: rows are numbered within their slice, and the slice's
+    offset (a prefix sum over labels x slices counts) continues the numbering.
+    The result does not depend on the number of slices.
     """
+    slices = max(1, -(-df.count() // slice_rows))
     hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    cut = F.floor(F.conv(F.substring("_hash", 1, 4), 16, 10).cast("bigint") * slices / 65536).cast("int")
-    keyed = df.withColumn("_hash", hashed).withColumn("_slice", cut)
-    counts = keyed.groupBy(label, "_slice").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(label).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pin_small(
-        counts.select(label, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
+    cut = F.floor(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint") / 2.0**32 * slices).cast("bigint")
+    keyed = df.where(F.col(label).isNotNull()).withColumn("_hash", hashed).withColumn("_slice", cut)
     rank = F.row_number().over(Window.partitionBy(label, "_slice").orderBy("_hash", key)) - 1
-    return (
-        keyed.withColumn("_rank", rank).join(offsets, [label, "_slice"])
-        .withColumn(out, ((F.col("_rank") + F.col("_offset")) % folds).cast("int"))
-        .select(*df.columns, out)
-    )
+    if slices == 1:
+        numbered = keyed.withColumn("_rank", rank)
+    else:
+        counts = keyed.groupBy(label, "_slice").agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy(label).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = pin_small(
+            counts.select(label, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        )
+        numbered = keyed.join(offsets, [label, "_slice"]).withColumn("_rank", rank + F.col("_offset"))
+    return numbered.select(*df.columns, (F.col("_rank") % folds).cast("int").alias(out))
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -213,19 +237,11 @@ class ScoringModel:
         """One row per key with scaled features and, where present, the label."""
         keyed = df if key in df.columns else df.withColumn(key, F.monotonically_increasing_id())
         keep = [c for c in (label,) if c and c in keyed.columns]
-        one = first_per_key(
-            keyed.select(key, *keep, *[c for c in self.features if c in keyed.columns and c != key],
-                         *[o for o in order if o not in {key, *keep, *self.features}]),
-            [key], order,
-        )
-        aligned = one.select(
-            key, *[F.col(c).cast("boolean").alias(c) for c in keep],
-            F.struct(*[
-                F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in one.columns else F.lit(0.0).alias(c)
-                for c in self.features
-            ]).alias("_f"),
-        ).select(key, *keep, "_f.*")
-        vectors = VectorAssembler(inputCols=list(self.features), outputCol="_raw").transform(aligned)
+        used = [c for c in self.features if c in keyed.columns and c != key]
+        extra = [o for o in order if o not in {key, *keep, *used}]
+        one = first_per_key(keyed.select(key, *keep, *used, *extra), [key], order)
+        labels = [F.col(c).cast("boolean").alias(c) for c in keep]
+        vectors = assemble(one, self.features, "_raw").select(key, *labels, "_raw")
         return self.scaler.transform(vectors).select(key, *keep, "features")
 
     def score(self, df: DataFrame, key: str, label: str | None = None, order: Sequence[str] = ()) -> DataFrame:
@@ -295,23 +311,22 @@ def tune(
 ) -> Search:
     """Random search by mean accuracy over stratified folds, refitted on all rows.
 
-    Scaled vectors are cached once for all trials. The cross validator runs the
+    Scaled vectors and folds are written once for all trials. The cross validator runs the
     trials as concurrent Spark jobs and refits the best on the whole table.
     """
     ready, scaler = training_vectors(df, features, label)
-    folded = stratified_folds(ready.select(key, label, "features", "_y"), key, label, folds, seed).cache()
-    try:
-        drawn = draw_trials(model_type, len(features), trials, seed, ranges)
-        base = drawn[0]
-        grid = [{p: e.getOrDefault(p) for p in e.params if e.isSet(p)} for e in drawn]
-        maps = [{base.getParam(p.name): v for p, v in g.items()} for g in grid]
-        evaluator = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="_y")
-        fitted: CrossValidatorModel = CrossValidator(
-            estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold",
-            parallelism=parallelism, seed=seed,
-        ).fit(folded)
-    finally:
-        folded.unpersist()
+    folded = materialize(
+        stratified_folds(ready.select(key, label, "features", "_y"), key, label, folds, seed), "folds"
+    )
+    drawn = draw_trials(model_type, len(features), trials, seed, ranges)
+    base = drawn[0]
+    set_params = [{p.name: e.getOrDefault(p) for p in e.params if e.isSet(p)} for e in drawn]
+    maps = [{base.getParam(name): value for name, value in params.items()} for params in set_params]
+    evaluator = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="_y")
+    fitted: CrossValidatorModel = CrossValidator(
+        estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold",
+        parallelism=parallelism, seed=seed,
+    ).fit(folded)
     best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
     return Search(
         ScoringModel(tuple(features), scaler, fitted.bestModel),

@@ -21,12 +21,16 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 from pyspark.sql.window import Window
 
 from featloom.functions import columns as fc
 from featloom.functions import text as ft
 from featloom.session import materialize, pin_small
 
+# Fixed value: a term is a run of two or more letters, digits or underscores, in any script.
+TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
+
 
 def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
@@ -101,7 +105,7 @@ def lexicon_sentiment(
 
 
 def term_counts(
-    df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = r"\w\w+"
+    df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = TERM_PATTERN
 ) -> DataFrame:
     """(key, term, tf). A text's tokens arise in one task, so the map-side combine does nearly all the work."""
     tokens = df.select(key, F.explode(ft.words(ft.tfidf_clean(text), pattern)).alias("term"))
@@ -127,7 +131,7 @@ def weigh_terms(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     return weighted.select(key, "term", (F.col("w") / norm).alias("tfidf"))
 
 
-def tfidf_long(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = r"\w\w+") -> DataFrame:
+def tfidf_long(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = TERM_PATTERN) -> DataFrame:
     """Fit and apply in one go: the whole vocabulary, no vocabulary on the driver.
 
     Term counts are written once and used twice (document frequencies, weights),
@@ -159,7 +163,7 @@ class TfidfVectors:
 
 
 def _tokens(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
-    tokens = ft.words(ft.tfidf_clean(text))
+    tokens = ft.words(ft.tfidf_clean(text), TERM_PATTERN)
     if stop_words:
         tokens = F.filter(tokens, lambda t: ~t.isin(*stop_words))
     return df.withColumn("_tokens", tokens)
@@ -202,7 +206,7 @@ def encode_text(
     load_encoder: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]],
 ) -> DataFrame:
     """Vectors from an external encoder, loaded once per Python worker and fed Arrow batches."""
-    schema = df.schema.add(out, "array<float>")
+    schema = StructType([*df.schema.fields, StructField(out, ArrayType(FloatType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = load_encoder()
