@@ -92,20 +92,17 @@ def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
     return single, multiple
 
 
-def _char_class(chars: Sequence[str]) -> str:
-    return "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in chars) + "]"
-
-
 def ascii_fold(c: Column | str) -> Column:
     """Decompose (NFKD) and keep ASCII only: ``é`` -> ``e``, ``ﬁ`` -> ``fi``, ``ß`` dropped.
 
-    Three branches, so that plain ASCII text costs one scan, accented text one
+    Three branches, so that plain ASCII text costs one scan, accented text a
     ``translate``, and only text with a one-to-many character is split up.
     """
     c = _col(c)
     single, multiple = _ascii_folds()
     non_ascii = r"[^\x00-\x7F]+"
-    table = F.create_map(*[F.lit(x) for pair in multiple.items() for x in pair])
+    has_multiple = F.length(F.translate(c, "".join(multiple), "")) < F.length(c)
+    table = F.map_from_arrays(F.split(F.lit("".join(multiple)), ""), F.split(F.lit("\x00".join(multiple.values())), "\x00"))
     expanded = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.when(ch < "\x80", ch).otherwise(F.coalesce(table[ch], ch))),
         "",
@@ -114,11 +111,7 @@ def ascii_fold(c: Column | str) -> Column:
     def to_ascii(x: Column) -> Column:
         return F.regexp_replace(F.translate(x, "".join(single), "".join(single.values())), non_ascii, "")
 
-    return (
-        F.when(~c.rlike(non_ascii), c)
-        .when(c.rlike(_char_class(list(multiple))), to_ascii(expanded))
-        .otherwise(to_ascii(c))
-    )
+    return F.when(~c.rlike(non_ascii), c).when(has_multiple, to_ascii(expanded)).otherwise(to_ascii(c))
 
 
 def embedding_clean(c: Column | str, null_as_empty: bool = False) -> Column:

@@ -5,11 +5,12 @@ smallest value. The built-in exact percentile keeps every distinct value of a
 group in one aggregation buffer, and a ranking window sorts a whole group in one
 task; with a handful of groups (columns, labels) neither holds on a large table.
 
-Here each rank is found by narrowing: count the values of an interval in
-equal-width buckets (an aggregate with map-side combine), keep the bucket that
-holds the rank, repeat. Once an interval holds at most ``direct_rows`` values
-they are ranked exactly. Only per-bucket counts are shuffled, no group is ever
-held in one task, and the result is exact.
+So groups are counted first. Up to ``direct_rows`` values per group the built-in
+percentile is used. Beyond that each rank is found by narrowing: count the values
+of an interval in equal-width buckets (an aggregate with map-side combine), keep
+the bucket that holds the rank, repeat; once an interval holds at most
+``direct_rows`` values they are ranked exactly. Only per-bucket counts are
+shuffled, no group is ever held in one task, and both ways give the exact value.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql.window import Window
 from featloom.functions.columns import to_double
 from featloom.session import pin_small
 
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 250_000
 BUCKETS = 4096
 
 
@@ -54,7 +55,7 @@ def order_statistics(
     """
     keys = list(keys)
     span = [*keys, "lo", "hi"]
-    state = pin_small(targets.withColumn("below", F.lit(0).cast("bigint")).distinct())
+    state = pin_small(targets.withColumn("below", F.lit(0).cast("bigint")))
 
     while True:
         wide = (F.col("lo") < F.col("hi")) & (F.col("inside") > direct_rows)
@@ -109,7 +110,7 @@ def order_statistics(
 def _targets(summary: DataFrame, keys: Sequence[str], ranks) -> DataFrame:
     """Explode rank expressions over ``n`` into target rows."""
     return summary.select(
-        *keys, F.explode(F.array(*[r.cast("bigint") for r in ranks])).alias("rank"),
+        *keys, F.explode(F.array_distinct(F.array(*[r.cast("bigint") for r in ranks]))).alias("rank"),
         F.col("min").alias("lo"), F.col("max").alias("hi"), F.col("n").alias("inside"),
     )
 
@@ -140,6 +141,10 @@ def summarize(values: DataFrame, keys: Sequence[str], extra: Mapping[str, F.Colu
     )
 
 
+def _fits(summary: DataFrame, direct_rows: int) -> bool:
+    return not summary.where(F.col("n") > direct_rows).select("n").limit(1).collect()
+
+
 def quantiles(
     values: DataFrame,
     keys: Sequence[str],
@@ -150,6 +155,11 @@ def quantiles(
     """Linearly interpolated exact quantiles: the group summary plus one column per entry of ``probs``."""
     keys = list(keys)
     summary = pin_small(summarize(values, keys)) if summary is None else summary
+    if _fits(summary, direct_rows):
+        found = values.groupBy(*keys).agg(F.percentile("value", [float(p) for p in probs.values()]).alias("_q"))
+        return summary.join(found, keys).select(
+            *summary.columns, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)]
+        )
     ranks = [r for p in probs.values() for r in _quantile_ranks(p)[:2]]
     picked = order_statistics(values, keys, _targets(summary, keys, ranks), direct_rows=direct_rows)
     return (
@@ -159,6 +169,30 @@ def quantiles(
     )
 
 
+def _quartiles_and_cuts(values: DataFrame, keys: list[str], summary: DataFrame, trim: float, direct_rows: int) -> DataFrame:
+    """The summary with p25, median, p75 and the values at both trimming cuts."""
+    cut = F.floor(F.lit(trim) * F.col("n")).cast("bigint")
+    if _fits(summary, direct_rows):
+        found = values.groupBy(*keys).agg(
+            F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"),
+            F.expr(f"percentile_disc({trim}) WITHIN GROUP (ORDER BY value)").alias("cut_lo"),
+            F.expr(f"percentile_disc({1 - trim}) WITHIN GROUP (ORDER BY value)").alias("cut_hi"),
+        )
+        quartiles = [F.col("_q")[i] for i in range(3)]
+        cuts = [F.col("cut_lo"), F.col("cut_hi")]
+    else:
+        ranks = [r for p in (0.25, 0.5, 0.75) for r in _quantile_ranks(p)[:2]] + [cut, F.col("n") - cut - 1]
+        found = _rank_map(
+            order_statistics(values, keys, _targets(summary, keys, ranks), direct_rows=direct_rows), keys
+        )
+        quartiles = [_quantile(p) for p in (0.25, 0.5, 0.75)]
+        cuts = [F.col("_at")[cut], F.col("_at")[F.col("n") - cut - 1]]
+    names = ("p25", "median", "p75", "cut_lo", "cut_hi")
+    return pin_small(summary.join(found, keys).select(
+        *summary.columns, cut.alias("cut"), *[c.alias(name) for name, c in zip(names, quartiles + cuts)]
+    ))
+
+
 def robust_summary(
     values: DataFrame,
     keys: Sequence[str],
@@ -172,20 +206,10 @@ def robust_summary(
     """
     keys = list(keys)
     summary = pin_small(summarize(values, keys))
+    direct = _fits(summary, direct_rows)
+    quartiles = _quartiles_and_cuts(values, keys, summary, trim, direct_rows)
 
-    cut = F.floor(F.lit(trim) * F.col("n")).cast("bigint")
-    ranks = [r for p in (0.25, 0.5, 0.75) for r in _quantile_ranks(p)[:2]] + [cut, F.col("n") - cut - 1]
-    picked = order_statistics(values, keys, _targets(summary, keys, ranks), direct_rows=direct_rows)
-    at = F.col("_at")
-    quartiles = pin_small(
-        summary.join(_rank_map(picked, keys), keys)
-        .select(
-            *summary.columns, _quantile(0.25).alias("p25"), _quantile(0.5).alias("median"), _quantile(0.75).alias("p75"),
-            cut.alias("cut"), at[cut].alias("cut_lo"), at[F.col("n") - cut - 1].alias("cut_hi"),
-        )
-    )
-
-    # One more pass: trimmed sums, fences and the bounds of the deviations.
+    # One more pass: trimmed sums, fences, and the deviations' median or their bounds.
     v = F.col("value")
     deviation = F.abs(v - F.col("median"))
     reach = 1.5 * (F.col("p75") - F.col("p25"))
@@ -202,8 +226,10 @@ def robust_summary(
             F.min(F.when(v >= low, v)).alias("whisker_low"),
             F.max(F.when(v <= high, v)).alias("whisker_high"),
             F.min(deviation).alias("dev_min"), F.max(deviation).alias("dev_max"),
+            *([F.percentile(deviation, 0.5).alias("mad")] if direct else []),
         )
     )
+    # Ties with a cut value count as often as they remain after trimming.
     middle = (
         F.coalesce(F.col("inner_sum"), F.lit(0.0))
         + (F.col("n_low") - F.col("cut")) * F.col("cut_lo")
@@ -212,11 +238,13 @@ def robust_summary(
     trimmed = F.when(F.col("cut_lo") == F.col("cut_hi"), F.col("cut_lo")).otherwise(middle)
     fenced = pin_small(quartiles.join(passed, keys).withColumn("trimmed_mean", trimmed))
 
-    deviations = values.join(centre, keys).select(*keys, deviation.alias("value"))
-    dev_summary = fenced.select(*keys, "n", F.col("dev_min").alias("min"), F.col("dev_max").alias("max"))
-    with_mad = pin_small(
-        quantiles(deviations, keys, {"mad": 0.5}, direct_rows, dev_summary).select(*keys, "mad").join(fenced, keys)
-    )
+    if direct:
+        with_mad = fenced
+    else:
+        deviations = values.join(centre, keys).select(*keys, deviation.alias("value"))
+        bounds = fenced.select(*keys, "n", F.col("dev_min").alias("min"), F.col("dev_max").alias("max"))
+        mads = quantiles(deviations, keys, {"mad": 0.5}, direct_rows, bounds).select(*keys, "mad")
+        with_mad = pin_small(mads.join(fenced, keys))
     beyond = (v < F.col("median") - 3 * F.col("mad")) | (v > F.col("median") + 3 * F.col("mad"))
     mad_counts = (
         values.join(with_mad.select(*keys, "median", "mad"), keys)

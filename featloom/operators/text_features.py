@@ -11,6 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizer,
     CountVectorizerModel,
+    IDF,
     ElementwiseProduct,
     HashingTF,
     Normalizer,
@@ -147,26 +148,22 @@ def tfidf_long(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (
 
 @dataclass(frozen=True)
 class TfidfVectors:
-    """Fitted TF-IDF vectorizer: tokens, counts, smoothed idf, unit length."""
+    """Fitted TF-IDF vectorizer: tokens, stop words, counts, smoothed idf, unit length."""
 
     text: str
-    out: str
-    stop_words: tuple[str, ...]
     model: PipelineModel
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_tokens(df, self.text, self.stop_words)).drop("_tokens", "_counts", "_weighted")
+        out = self.model.transform(_tokens(df, self.text))
+        return out.drop(*[c for c in out.columns if c.startswith("_tf_")])
 
     @property
     def vocabulary(self) -> list[str]:
         return next(s for s in self.model.stages if isinstance(s, CountVectorizerModel)).vocabulary
 
 
-def _tokens(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
-    tokens = ft.words(ft.tfidf_clean(text), TERM_PATTERN)
-    if stop_words:
-        tokens = F.filter(tokens, lambda t: ~t.isin(*stop_words))
-    return df.withColumn("_tokens", tokens)
+def _tokens(df: DataFrame, text: str) -> DataFrame:
+    return df.withColumn("_tf_tokens", ft.words(ft.tfidf_clean(text), TERM_PATTERN))
 
 
 def fit_tfidf_vectors(
@@ -174,26 +171,24 @@ def fit_tfidf_vectors(
     text: str,
     out: str = "tfidf_vec",
     stop_words: Sequence[str] = (),
-    vocabulary_size: int = 1 << 18,
-    idf: bool = True,
+    vocabulary_size: int = 1 << 20,
 ) -> TfidfVectors:
-    """Sparse TF-IDF vectors. The vocabulary lives on the driver, so its size is a
-    parameter; ``tfidf_long`` has no such bound."""
-    tokens = _tokens(df, text, stop_words)
-    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=vocabulary_size).fit(tokens)
-    n = tokens.count()
-    doc_freq = (
-        tokens.select(F.explode(F.array_distinct("_tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-        .join(df.sparkSession.createDataFrame(pd.DataFrame({"term": counter.vocabulary})), "term")
-    )
-    by_term = {r["term"]: r["df"] for r in doc_freq.collect()}  # at most `vocabulary_size` rows
-    weights = Vectors.dense([math.log((1 + n) / (1 + by_term[t])) + 1 if idf else 1.0 for t in counter.vocabulary])
-    stages = [
+    """Sparse TF-IDF vectors over all terms. The vocabulary lives on the driver, so
+    more than ``vocabulary_size`` terms are refused; ``tfidf_long`` has no bound."""
+    stop = StopWordsRemover(inputCol="_tf_tokens", outputCol="_tf_terms", stopWords=list(stop_words), caseSensitive=True)
+    tokens = stop.transform(_tokens(df, text))
+    counter = CountVectorizer(inputCol="_tf_terms", outputCol="_tf_counts", vocabSize=vocabulary_size).fit(tokens)
+    if len(counter.vocabulary) >= vocabulary_size:
+        raise ValueError(f"{vocabulary_size} or more terms: raise vocabulary_size or use tfidf_long")
+    seen = IDF(inputCol="_tf_counts", outputCol="_tf_unused").fit(counter.transform(tokens))
+    n = seen.numDocs
+    weights = Vectors.dense([math.log((1 + n) / (1 + df_)) + 1 for df_ in seen.docFreq])
+    return TfidfVectors(text, PipelineModel([
+        stop,
         counter,
-        ElementwiseProduct(scalingVec=weights, inputCol="_counts", outputCol="_weighted"),
-        Normalizer(p=2.0, inputCol="_weighted", outputCol=out),
-    ]
-    return TfidfVectors(text, out, tuple(stop_words), PipelineModel(stages))
+        ElementwiseProduct(scalingVec=weights, inputCol="_tf_counts", outputCol="_tf_weighted"),
+        Normalizer(p=2.0, inputCol="_tf_weighted", outputCol=out),
+    ]))
 
 
 # --- embeddings ------------------------------------------------------------

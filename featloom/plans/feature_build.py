@@ -65,7 +65,7 @@ class FeatureBuild:
     embedding_size: int = 100
     text_components: int = 50
     genre_components: int = 20
-    vocabulary_size: int = 1 << 18
+    vocabulary_size: int = 1 << 20
     title_columns: tuple[str, ...] = ("title", "primaryTitle")
 
     def fit(self, inputs: MovieInputs) -> FeatureModel:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from featloom.operators import credits as op
 from featloom.operators import joins
-from featloom.queries.registry import DIRECTORS, MOVIES, WRITERS, Tables, query, r
+from featloom.queries.registry import DIRECTORS, MOVIES, WRITERS, Tables, query
 
 # The category vocabulary of the test titles, in alphabetical order, read from the data by the queries.
 GENRES_SQL = f"(SELECT tconst, unnest(genres) AS category FROM {MOVIES})"
@@ -181,22 +181,22 @@ def expertise(t: Tables):
 
 @query(
     "genre_expertise",
-    f"SELECT director, category, genre_count, total_count, round(genre_count / total_count, 6) AS genre_expertise FROM {EXPERTISE}",
+    f"SELECT director, category, genre_count, total_count, genre_count / total_count AS genre_expertise FROM {EXPERTISE}",
 )
 def genre_expertise(t: Tables):
-    return expertise(t).withColumn("genre_expertise", r("genre_expertise"))
+    return expertise(t)
 
 
 WORDS = ("hot", "cold", "new", "old", "large", "small")
 PIVOT = ", ".join(
-    f"round(coalesce(max(CASE WHEN category = '{w}' THEN genre_count / total_count END), 0), 6) AS {w}" for w in WORDS
+    f"coalesce(max(CASE WHEN category = '{w}' THEN genre_count / total_count END), 0) AS {w}" for w in WORDS
 )
 
 
 @query("genre_pivot", f"SELECT director, {PIVOT} FROM {EXPERTISE} GROUP BY director")
 def genre_pivot(t: Tables):
     wide = op.expertise_matrix(expertise(t), "director", op.category_names(t.movies, "genres"))
-    return wide.select("director", *[r(w).alias(w) for w in WORDS])
+    return wide.select("director", *WORDS)
 
 
 @query(
@@ -209,7 +209,7 @@ def expertise_join(t: Tables):
     facts = t.directors.distinct().withColumns({w: F.lit(0) for w in WORDS})
     matrix = op.expertise_matrix(expertise(t), "director", op.category_names(t.movies, "genres"))
     out = op.join_expertise(facts, matrix, "director", "_dir_expertise")
-    return out.select("tconst", "director", *[r(f"{w}_dir_expertise").alias(f"{w}_dir_expertise") for w in WORDS])
+    return out.select("tconst", "director", *[f"{w}_dir_expertise" for w in WORDS])
 
 
 # --- title joins -----------------------------------------------------------
