@@ -156,7 +156,7 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The first row of each key in the stated order.
+    """The first row of each key in ascending order of the ``order`` expressions, missing values first.
 
     An aggregate, not a window: each task keeps one candidate per key before the
     shuffle, so a key with a third of all rows sends one row per task. Remaining

@@ -12,5 +12,6 @@ from featloom.session import get_session  # noqa: E402
 def spark():
     session = get_session("featloom-tests", "local[8]", 8)
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
