@@ -21,8 +21,7 @@ def _col(c: Column | str) -> Column:
 
 def to_double(c: Column | str) -> Column:
     """Double, or NULL for anything that is not a number (NaN included)."""
-    out = _col(c).try_cast("double")
-    return F.when(F.isnan(out), F.lit(None)).otherwise(out)
+    return F.nanvl(_col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_long(c: Column | str) -> Column:
@@ -32,8 +31,7 @@ def to_long(c: Column | str) -> Column:
 
 
 def nan_to_null(c: Column | str) -> Column:
-    c = _col(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
+    return F.nanvl(_col(c), F.lit(None).cast("double"))
 
 
 def null_safe_not_equal(a: Column | str, b: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featloom.session import pin_small
+from featloom.session import SMALL_ROWS, pin_small
 
 
 def explode_list(df: DataFrame, column: str, alias: str, position: bool = False) -> DataFrame:
@@ -92,6 +92,14 @@ def interactions(df: DataFrame, key: str, categories: str, weights: DataFrame) -
     return pairs.select(key, "left", "right", (F.col("n") * factor("left") * factor("right")).alias("product"))
 
 
+def column_set(df: DataFrame, limit: int = SMALL_ROWS) -> list:
+    """The rows of a table that is about to become columns; refused beyond ``limit`` (use the long form there)."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} categories: keep the long form instead of columns")
+    return rows
+
+
 def fit_popularity(df: DataFrame, categories: str, measure: str | None = None) -> DataFrame:
     """Popularity of the training rows, pinned for reuse on other splits."""
     return pin_small(popularity(df, categories, measure))
@@ -116,7 +124,12 @@ def category_vector(categories: Column | str, weights: Mapping[str, float | None
     )
     if not pairs or len(names) < 2:
         return single
-    products = F.flatten(
-        F.transform(single, lambda a, i: F.transform(F.slice(single, i + 2, len(names)), lambda b: a * b))
-    )
-    return F.concat(single, products)
+
+    def with_products(weights_: Column) -> Column:
+        products = F.transform(
+            weights_, lambda a, i: F.transform(F.slice(weights_, i + 2, len(names)), lambda b: a * b)
+        )
+        return F.concat(weights_, F.flatten(products))
+
+    # The one-element array binds the weighted counts, so they are computed once per row.
+    return F.transform(F.array(single), with_products)[0]

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featloom.session import pin_small
+from featloom.operators.categories import column_set
 
 
 def distinct_per_key(links: DataFrame, key: str, person: str, alias: str) -> DataFrame:
@@ -20,8 +20,11 @@ def distinct_per_key(links: DataFrame, key: str, person: str, alias: str) -> Dat
     return links.groupBy(key).agg(F.count_distinct(person).alias(alias))
 
 
-def distinct_overall(links: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return links.agg(*[F.count_distinct(c).alias(c) for c in columns])
+def distinct_overall(links: DataFrame, columns: Sequence[str], relative_error: float | None = None) -> DataFrame:
+    """Distinct values per column; with a ``relative_error`` by sketch, without shuffling the values."""
+    if relative_error is None:
+        return links.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    return links.agg(*[F.approx_count_distinct(c, relative_error).alias(c) for c in columns])
 
 
 def role_links(directors: DataFrame, writers: DataFrame, key: str, director: str, writer: str) -> DataFrame:
@@ -244,6 +247,6 @@ def title_expertise(links: DataFrame, matrix: DataFrame, key: str, person: str,
 
 
 def category_names(df: DataFrame, categories: str) -> list[str]:
-    """The distinct categories, sorted; for pivots. A category set is a column set, so it has to be small."""
-    found = pin_small(df.select(F.explode(categories).alias("c")).distinct())
-    return sorted(r["c"] for r in found.collect() if r["c"] is not None)
+    """The distinct categories, sorted; they become columns, so their number is limited."""
+    found = df.select(F.explode(categories).alias("c")).where("c IS NOT NULL").distinct()
+    return sorted(r["c"] for r in column_set(found))

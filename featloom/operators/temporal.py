@@ -38,7 +38,8 @@ def add_year_count(df: DataFrame, year: str = "releaseYear", out: str = "movies_
 
 
 def fit_year_count(df: DataFrame, year: str = "releaseYear", out: str = "movies_in_year") -> DataFrame:
-    return pin_small(df.where(F.col(year).isNotNull()).groupBy(year).agg(F.count("*").alias(out)))
+    """Rows per year. The missing year keeps its row; no join key equals it."""
+    return pin_small(df.groupBy(year).agg(F.count("*").alias(out)))
 
 
 def add_temporal_features(

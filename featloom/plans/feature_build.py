@@ -89,7 +89,7 @@ class FeatureBuild:
         popularity = {}
         if "genres" in joined.columns:
             weights = cat.fit_popularity(joined, "genres", measure)
-            popularity = {r["category"]: r["popularity"] for r in weights.collect() if r["category"]}
+            popularity = {r["category"]: r["popularity"] for r in cat.column_set(weights) if r["category"]}
         years = temporal.fit_year_count(joined) if "releaseYear" in joined.columns else None
 
         title = next((c for c in self.title_columns if c in joined.columns), None)
@@ -166,11 +166,13 @@ def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, names: t
         out = _with_genres(out)
     if inputs.metadata is not None and "originalTitle" in out.columns:
         out = joins.merge_metadata(out, inputs.metadata, dedupe_right=True)
+    out = materialize(out, "joined")
     worded = text.combined_text(out)
     if inputs.lexicon is not None and worded is not None:
+        # Reads the written table twice instead of running the joins twice.
         scored = text.lexicon_sentiment(out, KEY, worded, inputs.lexicon)
-        out = out.join(scored, KEY, "left")
-    return materialize(out, "joined")
+        out = materialize(out.join(scored, KEY, "left"), "scored")
+    return out
 
 
 def _row_features(joined: DataFrame, build: FeatureBuild, popularity: Mapping, years: DataFrame | None) -> DataFrame:

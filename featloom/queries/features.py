@@ -149,5 +149,5 @@ def combine_text_features(t: Tables):
 def feature_build(t: Tables):
     """The whole feature build on titles made from the part and line item tables."""
     inputs = movie_inputs(t.part, t.lineitem)
-    fitted = FeatureBuild(as_of_year=AS_OF_YEAR, feature_method="combined", embedding_size=16, text_components=8, genre_components=8).fit(inputs)
-    return fitted.transform(inputs)
+    build = FeatureBuild(AS_OF_YEAR, "combined", embedding_size=16, text_components=8, genre_components=8)
+    return build.fit_transform(inputs)[1]

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featloom.session import spread_scan
+
 AS_OF_YEAR = 2024
 
 
@@ -50,6 +52,11 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @property
+    def texts(self) -> DataFrame:
+        """Documents for CPU-heavy text work, on all cores even when the file has a single row group."""
+        return spread_scan(self.documents.select("doc_id", "text"), "doc_id")
+
     # The link table holds both roles; the line status tells them apart.
     @property
     def directors(self) -> DataFrame:

@@ -30,7 +30,7 @@ def strip_punct(t: Tables):
 
 @query("embedding_clean", f"SELECT doc_id, {sql_embedding_clean('text')} AS text_embedding FROM documents")
 def embedding_clean(t: Tables):
-    return op.apply_embedding_clean(t.documents.select("doc_id", "text"), "text").drop("text")
+    return op.apply_embedding_clean(t.texts, "text").drop("text")
 
 
 @query(
@@ -38,7 +38,7 @@ def embedding_clean(t: Tables):
     f"SELECT doc_id, array_to_string(list_sort(list_distinct({sql_fingerprint_tokens('text')})), ' ') AS text_fingerprint FROM documents",
 )
 def fingerprint_sorted(t: Tables):
-    return op.apply_fingerprint(t.documents.select("doc_id", "text"), "text", sort=True).drop("text")
+    return op.apply_fingerprint(t.texts, "text", sort=True).drop("text")
 
 
 @query(
@@ -46,7 +46,7 @@ def fingerprint_sorted(t: Tables):
     f"SELECT doc_id, array_to_string({sql_fingerprint_tokens('text')}, ' ') AS text_fingerprint FROM documents",
 )
 def fingerprint_ordered(t: Tables):
-    return op.apply_fingerprint(t.documents.select("doc_id", "text"), "text", sort=False).drop("text")
+    return op.apply_fingerprint(t.texts, "text", sort=False).drop("text")
 
 
 @query(
@@ -72,12 +72,12 @@ STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
        SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM x""",
 )
 def tfidf_long(t: Tables):
-    return rounded(op.tfidf_long(t.documents, "doc_id", "text", STOP_WORDS), "tfidf")
+    return rounded(op.tfidf_long(t.texts, "doc_id", "text", STOP_WORDS), "tfidf")
 
 
 @query("tfidf_vector")
 def tfidf_vector(t: Tables):
-    texts = t.documents.select("doc_id", "text")
+    texts = t.texts
     fitted = op.fit_tfidf_vectors(texts, "text", stop_words=op.english_stop_words())
     return fitted.transform(texts).select("doc_id", "tfidf_vec")
 
@@ -90,7 +90,7 @@ def embed_text(t: Tables):
 
 @query("embed_text_hashed")
 def embed_text_hashed(t: Tables):
-    texts = t.documents.select("doc_id", "text")
+    texts = t.texts
     return op.fit_embedding(texts, "text", method="hashing").transform(texts).select("doc_id", "emb_vec")
 
 
@@ -105,7 +105,7 @@ def _load_length_encoder():
          CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents""",
 )
 def embed_text_external(t: Tables):
-    out = op.encode_text(t.documents.select("doc_id", "text"), "text", "v", _load_length_encoder)
+    out = op.encode_text(t.texts, "text", "v", _load_length_encoder)
     return out.select("doc_id", *[F.col("v")[i].cast("double").alias(n) for i, n in enumerate(("chars", "blanks", "es"))])
 
 
@@ -136,14 +136,14 @@ TOKENS = f"(SELECT doc_id, unnest(regexp_extract_all({sql_fold('lower(text)')},
        FROM documents LEFT JOIN s ON documents.doc_id = s.doc_id""",
 )
 def sentiment_lexicon(t: Tables):
-    out = op.lexicon_sentiment(t.documents, "doc_id", "text", label_lexicon(t))
+    out = op.lexicon_sentiment(t.texts, "doc_id", "text", label_lexicon(t))
     return rounded(out, "text_sentiment_polarity", "text_sentiment_subjectivity")
 
 
 def label_lexicon(t: Tables):
     """A lexicon from the labelled texts: mean quality and toxicity of the texts a word occurs in."""
     words = F.array_distinct(ft.words(ft.ascii_fold(F.lower("text")), "[a-z]+"))
-    labelled = t.documents.select("doc_id", "text").join(t.labels, "doc_id")
+    labelled = t.texts.join(t.labels, "doc_id")
     return labelled.select(F.explode(words).alias("word"), "quality", "toxic").groupBy("word").agg(
         (2 * F.avg("quality") - 1).alias("polarity"), F.avg("toxic").alias("subjectivity")
     )

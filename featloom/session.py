@@ -67,6 +67,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash a plain table scan by ``key`` when it has fewer splits than there are cores.
+
+    For CPU-heavy text work over a file with few row groups. A table with enough
+    splits (any large one) is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Pin a derived table that is usually small (per-label statistics, per-genre means).
 
