@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from featloom.functions import columns as fc
 from featloom.functions import text as ft
-from featloom.session import materialize, pin_small
+from featloom.session import materialize
 
 # Fixed value: a term is a run of two or more letters, digits or underscores, in any script.
 TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -86,14 +86,14 @@ def lexicon_sentiment(
 
     ``lexicon`` has (word, polarity, subjectivity), one row per word. Texts
     without a known word get 0. Words are folded to lower-case ASCII first.
-    The lexicon is sized by ``pin_small``; a broadcast lexicon means one shuffle
-    of per-text partial sums only.
+    A lexicon below the broadcast threshold (by its file or row size) means one
+    shuffle of per-text partial sums only; a larger one is joined by shuffle.
+    Write a derived lexicon with ``materialize`` first, so that its size is known.
     """
     folded = ft.ascii_fold(F.lower(F.col(text) if isinstance(text, str) else text))
     tokens = df.select(key, F.explode_outer(ft.words(folded, word_pattern)).alias("word"))
-    known = pin_small(lexicon.select("word", "polarity", "subjectivity"))
     return (
-        tokens.join(known, "word", "left")
+        tokens.join(lexicon.select("word", "polarity", "subjectivity"), "word", "left")
         .groupBy(key)
         .agg(
             F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("text_sentiment_polarity"),
@@ -136,10 +136,11 @@ def tfidf_long(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (
     """Fit and apply in one go: the whole vocabulary, no vocabulary on the driver.
 
     Term counts are written once and used twice (document frequencies, weights),
-    instead of tokenising every text twice.
+    instead of tokenising every text twice. The idf table is written too: its
+    file size decides between a broadcast and a shuffle join.
     """
     counts = materialize(term_counts(df, key, text, stop_words, pattern), "term-counts")
-    idf = pin_small(inverse_document_frequency(counts, df.count()))
+    idf = materialize(inverse_document_frequency(counts, df.count()), "idf")
     return weigh_terms(counts, idf, key)
 
 

@@ -170,7 +170,7 @@ def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, names: t
     worded = text.combined_text(out)
     if inputs.lexicon is not None and worded is not None:
         # Reads the written table twice instead of running the joins twice.
-        scored = text.lexicon_sentiment(out, KEY, worded, inputs.lexicon)
+        scored = text.lexicon_sentiment(out, KEY, worded, pin_small(inputs.lexicon))
         out = materialize(out.join(scored, KEY, "left"), "scored")
     return out
 

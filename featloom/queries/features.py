@@ -11,7 +11,7 @@ from featloom.operators import model, temporal
 from featloom.operators import text_features as text_op
 from featloom.plans.feature_build import FeatureBuild, movie_inputs
 from featloom.queries.cleaning import RELEASE, release_years
-from featloom.queries.registry import AS_OF_YEAR, MOVIES, NUMBERS, Tables, query, r
+from featloom.queries.registry import AS_OF_YEAR, DIRECTORS, MOVIES, NUMBERS, WRITERS, Tables, query, r
 
 
 @query("movie_age", f"SELECT tconst, {AS_OF_YEAR} - releaseYear AS movie_age FROM {RELEASE}")
@@ -151,3 +151,48 @@ def feature_build(t: Tables):
     inputs = movie_inputs(t.part, t.lineitem)
     build = FeatureBuild(AS_OF_YEAR, "combined", embedding_size=16, text_components=8, genre_components=8)
     return build.fit_transform(inputs)[1]
+
+
+# The same build as SQL, for the columns that do not come from a fitted vocabulary or decomposition.
+TITLES = """(SELECT p_partkey AS tconst, p_name, p_size >= 26 AS label,
+    CASE WHEN 1960 + p_partkey % 70 > {now} THEN {now} ELSE 1960 + p_partkey % 70 END AS year,
+    CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE 60 + p_partkey % 120 END AS runtime,
+    CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE CAST(round(p_retailprice * 10) AS BIGINT) END AS votes FROM part)""".format(now=AS_OF_YEAR)
+SHARES = f"""(SELECT director, sum(n) FILTER (WHERE category = 'hot') / sum(n) AS hot FROM
+    (SELECT director, category, count(*) AS n FROM {DIRECTORS} d
+     JOIN (SELECT p_partkey AS tconst, unnest(string_split(p_name, ' ')) AS category FROM part) g ON d.tconst = g.tconst GROUP BY ALL)
+    GROUP BY director)"""
+
+
+@query(
+    "feature_build_columns",
+    f"""WITH t AS {TITLES},
+          rate AS (SELECT p_name, avg((p_size >= 26)::INTEGER) AS rate, max(p_retailprice) AS budget, min(p_type) AS tagline FROM part GROUP BY 1),
+          lex AS (SELECT word, 2 * avg(rate) - 1 AS polarity FROM
+                  (SELECT rate.p_name, rate, unnest(string_split(rate.p_name, ' ')) AS word FROM rate) GROUP BY word),
+          pol AS (SELECT p_name, avg(polarity) AS polarity FROM
+                  (SELECT p_name, unnest(regexp_extract_all(lower(p_name || ' ' || tagline), '[a-z]+')) AS word FROM rate) w
+                  JOIN lex ON w.word = lex.word GROUP BY p_name),
+          d AS (SELECT tconst, count(DISTINCT director) AS n FROM {DIRECTORS} GROUP BY 1),
+          w AS (SELECT tconst, count(DISTINCT writer) AS n FROM {WRITERS} GROUP BY 1),
+          x AS (SELECT tconst, avg(coalesce(hot, 0)) AS hot FROM (SELECT DISTINCT tconst, director FROM {DIRECTORS}) c
+                JOIN {SHARES} s ON c.director = s.director GROUP BY 1)
+        SELECT t.tconst, label, CAST(year AS BIGINT) AS "releaseYear",
+          round(coalesce(runtime, (SELECT avg(runtime) FROM t)), 4) AS "runtimeMinutes",
+          round(coalesce(votes, (SELECT avg(votes) FROM t)), 4) AS "numVotes",
+          coalesce(d.n, 0) AS director_count, coalesce(w.n, 0) AS writer_count, round(coalesce(hot, 0), 6) AS hot_dir_expertise,
+          budget, round(coalesce(polarity, 0), 6) AS text_sentiment_polarity,
+          CAST(length(replace(t.p_name, ' ', '')) AS INTEGER) AS title_length, {AS_OF_YEAR} - CAST(year AS BIGINT) AS movie_age,
+          count(*) OVER (PARTITION BY year) AS movies_in_year
+        FROM t LEFT JOIN d ON t.tconst = d.tconst LEFT JOIN w ON t.tconst = w.tconst LEFT JOIN x ON t.tconst = x.tconst
+          LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name""",
+)
+def feature_build_columns(t: Tables):
+    """The plain columns of the feature build, which SQL can check."""
+    inputs = movie_inputs(t.part, t.lineitem)
+    table = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2).fit_transform(inputs)[1]
+    return table.select(
+        "tconst", "label", "releaseYear", r("runtimeMinutes", 4).alias("runtimeMinutes"), r("numVotes", 4).alias("numVotes"),
+        "director_count", "writer_count", r("hot_dir_expertise").alias("hot_dir_expertise"), F.col("budget").cast("double").alias("budget"),
+        r("text_sentiment_polarity").alias("text_sentiment_polarity"), "title_length", "movie_age", "movies_in_year",
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from featloom.functions import text as ft
@@ -99,12 +100,30 @@ def tune_random(t: Tables):
     return trials.withColumn("fit_accuracy", F.lit(right))
 
 
-@query("prepare_eval")
+def _per_char(pattern: str) -> str:
+    return f"len(regexp_extract_all(text, '{pattern}')) / length(text)"
+
+
+DOC_SQL = rf"""(SELECT d.doc_id AS tconst, quality AS label, length(text)::DOUBLE AS chars, {_per_char(' ')} AS blanks,
+    len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+'))::DOUBLE AS words, {_per_char(chr(10))} AS lines,
+    {_per_char('[0-9]')} AS digits FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+@query(
+    "prepare_eval",
+    f"""WITH d AS {DOC_SQL} SELECT tconst, CAST(label AS BOOLEAN) AS label,
+          {', '.join(f'round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 4) AS {c}' for c in ('chars', 'blanks', 'words', 'lines'))},
+          round((0 - avg(digits) OVER ()) / stddev_pop(digits) OVER (), 4) AS digits FROM d""",
+)
 def prepare_eval(t: Tables):
-    """Evaluation rows twice over, to show that one row per key is kept."""
+    """Evaluation rows twice over and without one feature: one row per key is kept, the feature counts as 0."""
     rows = training_table(t)
-    fitted = op.train(rows, op.select_features(rows), op.random_forest(n_trees=5, depth=4))
-    return fitted.prepare(rows.unionByName(rows).drop("digits"), "tconst", "label", order=["chars"])
+    features = op.select_features(rows)
+    fitted = op.train(rows, features, op.random_forest(n_trees=5, depth=4))
+    out = fitted.prepare(rows.unionByName(rows).drop("digits"), "tconst", "label", order=["chars"])
+    v = vector_to_array("features")
+    shown = ("chars", "blanks", "words", "lines", "digits")
+    return out.select("tconst", "label", *[r(v[features.index(c)], 4).alias(c) for c in shown])
 
 
 @query("score_batch")

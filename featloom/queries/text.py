@@ -8,9 +8,11 @@ from featloom.functions import text as ft
 from featloom.operators import text_features as op
 from featloom.operators.categories import explode_list
 from featloom.queries.registry import (
-    MOVIES, Tables, query, r, rounded, sql_embedding_clean, sql_fingerprint_tokens, sql_fold, sql_no_punctuation, sql_strip,
+    Tables, query, r, rounded, sql_embedding_clean, sql_fingerprint_tokens, sql_fold, sql_no_punctuation, sql_strip,
 )
 
+from featloom.session import materialize
+
 
 @query("title_length", "SELECT doc_id, CAST(length(replace(text, ' ', '')) AS INTEGER) AS title_length FROM documents")
 def title_length(t: Tables):
@@ -136,7 +138,7 @@ TOKENS = f"(SELECT doc_id, unnest(regexp_extract_all({sql_fold('lower(text)')},
        FROM documents LEFT JOIN s ON documents.doc_id = s.doc_id""",
 )
 def sentiment_lexicon(t: Tables):
-    out = op.lexicon_sentiment(t.texts, "doc_id", "text", label_lexicon(t))
+    out = op.lexicon_sentiment(t.texts, "doc_id", "text", materialize(label_lexicon(t), "lexicon"))
     return rounded(out, "text_sentiment_polarity", "text_sentiment_subjectivity")
 
 
