@@ -139,13 +139,16 @@ def clean_titles(titles: DataFrame, as_of_year: int) -> DataFrame:
     return cleaning.unify_release_year(cleaning.clean_records(titles), as_of_year)
 
 
-def _with_genres(catalogue: DataFrame) -> DataFrame:
-    return catalogue.withColumn("genres", ft.parse_categories("genres"))
+def _with_genres(df: DataFrame) -> DataFrame:
+    """Category text, in any spelling, as a list; missing text stays missing."""
+    if dict(df.dtypes).get("genres") != "string":
+        return df
+    return df.withColumn("genres", F.when(F.col("genres").isNotNull(), ft.parse_categories("genres")))
 
 
 def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, names: tuple[str, ...]) -> DataFrame:
     """Credits, genres, expertise, metadata and sentiment: all steps that shuffle, written once."""
-    out = facts
+    out = _with_genres(facts)
     if inputs.directors is not None and inputs.writers is not None and top is not None:
         out = credits.credit_features(out, inputs.directors, inputs.writers, top=top)
     if inputs.catalogue is not None and "originalTitle" in out.columns:
@@ -162,10 +165,8 @@ def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, names: t
             matrix = credits.expertise_matrix(shares, person, names)
             added = credits.title_expertise(links, matrix, KEY, person, suffix)
             out = out.join(added, KEY, "left").fillna(0.0, [n + suffix for n in names])
-    elif "genres" in out.columns and dict(out.dtypes)["genres"] == "string":
-        out = _with_genres(out)
     if inputs.metadata is not None and "originalTitle" in out.columns:
-        out = joins.merge_metadata(out, inputs.metadata, dedupe_right=True)
+        out = joins.merge_metadata(out, _with_genres(inputs.metadata), dedupe_right=True)
     out = materialize(out, "joined")
     worded = text.combined_text(out)
     if inputs.lexicon is not None and worded is not None:

@@ -38,17 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     Where the setting is absent a temporary folder is made, but only in local
     mode: on a cluster a machine-local folder would be lost with its executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="featloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="featloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

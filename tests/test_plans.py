@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from featloom import session
 from featloom.operators import categories, cleaning, credits, model, profile
 from featloom.plans.feature_build import FeatureBuild, MovieInputs, movie_inputs
 from featloom.plans.train_score import run
@@ -19,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def files(tmp_path_factory):
     """A small data set in the layout of the original inputs."""
-    base = tmp_path_factory.mktemp("imdb")
+    base = tmp_path_factory.mktemp("inputs")
     rng = random.Random(1)
     nouns = ["car", "river", "return", "part", "night", "day"]
     titles = []
@@ -47,9 +48,13 @@ def files(tmp_path_factory):
     links = lambda p: [{"movie": f"tt{i}", p: f"nm{rng.randint(0, 9)}"} for i in range(160) for _ in range(2)]
     (base / "directing.json").write_text("\n".join(map(json.dumps, links("director"))))
     (base / "writing.json").write_text("\n".join(map(json.dumps, links("writer"))))
-    write("movies.csv", [{"title": f"{a.title()} {b} (1999)", "genres": f"{a}|{b}"} for a in nouns for b in nouns])
+    # Some titles are missing from the catalogue; their categories come from the metadata.
+    write("movies.csv", [
+        {"title": f"{a.title()} {b} (1999)", "genres": f"{a}|{b}"} for a in nouns for b in nouns if b != "night"
+    ])
     write("movies_metadata.csv", [
-        {"original_title": f"{a.title()} {b}", "budget": 5, "overview": f"good {a}", "tagline": "bad" if b == "car" else ""}
+        {"original_title": f"{a.title()} {b}", "budget": 5, "overview": f"good {a}", "tagline": "bad" if b == "car" else "",
+         "genres": "[{'id': 1, 'name': 'Drama'}]"}
         for a in nouns for b in nouns
     ])
     return base
@@ -76,6 +81,7 @@ def test_files_to_predictions(spark, files, tmp_path):
         "car_dir_expertise", "night_wri_expertise",
     ):
         assert expected in names, expected
+    assert {"drama", "car"} <= set(plan.features.popularity)
     for split in ("validation", "validation_hidden"):
         back = readers.read_csv(spark, f"{tmp_path}/{split}_predictions")
         assert back.columns == ["tconst", "prediction"] and back.count() == 40
@@ -143,8 +149,6 @@ def test_first_per_key_folds_before_the_shuffle(spark):
 
 def test_large_weights_table_is_joined_by_shuffle(spark, monkeypatch):
     """Beyond the row limit a derived table is written and the result stays the same."""
-    import featloom.session as session
-
     df = spark.createDataFrame([(i, [f"g{i % 50}", "x"], i) for i in range(200)], "k int, g array<string>, v int")
     small = categories.fit_popularity(df, "g", "v")
     monkeypatch.setattr(categories, "pin_small", lambda d: session.pin_small(d, 10))
@@ -167,3 +171,37 @@ def test_credit_counts_survive_a_hot_title(spark):
 def test_folds_use_many_slices(spark):
     df = spark.range(1000).selectExpr("id AS tconst", "id % 2 = 0 AS label")
     assert "_slice" in plan_of(model.stratified_folds(df, "tconst", "label", slice_rows=50))
+
+
+# --- scratch space ---------------------------------------------------------
+
+
+class FakeSession:
+    """Only what ``shared_dir`` asks of a session."""
+
+    def __init__(self, setting, master, checkpoint=None):
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+        self.sparkContext = self
+        self.master, self.checkpoint = master, checkpoint
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+    def setCheckpointDir(self, path):
+        self.checkpoint = path
+
+
+def test_shared_folder_comes_from_the_session(spark, tmp_path):
+    assert session.shared_dir(FakeSession("hdfs:///shared/", "yarn")) == "hdfs:///shared"
+    assert "featloom-" in session.shared_dir(FakeSession(None, "local[8]"))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(FakeSession(None, "yarn"))
+    kept = session.materialize(spark.range(10), "t")
+    assert kept.count() == 10 and session.shared_dir(spark).split(":")[-1] in kept.inputFiles()[0]
+
+
+def test_spread_scan_only_where_splits_are_few(spark):
+    small = spark.read.parquet(f"{SF}/part.parquet")
+    assert "Exchange hashpartitioning(p_partkey" in plan_of(session.spread_scan(small, "p_partkey"))
+    many = spark.range(0, 100, numPartitions=64)
+    assert session.spread_scan(many, "id") is many
