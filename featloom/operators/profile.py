@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from featloom.functions import columns as fc
 from featloom.functions import text as ft
 from featloom.operators.order_stats import long_values, quantiles, robust_summary, summarize
-from featloom.session import pin_small
+from featloom.session import materialize, pin_small
 
 METRICS = {"Mean": "mean", "Standard Deviation": "std", "Median": "median", "MAD": "mad", "Trimmed Mean": "trimmed_mean"}
 HISTOGRAM_BINS = 30  # fixed value
@@ -101,6 +101,7 @@ def profile_table(df: DataFrame, samples: int = 5) -> DataFrame:
     counted = cleaned.select(F.explode(cells).alias("_c")).select("_c.i", "_c.value").groupBy("i", "value").agg(
         F.count("*").alias("n")
     )
+    counted = materialize(counted, "value-counts")  # read for the counts and for the samples
     present = F.col("value").isNotNull()
     counts = counted.groupBy("i").agg(
         F.sum("n").alias("total"),
@@ -114,11 +115,11 @@ def profile_table(df: DataFrame, samples: int = 5) -> DataFrame:
         counted.where(present).withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= samples)
         .groupBy("i").agg(F.array_sort(F.collect_list("value")).alias("sample_values"))
     )
-    names = df.sparkSession.createDataFrame(
+    names = pin_small(df.sparkSession.createDataFrame(
         [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(cleaned.schema.fields)],
         "i int, column string, data_type string",
-    )
-    out = F.broadcast(names).join(pin_small(counts), "i", "left").join(sampled, "i", "left")
+    ))
+    out = names.join(counts, "i", "left").join(sampled, "i", "left")
     numeric = fc.numeric_columns(cleaned, booleans=False)
     if numeric:
         stats = robust_summary(long_values(cleaned, numeric), ["column"])

@@ -213,10 +213,10 @@ def encode_text(
     return df.mapInPandas(run, schema)
 
 
-def word_vector_stages(out: str, size: int = 32, min_count: int = 1, seed: int = 42) -> Pipeline:
-    """Averaged word vectors trained on the texts themselves."""
+def word_vector_stages(out: str, size: int = 32, min_count: int = 1, seed: int = 42, partitions: int = 4) -> Pipeline:
+    """Averaged word vectors trained on the texts themselves; the vocabulary lives on the driver."""
     return Pipeline(stages=[
-        Word2Vec(vectorSize=size, minCount=min_count, inputCol="_words", outputCol=out, seed=seed, numPartitions=4),
+        Word2Vec(vectorSize=size, minCount=min_count, inputCol="_words", outputCol=out, seed=seed, numPartitions=partitions),
         SQLTransformer(statement="SELECT * EXCEPT (_words) FROM __THIS__"),
     ])
 

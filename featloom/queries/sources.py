@@ -79,12 +79,12 @@ def json_links(t: Tables):
     "SELECT CAST(user_id AS VARCHAR) || ':' || event_type AS tconst, CAST(count(*) AS VARCHAR) AS director FROM events GROUP BY ALL",
 )
 def json_links_by_column(t: Tables):
-    """Column-oriented documents, one per event type, each mapping row labels to values."""
+    """Column-oriented documents, one per user, each mapping a few row labels to values."""
     counts = t.events.groupBy("user_id", "event_type").count()
-    label = F.col("user_id").cast("string")
-    documents = counts.groupBy("event_type").agg(
-        F.map_from_entries(F.collect_list(F.struct(label, F.concat_ws(":", label, "event_type")))).alias("movie"),
-        F.map_from_entries(F.collect_list(F.struct(label, F.col("count").cast("string")))).alias("director"),
+    title = F.concat_ws(":", F.col("user_id").cast("string"), "event_type")
+    documents = counts.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("event_type", title))).alias("movie"),
+        F.map_from_entries(F.collect_list(F.struct("event_type", F.col("count").cast("string")))).alias("director"),
     )
     return readers.explode_columns(documents, "movie", "director").withColumnRenamed("movie", "tconst")
 

@@ -145,10 +145,18 @@ def read_links(
 
 
 def explode_columns(raw: DataFrame, key: str, person: str) -> DataFrame:
-    """Rows from a column-oriented document: entries of both maps paired by their row label."""
-    return raw.select(F.explode(key).alias("_row", key), F.col(person).alias("_people")).select(
-        key, F.col("_people")[F.col("_row")].alias(person)
-    )
+    """Rows from column-oriented documents: the entries of both maps paired by their row label.
+
+    Both maps of a table dump carry the same labels, so the sorted entries pair
+    up by position; only documents whose labels differ are looked up one by one.
+    """
+    left, right = F.array_sort(F.map_entries(key)), F.array_sort(F.map_entries(person))
+    labels = lambda entries: F.transform(entries, lambda e: e["key"])
+    pair = lambda k, p: F.struct(k.alias(key), p.alias(person))
+    pairs = F.when(
+        labels(left) == labels(right), F.zip_with(left, right, lambda a, b: pair(a["value"], b["value"]))
+    ).otherwise(F.transform(left, lambda a: pair(a["value"], F.col(person)[a["key"]])))
+    return raw.select(F.explode(pairs).alias("_row")).select(f"_row.{key}", f"_row.{person}")
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:

@@ -45,6 +45,10 @@ def test_links_in_both_layouts(spark, tmp_path):
         out = readers.read_links(spark, str(path), "director", layout)
         assert out.columns == ["tconst", "director"] and sorted(map(tuple, out.collect())) == expected
     assert readers.read_links(spark, str(tmp_path / "absent.json"), "director") is None
+    uneven = [({"a": "tt1", "b": "tt2"}, {"b": "nm2", "c": "nm3"})]
+    raw = spark.createDataFrame(uneven, "movie map<string,string>, director map<string,string>")
+    rows = readers.explode_columns(raw, "movie", "director").collect()
+    assert sorted(map(tuple, rows), key=str) == [("tt1", None), ("tt2", "nm2")]
 
 
 def test_catalogue(spark, tmp_path):
