@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import string
 import unicodedata
 from collections.abc import Sequence
@@ -40,9 +41,15 @@ def normalize_text(c: Column | str, lower: bool = True) -> Column:
 
 
 def null_if_missing_token(c: Column | str, tokens: Sequence[str] = MISSING_TOKENS) -> Column:
-    """NULL where the stripped, lower-cased cell is one of ``tokens``; else the cell unchanged."""
+    """NULL where the stripped, lower-cased cell is one of ``tokens``; else the cell unchanged.
+
+    One anchored pattern, which leaves a long cell at its first character.
+    """
     c = _col(c)
-    return F.when(F.lower(strip(c)).isin(*tokens), F.lit(None)).otherwise(c)
+    gap = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]*+"
+    choices = "|".join(re.escape(t) for t in tokens if t)
+    blank = "?" if "" in tokens else ""
+    return F.when(c.rlike(rf"(?i)\A{gap}(?:(?:{choices}){gap}){blank}\z"), F.lit(None)).otherwise(c)
 
 
 def null_if_missing_pattern(c: Column | str, pattern: str = MISSING_PATTERN) -> Column:

@@ -156,6 +156,7 @@ def test_fold_equals_compatibility_decomposition(spark, texts):
 def test_missing_tokens(spark):
     cells = ["\\N", "\\n", " NaN ", "None", "NULL", "na", "-", "?", "", " \t", "nana", "a-b"]
     assert one(spark, ft.null_if_missing_token("v"), *cells) == [None] * 10 + ["nana", "a-b"]
+    assert one(spark, ft.null_if_missing_token("v", ["x.y"]), "", " X.Y ", "xzy") == ["", None, "xzy"]
     got = one(spark, ft.null_if_missing_pattern("v"), *cells)
     assert got == [None, None, " NaN ", None, None, None, None, None, None, None, "nana", "a-b"]
 
