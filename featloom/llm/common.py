@@ -28,47 +28,46 @@ def fresh(prefix: str) -> str:
     return f"_{prefix}_{uuid.uuid4().hex[:12]}"
 
 
-def with_spans(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column | None]]) -> DataFrame:
-    """Add, for each name, ``array<struct<start, end, hit>>``: the matches of a Java pattern, leftmost and not overlapping.
-
-    Offsets are code points, the end exclusive. A pattern comes with a cheap test
-    (or None) that a text must meet to be searched at all. Pieces between the
-    matches give the offsets as a running sum, taken in blocks so that a text
-    with very many matches costs little more than its length.
+def with_spans(df: DataFrame, text: str, patterns: dict[str, tuple[str, Column | None]], before: int = 0, after: int = 0) -> DataFrame:
+    """Add, for each name, ``array<struct<start, end, hit, before, after>>``: the matches of a Java pattern, leftmost, not overlapping.
+
+    Offsets are code points, the end exclusive; ``before`` and ``after`` hold so
+    many characters of context, up to the neighbouring match. A pattern comes
+    with a cheap test (or None) that a text must meet to be searched at all. The
+    pieces between the matches give the offsets as a running sum, taken in blocks,
+    so that a text with very many matches costs little more than its length.
     """
-    hits, steps, blocks = {}, {}, {}
+    hits, pieces, steps, sums, spans = {}, {}, {}, {}, {}
     for name, (pattern, test) in patterns.items():
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         hits[f"{name}__hits"] = found if test is None else F.when(test, found).otherwise(F.array().cast("array<string>"))
-    df = df.withColumns(hits)
-    for name, (pattern, _) in patterns.items():
-        gaps = F.transform(F.split(F.col(text), pattern.replace("'", "\\u0027"), -1), lambda g: F.length(g))
-        steps[f"{name}__steps"] = F.when(
-            F.size(f"{name}__hits") > 0,
-            F.zip_with(F.slice(gaps, 1, F.size(f"{name}__hits")), f"{name}__hits", lambda g, h: g + F.length(h)),
-        ).otherwise(F.array().cast("array<int>"))
-    df = df.withColumns(steps)
-    for name in patterns:
-        s = f"{name}__steps"
-        blocks[f"{name}__before"] = F.expr(
-            f"aggregate(transform(sequence(0, greatest(size({s}) - 1, 0) div {_BLOCK}),"
-            f" b -> aggregate(slice({s}, b * {_BLOCK} + 1, {_BLOCK}), 0, (a, x) -> a + x)),"
+        cut = F.transform(
+            F.split(F.col(text), pattern, -1),
+            lambda g: F.struct(
+                F.length(g).alias("n"),
+                F.substring(g, -before, before).alias("tail") if before else F.lit("").alias("tail"),
+                F.substring(g, 1, after).alias("head") if after else F.lit("").alias("head"),
+            ),
+        )
+        pieces[f"{name}__pieces"] = F.when(F.size(f"{name}__hits") > 0, cut)
+        steps[f"{name}__steps"] = F.zip_with(
+            F.slice(f"{name}__pieces", 1, F.size(f"{name}__hits")), f"{name}__hits", lambda g, h: g.n + F.length(h)
+        )
+        k = f"{name}__steps"
+        sums[f"{name}__sums"] = F.expr(
+            f"aggregate(transform(sequence(0, greatest(size({k}) - 1, 0) div {_BLOCK}),"
+            f" b -> aggregate(slice({k}, b * {_BLOCK} + 1, {_BLOCK}), 0, (a, x) -> a + x)),"
             " array(0), (a, x) -> array_append(a, element_at(a, -1) + x))"
         )
-    df = df.withColumns(blocks)
-    spans = {
-        name: F.expr(
-            f"transform({name}__hits, (h, i) -> named_struct('start', {name}__before[i div {_BLOCK}]"
-            f" + aggregate(slice({name}__steps, (i div {_BLOCK}) * {_BLOCK} + 1, i % {_BLOCK} + 1), 0, (a, x) -> a + x) - length(h),"
-            " 'hit', h))"
+        end = (
+            f"({name}__sums[i div {_BLOCK}]"
+            f" + aggregate(slice({k}, (i div {_BLOCK}) * {_BLOCK} + 1, i % {_BLOCK} + 1), 0, (a, x) -> a + x))"
+        )
+        spans[name] = F.expr(
+            f"transform({name}__hits, (h, i) -> named_struct('start', {end} - length(h), 'end', {end}, 'hit', h,"
+            f" 'before', {name}__pieces[i].tail, 'after', {name}__pieces[i + 1].head))"
         )
-        for name in patterns
-    }
-    df = df.withColumns(spans).drop(*hits, *steps, *blocks)
-    return df.withColumns({
-        name: F.transform(name, lambda s: F.struct(s.start.alias("start"), (s.start + F.length(s.hit)).alias("end"), s.hit.alias("hit")))
-        for name in patterns
-    })
+    return df.withColumns(hits).withColumns(pieces).withColumns(steps).withColumns(sums).withColumns(spans).drop(*hits, *pieces, *steps, *sums)
 
 
 def digest_of(spans: Column) -> Column:

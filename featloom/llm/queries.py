@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import simhash, url_filter, warc
+from featloom.llm import decontaminate, mixing, pii, secrets, simhash, url_filter, warc
+from featloom.llm.common import digest_of, listed
 from featloom.queries.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -69,3 +70,49 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op5_secrets")
+def op5(spark, sf_dir):
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    count = lambda c: F.size(c).cast("long").alias(f"n_{c}")
+    base = secrets.base_spans()
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), digest_of(base).alias("base_sha256"), listed(F.concat(base, "linked")).alias("spans")
+    )
+
+
+@query("op7_pii")
+def op7(spark, sf_dir):
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda c: F.size(c).cast("long").alias(f"n_{c}")
+    base = pii.base_spans()
+    return found.select("doc_id", *map(count, pii.BASE), digest_of(base).alias("base_sha256"), listed(F.concat(base, "added")).alias("spans"))
+
+
+@query("op9_mixing", mixing.mixing_sql())
+def op9(spark, sf_dir):
+    out = mixing.sample(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_tokens", "topic", F.round("weight", 5).alias("weight"), F.round("probability", 5).alias("probability"), "sampled")
+
+
+@query("op10_decontamination", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bs AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS g FROM bs),
+ds AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM bw)),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS g FROM ds),
+h AS (SELECT DISTINCT doc_id, item_id, s, n FROM dw JOIN bw USING (n, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM h) GROUP BY 1),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)""")
+def op10(spark, sf_dir):
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
