@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import decontaminate, embedding_dedup, mixing, pii, secrets, simhash, url_filter, warc
+from featloom.llm import decontaminate, embedding_dedup, html_text, language_id, mixing, pii, secrets, simhash, url_filter, warc
 from featloom.llm.common import digest_of, listed
 from featloom.queries.registry import Query
 
@@ -130,3 +130,16 @@ n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY 1)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)""")
 def op2(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_language_id")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    held_out = F.coalesce(~language_id.learnable(F.col("doc_id")), F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_html_text")
+def op8(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
