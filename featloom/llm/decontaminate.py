@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featloom.llm.common import materialize
+from featloom.llm.common import keyed, materialize
 
 _DELIMITERS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _FOLD = bytes.maketrans(_DELIMITERS, b"".join(bytes([c]).lower() if bytes([c]).isalpha() else b" " for c in _DELIMITERS))
@@ -77,7 +77,7 @@ def _in_map(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                  item_text: str = "text", size: int = 10, width: int = 3) -> DataFrame:
+                  item_text: str = "text", size: int = 10, width: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row for each document: ``key``, ``n_words``, ``n_hit``, ``items`` (sorted strings), ``n_items``.
 
     A document word inside any occurrence of a window of any item is hit. The
@@ -89,11 +89,13 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     Null texts have no words. Items with a null id hit words but are not listed;
     equal ids are one item. Repeated documents and null keys are judged each by
-    itself; other columns are not read. Without items nothing is hit.
+    itself. ``keep`` names columns of ``docs`` to carry along instead of
+    ``key``; others are not read. Without items nothing is hit.
     """
     cut = windows(items, item, item_text, size, width)
     widths = sorted(r[0] for r in cut.select(F.least("length", F.lit(width)).alias("w")).distinct().collect())
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("body"), F.monotonically_increasing_id().alias("uid"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("body"), F.struct(F.lit(1).alias("one"), *keep).alias("kept"))
+    rows = keyed(rows, "uid", "documents") if keep else rows.withColumn("uid", F.monotonically_increasing_id())
     seen = _map_of(cut.select("token").distinct())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,8 +151,11 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     ).groupBy("uid").agg(F.sum("new").cast("long").alias("n_hit"))
     listed = met.groupBy("uid").agg(F.sort_array(F.collect_set("item")).alias("items"))
     out = found.select("uid", "key", "n_words").join(covered.join(listed, "uid", "left"), "uid", "left")
+    if keep:
+        out = out.drop("key").join(rows.select("uid", "kept"), "uid")
+    names = [F.col(f"kept.{c}").alias(c) for c in keep] if keep else [F.col("key").alias(key)]
     return out.select(
-        F.col("key").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        *names, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
     )

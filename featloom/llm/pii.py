@@ -152,7 +152,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[s
     ``array<struct<start, end, hit, before, after>>``, added ones
     ``array<struct<start, order, end, kind>>``. Null text counts as empty.
     Repeated rows and null keys are judged each by itself. ``keep`` names columns
-    of ``docs`` to carry along; others are not read.
+    of ``docs`` to carry along instead of ``key``; others are not read.
     """
     body = F.coalesce(text, F.lit(""))
     rows = docs.select(F.col(key).alias("key"), F.struct(F.lit(1).alias("one"), *keep).alias("kept"), body.alias("body"))
@@ -187,7 +187,8 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[s
     added = added.groupBy("uid").agg(F.collect_list(F.struct("start", order.alias("order"), "end", "kind")).alias("added"))
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     out = found.join(added, "uid", "left")
-    return out.select(F.col("key").alias(key), *BASE, F.coalesce("added", none).alias("added"), *[F.col(f"kept.{c}").alias(c) for c in keep])
+    names = [F.col(f"kept.{c}").alias(c) for c in keep] if keep else [F.col("key").alias(key)]
+    return out.select(*names, *BASE, F.coalesce("added", none).alias("added"))
 
 
 def base_spans() -> Column:

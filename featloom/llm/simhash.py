@@ -189,6 +189,14 @@ def _links(frame: pd.DataFrame, begins: np.ndarray, radius: int) -> pd.DataFrame
     return pd.DataFrame({"a": signed[at], "b": signed[root[at]]})
 
 
+def groups(found: DataFrame, column: str = "print", radius: int = 3) -> DataFrame:
+    """``(column, root)`` for every distinct print: prints that links connect share their root."""
+    roots = components(near_links(found, column, radius))
+    return found.select(column).where(F.col(column).isNotNull()).distinct().join(
+        roots.select(F.col("node").alias(column), "root"), column, "left"
+    ).select(column, F.coalesce("root", column).alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 3, width: int = 3) -> DataFrame:
     """``docs`` columns ``key`` with ``print`` (long) and ``component``: the smallest key reached by links.
 
@@ -199,8 +207,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     """
     found = materialize(docs.select(F.col(key).alias("key"), fingerprint(F.col(text), width).alias("print")), "fingerprints")
     least = found.groupBy("print").agg(F.min("key").alias("least"))
-    roots = components(near_links(found, "print", radius))
-    groups = materialize(least.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").select("print", "least", F.coalesce("root", "print").alias("root")), "groups")
-    named = groups.groupBy("root").agg(F.min("least").alias("component"))
-    named = groups.join(named, "root").select("print", "component")
+    named = materialize(least.join(groups(found, "print", radius), "print"), "groups")
+    component = named.groupBy("root").agg(F.min("least").alias("component"))
+    named = named.join(component, "root").select("print", "component")
     return found.join(named, "print").select(F.col("key").alias(key), "print", "component")
