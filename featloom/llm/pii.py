@@ -46,7 +46,7 @@ def valid(kind: str, hit: Column) -> Column:
     """Whether a match of a base pattern counts."""
     digits = F.regexp_replace(hit, "[^0-9]", "")
     if kind == "ip":
-        part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+        part = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
         return hit.rlike(rf"^{part}(?:\.{part}){{3}}$")
     if kind == "card":
         return F.length(digits).between(14, 19) & F.call_function("luhn_check", digits)
