@@ -69,7 +69,7 @@ def test_links_over_hot_buckets(spark):
     prints |= {p ^ 0b111 << 40 for p in list(prints)[:50]}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     df = spark.createDataFrame([(p,) for p in signed], "print long")
-    links = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if (a ^ b & (1 << 64) - 1 if False else (a ^ b) & (1 << 64) - 1).bit_count() <= 3]
+    links = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3]
     want = closure(signed, links)
     for block in (64, 2048):
         found = closure(signed, [(r.a, r.b) for r in simhash.near_links(df, "print", block=block).collect()])
