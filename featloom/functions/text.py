@@ -164,9 +164,12 @@ def parse_categories(c: Column | str, sep: str = "|") -> Column:
 
     ``a|b|c`` is split; a list of dicts (``[{'id': 1, 'name': 'A'}]``) gives the
     names; a list of strings (``['a', 'b']``) gives the strings. Names are
-    stripped and lower-cased; NULL gives an empty list.
+    stripped and lower-cased; NULL gives an empty list. The Python words None,
+    True and False are read as their JSON counterparts.
     """
     c = strip(c)
+    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+        c = F.when(c.startswith("["), F.regexp_replace(c, rf"(?<=[:,\[]\s{{0,9}}){word}(?=\s*[,}}\]])", json)).otherwise(c)
     quotes = {"allowSingleQuotes": "true"}
     dicts = F.from_json(c, "array<struct<name:string>>", quotes)["name"]
     strings = F.from_json(c, "array<string>", quotes)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featloom.session import SMALL_ROWS, pin_small
+from featloom.session import materialize
 
 
 def explode_list(df: DataFrame, column: str, alias: str, position: bool = False) -> DataFrame:
@@ -32,8 +33,7 @@ def weighted_categories(df: DataFrame, key: str, categories: str, weights: DataF
     """(key, category, weight): occurrences in the row times the category's popularity.
 
     Occurrences are counted inside the row's own list, so the only join is with
-    the weights table, which ``pin_small`` sizes: broadcast while small, a
-    shuffle join beyond. Categories without a fitted weight count with 1.0.
+    the written weights table: broadcast while small, a shuffle join beyond. Categories without a fitted weight count with 1.0.
     """
     counted = df.select(
         key,
@@ -92,44 +92,37 @@ def interactions(df: DataFrame, key: str, categories: str, weights: DataFrame) -
     return pairs.select(key, "left", "right", (F.col("n") * factor("left") * factor("right")).alias("product"))
 
 
-def column_set(df: DataFrame, limit: int = SMALL_ROWS) -> list:
-    """The rows of a table that is about to become columns; refused beyond ``limit`` (use the long form there)."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories: keep the long form instead of columns")
-    return rows
-
-
 def fit_popularity(df: DataFrame, categories: str, measure: str | None = None) -> DataFrame:
-    """Popularity of the training rows, pinned for reuse on other splits."""
-    return pin_small(popularity(df, categories, measure))
+    """Popularity of the training rows, written for reuse on other splits."""
+    return materialize(popularity(df, categories, measure))
 
 
-def category_vector(categories: Column | str, weights: Mapping[str, float | None], pairs: bool = True) -> Column:
-    """Dense array per row: weighted count per category (sorted by name), then all pair products.
+def category_vectors(df: DataFrame, categories: str, weights: DataFrame, out: str, buckets: int = 512) -> DataFrame:
+    """``df`` with a vector of ``2 * buckets`` numbers: weighted counts by hashed category, then products by hashed pair.
 
-    The fitted categories are a column set, so they are literals here and the
-    array is built inside the row: no explode, no pivot, no shuffle.
+    ``weights`` is a fitted (category, popularity); categories without one are
+    left out, NULL popularity counts 0. The width does not depend on how many
+    categories there are, and nothing about them reaches the driver. Each distinct
+    list is worked out once and joined back; rows without a list get zeros.
     """
-    names = sorted(weights)
-    listed = F.col(categories) if isinstance(categories, str) else categories
-    if not names:
-        return F.array(F.lit(0.0))
-    factors = F.array(*[F.lit(float(weights[n] or 0.0)) for n in names])
-    hits = F.transform(
-        F.array(*[F.lit(n) for n in names]), lambda g: F.size(F.filter(listed, lambda x: x == g)).cast("double")
+    one = lambda side, bucket, value: F.struct((F.lit(side * buckets) + F.pmod(bucket, F.lit(buckets))).cast("int").alias("at"), value.alias("v"))
+    lists = df.select(F.col(categories).alias("_list")).where("_list IS NOT NULL").distinct()
+    count = lambda g: F.size(F.filter("_list", lambda x: x == g))
+    known = (
+        lists.select("_list", F.explode(F.transform(F.array_distinct("_list"), lambda g: F.struct(g.alias("g"), count(g).alias("n")))).alias("_e"))
+        .select("_list", F.col("_e.g").alias("category"), "_e.n")
+        .join(weights.select("category", F.coalesce("popularity", F.lit(0.0)).alias("w")), "category")
+        .groupBy("_list").agg(F.array_sort(F.collect_list(F.struct("category", (F.col("n") * F.col("w")).alias("v")))).alias("_u"))
     )
-    single = F.when(listed.isNull(), F.transform(factors, lambda _: F.lit(0.0))).otherwise(
-        F.zip_with(hits, factors, lambda n, w: n * w)
+    singles = F.transform("_u", lambda a: one(0, F.xxhash64(a.category), a.v))
+    pairs = F.flatten(F.transform("_u", lambda a, i: F.transform(
+        F.slice("_u", i + 2, F.size("_u")), lambda b: one(1, F.xxhash64(a.category, b.category), a.v * b.v)
+    )))
+    dense = F.transform(
+        F.sequence(F.lit(0), F.lit(2 * buckets - 1)),
+        lambda at: F.aggregate(F.filter("_cells", lambda c: c.at == at), F.lit(0.0), lambda s, c: s + c.v),
     )
-    if not pairs or len(names) < 2:
-        return single
-
-    def with_products(weights_: Column) -> Column:
-        products = F.transform(
-            weights_, lambda a, i: F.transform(F.slice(weights_, i + 2, len(names)), lambda b: a * b)
-        )
-        return F.concat(weights_, F.flatten(products))
-
-    # The one-element array binds the weighted counts, so they are computed once per row.
-    return F.transform(F.array(single), with_products)[0]
+    vectors = materialize(known.select("_list", F.concat(singles, pairs).alias("_cells")).select("_list", dense.alias("_v")), "category-vectors")
+    joined = df.join(vectors, df[categories] == vectors["_list"], "left").drop("_list")
+    zeros = F.array_repeat(F.lit(0.0), 2 * buckets)
+    return joined.withColumn(out, array_to_vector(F.coalesce("_v", zeros))).drop("_v")

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featloom.operators.categories import column_set
-
 
 def distinct_per_key(links: DataFrame, key: str, person: str, alias: str) -> DataFrame:
     """Distinct persons per title (missing persons are not counted)."""
@@ -85,8 +84,7 @@ def top_people_by_mean(
 
 def top_k_flags(links: DataFrame, top: DataFrame, key: str, person: str, alias: str) -> DataFrame:
     """1 for titles with at least one link to a person of ``top`` (a limited top-k table)."""
-    chosen = F.broadcast(top.select(person))  # at most k rows by construction
-    return links.join(chosen, person, "left_semi").groupBy(key).agg((F.count("*") > 0).cast("int").alias(alias))
+    return links.join(top.select(person), person, "left_semi").groupBy(key).agg((F.count("*") > 0).cast("int").alias(alias))
 
 
 def top_people_flags(
@@ -125,7 +123,7 @@ def credit_features(
     known = F.col("person").isNotNull().cast("int")
     per_title = (
         role_links(directors, writers, key, director, writer)
-        .join(F.broadcast(top), "person", "left")  # at most 2k rows by construction
+        .join(top, "person", "left")
         .groupBy(key)
         .agg(
             F.sum(F.col("is_director") * known).alias("director_count"),
@@ -237,16 +235,32 @@ def join_expertise(facts: DataFrame, matrix: DataFrame, person: str, suffix: str
     )
 
 
-def title_expertise(links: DataFrame, matrix: DataFrame, key: str, person: str, suffix: str) -> DataFrame:
-    """Mean expertise of a title's persons, one row per title."""
-    names = [c for c in matrix.columns if c != person]
-    return (
-        links.select(key, person).distinct().join(matrix, person)
-        .groupBy(key).agg(*[F.avg(F.col(c)).alias(c + suffix) for c in names])
-    )
+def title_expertise(links: DataFrame, shares: DataFrame, key: str, person: str) -> DataFrame:
+    """(key, category, expertise): mean over a title's persons that have any credit, absent categories counting 0.
+
+    ``shares`` is the long table of ``category_expertise``; no row grows with the number of categories.
+    """
+    persons = links.select(key, person).distinct().join(shares.select(person).distinct(), person)
+    size = persons.groupBy(key).agg(F.count("*").alias("_n"))
+    sums = persons.join(shares.select(person, "category", "genre_expertise"), person).groupBy(key, "category").agg(F.sum("genre_expertise").alias("_s"))
+    return sums.join(size, key).select(key, "category", (F.col("_s") / F.col("_n")).alias("expertise"))
+
+
+def expertise_columns(long: DataFrame, key: str, names: Sequence[str], suffix: str) -> DataFrame:
+    """One column per name, absent ones 0. The names are the caller's choice; the long table has no such list."""
+    wide = long.groupBy(key).pivot("category", list(names)).agg(F.first("expertise"))
+    return wide.select(key, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n + suffix) for n in names])
+
+
+def expertise_vector(long: DataFrame, key: str, out: str, buckets: int) -> DataFrame:
+    """One vector of ``buckets`` numbers per title, categories hashed to its positions."""
+    cells = long.groupBy(key, F.pmod(F.xxhash64("category"), F.lit(buckets)).cast("int").alias("at")).agg(F.sum("expertise").alias("v"))
+    held = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("_m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda at: F.coalesce(F.col("_m")[at], F.lit(0.0)))
+    return held.select(key, array_to_vector(dense).alias(out))
 
 
 def category_names(df: DataFrame, categories: str) -> list[str]:
-    """The distinct categories, sorted; they become columns, so their number is limited."""
+    """The distinct categories, sorted, for callers that want them as columns."""
     found = df.select(F.explode(categories).alias("c")).where("c IS NOT NULL").distinct()
-    return sorted(r["c"] for r in column_set(found))
+    return sorted(r["c"] for r in found.collect())

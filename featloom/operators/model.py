@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from featloom.functions import columns as fc
 from featloom.operators.cleaning import first_per_key
-from featloom.session import materialize, pin_small
+from featloom.session import materialize
 
 # Columns never used as features.
 NON_FEATURES = (
@@ -35,10 +35,12 @@ BOOST_RANGES = {"n_trees": (50, 500), "step": (0.01, 0.3), "depth": (3, 10), "su
 BOOST_COLUMNS_RANGES = {"n_trees": (100, 1000), "step": (0.01, 0.3), "depth": (3, 10), "subsample": (0.5, 1.0), "columns": (0.5, 1.0)}
 NETWORK_LAYOUTS = ((64,), (128,), (64, 32), (128, 64))
 NETWORK_RANGES = {"max_iter": (200, 500)}
+# Vector columns that are scaled without centring, so that they stay sparse.
+SPARSE_FAMILIES = ("tfidf_vec",)
 SEED = 42
 TRIALS = 20
 FOLDS = 5
-SLICE_ROWS = 1_000_000
+SLICES = 256
 
 
 # --- labels and features ---------------------------------------------------
@@ -100,9 +102,12 @@ def fit_column_scaler(df: DataFrame, columns: Sequence[str]) -> ColumnScaler:
     return ColumnScaler({c: row[f"m_{c}"] or 0.0 for c in columns}, {c: row[f"s_{c}"] or 0.0 for c in columns})
 
 
-def fit_vector_scaler(df: DataFrame, column: str, out: str) -> PipelineModel:
-    """Vector form of the same scaling: the built-in sample deviation, corrected to the population one."""
-    scaler = StandardScaler(inputCol=column, outputCol=f"_{out}", withMean=True, withStd=True).fit(df)
+def fit_vector_scaler(df: DataFrame, column: str, out: str, centre: bool = True) -> PipelineModel:
+    """Vector form of the same scaling: the built-in sample deviation, corrected to the population one.
+
+    Without ``centre`` only the deviation is scaled, so that sparse vectors stay sparse.
+    """
+    scaler = StandardScaler(inputCol=column, outputCol=f"_{out}", withMean=centre, withStd=True).fit(df)
     n = df.count()
     factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     correct = ElementwiseProduct(
@@ -160,30 +165,23 @@ def stratified_folds(
     folds: int = FOLDS,
     seed: int = SEED,
     out: str = "fold",
-    slice_rows: int = SLICE_ROWS,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Shuffled folds of labelled rows whose sizes differ by at most one row per label.
 
     Rows are numbered in the order of a keyed hash. Numbering a whole label would
-    put it in one task, so the hash range is cut into slices of about
-    ``slice_rows`` rows: rows are numbered within their slice, and the slice's
-    offset (a prefix sum over labels x slices counts) continues the numbering.
-    The result does not depend on the number of slices.
+    put it in one task, so the hash range is cut into ``slices``: rows are numbered
+    within their slice, and the slice's offset (a prefix sum over labels x slices
+    counts) continues the numbering. The result does not depend on the number of slices.
     """
-    slices = max(1, -(-df.count() // slice_rows))
     hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     cut = F.floor(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint") / 2.0**32 * slices).cast("bigint")
     keyed = df.where(F.col(label).isNotNull()).withColumn("_hash", hashed).withColumn("_slice", cut)
     rank = F.row_number().over(Window.partitionBy(label, "_slice").orderBy("_hash", key)) - 1
-    if slices == 1:
-        numbered = keyed.withColumn("_rank", rank)
-    else:
-        counts = keyed.groupBy(label, "_slice").agg(F.count("*").alias("_n"))
-        earlier = Window.partitionBy(label).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = pin_small(
-            counts.select(label, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-        )
-        numbered = keyed.join(offsets, [label, "_slice"]).withColumn("_rank", rank + F.col("_offset"))
+    counts = keyed.groupBy(label, "_slice").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(label).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(counts.select(label, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")), "fold-offsets")
+    numbered = keyed.join(offsets, [label, "_slice"]).withColumn("_rank", rank + F.col("_offset"))
     return numbered.select(*df.columns, (F.col("_rank") % folds).cast("int").alias(out))
 
 
@@ -239,9 +237,11 @@ class ScoringModel:
         keep = [c for c in (label,) if c and c in keyed.columns]
         used = [c for c in self.features if c in keyed.columns and c != key]
         extra = [o for o in order if o not in {key, *keep, *used}]
-        one = first_per_key(keyed.select(key, *keep, *used, *extra), [key], order)
+        # The label is the last tie-breaker: which duplicate stays must not follow from it.
+        one = first_per_key(keyed.select(key, *used, *extra, *keep), [key], order)
         labels = [F.col(c).cast("boolean").alias(c) for c in keep]
-        vectors = assemble(one, self.features, "_raw").select(key, *labels, "_raw")
+        vectors = _family_vectors(one, self.features)
+        vectors = vectors.select(key, *labels, *[c for c in ("_raw", "_sparse") if c in vectors.columns])
         return self.scaler.transform(vectors).select(key, *keep, "features")
 
     def score(self, df: DataFrame, key: str, label: str | None = None, order: Sequence[str] = ()) -> DataFrame:
@@ -254,12 +254,30 @@ class ScoringModel:
 
 def training_vectors(df: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, PipelineModel]:
     """Scaled feature vectors and the fitted scaler for labelled rows."""
-    labelled = clean_label(df, label)
-    vectors = assemble(labelled, features, "_raw").withColumn("_y", F.col(label).cast("double"))
-    scaler = fit_vector_scaler(vectors, "_raw", "features")
+    vectors = _family_vectors(clean_label(df, label), features).withColumn("_y", F.col(label).cast("double"))
+    if "_sparse" not in vectors.columns:
+        scaler = fit_vector_scaler(vectors, "_raw", "features")
+    else:
+        families = [c for c in ("_raw", "_sparse") if c in vectors.columns]
+        scalers = [fit_vector_scaler(vectors, c, f"{c}_scaled", centre=c == "_raw") for c in families]
+        joined = VectorAssembler(inputCols=[f"{c}_scaled" for c in families], outputCol="features")
+        scaler = PipelineModel([*[s for m in scalers for s in m.stages], joined])
     return scaler.transform(vectors), scaler
 
 
+def _family_vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``_raw`` of the dense features and, where there are any, ``_sparse`` of those that are never centred."""
+    sparse = [f for f in features if f in SPARSE_FAMILIES]
+    dense = [f for f in features if f not in SPARSE_FAMILIES]
+    out = assemble(df, dense, "_raw") if dense or not sparse else df
+    return assemble(out, sparse, "_sparse") if sparse else out
+
+
+def vector_size(scaler: PipelineModel) -> int:
+    """Width of the assembled vector: a vector column counts with all its numbers."""
+    return sum(len(s.std) for s in scaler.stages if isinstance(s, StandardScalerModel))
+
+
 def train(df: DataFrame, features: Sequence[str], classifier: Estimator, label: str = "label") -> ScoringModel:
     ready, scaler = training_vectors(df, features, label)
     return ScoringModel(tuple(features), scaler, classifier.fit(ready.select("features", "_y")))
@@ -318,7 +336,7 @@ def tune(
     folded = materialize(
         stratified_folds(ready.select(key, label, "features", "_y"), key, label, folds, seed), "folds"
     )
-    drawn = draw_trials(model_type, len(features), trials, seed, ranges)
+    drawn = draw_trials(model_type, vector_size(scaler), trials, seed, ranges)
     base = drawn[0]
     set_params = [{p.name: e.getOrDefault(p) for p in e.params if e.isSet(p)} for e in drawn]
     maps = [{base.getParam(name): value for name, value in params.items()} for params in set_params]

@@ -5,27 +5,30 @@ smallest value. The built-in exact percentile keeps every distinct value of a
 group in one aggregation buffer, and a ranking window sorts a whole group in one
 task; with a handful of groups (columns, labels) neither holds on a large table.
 
-So groups are counted first. Up to ``direct_rows`` values per group the built-in
-percentile is used. Beyond that each rank is found by narrowing: count the values
-of an interval in equal-width buckets (an aggregate with map-side combine), keep
-the bucket that holds the rank, repeat; once an interval holds at most
-``direct_rows`` values they are ranked exactly. Only per-bucket counts are
-shuffled, no group is ever held in one task, and both ways give the exact value.
+So the pass that takes counts and moments also takes a quantile sketch: cuts of
+equal depth whose ranks are off by a known share at most. Each rank is bracketed
+between two cuts, and the next pass counts what lies below each bracket and the
+values inside it. The counts fix the exact value. Where a bracket may still hold
+more than ``rank_rows`` values, that pass takes a sketch of the bracket instead
+and the step repeats, so no group is ever held in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from featloom.functions.columns import to_double
-from featloom.session import pin_small
+from featloom.session import materialize
 
-DIRECT_ROWS = 250_000
-BUCKETS = 4096
+CUTS = 512
+ACCURACY = 8192  # a cut's rank is off by at most 1/ACCURACY of its group, a small part of a step between cuts
+MARGIN = 2  # steps between cuts on either side of a rank
+RANK_ROWS = 5_000_000
+GRID = [i / CUTS for i in range(CUTS + 1)]
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -35,84 +38,75 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return out.dropna(subset=[*by, "value"])
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(right, list(keys))
+def _cuts(value: Column | str) -> Column:
+    return F.percentile_approx(value, GRID, ACCURACY)
 
 
-def order_statistics(
-    values: DataFrame,
-    keys: Sequence[str],
-    targets: DataFrame,
-    value: str = "value",
-    direct_rows: int = DIRECT_ROWS,
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """The values at given ranks.
+def summarize(values: DataFrame, keys: Sequence[str], extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Row count, bounds, moments and sketch (``cuts``) per group in one pass."""
+    v = F.col("value")
+    return values.groupBy(*keys).agg(
+        F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), _cuts(v).alias("cuts"),
+        *[e.alias(name) for name, e in (extra or {}).items()],
+    )
 
-    ``targets`` has (keys..., rank, lo, hi, inside): the 0-based rank, and the
-    least value, greatest value and row count of the group. Returns
-    (keys..., rank, ``value``).
-    """
-    keys = list(keys)
-    span = [*keys, "lo", "hi"]
-    state = pin_small(targets.withColumn("below", F.lit(0).cast("bigint")))
 
+def _bracket(rank: Column, size: Column, cuts: Column) -> Column:
+    """Two values between which the value of 0-based ``rank`` among ``size`` lies."""
+    step = rank / F.greatest(size, F.lit(1)) * CUTS
+    low = F.greatest(F.floor(step) - MARGIN, F.lit(0)).cast("int")
+    high = F.least(F.ceil(step) + MARGIN, F.lit(CUTS)).cast("int")
+    return F.struct(
+        rank.cast("bigint").alias("rank"), cuts[low].alias("lo"), cuts[high].alias("hi"),
+        F.ceil(size * (2 * MARGIN + 2) / CUTS).cast("bigint").alias("most"),
+    )
+
+
+def brackets(summary: DataFrame, keys: Sequence[str], ranks: Sequence[Column]) -> DataFrame:
+    """(keys..., rank, lo, hi, most) for rank expressions over ``n``; ``most`` bounds the values in between."""
+    ends = {"n": F.col("n"), "cuts": F.col("cuts")}
+    made = F.transform(F.array_distinct(F.array(*[r.cast("bigint") for r in ranks])), lambda r: _bracket(r, ends["n"], ends["cuts"]))
+    out = summary.select(*keys, "min", "max", F.explode(made).alias("_b")).select(*keys, "min", "max", "_b.*")
+    # The ends of a sketch are the bounds of the group.
+    lo = F.when(F.col("lo") <= F.col("min"), F.col("min")).otherwise(F.col("lo"))
+    return out.select(*keys, "rank", lo.alias("lo"), F.col("hi"), "most")
+
+
+def _met(values: DataFrame, keys: Sequence[str], state: DataFrame) -> DataFrame:
+    """(keys..., rank, lo, hi, place): each value once for every bracket it is not above; null where it lies below."""
+    packed = state.groupBy(*keys).agg(F.collect_list(F.struct("rank", "lo", "hi")).alias("_targets"))
+    hit = values.join(packed, list(keys)).select(
+        *keys, "value", F.explode(F.filter("_targets", lambda t: F.col("value") <= t.hi)).alias("_t")
+    )
+    return hit.select(*keys, "_t.*", F.when(F.col("value") >= F.col("_t.lo"), F.col("value")).alias("place"))
+
+
+def order_statistics(values: DataFrame, keys: Sequence[str], state: DataFrame, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """(keys..., rank, value): the values at the ranks of ``brackets``."""
+    keys = list(keys)
+    state = materialize(state, "brackets")
+    before = None
     while True:
-        wide = (F.col("lo") < F.col("hi")) & (F.col("inside") > direct_rows)
-        open_spans = state.where(wide)
-        if not open_spans.select("inside").limit(1).collect():
-            break
-        half_width = F.col("hi") / 2 - F.col("lo") / 2
-        position = (F.col(value) / 2 - F.col("lo") / 2) / half_width
-        bucket = F.least(F.floor(position * buckets), F.lit(buckets - 1))
-        counts = (
-            _join_keys(values, open_spans.select(*span).distinct(), keys)
-            .where(F.col(value).between(F.col("lo"), F.col("hi")))
-            .groupBy(*span, bucket.alias("bucket"))
-            .agg(F.count("*").alias("n"), F.min(value).alias("b_lo"), F.max(value).alias("b_hi"))
+        most = state.where("lo < hi").agg(F.max("most")).first()[0] or 0
+        if most <= rank_rows or most == before:
+            break  # few enough values, or a bracket of few but very frequent ones, which are counted anyway
+        before = most
+        sketched = _met(values, keys, state).groupBy(*keys, "rank", "lo", "hi").agg(
+            F.count_if(F.col("place").isNull()).alias("below"), F.count("place").alias("inside"), _cuts("place").alias("cuts")
         )
-        # At most `buckets` rows per interval from here on.
-        earlier = Window.partitionBy(*span).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("skip", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        offset = F.col("rank") - F.col("below")
-        narrowed = (
-            _join_keys(counts, open_spans, span)
-            .where((offset >= F.col("skip")) & (offset < F.col("skip") + F.col("n")))
-            .select(
-                *keys, "rank", F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi"),
-                F.col("n").alias("inside"), (F.col("below") + F.col("skip")).alias("below"),
-            )
+        inner = _bracket(F.col("rank") - F.col("below"), F.col("inside"), F.col("cuts"))
+        inner = sketched.withColumn("_b", inner).select(
+            *keys, "rank", F.greatest("lo", "_b.lo").alias("lo"), F.least("hi", "_b.hi").alias("hi"), "_b.most"
         )
-        remaining = open_spans.agg(F.sum("inside")).first()[0]
-        state = pin_small(state.where(~wide).select(*narrowed.columns).unionByName(narrowed))
-        if state.where(wide).agg(F.sum("inside")).first()[0] == remaining:
-            break  # no interval can shrink further (infinite bounds): rank what is left directly
-
-    spread = state.where(F.col("lo") < F.col("hi"))
-    upto = Window.partitionBy(*span).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        _join_keys(values, spread.select(*span).distinct(), keys)
-        .where(F.col(value).between(F.col("lo"), F.col("hi")))
-        .groupBy(*span, value)
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(upto))
-    )
-    offset = F.col("rank") - F.col("below")
-    picked = (
-        _join_keys(ranked, spread, span)
-        .where((offset >= F.col("upto") - F.col("n")) & (offset < F.col("upto")))
-        .select(*keys, "rank", value)
-    )
-    constant = state.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias(value))
-    return picked.unionByName(constant)
+        state = materialize(inner, "brackets")
+    return _picked(materialize(_met(values, keys, state).groupBy(*keys, "rank", "place").agg(F.count("*").alias("n")), "bracket-counts"), keys)
 
 
-def _targets(summary: DataFrame, keys: Sequence[str], ranks) -> DataFrame:
-    """Explode rank expressions over ``n`` into target rows."""
-    return summary.select(
-        *keys, F.explode(F.array_distinct(F.array(*[r.cast("bigint") for r in ranks]))).alias("rank"),
-        F.col("min").alias("lo"), F.col("max").alias("hi"), F.col("n").alias("inside"),
-    )
+def _picked(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    upto = F.sum("n").over(Window.partitionBy(*keys, "rank").orderBy(F.col("place").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    at = counts.withColumn("upto", upto).where((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto")))
+    return at.select(*keys, "rank", F.col("place").alias("value"))
 
 
 def _quantile_ranks(p: float):
@@ -131,90 +125,56 @@ def _quantile(p: float):
     return below + (above - below) * part
 
 
-def summarize(values: DataFrame, keys: Sequence[str], extra: Mapping[str, F.Column] | None = None) -> DataFrame:
-    """Row count, bounds and moments per group in one pass."""
-    v = F.col("value")
-    return values.groupBy(*keys).agg(
-        F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        *[e.alias(name) for name, e in (extra or {}).items()],
-    )
-
-
-def _fits(summary: DataFrame, direct_rows: int) -> bool:
-    return not summary.where(F.col("n") > direct_rows).select("n").limit(1).collect()
-
-
 def quantiles(
     values: DataFrame,
     keys: Sequence[str],
     probs: Mapping[str, float],
-    direct_rows: int = DIRECT_ROWS,
+    rank_rows: int = RANK_ROWS,
     summary: DataFrame | None = None,
 ) -> DataFrame:
-    """Linearly interpolated exact quantiles: the group summary plus one column per entry of ``probs``."""
+    """Linearly interpolated exact quantiles: the group summary plus one column per entry of ``probs``. Two reads."""
     keys = list(keys)
-    summary = pin_small(summarize(values, keys)) if summary is None else summary
-    if _fits(summary, direct_rows):
-        found = values.groupBy(*keys).agg(F.percentile("value", [float(p) for p in probs.values()]).alias("_q"))
-        return summary.join(found, keys).select(
-            *summary.columns, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)]
-        )
+    summary = materialize(summarize(values, keys), "summary") if summary is None else summary
     ranks = [r for p in probs.values() for r in _quantile_ranks(p)[:2]]
-    picked = order_statistics(values, keys, _targets(summary, keys, ranks), direct_rows=direct_rows)
-    return (
-        summary.join(_rank_map(picked, keys), keys)
-        .withColumns({name: _quantile(p) for name, p in probs.items()})
-        .drop("_at")
-    )
+    picked = order_statistics(values, keys, brackets(summary, keys, ranks), rank_rows)
+    found = summary.join(_rank_map(picked, keys), keys).withColumns({name: _quantile(p) for name, p in probs.items()})
+    return found.drop("_at", "cuts")
 
 
-def _quartiles_and_cuts(values: DataFrame, keys: list[str], summary: DataFrame, trim: float, direct_rows: int) -> DataFrame:
-    """The summary with p25, median, p75 and the values at both trimming cuts."""
-    cut = F.floor(F.lit(trim) * F.col("n")).cast("bigint")
-    if _fits(summary, direct_rows):
-        found = values.groupBy(*keys).agg(
-            F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"),
-            F.expr(f"percentile_disc({trim}) WITHIN GROUP (ORDER BY value)").alias("cut_lo"),
-            F.expr(f"percentile_disc({1 - trim}) WITHIN GROUP (ORDER BY value)").alias("cut_hi"),
-        )
-        quartiles = [F.col("_q")[i] for i in range(3)]
-        cuts = [F.col("cut_lo"), F.col("cut_hi")]
-    else:
-        ranks = [r for p in (0.25, 0.5, 0.75) for r in _quantile_ranks(p)[:2]] + [cut, F.col("n") - cut - 1]
-        found = _rank_map(
-            order_statistics(values, keys, _targets(summary, keys, ranks), direct_rows=direct_rows), keys
-        )
-        quartiles = [_quantile(p) for p in (0.25, 0.5, 0.75)]
-        cuts = [F.col("_at")[cut], F.col("_at")[F.col("n") - cut - 1]]
-    names = ("p25", "median", "p75", "cut_lo", "cut_hi")
-    return pin_small(summary.join(found, keys).select(
-        *summary.columns, cut.alias("cut"), *[c.alias(name) for name, c in zip(names, quartiles + cuts)]
-    ))
+def fences() -> tuple[Column, Column]:
+    reach = 1.5 * (F.col("p75") - F.col("p25"))
+    return F.col("p25") - reach, F.col("p75") + reach
 
 
 def robust_summary(
     values: DataFrame,
     keys: Sequence[str],
     trim: float = 0.1,
-    direct_rows: int = DIRECT_ROWS,
+    rank_rows: int = RANK_ROWS,
+    deviations: bool = True,
 ) -> DataFrame:
-    """Count, bounds, mean, deviation, quartiles, median deviation, trimmed mean and outlier counts per group.
+    """Count, bounds, mean, deviation, quartiles, trimmed mean, fence counts and, with ``deviations``, median deviation per group.
 
-    Columns: n, min, max, mean, std, p25, median, p75, trimmed_mean, mad,
-    iqr_outliers, mad_outliers, whisker_low, whisker_high.
+    Columns: n, min, max, mean, std, p25, median, p75, trimmed_mean,
+    iqr_outliers, whisker_low, whisker_high; with deviations also mad and
+    mad_outliers. Three reads of the values, four with deviations.
     """
     keys = list(keys)
-    summary = pin_small(summarize(values, keys))
-    direct = _fits(summary, direct_rows)
-    quartiles = _quartiles_and_cuts(values, keys, summary, trim, direct_rows)
-
-    # One more pass: trimmed sums, fences, and the deviations' median or their bounds.
+    summary = materialize(summarize(values, keys), "summary")
+    cut = F.floor(F.lit(trim) * F.col("n")).cast("bigint")
+    ranks = [r for p in (0.25, 0.5, 0.75) for r in _quantile_ranks(p)[:2]] + [cut, F.col("n") - cut - 1]
+    picked = order_statistics(values, keys, brackets(summary, keys, ranks), rank_rows)
+    names = {"p25": _quantile(0.25), "median": _quantile(0.5), "p75": _quantile(0.75)}
+    cuts = {"cut_lo": F.col("_at")[cut], "cut_hi": F.col("_at")[F.col("n") - cut - 1]}
+    quartiles = summary.drop("cuts").join(_rank_map(picked, keys), keys).withColumns({**names, **cuts, "cut": cut}).drop("_at")
+    quartiles = materialize(quartiles, "quartiles")
+
+    # One more pass: trimmed sums, fences, and the sketch of the deviations.
     v = F.col("value")
     deviation = F.abs(v - F.col("median"))
-    reach = 1.5 * (F.col("p75") - F.col("p25"))
-    low, high = F.col("p25") - reach, F.col("p75") + reach
+    low, high = fences()
     centre = quartiles.select(*keys, "median", "p25", "p75", "cut_lo", "cut_hi")
+    spread = [F.min(deviation).alias("dev_min"), F.max(deviation).alias("dev_max"), _cuts(deviation).alias("dev_cuts")] if deviations else []
     passed = (
         values.join(centre, keys)
         .groupBy(*keys)
@@ -225,8 +185,7 @@ def robust_summary(
             F.count_if((v < low) | (v > high)).alias("iqr_outliers"),
             F.min(F.when(v >= low, v)).alias("whisker_low"),
             F.max(F.when(v <= high, v)).alias("whisker_high"),
-            F.min(deviation).alias("dev_min"), F.max(deviation).alias("dev_max"),
-            *([F.percentile(deviation, 0.5).alias("mad")] if direct else []),
+            *spread,
         )
     )
     # Ties with a cut value count as often as they remain after trimming.
@@ -236,22 +195,47 @@ def robust_summary(
         + (F.col("n_high") - F.col("cut")) * F.col("cut_hi")
     ) / (F.col("n") - 2 * F.col("cut"))
     trimmed = F.when(F.col("cut_lo") == F.col("cut_hi"), F.col("cut_lo")).otherwise(middle)
-    fenced = pin_small(quartiles.join(passed, keys).withColumn("trimmed_mean", trimmed))
-
-    if direct:
-        with_mad = fenced
-    else:
-        deviations = values.join(centre, keys).select(*keys, deviation.alias("value"))
-        bounds = fenced.select(*keys, "n", F.col("dev_min").alias("min"), F.col("dev_max").alias("max"))
-        mads = quantiles(deviations, keys, {"mad": 0.5}, direct_rows, bounds).select(*keys, "mad")
-        with_mad = pin_small(mads.join(fenced, keys))
-    beyond = (v < F.col("median") - 3 * F.col("mad")) | (v > F.col("median") + 3 * F.col("mad"))
-    mad_counts = (
-        values.join(with_mad.select(*keys, "median", "mad"), keys)
-        .groupBy(*keys)
-        .agg(F.count_if(beyond).alias("mad_outliers"))
+    fenced = materialize(quartiles.join(passed, keys).withColumn("trimmed_mean", trimmed), "fences")
+    shown = ["n", "min", "max", "mean", "std", "p25", "median", "p75", "trimmed_mean", "iqr_outliers", "whisker_low", "whisker_high"]
+    if not deviations:
+        return fenced.select(*keys, *shown)
+    return _with_deviations(values, keys, fenced, rank_rows).select(*keys, *shown, "mad", "mad_outliers")
+
+
+def _with_deviations(values: DataFrame, keys: list[str], fenced: DataFrame, rank_rows: int) -> DataFrame:
+    """``fenced`` with the median deviation and the number of values more than three of it away: one read.
+
+    The pass that counts the deviations inside the brackets also counts the values
+    that lie beyond for every possible median deviation, and lists those few for
+    which it matters.
+    """
+    deviation = F.abs(F.col("value") - F.col("median"))
+    away = values.join(fenced.select(*keys, "median"), keys).select(*keys, F.col("value").alias("raw"), deviation.alias("value"))
+    bounds = fenced.select(*keys, "n", F.col("dev_min").alias("min"), F.col("dev_max").alias("max"), F.col("dev_cuts").alias("cuts"))
+    state = materialize(brackets(bounds, keys, _quantile_ranks(0.5)[:2]), "brackets")
+    if (state.where("lo < hi").agg(F.max("most")).first()[0] or 0) > rank_rows:
+        # Further narrowing takes passes of its own; the brackets then are the exact values.
+        exact = order_statistics(away.drop("raw"), keys, state, rank_rows)
+        state = materialize(exact.select(*keys, "rank", F.col("value").alias("lo"), F.col("value").alias("hi"), F.lit(1).cast("bigint").alias("most")), "brackets")
+    margin = 1e-9
+    reach = state.groupBy(*keys).agg(
+        F.collect_list(F.struct("rank", "lo", "hi")).alias("_targets"),
+        (3 * F.min("lo") * (1 - margin)).alias("_sure_in"), (3 * F.max("hi") * (1 + margin)).alias("_sure_out"),
+    )
+    v = F.col("value")
+    none = F.lit(None).cast("double")
+    target = F.struct(F.lit(-1).cast("bigint").alias("rank"), F.when(v <= F.col("_sure_out"), F.col("raw")).alias("place"))
+    inside = F.transform(
+        F.filter("_targets", lambda t: v <= t.hi), lambda t: F.struct(t.rank.alias("rank"), F.when(v >= t.lo, v).otherwise(none).alias("place"))
     )
-    return with_mad.join(mad_counts, keys).select(
-        *keys, "n", "min", "max", "mean", "std", "p25", "median", "p75", "trimmed_mean", "mad",
-        "iqr_outliers", "mad_outliers", "whisker_low", "whisker_high",
+    cells = F.concat(inside, F.when(v >= F.col("_sure_in"), F.array(target)).otherwise(F.slice(F.array(target), 1, 0)))
+    counts = away.join(reach, keys).select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.*").groupBy(*keys, "rank", "place").agg(F.count("*").alias("n"))
+    counts = materialize(counts, "deviation-counts")
+    at = _rank_map(_picked(counts.where("rank >= 0"), keys), keys)
+    mads = materialize(fenced.select(*keys, "n", "median").join(at, keys).select(*keys, "median", _quantile(0.5).alias("mad")), "deviations")
+    place = F.col("place")
+    beyond = place.isNull() | (place < F.col("median") - 3 * F.col("mad")) | (place > F.col("median") + 3 * F.col("mad"))
+    outside = counts.where("rank = -1").join(mads, keys).groupBy(*keys).agg(F.sum(F.when(beyond, F.col("n"))).alias("mad_outliers"))
+    return fenced.join(mads.select(*keys, "mad"), keys).join(outside, keys, "left").withColumn(
+        "mad_outliers", F.coalesce("mad_outliers", F.lit(0).cast("bigint"))
     )

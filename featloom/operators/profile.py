@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from featloom.functions import columns as fc
 from featloom.functions import text as ft
 from featloom.operators.order_stats import long_values, quantiles, robust_summary, summarize
-from featloom.session import materialize, pin_small
+from featloom.session import materialize
 
 METRICS = {"Mean": "mean", "Standard Deviation": "std", "Median": "median", "MAD": "mad", "Trimmed Mean": "trimmed_mean"}
 HISTOGRAM_BINS = 30  # fixed value
@@ -45,7 +45,7 @@ def binned_counts(df: DataFrame, column: str, width: int) -> DataFrame:
     """
     value = F.col(column).cast("bigint")
     present = df.where(F.col(column).isNotNull()).select(value.alias("v"))
-    bounds = pin_small(
+    bounds = materialize(
         present.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo IS NOT NULL"), 1
     ).first()
     if bounds is None:
@@ -115,10 +115,10 @@ def profile_table(df: DataFrame, samples: int = 5) -> DataFrame:
         counted.where(present).withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= samples)
         .groupBy("i").agg(F.array_sort(F.collect_list("value")).alias("sample_values"))
     )
-    names = pin_small(df.sparkSession.createDataFrame(
+    names = df.sparkSession.createDataFrame(
         [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(cleaned.schema.fields)],
         "i int, column string, data_type string",
-    ))
+    )
     out = names.join(counts, "i", "left").join(sampled, "i", "left")
     numeric = fc.numeric_columns(cleaned, booleans=False)
     if numeric:
@@ -166,14 +166,14 @@ def outlier_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    s = robust_summary(long_values(df, columns), ["column"])
+    s = robust_summary(long_values(df, columns), ["column"], deviations=False)
     return s.select("column", "whisker_low", "p25", "median", "p75", "whisker_high", F.col("iqr_outliers").alias("outliers"))
 
 
 def box_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The single points outside the quartile fences."""
     values = long_values(df, columns)
-    q = pin_small(quantiles(values, ["column"], {"p25": 0.25, "p75": 0.75}).select("column", "p25", "p75"))
+    q = materialize(quantiles(values, ["column"], {"p25": 0.25, "p75": 0.75}).select("column", "p25", "p75"))
     reach = 1.5 * (F.col("p75") - F.col("p25"))
     outside = (F.col("value") < F.col("p25") - reach) | (F.col("value") > F.col("p75") + reach)
     return values.join(q, "column").where(outside).select("column", "value")
@@ -232,8 +232,8 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[flo
     values = long_values(df, columns)
     keys = ["column"]
     moments = {"skew": F.skewness("value"), "kurt": F.kurtosis("value")}
-    summary = pin_small(summarize(values, keys, moments))
-    tested = pin_small(_with_normality(quantiles(values, keys, {"median": 0.5}, summary=summary)))
+    summary = materialize(summarize(values, keys, moments))
+    tested = materialize(_with_normality(quantiles(values, keys, {"median": 0.5}, summary=summary)))
     centre = tested.select("column", "median")
     deviations = values.join(centre, keys).select("column", F.abs(F.col("value") - F.col("median")).alias("value"))
     mads = quantiles(deviations, keys, {"mad": 0.5}).select("column", "mad")
@@ -263,7 +263,7 @@ def remove_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
     """(column, bin, low, high, n): equal-width bins over the value range, the last one closed."""
     values = long_values(df, columns)
-    bounds = pin_small(values.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
+    bounds = materialize(values.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
     width = (F.col("hi") - F.col("lo")) / bins
     index = F.when(
         F.col("hi") > F.col("lo"), F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))
@@ -282,7 +282,7 @@ def density_curve(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_B
     The kernel sums ``bins`` weights per grid point, whatever the table size.
     """
     values = long_values(df, columns)
-    spread = pin_small(summarize(values, ["column"]).select("column", F.col("n").alias("total"), "std"))
+    spread = materialize(summarize(values, ["column"]).select("column", F.col("n").alias("total"), "std"))
     per_bin = histogram(df, columns, bins)
     packed = per_bin.groupBy("column").agg(
         F.min("low").alias("lo"), F.max("high").alias("hi"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featloom.functions import columns as fc
-from featloom.session import pin_small
+from featloom.session import materialize
 
 
 def add_age(df: DataFrame, as_of_year: int, year: str = "releaseYear", out: str = "movie_age") -> DataFrame:
@@ -39,7 +39,7 @@ def add_year_count(df: DataFrame, year: str = "releaseYear", out: str = "movies_
 
 def fit_year_count(df: DataFrame, year: str = "releaseYear", out: str = "movies_in_year") -> DataFrame:
     """Rows per year. The missing year keeps its row; no join key equals it."""
-    return pin_small(df.groupBy(year).agg(F.count("*").alias(out)))
+    return materialize(df.groupBy(year).agg(F.count("*").alias(out)))
 
 
 def add_temporal_features(

@@ -6,6 +6,7 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -20,7 +21,7 @@ from pyspark.ml.feature import (
     Word2Vec,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 from pyspark.sql.window import Window
@@ -91,14 +92,14 @@ def lexicon_sentiment(
     Write a derived lexicon with ``materialize`` first, so that its size is known.
     """
     folded = ft.ascii_fold(F.lower(F.col(text) if isinstance(text, str) else text))
-    tokens = df.select(key, F.explode_outer(ft.words(folded, word_pattern)).alias("word"))
-    return (
-        tokens.join(lexicon.select("word", "polarity", "subjectivity"), "word", "left")
-        .groupBy(key)
-        .agg(
-            F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("text_sentiment_polarity"),
-            F.coalesce(F.avg("subjectivity"), F.lit(0.0)).alias("text_sentiment_subjectivity"),
-        )
+    texts = df.select(key, ft.words(folded, word_pattern).alias("_words"))
+    # A word counts once for each text before the join, so a common word sends one row a text and missing texts none.
+    counted = texts.select(key, F.explode("_words").alias("word")).groupBy(key, "word").agg(F.count("*").alias("n"))
+    known = counted.join(lexicon.select("word", "polarity", "subjectivity"), "word")
+    mean = lambda c: F.sum(F.col("n") * F.col(c)) / F.sum(F.when(F.col(c).isNotNull(), F.col("n")))
+    scored = known.groupBy(key).agg(mean("polarity").alias("_p"), mean("subjectivity").alias("_s"))
+    return df.select(key).distinct().join(scored, key, "left").select(
+        key, F.coalesce("_p", F.lit(0.0)).alias("text_sentiment_polarity"), F.coalesce("_s", F.lit(0.0)).alias("text_sentiment_subjectivity")
     )
 
 
@@ -172,15 +173,22 @@ def fit_tfidf_vectors(
     text: str,
     out: str = "tfidf_vec",
     stop_words: Sequence[str] = (),
-    vocabulary_size: int = 1 << 20,
+    features: int | None = None,
 ) -> TfidfVectors:
-    """Sparse TF-IDF vectors over all terms. The vocabulary lives on the driver, so
-    more than ``vocabulary_size`` terms are refused; ``tfidf_long`` has no bound."""
+    """Sparse TF-IDF vectors over all terms.
+
+    With ``features`` terms are hashed to that many positions and the driver holds
+    a number for each, whatever the corpus. Without it every term has a position
+    of its own and the driver holds the whole vocabulary; ``tfidf_long`` is the
+    exact form for corpora whose vocabulary is too large for that.
+    """
+    stop_words = [w for word in stop_words for w in {word, word.replace("'", "")}]
     stop = StopWordsRemover(inputCol="_tf_tokens", outputCol="_tf_terms", stopWords=list(stop_words), caseSensitive=True)
     tokens = stop.transform(_tokens(df, text))
-    counter = CountVectorizer(inputCol="_tf_terms", outputCol="_tf_counts", vocabSize=vocabulary_size).fit(tokens)
-    if len(counter.vocabulary) >= vocabulary_size:
-        raise ValueError(f"{vocabulary_size} or more terms: raise vocabulary_size or use tfidf_long")
+    if features:
+        counter = HashingTF(numFeatures=features, inputCol="_tf_terms", outputCol="_tf_counts")
+    else:
+        counter = CountVectorizer(inputCol="_tf_terms", outputCol="_tf_counts", vocabSize=2**31 - 1).fit(tokens)
     seen = IDF(inputCol="_tf_counts", outputCol="_tf_unused").fit(counter.transform(tokens))
     n = seen.numDocs
     weights = Vectors.dense([math.log((1 + n) / (1 + df_)) + 1 for df_ in seen.docFreq])
@@ -208,13 +216,17 @@ def encode_text(
         encode = load_encoder()
         for batch in batches:
             vectors = encode(batch[text].fillna("").tolist())
-            yield batch.assign(**{out: [[float(x) for x in v] for v in vectors]})
+            yield batch.assign(**{out: list(np.asarray(vectors, np.float32).reshape(len(batch), -1))})
 
     return df.mapInPandas(run, schema)
 
 
-def word_vector_stages(out: str, size: int = 32, min_count: int = 1, seed: int = 42, partitions: int = 4) -> Pipeline:
-    """Averaged word vectors trained on the texts themselves; the vocabulary lives on the driver."""
+def word_vector_stages(out: str, size: int = 32, min_count: int = 1, seed: int = 42, partitions: int | None = None) -> Pipeline:
+    """Averaged word vectors trained on the texts themselves; the vocabulary lives on the driver.
+
+    Training runs in ``partitions`` tasks, by default one for each core of the session.
+    """
+    partitions = partitions or SparkSession.active().sparkContext.defaultParallelism
     return Pipeline(stages=[
         Word2Vec(vectorSize=size, minCount=min_count, inputCol="_words", outputCol=out, seed=seed, numPartitions=partitions),
         SQLTransformer(statement="SELECT * EXCEPT (_words) FROM __THIS__"),

@@ -18,7 +18,7 @@ from featloom.functions import text as ft
 from featloom.operators import categories as cat
 from featloom.operators import cleaning, credits, joins, model, temporal
 from featloom.operators import text_features as text
-from featloom.session import materialize, pin_small
+from featloom.session import materialize
 from featloom.sources import readers
 
 KEY = "tconst"
@@ -45,12 +45,13 @@ def load_inputs(
     movies_csv: str | None = None,
     metadata_csv: str | None = None,
     lexicon: DataFrame | None = None,
+    links_layout: str = "records",
 ) -> MovieInputs:
-    """Inputs from files: CSV shards, two JSON link tables, catalogue and metadata CSV."""
+    """Inputs from files: CSV shards, two JSON link tables in one of ``readers.LAYOUTS``, catalogue and metadata CSV."""
     return MovieInputs(
         readers.read_csv_shards(spark, titles, infer=False),
-        readers.read_links(spark, directing_json, "director") if directing_json else None,
-        readers.read_links(spark, writing_json, "writer") if writing_json else None,
+        readers.read_links(spark, directing_json, "director", links_layout) if directing_json else None,
+        readers.read_links(spark, writing_json, "writer", links_layout) if writing_json else None,
         readers.read_catalogue(spark, movies_csv) if movies_csv else None,
         readers.read_metadata(spark, metadata_csv) if metadata_csv else None,
         lexicon,
@@ -64,8 +65,12 @@ class FeatureBuild:
     embedding: str = "word2vec"
     embedding_size: int = 100
     text_components: int = 50
+    final_components: int = 10
     genre_components: int = 20
-    vocabulary_size: int = 1 << 20
+    tfidf_features: int = 1 << 18  # hashed terms of the sparse family
+    reduced_features: int = 1 << 9  # hashed terms that go into the reduction of the combined family
+    category_buckets: int = 256
+    expertise: str = "columns"  # or "vector": hashed, for any number of categories
     title_columns: tuple[str, ...] = ("title", "primaryTitle")
 
     def fit(self, inputs: MovieInputs) -> FeatureModel:
@@ -79,59 +84,81 @@ class FeatureBuild:
         facts = fills.transform(facts)
         top = None
         if inputs.directors is not None and inputs.writers is not None and "numVotes" in facts.columns:
-            top = pin_small(
+            top = materialize(
                 credits.top_people_flags(facts, inputs.directors, inputs.writers, KEY, "director", "writer", "numVotes")
             )
-        categories = tuple(credits.category_names(_with_genres(inputs.catalogue), "genres")) if inputs.catalogue is not None else ()
-        joined = _join(inputs, facts, top, categories)
+        expertise = _fit_expertise(inputs, facts, self)
+        joined = _join(inputs, facts, top, expertise, self)
 
         measure = next((c for c in ("numVotes", "vote_average") if c in joined.columns), None)
-        popularity = {}
+        popularity = None
         if "genres" in joined.columns:
-            weights = cat.fit_popularity(joined, "genres", measure)
-            popularity = {r["category"]: r["popularity"] for r in cat.column_set(weights) if r["category"]}
+            popularity = cat.fit_popularity(joined, "genres", measure).where("category <> ''")
         years = temporal.fit_year_count(joined) if "releaseYear" in joined.columns else None
 
         title = next((c for c in self.title_columns if c in joined.columns), None)
         fitted = []
         featured = _row_features(joined, self, popularity, years)
+        wanted = [c for c in (title, "genre_vec") if c and c in featured.columns]
+        base = materialize(featured.select(KEY, *wanted), "fit-input")  # every fit below reads this, not the joins
         if title and self.feature_method in ("tfidf", "combined"):
-            fitted.append(text.fit_tfidf_vectors(
-                featured, title, stop_words=text.english_stop_words(), vocabulary_size=self.vocabulary_size
-            ))
+            width = self.tfidf_features if self.feature_method == "tfidf" else self.reduced_features
+            fitted.append(text.fit_tfidf_vectors(base, title, stop_words=text.english_stop_words(), features=width))
         if title and self.feature_method in ("embedding", "combined"):
-            options = {"size": self.embedding_size}
-            fitted.append(text.fit_embedding(featured, title, method=self.embedding, **options))
+            fitted.append(text.fit_embedding(base, title, method=self.embedding, size=self.embedding_size))
         if title and self.feature_method == "combined":
-            fitted.append(model.fit_pca(fitted[-1].transform(featured), "emb_vec", "text_pca", self.text_components))
-        if popularity:
-            fitted.append(model.fit_pca(featured, "genre_vec", "genre_pca", self.genre_components))
-        result = FeatureModel(self, fills, top, categories, popularity, years, tuple(fitted))
+            both = base
+            for stage in fitted:
+                both = stage.transform(both)
+            both = materialize(model.combine_vectors(both, ["tfidf_vec", "emb_vec"], "text_vec").select(KEY, "text_vec"), "text-vectors")
+            fitted.append(CombinedText())
+            fitted.append(model.fit_pca(both, "text_vec", "text_pca_wide", self.text_components))
+            wide = materialize(fitted[-1].transform(both).select("text_pca_wide"), "text-components")
+            fitted.append(model.fit_pca(wide, "text_pca_wide", "text_pca", self.final_components))
+        if popularity is not None:
+            fitted.append(model.fit_pca(base, "genre_vec", "genre_pca", self.genre_components))
+        result = FeatureModel(self, fills, top, expertise, popularity, years, tuple(fitted))
         return result, result.apply(joined)
 
 
+@dataclass(frozen=True)
+class CombinedText:
+    """TF-IDF and embedding side by side."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return model.combine_vectors(df, ["tfidf_vec", "emb_vec"], "text_vec")
+
+
+@dataclass(frozen=True)
+class Expertise:
+    """Category shares of each person, counted once on the training titles: (person, category, share), written."""
+
+    shares: Mapping[str, DataFrame]
+    names: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class FeatureModel:
     build: FeatureBuild
     fills: cleaning.FillModel
     top: DataFrame | None
-    categories: tuple[str, ...]
-    popularity: Mapping[str, float | None]
+    expertise: Expertise | None
+    popularity: DataFrame | None
     years: DataFrame | None
     stages: tuple = field(default=())
 
     def transform(self, inputs: MovieInputs) -> DataFrame:
         facts = self.fills.transform(clean_titles(inputs.titles, self.build.as_of_year))
-        return self.apply(_join(inputs, facts, self.top, self.categories))
+        return self.apply(_join(inputs, facts, self.top, self.expertise, self.build))
 
     def apply(self, joined: DataFrame) -> DataFrame:
         out = _row_features(joined, self.build, self.popularity, self.years)
         for stage in self.stages:
             out = stage.transform(out)
         # Reduced families replace their inputs.
-        dropped = ["genres", "genre_vec"] if self.popularity else ["genres"]
+        dropped = ["genres", "genre_vec"] if self.popularity is not None else ["genres"]
         if self.build.feature_method == "combined":
-            dropped.append("emb_vec")
+            dropped += ["tfidf_vec", "emb_vec", "text_vec", "text_pca_wide"]
         return out.drop(*dropped)
 
 
@@ -146,44 +173,71 @@ def _with_genres(df: DataFrame) -> DataFrame:
     return df.withColumn("genres", F.when(F.col("genres").isNotNull(), ft.parse_categories("genres")))
 
 
-def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, names: tuple[str, ...]) -> DataFrame:
+def _titles_with_genres(inputs: MovieInputs, facts: DataFrame) -> DataFrame:
+    out = _with_genres(facts)
+    if inputs.catalogue is not None and "originalTitle" in out.columns and "genres" not in out.columns:
+        out = joins.join_by_title(out, _with_genres(inputs.catalogue), "originalTitle", "title", ["genres"], dedupe_right=True, order=["genres"])
+    return out
+
+
+ROLES = (("director", "dir_expertise"), ("writer", "wri_expertise"))
+
+
+def _fit_expertise(inputs: MovieInputs, facts: DataFrame, build: FeatureBuild) -> Expertise | None:
+    """Counted on the training titles only, so that a title's features never depend on the rows it is scored with."""
+    if inputs.catalogue is None:
+        return None
+    titles = _titles_with_genres(inputs, facts)
+    if "genres" not in titles.columns:
+        return None
+    titles = materialize(titles.select(KEY, "genres"), "title-genres")
+    shares = {}
+    for person, _ in ROLES:
+        links = getattr(inputs, f"{person}s")
+        if links is not None:
+            # A person's expertise counts the genres of their titles, matched by id.
+            shares[person] = materialize(credits.category_expertise(links, titles, KEY, person, "genres"), f"{person}-expertise")
+    names = credits.category_names(_with_genres(inputs.catalogue), "genres") if build.expertise == "columns" else ()
+    return Expertise(shares, tuple(names))
+
+
+def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, expertise: Expertise | None, build: FeatureBuild) -> DataFrame:
     """Credits, genres, expertise, metadata and sentiment: all steps that shuffle, written once."""
     out = _with_genres(facts)
     if inputs.directors is not None and inputs.writers is not None and top is not None:
         out = credits.credit_features(out, inputs.directors, inputs.writers, top=top)
-    if inputs.catalogue is not None and "originalTitle" in out.columns:
-        catalogue = _with_genres(inputs.catalogue)
-        if "genres" not in out.columns:
-            out = joins.join_by_title(out, catalogue, "originalTitle", "title", ["genres"], dedupe_right=True, order=["genres"])
-        # A person's expertise counts the genres of their titles, matched by id.
-        for links, person, suffix in (
-            (inputs.directors, "director", "_dir_expertise"), (inputs.writers, "writer", "_wri_expertise")
-        ):
-            if links is None or not names:
-                continue
-            shares = credits.category_expertise(links, out.select(KEY, "genres"), KEY, person, "genres")
-            matrix = credits.expertise_matrix(shares, person, names)
-            added = credits.title_expertise(links, matrix, KEY, person, suffix)
-            out = out.join(added, KEY, "left").fillna(0.0, [n + suffix for n in names])
+    out = _titles_with_genres(inputs, out)
+    for person, name in ROLES:
+        links = getattr(inputs, f"{person}s")
+        if expertise is None or links is None or person not in expertise.shares:
+            continue
+        long = credits.title_expertise(links, expertise.shares[person], KEY, person)
+        if build.expertise == "columns":
+            added = credits.expertise_columns(long, KEY, expertise.names, f"_{name}")
+            out = out.join(added, KEY, "left").fillna(0.0, [f"{n}_{name}" for n in expertise.names])
+        else:
+            added = credits.expertise_vector(long, KEY, f"{name}_vec", build.category_buckets)
+            zeros = array_to_vector(F.array_repeat(F.lit(0.0), build.category_buckets))
+            out = out.join(added, KEY, "left").withColumn(f"{name}_vec", F.coalesce(f"{name}_vec", zeros))
     if inputs.metadata is not None and "originalTitle" in out.columns:
         out = joins.merge_metadata(out, _with_genres(inputs.metadata), dedupe_right=True)
     out = materialize(out, "joined")
     worded = text.combined_text(out)
     if inputs.lexicon is not None and worded is not None:
         # Reads the written table twice instead of running the joins twice.
-        scored = text.lexicon_sentiment(out, KEY, worded, pin_small(inputs.lexicon))
+        scored = text.lexicon_sentiment(out, KEY, worded, materialize(inputs.lexicon))
         out = materialize(out.join(scored, KEY, "left"), "scored")
     return out
 
 
-def _row_features(joined: DataFrame, build: FeatureBuild, popularity: Mapping, years: DataFrame | None) -> DataFrame:
-    """Features computed inside each row; the only join is with the year counts."""
+def _row_features(joined: DataFrame, build: FeatureBuild, popularity: DataFrame | None, years: DataFrame | None) -> DataFrame:
+    """Features computed inside each row; the only joins are with the year counts and the vectors of distinct category lists."""
     out = text.add_title_length(joined, build.title_columns)
     out = text.add_title_patterns(out, build.title_columns)
     if years is not None:
         out = temporal.add_temporal_features(out, build.as_of_year, counts=years)
-    if popularity:
-        out = out.withColumn("genre_vec", array_to_vector(cat.category_vector("genres", popularity)))
+    if popularity is not None:
+        out = cat.category_vectors(out, "genres", popularity, "genre_vec", build.category_buckets)
     return out
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from featloom.operators import model
 from featloom.plans.feature_build import KEY, FeatureBuild, FeatureModel, MovieInputs, load_inputs
-from featloom.session import materialize
+from featloom.session import materialize, owned_stages
 from featloom.sources.readers import write_predictions
 
 
@@ -61,12 +61,13 @@ def run(
 
     ``splits`` maps an output name to a CSV glob; each split gets its own folder
     below ``output_dir``. ``links`` names the optional files: ``directing_json``,
-    ``writing_json``, ``movies_csv``, ``metadata_csv``.
+    ``writing_json``, ``movies_csv``, ``metadata_csv``, and ``links_layout`` of the two JSON files.
     """
     files = dict(links or {})
     build = build or FeatureBuild(as_of_year=as_of_year, feature_method=feature_method)
     plan = train(load_inputs(spark, train_titles, lexicon=lexicon, **files), build, model_type, **search)
     for name, pattern in splits.items():
-        scored = plan.score(load_inputs(spark, pattern, lexicon=lexicon, **files))
-        write_predictions(scored, f"{output_dir.rstrip('/')}/{name}_predictions", KEY)
+        with owned_stages(spark):  # what scoring a split writes goes with it; the fitted tables stay with the plan
+            scored = plan.score(load_inputs(spark, pattern, lexicon=lexicon, **files))
+            write_predictions(scored, f"{output_dir.rstrip('/')}/{name}_predictions", KEY)
     return plan

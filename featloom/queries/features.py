@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from featloom.functions import text as ft
 from featloom.operators import categories as cat
 from featloom.operators import model, temporal
+from featloom.operators.credits import category_names
 from featloom.operators import text_features as text_op
 from featloom.plans.feature_build import FeatureBuild, movie_inputs
 from featloom.queries.cleaning import RELEASE, release_years
@@ -34,15 +37,19 @@ def season_onehot(t: Tables):
 
 @query(
     "parse_genres",
-    "SELECT p_partkey, replace(p_name, ' ', '|') AS genres, CAST(2 AS INTEGER) AS n FROM part",
+    """SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 5 = 0 THEN replace(p_name, ' ', '|') || '|' || replace(p_name, ' ', '|')
+           ELSE replace(p_name, ' ', '|') END AS genres,
+         CAST(CASE WHEN p_partkey % 7 = 0 THEN 0 WHEN p_partkey % 5 = 0 THEN 4 ELSE 2 END AS INTEGER) AS n FROM part""",
 )
 def parse_genres(t: Tables):
-    """A third of the titles in each spelling: pipe text, list text, list of dicts."""
-    a, b = F.split("p_name", " ")[0], F.split("p_name", " ")[1]
-    listed = F.concat(F.lit("['"), a, F.lit("', '"), b, F.lit("']"))
-    dicts = F.concat(F.lit("[{'id': 1, 'name': '"), F.initcap(a), F.lit("'}, {'id': 2, 'name': '"), F.initcap(b), F.lit("'}]"))
+    """A third of the titles in each spelling (pipe text, list text, list of dicts), some empty or with repeats."""
     k = F.col("p_partkey")
-    spelled = F.when(k % 3 == 0, listed).when(k % 3 == 1, dicts).otherwise(F.replace("p_name", F.lit(" "), F.lit("|")))
+    named = F.when(k % 5 == 0, F.concat_ws(" ", "p_name", "p_name")).otherwise(F.col("p_name"))
+    words = F.split(named, " ")
+    quoted = F.concat(F.lit("['"), F.array_join(words, "', '"), F.lit("']"))
+    dicts = F.concat(F.lit("[{'id': None, 'name': '"), F.array_join(F.transform(words, F.initcap), "'}, {'id': 2, 'main': True, 'name': '"), F.lit("'}]"))
+    spelled = F.when(k % 3 == 0, quoted).when(k % 3 == 1, dicts).otherwise(F.array_join(words, "|"))
+    spelled = F.when(k % 7 == 0, F.when(k % 2 == 0, "[]")).otherwise(spelled)
     parsed = ft.parse_categories(spelled)
     return t.part.select("p_partkey", F.array_join(parsed, "|").alias("genres"), F.size(parsed).alias("n"))
 
@@ -64,19 +71,17 @@ def genre_weighted_onehot(t: Tables):
     return out.withColumn("weight", r("weight"))
 
 
-WORDS = ("hot", "cold", "new", "old", "large", "small")
-
-
 @query(
     "genre_multi_hot",
-    f"""SELECT m.tconst, {', '.join(f"round(coalesce(max(CASE WHEN category = '{w}' THEN weight END), 0), 6) AS genre_{w}" for w in WORDS)}
-        FROM {MOVIES} m LEFT JOIN {WEIGHTED} w ON m.tconst = w.tconst GROUP BY m.tconst""",
+    f"""SELECT tconst, round(coalesce(COLUMNS(* EXCLUDE (tconst)), 0), 6) AS "genre_\\0" FROM (SELECT tconst FROM {MOVIES})
+        LEFT JOIN (PIVOT {WEIGHTED} ON category USING max(weight) GROUP BY tconst) USING (tconst)""",
 )
 def genre_multi_hot(t: Tables):
     movies = t.movies
-    weighted = cat.weighted_categories(movies, "tconst", "genres", cat.fit_popularity(movies, "genres", "numVotes"))
-    wide = cat.multi_hot(weighted, movies, "tconst", WORDS)
-    return wide.select("tconst", *[r(f"genre_{w}").alias(f"genre_{w}") for w in WORDS])
+    weights = cat.fit_popularity(movies, "genres", "numVotes")
+    names = category_names(movies, "genres")
+    wide = cat.multi_hot(cat.weighted_categories(movies, "tconst", "genres", weights), movies, "tconst", names)
+    return wide.select("tconst", *[r(f"genre_{w}").alias(f"genre_{w}") for w in names])
 
 
 @query(
@@ -158,10 +163,18 @@ TITLES = """(SELECT p_partkey AS tconst, p_name, p_size >= 26 AS label,
     CASE WHEN 1960 + p_partkey % 70 > {now} THEN {now} ELSE 1960 + p_partkey % 70 END AS year,
     CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE 60 + p_partkey % 120 END AS runtime,
     CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE CAST(round(p_retailprice * 10) AS BIGINT) END AS votes FROM part)""".format(now=AS_OF_YEAR)
-SHARES = f"""(SELECT director, sum(n) FILTER (WHERE category = 'hot') / sum(n) AS hot FROM
-    (SELECT director, category, count(*) AS n FROM {DIRECTORS} d
-     JOIN (SELECT p_partkey AS tconst, unnest(string_split(p_name, ' ')) AS category FROM part) g ON d.tconst = g.tconst GROUP BY ALL)
-    GROUP BY director)"""
+
+
+def expertise_sql(person: str, links: str, fitted: str = "true", shown: str = "true") -> str:
+    """(tconst, one column per category): mean share over a title's persons, counted on the ``fitted`` titles for the ``shown`` ones."""
+    suffix = {"director": "dir", "writer": "wri"}[person]
+    return f"""(PIVOT (WITH g AS (SELECT p_partkey AS tconst, unnest(string_split(p_name, ' ')) AS category FROM part),
+        s AS (SELECT {person} AS p, category, count(*) / sum(count(*)) OVER (PARTITION BY {person}) AS share
+              FROM {links} JOIN g USING (tconst) WHERE {fitted.format('tconst')} GROUP BY {person}, category),
+        x AS (SELECT DISTINCT tconst, {person} AS p FROM {links} WHERE {shown.format('tconst')} AND {person} IN (SELECT p FROM s)),
+        n AS (SELECT tconst, count(*) AS n FROM x GROUP BY 1)
+      SELECT tconst, category || '_{suffix}_expertise' AS name, sum(share) / any_value(n) AS mean
+      FROM x JOIN n USING (tconst) JOIN s USING (p) GROUP BY tconst, category) ON name USING max(mean) GROUP BY tconst)"""
 
 
 @query(
@@ -174,18 +187,17 @@ SHARES = f"""(SELECT director, sum(n) FILTER (WHERE category = 'hot') / sum(n) A
                   (SELECT p_name, unnest(regexp_extract_all(lower(p_name || ' ' || tagline), '[a-z]+')) AS word FROM rate) w
                   JOIN lex ON w.word = lex.word GROUP BY p_name),
           d AS (SELECT tconst, count(DISTINCT director) AS n FROM {DIRECTORS} GROUP BY 1),
-          w AS (SELECT tconst, count(DISTINCT writer) AS n FROM {WRITERS} GROUP BY 1),
-          x AS (SELECT tconst, avg(coalesce(hot, 0)) AS hot FROM (SELECT DISTINCT tconst, director FROM {DIRECTORS}) c
-                JOIN {SHARES} s ON c.director = s.director GROUP BY 1)
+          w AS (SELECT tconst, count(DISTINCT writer) AS n FROM {WRITERS} GROUP BY 1)
         SELECT t.tconst, label, CAST(year AS BIGINT) AS "releaseYear",
           round(coalesce(runtime, (SELECT avg(runtime) FROM t)), 4) AS "runtimeMinutes",
           round(coalesce(votes, (SELECT avg(votes) FROM t)), 4) AS "numVotes",
-          coalesce(d.n, 0) AS director_count, coalesce(w.n, 0) AS writer_count, round(coalesce(hot, 0), 6) AS hot_dir_expertise,
+          coalesce(d.n, 0) AS director_count, coalesce(w.n, 0) AS writer_count,
+          round(coalesce(COLUMNS(x.* EXCLUDE (tconst)), 0), 6), round(coalesce(COLUMNS(y.* EXCLUDE (tconst)), 0), 6),
           budget, round(coalesce(polarity, 0), 6) AS text_sentiment_polarity,
           CAST(length(replace(t.p_name, ' ', '')) AS INTEGER) AS title_length, {AS_OF_YEAR} - CAST(year AS BIGINT) AS movie_age,
           count(*) OVER (PARTITION BY year) AS movies_in_year
-        FROM t LEFT JOIN d ON t.tconst = d.tconst LEFT JOIN w ON t.tconst = w.tconst LEFT JOIN x ON t.tconst = x.tconst
-          LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name""",
+        FROM t LEFT JOIN d ON t.tconst = d.tconst LEFT JOIN w ON t.tconst = w.tconst LEFT JOIN {expertise_sql('director', DIRECTORS)} x ON t.tconst = x.tconst
+          LEFT JOIN {expertise_sql('writer', WRITERS)} y ON t.tconst = y.tconst LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name""",
 )
 def feature_build_columns(t: Tables):
     """The plain columns of the feature build, which SQL can check."""
@@ -193,6 +205,25 @@ def feature_build_columns(t: Tables):
     table = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2).fit_transform(inputs)[1]
     return table.select(
         "tconst", "label", "releaseYear", r("runtimeMinutes", 4).alias("runtimeMinutes"), r("numVotes", 4).alias("numVotes"),
-        "director_count", "writer_count", r("hot_dir_expertise").alias("hot_dir_expertise"), F.col("budget").cast("double").alias("budget"),
+        "director_count", "writer_count", *_expertise(table), F.col("budget").cast("double").alias("budget"),
         r("text_sentiment_polarity").alias("text_sentiment_polarity"), "title_length", "movie_age", "movies_in_year",
     )
+
+
+def _expertise(table):
+    return [r(c).alias(c) for c in table.columns if c.endswith("_expertise")]
+
+
+@query(
+    "feature_build_scored",
+    f"""SELECT p_partkey AS tconst, round(coalesce(COLUMNS(x.* EXCLUDE (tconst)), 0), 6), round(coalesce(COLUMNS(y.* EXCLUDE (tconst)), 0), 6)
+        FROM part LEFT JOIN {expertise_sql('director', DIRECTORS, '{} % 5 <> 0', '{} % 5 = 0')} x ON p_partkey = x.tconst
+          LEFT JOIN {expertise_sql('writer', WRITERS, '{} % 5 <> 0', '{} % 5 = 0')} y ON p_partkey = y.tconst WHERE p_partkey % 5 = 0""",
+)
+def feature_build_scored(t: Tables):
+    """Titles that were not in the fit: expertise comes from the training titles alone."""
+    inputs = movie_inputs(t.part, t.lineitem)
+    build = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2)
+    fitted = build.fit(replace(inputs, titles=inputs.titles.where("tconst % 5 <> 0")))
+    table = fitted.transform(replace(inputs, titles=inputs.titles.where("tconst % 5 = 0")))
+    return table.select("tconst", *_expertise(table))

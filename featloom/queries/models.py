@@ -44,7 +44,7 @@ FOLD_SQL = """SELECT tconst, label, CAST((row_number() OVER (PARTITION BY label
 
 @query("stratified_folds", FOLD_SQL.format(src=NUMBERS))
 def stratified_folds(t: Tables):
-    return op.stratified_folds(t.numbers.select("tconst", "label"), "tconst", "label", slice_rows=1000)
+    return op.stratified_folds(t.numbers.select("tconst", "label"), "tconst", "label", slices=64)
 
 
 @query("accuracy", f"SELECT round(avg((label = (numVotes > 250000))::INTEGER), 6) AS accuracy FROM {NUMBERS}")

@@ -37,11 +37,13 @@ def union_by_name(t: Tables):
 def scan_drop_index(t: Tables):
     path = scratch_path(t.spark, "customer-csv")
     rows = t.customer.select(F.monotonically_increasing_id().alias("Unnamed: 0"), "c_custkey", "c_name", "c_acctbal")
-    rows.write.csv(path, header=True)
+    odd = F.col("c_custkey") % 2 == 1
+    rows.where(odd).write.csv(path, header=True, compression="gzip")
+    rows.where(~odd).select("c_acctbal", "Unnamed: 0", "c_custkey", "c_name").write.mode("append").csv(path, header=True, compression="gzip")
     schema = T.StructType([
         T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("c_acctbal", T.DoubleType())
     ])
-    return readers.read_csv_shards(t.spark, f"{path}/*.csv", schema)
+    return readers.read_csv_shards(t.spark, f"{path}/*.csv.gz", schema)
 
 
 @query(
@@ -86,17 +88,23 @@ def json_links_by_column(t: Tables):
         F.map_from_entries(F.collect_list(F.struct("event_type", title))).alias("movie"),
         F.map_from_entries(F.collect_list(F.struct("event_type", F.col("count").cast("string")))).alias("director"),
     )
-    return readers.explode_columns(documents, "movie", "director").withColumnRenamed("movie", "tconst")
+    path = scratch_path(t.spark, "links-by-column")
+    documents.drop("user_id").write.json(path)
+    # Each line is one document, and one document a file is what the reader expects; lines are handled alike.
+    raw = t.spark.read.schema("movie map<string,string>, director map<string,string>").json(path)
+    return readers.explode_columns(raw, "movie", "director").withColumnRenamed("movie", "tconst")
 
 
 @query(
     "strip_year_suffix",
-    f"""SELECT p_partkey AS id, lower(p_name) AS title, lower(p_type) AS genres FROM part""",
+    """SELECT p_partkey AS id, lower(p_name) || CASE WHEN p_partkey % 3 = 0 THEN ' (1999) again' ELSE '' END AS title,
+         lower(p_type) AS genres FROM part""",
 )
 def strip_year_suffix(t: Tables):
     year = (F.lit(1990) + F.col("p_partkey") % 30).cast("string")
     raw = t.part.select(
-        F.col("p_partkey").alias("id"), F.concat("p_name", F.lit(" ("), year, F.lit(")")).alias("title"),
+        F.col("p_partkey").alias("id"),
+        F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(" (1999) again"))).otherwise(F.concat("p_name", F.lit(" ("), year, F.lit(")"))).alias("title"),
         F.concat(F.lit(" "), "p_type").alias("genres"),
     )
     return readers.clean_catalogue(raw)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A derived table with at most this many rows is pinned as a local relation.
-SMALL_ROWS = 10_000
-
 
 def get_session(app: str = "featloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Session with adaptive execution and skew handling on.
@@ -52,35 +52,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def owned_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` wrote inside the block when it ends; for plans that leave their results elsewhere."""
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            target = hadoop(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet to the shared folder and reading it back.
 
     The written table survives the loss of executors, and its file sizes give
-    Catalyst real statistics for the joins that follow.
+    Catalyst real statistics for the joins that follow: a small one is broadcast
+    by the session's own threshold, any other is joined by shuffle.
     """
     path = scratch_path(df.sparkSession, name)
+    if (paths := _owned.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash a plain table scan by ``key`` when it has fewer splits than there are cores.
-
-    For CPU-heavy text work over a file with few row groups. A table with enough
-    splits (any large one) is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Pin a derived table that is usually small (per-label statistics, per-genre means).
-
-    At most ``max_rows`` rows: becomes a local relation of known size, so that
-    Catalyst broadcasts it by its own threshold. More rows: written to the shared
-    folder and joined by shuffle. Both give the same rows.
-    """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(table, schema=df.schema)
-    return materialize(df, "pinned")

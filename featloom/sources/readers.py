@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ METADATA_NUMERIC = ("budget", "popularity", "revenue", "runtime", "vote_average"
 METADATA_TEXT = ("original_title", "title", "overview", "tagline")
 
 INDEX_COLUMNS = ("_c0", "Unnamed: 0")
+HEADER_THREADS = 32
 
 
 def read_csv(
@@ -57,14 +59,17 @@ def expand_glob(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names in the first line of one file; nothing else of the file is read."""
-    jvm = spark.sparkContext._jvm
+    """Column names in the first line of one file, unpacked by the codec its name asks for; nothing else of it is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory():
+    store = target.getFileSystem(conf)
+    if store.getFileStatus(target).isDirectory():
         return tuple(read_csv(spark, path, infer=False).columns)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    stream = store.open(target)
     try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
     finally:
         stream.close()
     names = next(csv.reader([line or ""]), [])
@@ -81,12 +86,15 @@ def read_csv_shards(
     """All shards of a glob merged by column name, stray index columns dropped.
 
     Shards with the same header are read by one scan, so the union has one
-    branch per distinct header, not per file. ``schema`` types columns by name;
-    columns it does not name are read as text.
+    branch per distinct header, not per file. Headers are fetched many at a time;
+    packed shards (``.csv.gz`` and the like) are unpacked. ``schema`` types
+    columns by name; columns it does not name are read as text.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in expand_glob(spark, pattern):
-        groups.setdefault(_header(spark, path), []).append(path)
+    paths = expand_glob(spark, pattern)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for path, names in zip(paths, pool.map(lambda p: _header(spark, p), paths)):
+            groups.setdefault(names, []).append(path)
     frames = []
     for names, paths in groups.items():
         typed = None
@@ -98,14 +106,19 @@ def read_csv_shards(
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:
-    """Metadata CSV, cleaned; None when the file cannot be read, so that callers can skip the merge."""
+    """Metadata CSV, cleaned; None when there is no such file, so that callers can skip the merge."""
     try:
         raw = read_csv(spark, path, multi_line=True, infer=False)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        return _none_if_missing(error)
     return clean_metadata(raw)
 
 
+def _none_if_missing(error: AnalysisException) -> None:
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+
+
 def clean_metadata(raw: DataFrame) -> DataFrame:
     numeric = {c: F.coalesce(fc.to_double(c), F.lit(0.0)) for c in METADATA_NUMERIC if c in raw.columns}
     text = {c: ft.normalize_text(c) for c in METADATA_TEXT if c in raw.columns}
@@ -123,24 +136,32 @@ def clean_catalogue(raw: DataFrame, title: str = "title", genres: str = "genres"
     })
 
 
+LAYOUTS = ("records", "array", "columns")
+
+
 def read_links(
     spark: SparkSession, path: str, person: str, layout: str = "records", key: str = "movie", rename_to: str = "tconst"
 ) -> DataFrame | None:
-    """(title, person) links from JSON; None when the file is missing, so that callers can skip the step.
+    """(title, person) links from JSON; None when there is no such file, so that callers can skip the step.
 
-    ``records``: one object per link, as JSON lines or as one array.
+    ``records``: one object per line, or lines that each hold an array of objects.
+    ``array``: files that are one array over many lines.
     ``columns``: one object with a map from row label to value per column.
+    A file in another layout than the one named fails when it is read.
     """
-    if layout not in ("records", "columns"):
+    if layout not in LAYOUTS:
         raise ValueError(f"unknown layout: {layout}")
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", str(layout != "records").lower())
     try:
-        if layout == "records":
-            raw = spark.read.schema(f"{key} string, {person} string").json(path)
-        else:
+        if layout == "columns":
             shape = f"{key} map<string,string>, {person} map<string,string>"
-            raw = explode_columns(spark.read.schema(shape).json(path, multiLine=True), key, person)
-    except AnalysisException:
-        return None
+            raw = explode_columns(reader.schema(shape).json(path), key, person)
+        else:
+            raw = reader.schema(f"{key} string, {person} string").json(path)
+            wrong = F.col(key).rlike(r"^\s*\{")
+            raw = raw.withColumn(key, F.when(wrong, F.raise_error(F.lit(f"{path} is not in layout {layout}"))).otherwise(F.col(key)))
+    except AnalysisException as error:
+        return _none_if_missing(error)
     return raw.withColumnRenamed(key, rename_to)
 
 

@@ -22,8 +22,8 @@ def test_features_are_numeric_and_not_excluded(rows):
 
 
 def test_folds_differ_by_one_row(rows):
-    for slice_rows in (10_000, 40):
-        out = model.stratified_folds(rows, "tconst", "label", slice_rows=slice_rows).collect()
+    for slices in (1, 40):
+        out = model.stratified_folds(rows, "tconst", "label", slices=slices).collect()
         sizes = Counter((r["label"], r["fold"]) for r in out)
         for label in (True, False):
             per = [sizes[label, f] for f in range(5)]

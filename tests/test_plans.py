@@ -4,13 +4,16 @@ import csv
 import json
 import random
 import re
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from featloom import session
-from featloom.operators import categories, cleaning, credits, model, profile
+from featloom.operators import categories, cleaning, credits, model, profile, text_features
 from featloom.plans.feature_build import FeatureBuild, MovieInputs, movie_inputs
-from featloom.plans.train_score import run
+from featloom.plans.train_score import run, train
 from featloom.queries import REGISTRY
 from featloom.sources import readers
 
@@ -77,11 +80,11 @@ def test_files_to_predictions(spark, files, tmp_path):
     names = plan.search.model.features
     for expected in (
         "numVotes", "releaseYear", "director_count", "is_top_10_writer", "budget", "text_sentiment_polarity", "title_length",
-        "title_contains_part", "movie_age", "movies_in_year", "season_winter", "tfidf_vec", "text_pca", "genre_pca",
+        "title_contains_part", "movie_age", "movies_in_year", "season_winter", "text_pca", "genre_pca",
         "car_dir_expertise", "night_wri_expertise",
     ):
         assert expected in names, expected
-    assert {"drama", "car"} <= set(plan.features.popularity)
+    assert {"drama", "car"} <= {r["category"] for r in plan.features.popularity.collect()}
     for split in ("validation", "validation_hidden"):
         back = readers.read_csv(spark, f"{tmp_path}/{split}_predictions")
         assert back.columns == ["tconst", "prediction"] and back.count() == 40
@@ -119,6 +122,18 @@ LAZY = [
 ]
 
 
+@pytest.mark.parametrize("method, model_type, ranges", [
+    ("combined", "nn", {"max_iter": (5, 5)}), ("combined", "xgb", {"n_trees": (2, 2), "depth": (2, 2)}), ("tfidf", "nn", {"max_iter": (3, 3)}),
+])
+def test_every_model_takes_every_family(spark, method, model_type, ranges):
+    tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")}
+    inputs = movie_inputs(tables["part"], tables["lineitem"])
+    build = FeatureBuild(2024, method, embedding="hashing", embedding_size=8, text_components=4, final_components=3, genre_components=2,
+                         tfidf_features=64, reduced_features=32)
+    plan = train(inputs, build, model_type, trials=1, folds=2, ranges=ranges)
+    assert plan.score(inputs).count() == inputs.titles.count()
+
+
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_no_global_window(spark, name):
     plan = plan_of(REGISTRY[name].run(spark, SF))
@@ -147,15 +162,48 @@ def test_first_per_key_folds_before_the_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
-def test_large_weights_table_is_joined_by_shuffle(spark, monkeypatch):
-    """Beyond the row limit a derived table is written and the result stays the same."""
+def test_fitted_tables_are_written(spark):
     df = spark.createDataFrame([(i, [f"g{i % 50}", "x"], i) for i in range(200)], "k int, g array<string>, v int")
-    small = categories.fit_popularity(df, "g", "v")
-    monkeypatch.setattr(categories, "pin_small", lambda d: session.pin_small(d, 10))
-    large = categories.fit_popularity(df, "g", "v")
-    assert "LocalTableScan" in plan_of(small) and "parquet" in plan_of(large)
-    a, b = (sorted(map(tuple, categories.weighted_categories(df, "k", "g", w).collect())) for w in (small, large))
-    assert a == b and len(a) == 400
+    weights = categories.fit_popularity(df, "g", "v")
+    assert "parquet" in plan_of(weights)
+    assert categories.weighted_categories(df, "k", "g", weights).count() == 400
+
+
+def test_any_number_of_categories(spark):
+    """20,000 categories: vectors keep their width and the long form has one row each."""
+    df = spark.range(20_000).selectExpr("id AS k", "array(concat('g', id), concat('g', (id * 7 + 1) % 20000)) AS genres", "id AS v")
+    weights = categories.fit_popularity(df, "genres", "v")
+    out = categories.category_vectors(df, "genres", weights, "vec", buckets=8)
+    assert out.count() == 20_000 and {len(r.vec) for r in out.limit(50).collect()} == {16}
+    links = df.selectExpr("k AS tconst", "k % 100 AS director")
+    shares = credits.category_expertise(links, df.selectExpr("k AS tconst", "genres"), "tconst", "director", "genres")
+    long = credits.title_expertise(links, shares, "tconst", "director")
+    assert abs(long.agg(F.sum("expertise")).first()[0] - 20_000) < 1e-6
+    vectors = credits.expertise_vector(long.where("tconst < 50"), "tconst", "vec", 16)
+    assert all(abs(sum(r.vec) - 1) < 1e-9 for r in vectors.collect())
+
+
+def test_more_terms_than_positions(spark):
+    df = spark.range(2000).selectExpr("id", "concat_ws(' ', transform(sequence(0, 600), i -> concat('t', id * 601 + i))) AS text")
+    fitted = text_features.fit_tfidf_vectors(df, "text", features=1 << 16)
+    row = fitted.transform(df).select("tfidf_vec").first()[0]
+    assert row.size == 1 << 16 and abs(row.norm(2) - 1) < 1e-9
+
+
+def test_a_title_has_the_same_features_alone_and_among_others(spark):
+    tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")}
+    inputs = movie_inputs(tables["part"], tables["lineitem"])
+    build = FeatureBuild(2024, "embedding", embedding="hashing", embedding_size=8, genre_components=2, expertise="vector")
+    fitted = build.fit(inputs)
+    one = inputs.titles.where("tconst = 7")
+    alone, among = (fitted.transform(replace(inputs, titles=t)).where("tconst = 7").drop("movies_in_year").first().asDict() for t in (one, inputs.titles))
+    assert alone == among and len(alone["dir_expertise_vec"]) == build.category_buckets
+
+
+def test_owned_stages_are_deleted(spark):
+    with session.owned_stages(spark):
+        path = session.materialize(spark.range(3), "owned").inputFiles()[0]
+    assert not Path(path.removeprefix("file://")).exists()
 
 
 def test_credit_counts_survive_a_hot_title(spark):
@@ -170,7 +218,7 @@ def test_credit_counts_survive_a_hot_title(spark):
 
 def test_folds_use_many_slices(spark):
     df = spark.range(1000).selectExpr("id AS tconst", "id % 2 = 0 AS label")
-    assert "_slice" in plan_of(model.stratified_folds(df, "tconst", "label", slice_rows=50))
+    assert "_slice" in plan_of(model.stratified_folds(df, "tconst", "label", slices=20))
 
 
 # --- scratch space ---------------------------------------------------------
@@ -200,8 +248,3 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path):
     assert kept.count() == 10 and session.shared_dir(spark).split(":")[-1] in kept.inputFiles()[0]
 
 
-def test_spread_scan_only_where_splits_are_few(spark):
-    small = spark.read.parquet(f"{SF}/part.parquet")
-    assert "Exchange hashpartitioning(p_partkey" in plan_of(session.spread_scan(small, "p_partkey"))
-    many = spark.range(0, 100, numPartitions=64)
-    assert session.spread_scan(many, "id") is many

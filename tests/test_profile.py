@@ -32,9 +32,9 @@ def values(spark):
     return spark.createDataFrame(rows, "column string, value double").repartition(4)
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 40])
-def test_quantiles_are_exact(values, direct_rows):
-    got = os_.quantiles(values, ["column"], {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99}, direct_rows=direct_rows)
+@pytest.mark.parametrize("rank_rows", [1_000_000, 40])
+def test_quantiles_are_exact(values, rank_rows):
+    got = os_.quantiles(values, ["column"], {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99}, rank_rows=rank_rows)
     for r in got.collect():
         v = CASES[r["column"]]
         if r["column"] == "wide":
@@ -43,9 +43,9 @@ def test_quantiles_are_exact(values, direct_rows):
             assert r[name] == pytest.approx(np.quantile(v, p), rel=1e-12), (r["column"], name)
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 40])
-def test_robust_summary(values, direct_rows):
-    out = {r["column"]: r for r in os_.robust_summary(values.where("column <> 'wide'"), ["column"], direct_rows=direct_rows).collect()}
+@pytest.mark.parametrize("rank_rows", [1_000_000, 40])
+def test_robust_summary(values, rank_rows):
+    out = {r["column"]: r for r in os_.robust_summary(values.where("column <> 'wide'"), ["column"], rank_rows=rank_rows).collect()}
     for name, v in CASES.items():
         if name == "wide":
             continue
@@ -65,7 +65,7 @@ def test_robust_summary(values, direct_rows):
 def test_narrowing_terminates_on_infinite_values(spark):
     rows = [("c", float(x)) for x in [-math.inf, *range(200), math.inf]]
     df = spark.createDataFrame(rows, "column string, value double")
-    assert os_.quantiles(df, ["column"], {"m": 0.5}, direct_rows=20).first()["m"] == 99.5
+    assert os_.quantiles(df, ["column"], {"m": 0.5}, rank_rows=20).first()["m"] == 99.5
 
 
 def test_normality_and_outliers(spark):

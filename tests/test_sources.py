@@ -1,5 +1,6 @@
 """Readers and the prediction sink on small files."""
 
+import gzip
 import json
 
 import pytest
@@ -45,6 +46,25 @@ def test_links_in_both_layouts(spark, tmp_path):
         out = readers.read_links(spark, str(path), "director", layout)
         assert out.columns == ["tconst", "director"] and sorted(map(tuple, out.collect())) == expected
     assert readers.read_links(spark, str(tmp_path / "absent.json"), "director") is None
+    array = tmp_path / "array.json"
+    array.write_text(json.dumps([{"movie": f"tt{i}", "director": f"nm{i}"} for i in range(3)], indent=2))
+    assert sorted(map(tuple, readers.read_links(spark, str(array), "director", "array").collect())) == expected
+    for path, layout in ((array, "records"), (columns, "records"), (columns, "array")):
+        with pytest.raises(Exception):
+            readers.read_links(spark, str(path), "director", layout).collect()
+    with pytest.raises(ValueError):
+        readers.read_links(spark, str(array), "director", "pretty")
+
+
+def test_packed_shards(spark, tmp_path):
+    for name, body in (("train-1.csv.gz", ",tconst,numVotes\n0,tt1,5\n"), ("train-2.csv.gz", "numVotes,tconst\n7,tt2\n")):
+        (tmp_path / name).write_bytes(gzip.compress(body.encode()))
+    schema = T.StructType([T.StructField("numVotes", T.LongType())])
+    out = readers.read_csv_shards(spark, f"{tmp_path}/train-*.csv.gz", schema)
+    assert sorted((r["tconst"], r["numVotes"]) for r in out.collect()) == [("tt1", 5), ("tt2", 7)]
+
+
+def test_uneven_columns(spark):
     uneven = [({"a": "tt1", "b": "tt2"}, {"b": "nm2", "c": "nm3"})]
     raw = spark.createDataFrame(uneven, "movie map<string,string>, director map<string,string>")
     rows = readers.explode_columns(raw, "movie", "director").collect()
