@@ -124,38 +124,58 @@ def _embedding_vectors(t: Tables):
     return t.embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("emb_vec"))
 
 
-@query("pca_family")
+def _squares(parts):
+    return r(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x * x), 4)
+
+
+@query(
+    "pca_family",
+    """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+          c AS (SELECT vec_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM e)
+        SELECT vec_id, round(sum(x * x), 4) AS squares, CAST(count(*) AS INTEGER) AS components FROM c GROUP BY vec_id""",
+)
 def pca_family(t: Tables):
+    """All components: a rotation of the centred vectors, so each keeps its squared length."""
     vectors = _embedding_vectors(t)
     parts = vector_to_array("pca_vec")
-    return model.fit_pca(vectors, "emb_vec", "pca_vec", 10).transform(vectors).select(
-        "vec_id", *[parts[i].alias(f"emb_pca_{i}") for i in range(10)]
-    )
+    out = model.fit_pca(vectors, "emb_vec", "pca_vec", 1 << 10).transform(vectors)
+    return out.select("vec_id", _squares(parts).alias("squares"), F.size(parts).alias("components"))
+
+
+LINE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@query("pca_columns")
+@query(
+    "pca_columns",
+    f"""SELECT l_orderkey, l_linenumber, round(({' + '.join(f'power({c} - avg({c}) OVER (), 2)' for c in LINE)}) / 1e6, 4) AS squares
+        FROM lineitem""",
+)
 def pca_columns(t: Tables):
-    line = t.lineitem.select("l_orderkey", "l_linenumber", *[
-        F.col(c).alias(f"num_{c}") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    ])
-    return model.apply_pca_columns(line, "num_", 2)
+    line = t.lineitem.select("l_orderkey", "l_linenumber", *[(F.col(c) / 1e3).alias(f"num_{c}") for c in LINE])
+    out = model.apply_pca_columns(line, "num_", len(LINE))
+    return out.select("l_orderkey", "l_linenumber", _squares(F.array(*[f"num_pca_{i}" for i in range(len(LINE))])).alias("squares"))
 
 
-@query("combine_text_features")
+@query(
+    "combine_text_features",
+    """WITH w AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS term FROM part),
+          c AS (SELECT p_partkey, term, count(*) AS tf FROM w GROUP BY ALL),
+          i AS (SELECT term, ln((1.0 + (SELECT count(*) FROM part)) / (1 + count(*))) + 1 AS idf FROM c GROUP BY term),
+          x AS (SELECT p_partkey, c.term, tf * idf AS v FROM c JOIN i ON c.term = i.term)
+        SELECT p_partkey, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY p_partkey)), 6) AS tfidf, CAST(10 AS INTEGER) AS reduced FROM x""",
+)
 def combine_text_features(t: Tables):
+    """TF-IDF and the reduced embedding in one vector; its terms are shown one by one."""
     titles = t.part.select("p_partkey", "p_name")
-    out = text_op.fit_tfidf_vectors(titles, "p_name").transform(titles)
-    out = text_op.fit_embedding(out, "p_name", size=16).transform(out)
+    fitted = text_op.fit_tfidf_vectors(titles, "p_name")
+    out = text_op.fit_embedding(titles, "p_name", size=16).transform(fitted.transform(titles))
     out = model.fit_pca(out, "emb_vec", "emb_pca", 10).transform(out)
-    return model.combine_vectors(out, ["tfidf_vec", "emb_pca"], "text_vec").select("p_partkey", "text_vec")
-
-
-@query("feature_build")
-def feature_build(t: Tables):
-    """The whole feature build on titles made from the part and line item tables."""
-    inputs = movie_inputs(t.part, t.lineitem)
-    build = FeatureBuild(AS_OF_YEAR, "combined", embedding_size=16, text_components=8, genre_components=8)
-    return build.fit_transform(inputs)[1]
+    both = model.combine_vectors(out, ["tfidf_vec", "emb_pca"], "text_vec")
+    n, v = len(fitted.vocabulary), vector_to_array("text_vec")
+    terms = F.arrays_zip(F.array(*[F.lit(w) for w in fitted.vocabulary]).alias("term"), F.slice(v, 1, n).alias("tfidf"))
+    return both.select("p_partkey", (F.size(v) - n).alias("reduced"), F.explode(terms).alias("t")).where("t.tfidf <> 0").select(
+        "p_partkey", "t.term", r(F.col("t.tfidf")).alias("tfidf"), "reduced"
+    )
 
 
 # The same build as SQL, for the columns that do not come from a fitted vocabulary or decomposition.
@@ -177,9 +197,7 @@ def expertise_sql(person: str, links: str, fitted: str = "true", shown: str = "t
       FROM x JOIN n USING (tconst) JOIN s USING (p) GROUP BY tconst, category) ON name USING max(mean) GROUP BY tconst)"""
 
 
-@query(
-    "feature_build_columns",
-    f"""WITH t AS {TITLES},
+PLAIN_SQL = f"""WITH t AS {TITLES},
           rate AS (SELECT p_name, avg((p_size >= 26)::INTEGER) AS rate, max(p_retailprice) AS budget, min(p_type) AS tagline FROM part GROUP BY 1),
           lex AS (SELECT word, 2 * avg(rate) - 1 AS polarity FROM
                   (SELECT rate.p_name, rate, unnest(string_split(rate.p_name, ' ')) AS word FROM rate) GROUP BY word),
@@ -197,14 +215,28 @@ def expertise_sql(person: str, links: str, fitted: str = "true", shown: str = "t
           CAST(length(replace(t.p_name, ' ', '')) AS INTEGER) AS title_length, {AS_OF_YEAR} - CAST(year AS BIGINT) AS movie_age,
           count(*) OVER (PARTITION BY year) AS movies_in_year
         FROM t LEFT JOIN d ON t.tconst = d.tconst LEFT JOIN w ON t.tconst = w.tconst LEFT JOIN {expertise_sql('director', DIRECTORS)} x ON t.tconst = x.tconst
-          LEFT JOIN {expertise_sql('writer', WRITERS)} y ON t.tconst = y.tconst LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name""",
-)
+          LEFT JOIN {expertise_sql('writer', WRITERS)} y ON t.tconst = y.tconst LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name"""
+
+
+@query("feature_build_columns", PLAIN_SQL)
 def feature_build_columns(t: Tables):
     """The plain columns of the feature build, which SQL can check."""
     inputs = movie_inputs(t.part, t.lineitem)
     table = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2).fit_transform(inputs)[1]
+    return _plain(table)
+
+
+@query("feature_build", f"SELECT *, CAST(10 AS INTEGER) AS text_components, CAST(20 AS INTEGER) AS genre_components FROM ({PLAIN_SQL})")
+def feature_build(t: Tables):
+    """The whole feature build, with its default sizes, on titles made from the part and line item tables."""
+    table = FeatureBuild(AS_OF_YEAR, "combined").fit_transform(movie_inputs(t.part, t.lineitem))[1]
+    sizes = {f"{family}_components": F.size(vector_to_array(f"{family}_pca")) for family in ("text", "genre")}
+    return _plain(table, *[size.alias(name) for name, size in sizes.items()])
+
+
+def _plain(table, *more):
     return table.select(
-        "tconst", "label", "releaseYear", r("runtimeMinutes", 4).alias("runtimeMinutes"), r("numVotes", 4).alias("numVotes"),
+        *more, "tconst", "label", "releaseYear", r("runtimeMinutes", 4).alias("runtimeMinutes"), r("numVotes", 4).alias("numVotes"),
         "director_count", "writer_count", *_expertise(table), F.col("budget").cast("double").alias("budget"),
         r("text_sentiment_polarity").alias("text_sentiment_polarity"), "title_length", "movie_age", "movies_in_year",
     )

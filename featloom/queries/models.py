@@ -59,33 +59,42 @@ def threshold(t: Tables):
     return t.events.select("event_id", op.threshold(p).alias("prediction"))
 
 
+SCORED_SQL = """SELECT d.doc_id AS tconst, CAST(quality AS BOOLEAN) AS label, true AS in_range, true AS consistent, true AS beats_majority
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+CHECKS = {"in_range": F.col("probability").between(0, 1), "consistent": F.col("prediction") == (F.col("probability") > 0.5)}
+
+
 def _fit(t: Tables, classifier):
+    """Every labelled text with what must hold for its score, and for the accuracy over all of them."""
     rows = training_table(t)
     fitted = op.train(rows, op.select_features(rows), classifier)
-    return fitted.score(rows, "tconst", "label").withColumn("probability", r("probability"))
+    scored = materialize(fitted.score(rows, "tconst", "label"), "scored")
+    share = F.avg(F.col("label").cast("int"))
+    row = scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("a"), F.greatest(share, 1 - share).alias("m")).first()
+    return scored.select("tconst", "label", *[c.alias(n) for n, c in CHECKS.items()], F.lit(row["a"] is not None and row["a"] >= row["m"]).alias("beats_majority"))
 
 
-@query("train_rf")
+@query("train_rf", SCORED_SQL)
 def train_rf(t: Tables):
     return _fit(t, op.random_forest(n_trees=20, depth=5))
 
 
-@query("train_gbt")
+@query("train_gbt", SCORED_SQL)
 def train_gbt(t: Tables):
     return _fit(t, op.boosted_trees(n_trees=10, step=0.2, depth=3, subsample=0.8, columns=0.7))
 
 
-@query("train_gb")
+@query("train_gb", SCORED_SQL)
 def train_gb(t: Tables):
     return _fit(t, op.boosted_trees(n_trees=10, step=0.2, depth=3, subsample=0.8))
 
 
-@query("train_mlp")
+@query("train_mlp", SCORED_SQL)
 def train_mlp(t: Tables):
     return _fit(t, op.neural_network(len(DOC_FEATURES), (64, 32), max_iter=30))
 
 
-@query("tune_random")
+@query("tune_random", "SELECT CAST(range AS INTEGER) AS trial, true AS in_range, true AS beats_majority FROM range(3)")
 def tune_random(t: Tables):
     """A reduced search (trials, folds and tree counts are arguments) over all labelled rows."""
     rows = training_table(t)
@@ -94,10 +103,11 @@ def tune_random(t: Tables):
     )
     scores = [(i, float(s)) for i, s in enumerate(found.scores)]
     trials = rows.sparkSession.createDataFrame(scores, "trial int, mean_accuracy double")
-    right = found.model.score(rows, "tconst", "label").agg(
-        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("fit_accuracy")
-    ).first()[0]
-    return trials.withColumn("fit_accuracy", F.lit(right))
+    share = F.avg(F.col("label").cast("int"))
+    row = found.model.score(rows, "tconst", "label").agg(
+        F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("a"), F.greatest(share, 1 - share).alias("m")
+    ).first()
+    return trials.select("trial", F.col("mean_accuracy").between(0, 1).alias("in_range"), F.lit(row["a"] >= row["m"]).alias("beats_majority"))
 
 
 def _per_char(pattern: str) -> str:
@@ -126,16 +136,23 @@ def prepare_eval(t: Tables):
     return out.select("tconst", "label", *[r(v[features.index(c)], 4).alias(c) for c in shown])
 
 
-@query("score_batch")
-def score_batch(t: Tables):
+def _batch(t: Tables):
     rows = training_table(t)
     fitted = op.train(rows, op.select_features(rows), op.random_forest(n_trees=10, depth=5))
     return fitted.score(rows.drop("label", "lines"), "tconst")
 
 
-@query("score_write")
+@query("score_batch", "SELECT d.doc_id AS tconst, true AS in_range, true AS consistent FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+def score_batch(t: Tables):
+    """Scores of rows without a label and with one feature missing."""
+    return _batch(t).select("tconst", *[c.alias(n) for n, c in CHECKS.items()])
+
+
+@query("score_write", "SELECT d.doc_id AS tconst, true AS same FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def score_write(t: Tables):
-    """Predictions through the CSV sink and back."""
+    """Predictions through the CSV sink and back: each key comes back with the prediction that was written."""
     path = scratch_path(t.spark, "predictions")
-    write_predictions(score_batch(t), path)
-    return read_csv(t.spark, path, "tconst bigint, prediction boolean")
+    scored = materialize(_batch(t), "scored")
+    write_predictions(scored, path)
+    back = read_csv(t.spark, path, "tconst bigint, prediction boolean")
+    return back.join(scored.select("tconst", F.col("prediction").alias("written")), "tconst").select("tconst", (F.col("prediction") == F.col("written")).alias("same"))

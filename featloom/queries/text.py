@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from featloom.functions import text as ft
@@ -77,38 +78,45 @@ def tfidf_long(t: Tables):
     return rounded(op.tfidf_long(t.texts, "doc_id", "text", STOP_WORDS), "tfidf")
 
 
-@query("tfidf_vector")
+def _norm(vector: str):
+    return r(F.sqrt(F.aggregate(vector_to_array(vector), F.lit(0.0), lambda s, x: s + x * x))).alias("norm")
+
+
+@query(
+    "tfidf_vector",
+    rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower({sql_no_punctuation(sql_strip('text'))}), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term
+                FROM documents)
+         SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM w WHERE term NOT IN ({STOP})) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
+         FROM documents""",
+)
 def tfidf_vector(t: Tables):
+    """Hashed TF-IDF vectors: of unit length where a text has a term."""
     texts = t.texts
-    fitted = op.fit_tfidf_vectors(texts, "text", stop_words=op.english_stop_words())
-    return fitted.transform(texts).select("doc_id", "tfidf_vec")
+    fitted = op.fit_tfidf_vectors(texts, "text", stop_words=STOP_WORDS, features=1 << 12)
+    return fitted.transform(texts).select("doc_id", _norm("tfidf_vec"))
 
 
-@query("embed_text")
+@query(
+    "embed_text",
+    "SELECT p_partkey, min(p_partkey) OVER (PARTITION BY list_sort(string_split(p_name, ' '))) AS same_as FROM part",
+)
 def embed_text(t: Tables):
+    """Averaged word vectors: titles of the same words, and no others, share a vector."""
     titles = t.part.select("p_partkey", "p_name")
-    return op.fit_embedding(titles, "p_name", size=16).transform(titles).select("p_partkey", "emb_vec")
-
-
-@query("embed_text_hashed")
-def embed_text_hashed(t: Tables):
-    texts = t.texts
-    return op.fit_embedding(texts, "text", method="hashing").transform(texts).select("doc_id", "emb_vec")
-
-
-def _load_length_encoder():
-    """Stand-in for an external sentence encoder: simple length statistics."""
-    return lambda texts: [(len(x), x.count(" "), x.count("e")) for x in texts]
+    out = op.fit_embedding(titles, "p_name", size=16).transform(titles)
+    rounded_vector = F.transform(vector_to_array("emb_vec"), lambda x: F.round(x, 9))
+    out = out.select("p_partkey", rounded_vector.alias("v"))
+    return out.join(out.groupBy("v").agg(F.min("p_partkey").alias("same_as")), "v").select("p_partkey", "same_as")
 
 
 @query(
-    "embed_text_external",
-    """SELECT doc_id, CAST(length(text) AS DOUBLE) AS chars, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS blanks,
-         CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents""",
+    "embed_text_hashed",
+    f"""SELECT doc_id, CASE WHEN regexp_matches({sql_embedding_clean('text')}, '[A-Za-z0-9_]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
+        FROM documents""",
 )
-def embed_text_external(t: Tables):
-    out = op.encode_text(t.texts, "text", "v", _load_length_encoder)
-    return out.select("doc_id", *[F.col("v")[i].cast("double").alias(n) for i, n in enumerate(("chars", "blanks", "es"))])
+def embed_text_hashed(t: Tables):
+    texts = t.texts
+    return op.fit_embedding(texts, "text", method="hashing").transform(texts).select("doc_id", _norm("emb_vec"))
 
 
 @query(

@@ -235,3 +235,10 @@ def test_year_counts_leave_missing_years(spark):
 def test_season_of_a_real_date(spark):
     df = spark.createDataFrame([(datetime.date(2000, 7, 1),)], "d date")
     assert temporal.add_season(df, "d").first()["season"] == "summer"
+
+
+def test_external_encoder_gets_whole_texts(spark):
+    df = spark.createDataFrame([(1, "a bee"), (2, None), (3, "")], "id int, text string")
+    load = lambda: lambda texts: [(len(x), x.count(" "), x.count("e")) for x in texts]
+    out = tf.encode_text(df, "text", "v", load)
+    assert {r["id"]: r["v"] for r in out.collect()} == {1: [5.0, 1.0, 2.0], 2: [0.0] * 3, 3: [0.0] * 3}
