@@ -16,6 +16,7 @@ from featloom.functions import text as ft
 from featloom.operators.order_stats import long_values, quantiles, robust_summary, summarize
 from featloom.session import materialize
 
+# Labels of the metrics.
 METRICS = {"Mean": "mean", "Standard Deviation": "std", "Median": "median", "MAD": "mad", "Trimmed Mean": "trimmed_mean"}
 HISTOGRAM_BINS = 30  # fixed value
 

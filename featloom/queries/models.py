@@ -61,7 +61,10 @@ def threshold(t: Tables):
 
 SCORED_SQL = """SELECT d.doc_id AS tconst, CAST(quality AS BOOLEAN) AS label, true AS in_range, true AS consistent, true AS beats_majority
     FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
-CHECKS = {"in_range": F.col("probability").between(0, 1), "consistent": F.col("prediction") == (F.col("probability") > 0.5)}
+
+
+def checks():
+    return [F.col("probability").between(0, 1).alias("in_range"), (F.col("prediction") == (F.col("probability") > 0.5)).alias("consistent")]
 
 
 def _fit(t: Tables, classifier):
@@ -71,7 +74,7 @@ def _fit(t: Tables, classifier):
     scored = materialize(fitted.score(rows, "tconst", "label"), "scored")
     share = F.avg(F.col("label").cast("int"))
     row = scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("a"), F.greatest(share, 1 - share).alias("m")).first()
-    return scored.select("tconst", "label", *[c.alias(n) for n, c in CHECKS.items()], F.lit(row["a"] is not None and row["a"] >= row["m"]).alias("beats_majority"))
+    return scored.select("tconst", "label", *checks(), F.lit(row["a"] is not None and row["a"] >= row["m"]).alias("beats_majority"))
 
 
 @query("train_rf", SCORED_SQL)
@@ -145,7 +148,7 @@ def _batch(t: Tables):
 @query("score_batch", "SELECT d.doc_id AS tconst, true AS in_range, true AS consistent FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def score_batch(t: Tables):
     """Scores of rows without a label and with one feature missing."""
-    return _batch(t).select("tconst", *[c.alias(n) for n, c in CHECKS.items()])
+    return _batch(t).select("tconst", *checks())
 
 
 @query("score_write", "SELECT d.doc_id AS tconst, true AS same FROM documents d JOIN labels l ON d.doc_id = l.doc_id")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from featloom import session
 from featloom.operators import categories, cleaning, credits, model, profile, text_features
+from featloom.plans import saved
 from featloom.plans.feature_build import FeatureBuild, MovieInputs, movie_inputs
 from featloom.plans.train_score import run, train
 from featloom.queries import REGISTRY
@@ -200,6 +201,20 @@ def test_a_title_has_the_same_features_alone_and_among_others(spark):
     assert alone == among and len(alone["dir_expertise_vec"]) == build.category_buckets
 
 
+@pytest.mark.parametrize("method", ["combined", "tfidf"])
+def test_a_saved_plan_scores_alike_in_another_session(spark, tmp_path, method):
+    tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")}
+    inputs = movie_inputs(tables["part"], tables["lineitem"])
+    build = FeatureBuild(2024, method, embedding_size=8, text_components=4, final_components=3, genre_components=2, tfidf_features=64, reduced_features=32)
+    plan = train(inputs, build, "rf", trials=1, folds=2, ranges={"n_trees": (3, 3), "depth": (3, 3)})
+    saved.save(plan, f"{tmp_path}/plan")
+    other = spark.newSession()
+    again = saved.load(other, f"{tmp_path}/plan")
+    fresh = movie_inputs(*(other.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")))
+    scores = [sorted(map(tuple, p.score(i).collect())) for p, i in ((plan, inputs), (again, fresh))]
+    assert scores[0] == scores[1] and again.search.scores == plan.search.scores and again.features.build == build
+
+
 def test_owned_stages_are_deleted(spark):
     with session.owned_stages(spark):
         path = session.materialize(spark.range(3), "owned").inputFiles()[0]
