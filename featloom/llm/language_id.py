@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -164,17 +166,25 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return train(np.concatenate(x), names)
 
 
-def predict(docs: DataFrame, net: ByteNet, text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the predicted language and its score, from the whole text alone.
+def predict(docs: DataFrame, net: ByteNet, text: str = "text", into: tuple[str, str] = ("lang_pred", "score"), keep: Sequence[str] | None = None) -> DataFrame:
+    """``keep`` (all columns by default) with the predicted language and its score, from the whole text alone.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is
-    every text where no language was learnt. Columns of the two names are replaced.
+    every text where no language was learnt. One row for each input row; columns
+    of the two names are replaced. Kept columns pass through as they are, a few
+    hundred rows at a time.
     """
-
-    @F.pandas_udf("lang string, score double")
-    def judged(texts: pd.Series) -> pd.DataFrame:
-        names, scores = net.predict([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang": names, "score": scores})
-
-    out = docs.withColumn("_judged", judged(F.col(text)))
-    return out.withColumns({into[0]: F.col("_judged.lang"), into[1]: F.col("_judged.score")}).drop("_judged")
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in into]
+    rows = docs.select(*keep, F.col(text).alias("_body"))
+    fields = [f for f in rows.schema.fields if f.name != "_body"]
+    schema = StructType([*fields, StructField(into[0], StringType()), StructField(into[1], DoubleType())])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                names, scores = net.predict(part.column("_body").to_pylist())
+                columns = [part.column(c) for c in keep] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *into])
+
+    return rows.mapInArrow(judge, schema)

@@ -135,7 +135,7 @@ def op2(spark, sf_dir):
 @query("op6_language_id")
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    out = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    out = language_id.predict(docs, language_id.fit(docs), keep=["doc_id"])
     held_out = F.coalesce(~language_id.learnable(F.col("doc_id")), F.lit(False))
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
