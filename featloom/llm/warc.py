@@ -64,11 +64,12 @@ def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
     body = F.encode(F.coalesce(html, F.lit("")), "utf-8")
-    rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    rows = pages.select(F.col(key).cast("long").cast("string").alias("id"), F.col(url).alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     shared = pages.select(F.col(key).cast("long").alias("id"), body.alias("payload")).where(F.length("payload") >= shortest)
     shared = shared.select("id", F.sha2("payload", 256).alias("digest")).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     shared = materialize(shared.where("n > 1 and first is not null").select("digest", "first"), "shared-payloads")
-    rows = rows.join(shared, "digest", "left")
+    # Numbers that may be missing travel as text: a data frame column would turn them into floats.
+    rows = rows.join(shared.withColumn("first", F.col("first").cast("string")), "digest", "left")
 
     def archive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
