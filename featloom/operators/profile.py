@@ -6,6 +6,8 @@ import itertools
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -193,6 +195,19 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*cells)).alias("_c")).select("_c.x", "_c.y", "_c.r")
 
 
+def complete_correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(x, y, r) for all pairs over the rows where every value is present.
+
+    The vector form for wide tables: one pass with sums per pair of positions
+    instead of an expression per pair. The driver gets d x d numbers.
+    """
+    doubles = df.select(*[fc.to_double(c).alias(c) for c in columns]).dropna()
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(doubles)
+    matrix = Correlation.corr(vectors, "_v").first()[0]
+    cells = [(x, y, float(matrix[i, j])) for i, x in enumerate(columns) for j, y in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "x string, y string, r double")
+
+
 def k2_statistic(n: Column, skew: Column, kurt: Column) -> Column:
     """D'Agostino-Pearson omnibus statistic from population skewness and excess kurtosis."""
     n = n.cast("double")

@@ -139,6 +139,17 @@ def corr_matrix(t: Tables):
     return rounded(op.correlation_matrix(t.numbers, CORR), "r")
 
 
+COMPLETE = f"(SELECT * FROM {NUMBERS} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in CORR)})"
+
+
+@query("corr_matrix_complete", " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}::DOUBLE, {b}::DOUBLE), 6) AS r FROM {COMPLETE}".replace("label::DOUBLE", "label::INT::DOUBLE")
+    for a in CORR for b in CORR
+))
+def corr_matrix_complete(t: Tables):
+    return rounded(op.complete_correlation_matrix(t.numbers, CORR), "r")
+
+
 def _profile_sql() -> str:
     parts = []
     kinds = {"tconst": "bigint", "numVotes": "bigint", "runtimeMinutes": "bigint", "startYear": "bigint", "label": "boolean"}
