@@ -52,6 +52,11 @@ def parse(raw: bytes) -> tuple[int | None, str | None, str, int | None, str, int
     return number(fields["WARC-Record-ID"]), url, kind, number(fields.get("WARC-Refers-To")), digest, int(fields["WARC-Payload-Length"]), payload if kind == "response" else None
 
 
+def _store(place: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a URI or local path."""
+    return fs.FileSystem.from_uri(place) if ":/" in place else (fs.LocalFileSystem(), place)
+
+
 def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url: str = "url", html: str = "html", shortest: int = 100) -> DataFrame:
     """Write a record for each row and return the index: file, offset, length, url, digest, id and type of each record.
 
@@ -72,9 +77,9 @@ def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url
     rows = rows.join(shared.withColumn("first", F.col("first").cast("string")), "digest", "left")
 
     def archive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, path = _store(folder)
         store.create_dir(path, recursive=True)
-        name, out, at = f"{path}/{uuid.uuid4().hex}.warc.gz", None, 0
+        file, out, at = f"{uuid.uuid4().hex}.warc.gz", None, 0
         try:
             for frame in batches:
                 index = []
@@ -83,9 +88,9 @@ def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url
                     address = address if isinstance(address, str) else None
                     kind = "response" if first is None or ident == first else "revisit"
                     raw = record(ident, address, kind, first, digest, bytes(payload))
-                    out = out or store.open_output_stream(name, compression=None)
+                    out = out or store.open_output_stream(f"{path}/{file}", compression=None)
                     out.write(raw)
-                    index.append((name, at, len(raw), address, digest, ident, kind))
+                    index.append((f"{folder}/{file}", at, len(raw), address, digest, ident, kind))
                     at += len(raw)
                 part = pd.DataFrame(index, columns=["file", "offset", "length", "url", "digest", "id", "type"])
                 yield part.astype({"id": "Int64"})
@@ -97,12 +102,11 @@ def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url
     return materialize(index, "warc-index")
 
 
-def read(index: DataFrame, scheme: str | None = None, gap: int = 65_536, chunk: int = 8 << 20, payload: bool = True) -> DataFrame:
+def read(index: DataFrame, gap: int = 65_536, chunk: int = 8 << 20, payload: bool = True) -> DataFrame:
     """The records that ``index`` (all of it or selected rows) points at, in the columns of ``RECORD``.
 
     Records are grouped by file and ``chunk`` bytes of it, sorted by offset, and
-    neighbours at most ``gap`` bytes apart are fetched by one read. ``scheme`` is
-    a URI of the store, where the files are not local paths.
+    neighbours at most ``gap`` bytes apart are fetched by one read.
     """
     group = fresh("chunk")
     columns = ["file", "offset", "length", group]
@@ -110,14 +114,14 @@ def read(index: DataFrame, scheme: str | None = None, gap: int = 65_536, chunk:
     sorted_ = sorted_.repartition("file", group).sortWithinPartitions("file", "offset")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store = fs.FileSystem.from_uri(scheme)[0] if scheme else fs.LocalFileSystem()
         for frame in batches:
             begin, end = frame.offset, frame.offset + frame.length
             reach = end.groupby(frame.file).cummax()
             new = (frame.file != frame.file.shift()) | (begin > reach.shift() + gap) | (frame[group] != frame[group].shift())
             for _, run in frame.groupby(new.cumsum(), sort=False):
                 low, high = int(run.offset.iloc[0]), int((run.offset + run.length).max())
-                with store.open_input_file(run.file.iloc[0]) as source:
+                store, path = _store(run.file.iloc[0])
+                with store.open_input_file(path) as source:
                     source.seek(low)
                     raw = source.read(high - low)
                 found = [parse(raw[o - low : o - low + n]) for o, n in zip(run.offset, run.length)]
