@@ -6,15 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featloom.llm.common import keyed, materialize
+from featloom.llm.common import materialize
 
 _DELIMITERS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _FOLD = bytes.maketrans(_DELIMITERS, b"".join(bytes([c]).lower() if bytes([c]).isalpha() else b" " for c in _DELIMITERS))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+HITS = pa.list_(pa.struct([("token", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("around", pa.string())]))
 BITS = 24  # a map of 2 MB, whatever the benchmark's size
 
 
@@ -89,13 +91,13 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     Null texts have no words. Items with a null id hit words but are not listed;
     equal ids are one item. Repeated documents and null keys are judged each by
-    itself. ``keep`` names columns of ``docs`` to carry along instead of
+    itself. ``keep`` names (small) columns of ``docs`` to carry along instead of
     ``key``; others are not read. Without items nothing is hit.
     """
     cut = windows(items, item, item_text, size, width)
     widths = sorted(r[0] for r in cut.select(F.least("length", F.lit(width)).alias("w")).distinct().collect())
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("body"), F.struct(F.lit(1).alias("one"), *keep).alias("kept"))
-    rows = keyed(rows, "uid", "documents") if keep else rows.withColumn("uid", F.monotonically_increasing_id())
+    body = F.coalesce(text, F.lit("")).alias("body")
+    rows = docs.select(F.struct(*(keep or (key,))).alias("kept"), body).withColumn("uid", F.monotonically_increasing_id())
     seen = _map_of(cut.select("token").distinct())
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,10 +119,10 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     prefix = materialize(prefix.where("p.n > 0").select("item", "words", "length", "p.token", "p.offset"), "prefixes")
     wanted = _map_of(prefix.select("token").distinct())
 
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             n_words, hits = [], []
-            for body in frame["body"]:
+            for body in batch.column("body").to_pylist():
                 words = words_of(body)
                 n_words.append(len(words))
                 mine = []
@@ -131,11 +133,11 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
                         around = b" ".join(words[first : at + size]).decode("utf-8", "surrogatepass")
                         mine.append({"token": int(tokens[at]), "at": at, "first": first, "around": around})
                 hits.append(mine)
-            yield pd.DataFrame({"uid": frame["uid"], "key": frame["key"], "n_words": n_words, "hits": hits})
+            columns = [batch.column("uid"), batch.column("kept"), pa.array(n_words, pa.int64()), pa.array(hits, HITS)]
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "kept", "n_words", "hits"])
 
-    kind = dict(rows.dtypes)["key"]
-    shape = f"uid long, key {kind}, n_words long, hits array<struct<token:long,at:int,first:int,around:string>>"
-    found = materialize(rows.select("uid", "key", "body").mapInPandas(look, shape), "shingle-hits")
+    shape = f"uid long, kept {dict(rows.dtypes)['kept']}, n_words long, hits array<struct<token:long,at:int,first:int,around:string>>"
+    found = materialize(rows.select("uid", "kept", "body").mapInArrow(look, shape), "shingle-hits")
     begin = F.col("at") - F.col("offset")
     met = (
         found.select("uid", "n_words", F.explode("hits").alias("h")).select("uid", "n_words", "h.*").join(prefix, "token")
@@ -150,12 +152,9 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         "uid", F.greatest(F.lit(0), F.col("begin") + F.col("length") - F.greatest("begin", F.coalesce(reach, F.lit(0)))).alias("new")
     ).groupBy("uid").agg(F.sum("new").cast("long").alias("n_hit"))
     listed = met.groupBy("uid").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    out = found.select("uid", "key", "n_words").join(covered.join(listed, "uid", "left"), "uid", "left")
-    if keep:
-        out = out.drop("key").join(rows.select("uid", "kept"), "uid")
-    names = [F.col(f"kept.{c}").alias(c) for c in keep] if keep else [F.col("key").alias(key)]
+    out = found.select("uid", "kept", "n_words").join(covered.join(listed, "uid", "left"), "uid", "left")
     return out.select(
-        *names, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        *[F.col(f"kept.`{c}`").alias(c) for c in keep or (key,)], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
     )
