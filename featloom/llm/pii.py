@@ -185,6 +185,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[s
     added = spans.where(~base & free & (model.probability() >= threshold))
     order = F.element_at(F.create_map(*[F.lit(x) for k, kind in enumerate(KINDS) for x in (kind, k)]), F.col("kind"))
     added = added.groupBy("uid").agg(F.collect_list(F.struct("start", order.alias("order"), "end", "kind")).alias("added"))
+    added = materialize(added, "added-spans")  # few rows as a rule; their file size decides whether the texts have to move for the join
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     out = found.join(added, "uid", "left")
     names = [F.col(f"kept.{c}").alias(c) for c in keep] if keep else [F.col("key").alias(key)]
