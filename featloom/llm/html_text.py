@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -125,57 +124,59 @@ def parse(html: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
 def main_text(html: str | None, unimportant: frozenset[int] = frozenset()) -> str:
     """The kept blocks joined by one space.
 
-    Where the page has an article or main element only what lies in it is kept,
-    without branches whose presentation is noise; elsewhere also the branches that
-    the site's style tree found unimportant go.
+    Branches that the site's style tree found unimportant go on every page, and
+    those whose presentation is noise. Where the page has an article or main
+    element only what lies in it is kept.
     """
-    blocks, nodes = parse(html)
-    inside = any(n.main and not n.noise for n, _ in blocks)
-    return " ".join(text for n, text in blocks if not n.noise and (n.main if inside else n.path not in unimportant))
+    blocks, _ = parse(html)
+    blocks = [(n, text) for n, text in blocks if not n.noise and n.path not in unimportant]
+    inside = any(n.main for n, _ in blocks)
+    return " ".join(text for n, text in blocks if n.main or not inside)
 
 
-def style_tree(pages: DataFrame, host: str, html: str, least: float = 0.3, pages_needed: int = 20, share: float = 0.01) -> DataFrame:
-    """``(host, paths)``: the unimportant branches of every site.
+def page_nodes(pages: DataFrame) -> DataFrame:
+    """``(host, page, path, content, style)``: the branches of each page that hold text of their own, once for equal pages of a host.
 
-    The DOMs of a host are merged by the path of tags and classes. A node's
-    presentation is the sequence of its children, its content the text it holds;
-    the entropy of either over the pages that have the node, in units of the
-    logarithm of their number, is its importance. A node is unimportant if the
-    larger of both is below ``least``. Only nodes on ``pages_needed`` pages and on
-    ``share`` of the host's pages are judged, so a host has a bounded number of them.
+    ``pages`` has ``(host, page, html)``, ``page`` a hash of ``html``.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def branches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            seen = Counter()
-            for site, body in zip(frame["host"], frame["html"]):
-                _, nodes = parse(body)
-                seen[site, 0, 0, 0] += 1
+            rows = {}
+            for site, page, body in zip(frame["host"], frame["page"], frame["html"]):
+                if (site, page) in rows:
+                    continue
                 merged: dict[int, tuple[list, list]] = {}
-                for n in nodes:
-                    if not n.noise and not n.main:
-                        texts, children = merged.setdefault(n.path, ([], []))
-                        texts += n.texts
-                        children += n.children
-                for path, (texts, children) in merged.items():
-                    text = xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) >> 1
-                    style = xxhash.xxh64_intdigest(repr(children)) >> 1
-                    seen[site, 1, path, text] += 1
-                    seen[site, 2, path, style] += 1
-            rows = [(*k, n) for k, n in seen.items()]
-            yield pd.DataFrame(rows, columns=["host", "feature", "path", "value", "n"])
-
-    rows = pages.select(F.col(host).alias("host"), F.col(html).alias("html")).mapInPandas(
-        count, "host string, feature int, path long, value long, n long"
-    )
-    counts = rows.groupBy("host", "feature", "path", "value").agg(F.sum("n").alias("n"))
-    nodes = counts.groupBy("host", "feature", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
-    nodes = materialize(nodes, "style-nodes")
+                for n in parse(body)[1]:
+                    texts, children = merged.setdefault(n.path, ([], []))
+                    texts += n.texts
+                    children += n.children
+                rows[site, page] = [
+                    (site, page, path, xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) >> 1, xxhash.xxh64_intdigest(repr(children)) >> 1)
+                    for path, (texts, children) in merged.items() if texts
+                ]
+            yield pd.DataFrame([r for found in rows.values() for r in found], columns=["host", "page", "path", "content", "style"])
+
+    rows = pages.select("host", "page", "html").mapInPandas(branches, "host string, page long, path long, content long, style long")
+    return rows.distinct()
+
+
+def style_tree(nodes: DataFrame, least: float = 0.3, pages_needed: int = 20) -> DataFrame:
+    """``(host, path)``: the unimportant branches of every site, from ``page_nodes``.
+
+    The DOMs of a host are merged by the path of tags and classes, inside and
+    outside of articles. A node's presentation is the sequence of its children,
+    its content the text it holds; the entropy of either over the different pages
+    that have the node, in units of the logarithm of their number, is its
+    importance. A node is unimportant if the larger of both is below ``least``.
+    On fewer than ``pages_needed`` pages no entropy says anything.
+    """
+    values = F.explode(F.array(F.struct(F.lit(1).alias("feature"), F.col("content").alias("value")), F.struct(F.lit(2).alias("feature"), F.col("style").alias("value"))))
+    counts = nodes.select("host", "path", values.alias("v")).groupBy("host", "path", "v.feature", "v.value").agg(F.count("*").alias("n"))
+    judged = counts.groupBy("host", "path", "feature").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
     importance = F.when(F.col("m") > 1, 1 - F.col("s") / (F.col("m") * F.log("m"))).otherwise(1.0)
-    total = nodes.where("feature = 0").select("host", F.col("m").alias("total"))
-    judged = nodes.where("feature > 0").groupBy("host", "path").agg(F.max(importance).alias("importance"), F.max("m").alias("m"))
-    low = judged.where((F.col("importance") < least) & (F.col("m") >= pages_needed)).join(total, "host")
-    return low.where(F.col("m") >= share * F.col("total")).groupBy("host").agg(F.collect_list("path").alias("paths"))
+    judged = judged.groupBy("host", "path").agg(F.max(importance).alias("importance"), F.max("m").alias("m"))
+    return judged.where((F.col("importance") < least) & (F.col("m") >= pages_needed)).select("host", "path")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -186,8 +187,12 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     other columns are not read.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), host_and_path(url)[0].alias("host"))
-    paths = materialize(style_tree(rows, "host", "html"), "unimportant-branches")
-    rows = rows.join(paths, "host", "left")
+    rows = rows.withColumn("page", F.xxhash64("html"))
+    nodes = materialize(page_nodes(rows), "page-nodes")
+    low = materialize(style_tree(nodes), "unimportant-branches")
+    # Pages meet the branches one by one, so a page carries those of its own that go, whatever their number in the host.
+    paths = nodes.join(low, ["host", "path"]).groupBy("host", "page").agg(F.collect_list("path").alias("paths"))
+    rows = rows.join(materialize(paths, "page-branches"), ["host", "page"], "left")
 
     @F.pandas_udf("string")
     def text_of(bodies: pd.Series, noise: pd.Series) -> pd.Series:

@@ -116,3 +116,15 @@ def test_site_style_tree(spark):
     out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, paths string"))
     assert out.count() == len(rows) and out.where(F.length("text") != F.col("n_chars")).count() == 0
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_style_tree_inside_articles(spark):
+    rows, body = [], "<article><h1>Title {0}</h1><p>Story {0} of its own</p><p class=motto>Read us daily</p></article><div>Outside {0}</div>"
+    for i in range(3000):
+        page = body.format(i) if i >= 25 else body.format(i).replace("class=motto", "class=claim")
+        rows.append((i, "http://hot.org/a", page))
+    rows += [(5000 + i, "http://copies.org/", body.format(7)) for i in range(60)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    # Below 1% of the host's pages too; copies of one page are no evidence against its text.
+    assert {i: got[i] for i in range(3000)} == {i: f"Title {i} Story {i} of its own" for i in range(3000)}
+    assert {got[5000 + i] for i in range(60)} == {"Title 7 Story 7 of its own Read us daily"}
