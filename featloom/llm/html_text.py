@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -31,23 +32,32 @@ BLOCK = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 MAIN = frozenset(("article", "main"))
 #: Elements and names whose presentation says that they are not the article.
-NOISE = frozenset("head nav header footer aside form button select option dialog menu audio video object canvas map".split())
-NOISE_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+NOISE = frozenset("head nav header footer aside button select option dialog menu audio video object canvas map".split())
+NOISE_ROLE = frozenset("navigation banner contentinfo complementary alert alertdialog dialog menu menubar toolbar".split())
 NOISE_NAME = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|adslot|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|"
     r"subscri\w+|sign-?up|login|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side-?bar|widget|footer|header|masthead|toolbar|shar(?:e|ing)|social|"
     r"related|recommend\w*|comments?|comment-?list|disqus\w*|repl(?:y|ies)|discussion|search|pagination|pager|skip-?link)(?:$|[-_\s])",
     re.I,
 )
+#: Names of a layout: what it lacks, has or comes with.
+LAYOUT = re.compile(r"(?<![A-Za-z0-9])(?:no|has|have|with|without|hide|hidden)[-_]+[A-Za-z0-9]+", re.I)
+#: A branch marked by a name or a form goes only with at most this share of the page's text; an article frame needs at least its own.
+NAMED_SHARE, FRAME_SHARE = 1 / 3, 1 / 2
 PAGE = frozenset(("html", "body", "main", "article"))
+#: Names that no element around an article has, however short the article.
+APART = re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|cookie\w*|consent|gdpr|newsletter|breadcrumbs?|pagination|pager|skip-?link)(?:$|[-_\s])", re.I)
 COMMENT = re.compile(r"(?:^|[-_\s])(?:comments?|repl(?:y|ies)|disqus\w*)(?:$|[-_\s])", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "main", "children", "texts")
+    """``mark`` is the nearest element, itself included, that a name or a form speaks against, ``above`` the nearest around it."""
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main, self.children, self.texts = tag, path, noise, main, [], []
+    __slots__ = ("tag", "path", "noise", "main", "apart", "mark", "above", "children", "texts")
+
+    def __init__(self, tag: str, path: int, noise: bool, main: bool, above: Node | None = None, named: bool = False, apart: bool = False):
+        self.tag, self.path, self.noise, self.main, self.apart, self.children, self.texts = tag, path, noise, main, apart, [], []
+        self.above, self.mark = above, self if named else above
 
 
 def _element(parent: Node, tag: str, attributes: str) -> Node:
@@ -55,14 +65,18 @@ def _element(parent: Node, tag: str, attributes: str) -> Node:
     if attributes:
         for m in NAMES.finditer(attributes):
             names[m[1].lower()] = m[2] or m[3] or m[4] or ""
-    label = f"{names['class']} {names['id']}"
     noise = tag in NOISE and not (tag == "header" and parent.main) or names["role"].lower() in NOISE_ROLE
+    apart, named = False, tag == "form" or names["role"].lower() in ("form", "search")
+    label = f"{names['class']} {names['id']}"
     if label != " ":
-        noise = noise or (COMMENT if tag in PAGE else NOISE_NAME).search(label) is not None
+        label = LAYOUT.sub(" ", label)
+        comment = COMMENT.search(label) is not None
+        apart = comment or tag not in PAGE and APART.search(label) is not None
+        named = named or apart or tag not in PAGE and NOISE_NAME.search(label) is not None
     key = f"{tag}.{re.sub('[0-9]+', '#', names['class'])}".encode("utf-8", "surrogatepass")
     path = xxhash.xxh64_intdigest(key, parent.path & 0xFFFFFFFFFFFFFFFF)
     path = path - (1 << 64) if path >> 63 else path
-    return Node(tag, path, parent.noise or noise, parent.main or tag in MAIN or names["role"].lower() == "main")
+    return Node(tag, path, parent.noise or noise, parent.main or tag in MAIN or names["role"].lower() == "main", parent.mark, named, apart)
 
 
 def parse(html: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
@@ -121,16 +135,42 @@ def parse(html: str | None) -> tuple[list[tuple[Node, str]], list[Node]]:
     return blocks, nodes
 
 
+def _ruled_out(blocks: list[tuple[Node, str]], nodes: list[Node]) -> set[Node]:
+    """The elements whose name or form rules out their branch.
+
+    A branch with an article or main element is the page itself, whatever its
+    name; so is one with a large share of the page's text, comments, adverts and the like excepted.
+    """
+    if all(n.mark is None for n in nodes):
+        return set()
+    framing = {m for n in nodes if n.tag in MAIN and not n.noise and n.mark is not n for m in _marks(n.mark)}
+    held, total = Counter(), 0
+    for n, text in blocks:
+        if not n.noise:
+            total += len(text)
+            held.update({m: len(text) for m in _marks(n.mark)})
+    named = {m for n in nodes for m in _marks(n.mark)}
+    return {m for m in named if m not in framing and (m.apart or held[m] <= NAMED_SHARE * total)}
+
+
+def _marks(mark: Node | None) -> Iterator[Node]:
+    while mark is not None:
+        yield mark
+        mark = mark.above
+
+
 def main_text(html: str | None, unimportant: frozenset[int] = frozenset()) -> str:
     """The kept blocks joined by one space.
 
     Branches that the site's style tree found unimportant go on every page, and
-    those whose presentation is noise. Where the page has an article or main
-    element only what lies in it is kept.
+    those whose presentation is noise. Where the article or main elements hold
+    at least ``FRAME_SHARE`` of the rest, only what lies in them is kept.
     """
-    blocks, _ = parse(html)
-    blocks = [(n, text) for n, text in blocks if not n.noise and n.path not in unimportant]
-    inside = any(n.main for n, _ in blocks)
+    blocks, nodes = parse(html)
+    out = _ruled_out(blocks, nodes)
+    blocks = [(n, text) for n, text in blocks if not n.noise and n.path not in unimportant and out.isdisjoint(_marks(n.mark))]
+    framed = sum(len(text) for n, text in blocks if n.main)
+    inside = framed > 0 and framed >= FRAME_SHARE * sum(len(text) for _, text in blocks)
     return " ".join(text for n, text in blocks if n.main or not inside)
 
 

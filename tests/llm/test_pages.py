@@ -128,3 +128,20 @@ def test_style_tree_inside_articles(spark):
     # Below 1% of the host's pages too; copies of one page are no evidence against its text.
     assert {i: got[i] for i in range(3000)} == {i: f"Title {i} Story {i} of its own" for i in range(3000)}
     assert {got[5000 + i] for i in range(60)} == {"Title 7 Story 7 of its own Read us daily"}
+
+
+@pytest.mark.parametrize("around", [
+    "<div class='layout no-sidebar'>%s</div>", "<div class=with-sidebar>%s</div>", "<div class=content-widget>%s</div>", "<div id=search-results>%s</div>",
+    "<form>%s</form>", "<body class='has-comments'>%s</body>", "<div class=sidebar><p>Links</p></div>%s",
+])
+def test_names_around_the_article(around):
+    story = "<h1>Head</h1><p>A story of some length that nobody may lose</p><div class=ad>Buy</div>"
+    assert html_text.main_text(around % f"<article>{story}</article>") == "Head A story of some length that nobody may lose"
+    assert html_text.main_text(around % f"<div>{story}</div>") == "Head A story of some length that nobody may lose"
+
+
+def test_frame_by_share_of_text():
+    story = "The main text lies in a plain element and is much longer than the cards"
+    assert html_text.main_text(f"<div>{story}</div><article>Card</article><article>Card</article>") == f"{story} Card Card"
+    assert html_text.main_text(f"<article>{story}</article><div id=comments><article class=comment>{story * 3}</article></div><div>More</div>") == story
+    assert html_text.main_text(f"<div class=ad>{story}</div><article>Short</article>") == "Short"
