@@ -18,21 +18,28 @@ _PART = 65_536  # shingle hashes unpacked at a time
 _WORDS = 65_536  # words of candidates compared at a time
 
 
-def fingerprint_of(text: str | None, width: int = 3, seed: int = 42) -> int:
-    """Unsigned 64-bit SimHash of the shingles of ``width`` words, repeats included; 0 for a text without words.
+def shingle_hashes(text: str | None, width: int = 3, seed: int = 42) -> np.ndarray:
+    """Unsigned 64-bit hashes of the shingles of ``width`` words, repeats included; none for a text without words.
 
     Words are runs of characters other than ASCII white space, A-Z in lower case.
     Texts of fewer words have one shingle, the whole sequence.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     width = min(width, len(words))
     flat = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(flat[s:e], seed) for s, e in zip(starts, ends[width - 1 :].tolist())], "<u8")
+    return np.array([digest(flat[s:e], seed) for s, e in zip(starts, ends[width - 1 :].tolist())], "<u8")
+
+
+def fingerprint_of(text: str | None, width: int = 3, seed: int = 42) -> int:
+    """Unsigned 64-bit SimHash of ``shingle_hashes``; 0 for a text without words."""
+    hashes = shingle_hashes(text, width, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), _PART):
         ones += np.unpackbits(hashes[k : k + _PART].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)

@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from featloom.llm import embedding_dedup, simhash
+import corpus_pipeline
+from featloom.llm import embedding_dedup, near_text, simhash
 from featloom.llm.graph import components
 
 
@@ -121,3 +123,34 @@ def test_embeddings_without_links(spark):
     rows = [(None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1)]
     got = sorted(map(tuple, embedding_dedup.near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == sorted([(None, 0, None, False), (1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)], key=str)
+
+
+def plain_shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("limit", [400_000, 3_000])
+def test_near_duplicate_stage(spark, monkeypatch, limit):
+    monkeypatch.setattr(near_text, "SLICE", limit)
+    rng = random.Random(6)
+    texts = []
+    for _ in range(30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        texts.append(" ".join(words))
+        for changes in (4, 8, 12, 40):
+            copy = list(words)
+            for k in rng.sample(range(400), changes):
+                copy[k] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    hot = [f"h{k}" for k in range(300)]  # a chain: each text is near the next ones, not the last one
+    for k in range(0, 120, 4):
+        texts.append(" ".join([f"y{j}" for j in range(k)] + hot[k:]))
+    texts += ["a b", "A  b", "a c", "one two three four five six"]
+    cut = [plain_shingles(t) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(cut[i] & cut[j]) >= 0.8 * len(cut[i] | cut[j])]
+    want = {i for i, r in closure(range(len(texts)), links).items() if i == r}
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert out.count() == out.select(F.countDistinct("doc_id")).head()[0] and {r.doc_id for r in out.collect()} == want
