@@ -131,3 +131,9 @@ def test_redaction(spark):
     df = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), keep=("doc_id", "text"))
     out = df.select("doc_id", pii.redacted(F.col("text"), pii.base_spans()).alias("t")).collect()
     assert {r.doc_id: r.t for r in out} == {0: "mail é😀 [EMAIL], card [CARD].", 1: "+[CARD] [EMAIL]", 2: "", 3: None, 4: "clean"}
+
+
+def test_long_secrets_are_linked(spark):
+    rows = [(n, "user: alice1 " + "aB3" * n + " at https://api.example.org/x") for n in (20, 117, 534)]
+    for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert {s.kind for s in r.linked} == {"linked_id", "linked_secret", "linked_endpoint"}
