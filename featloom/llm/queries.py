@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import decontaminate, embedding_dedup, html_text, language_id, mixing, pii, secrets, simhash, url_filter, warc
+from featloom.llm import decontaminate, divergence, embedding_dedup, filter_audit, html_text, language_id, mixing, pii, secrets, simhash, url_filter, warc
 from featloom.llm.common import digest_of, listed
 from featloom.queries.registry import Query
 
@@ -143,3 +143,52 @@ def op6(spark, sf_dir):
 @query("op8_html_text")
 def op8(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+u AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term, count(*) AS total FROM u GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (total + 5)) // (sum(total) OVER l + 5 * count(*) OVER l)::HUGEINT AS q
+      FROM k WINDOW l AS (PARTITION BY lang)),
+n AS (SELECT lang, source, term, count(*) AS n FROM u JOIN k USING (lang, term) GROUP BY ALL),
+c AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN n USING (lang, source, term)),
+p AS MATERIALIZED (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER s + 5 * count(*) OVER s)::HUGEINT AS p
+      FROM c WINDOW s AS (PARTITION BY lang, source)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM x)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50""")
+def op11(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY x) AS least FROM d),
+b AS (SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+        + 4 * (100 * len(regexp_extract_all(x, '[A-Z]')) > 2 * length(x))::INT + 8 * regexp_matches(x, '[#$%&*|]')::INT
+        + 16 * coalesce(least < doc_id, false)::INT AS bits FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+c AS MATERIALIZED (SELECT part, bits, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM b LEFT JOIN l USING (doc_id) GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT v.f || w.f || x.f || y.f || z.f AS filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits FROM f v, f w, f x, f y, f z
+      WHERE v.bit + w.bit + x.bit + y.bit + z.bit = 31 AND v.bit | w.bit | x.bit | y.bit | z.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM o, (SELECT unnest(range(1, 6))::INT AS step)),
+t AS (SELECT part, filter_order, step, bit,
+        sum(CASE WHEN bits & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN bits & before = 0 AND bits & bit <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN bits & before <> 0 AND bits & bit <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN bits = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN bits & before = 0 AND bits & bit <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN bits & before = 0 AND bits & bit <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT * EXCLUDE (bit), sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM t""")
+def op13(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
