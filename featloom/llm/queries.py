@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import decontaminate, divergence, embedding_dedup, filter_audit, html_text, language_id, mixing, pii, secrets, simhash, url_filter, warc
+from featloom.llm import decontaminate, divergence, embedding_dedup, filter_audit, html_text, language_id, licenses, mixing, pii, secrets, simhash, url_filter, warc
 from featloom.llm.common import digest_of, listed
 from featloom.queries.registry import Query
 
@@ -168,6 +168,16 @@ def op11(spark, sf_dir):
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+@query("op12_license_scan", licenses.scan_sql())
+def op12(spark, sf_dir):
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    spot = lambda at: F.when(F.size("places") > 0, F.element_at("places", at).word)
+    return out.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), spot(1).alias("first_word"), spot(-1).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 @query("op13_filter_audit", r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
 w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY x) AS least FROM d),
