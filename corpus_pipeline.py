@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featloom.llm import decontaminate, language_id, mixing, near_text, pii
+from featloom.llm import decontaminate, language_id, mixing, pii, simhash
 from featloom.llm.common import materialize
 from featloom.llm.queries import REGISTRY, query
+from featloom.session import owned_stages, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,19 +30,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, and one of its rows if it is repeated.
+    """Of each SimHash group the document with the smallest id stays, and one of its rows if it is repeated.
 
-    Near-duplicates share at least 0.8 of their sets of five-word shingles (exact Jaccard similarity), directly or over others.
-    Documents without an id are compared as well; they go where their group has one with an id, else one of them stays.
+    Fingerprints of 3-word shingles link at 3 or fewer differing bits, directly or over others. Documents
+    without an id are compared as well; they go where their group has one with an id, else one of them stays.
     """
     rows = marked(docs)
-    found = materialize(rows.select(*MARKS, near_text.prints("text").alias("p")).select(*MARKS, "p.*"), "prints")
-    distinct = found.groupBy("node").agg(F.min(F.struct(*MARKS)).alias("best"), F.first("words").alias("words"), F.first("bands").alias("bands"))
-    distinct = materialize(distinct, "distinct-texts")
-    best = distinct.join(near_text.groups(rows, distinct, MARKS), "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
-    best = materialize(best.agg(F.min("best").alias("best")).select("best.*"), "chosen")
-    # The chosen rows meet them by their marks, and rows of equal marks are one row repeated.
-    return rows.join(best, MARKS, "left_semi").dropDuplicates(MARKS).select(COLUMNS)
+    groups = simhash.near_duplicates(rows.select(F.struct(*MARKS).alias("mark"), "text"), "mark", "text")
+    fate = groups.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("mark") == F.col("component")).alias("stays"))
+    # Most documents are the only ones of their group and not in this table, so they are not moved where it is small.
+    fate = materialize(fate.where("n > 1 OR NOT stays").select("mark.*", "stays"), "fates")
+    once = rows.join(fate, MARKS, "left_anti")
+    again = rows.join(fate.where("stays"), MARKS, "left_semi").dropDuplicates(MARKS)
+    return once.unionByName(again).select(COLUMNS)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,7 +86,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written and read again as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with owned_stages(spark):  # what the stage wrote for itself goes when its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
 
 
