@@ -167,17 +167,17 @@ def parse_categories(c: Column | str, sep: str = "|") -> Column:
     stripped and lower-cased; NULL gives an empty list. The Python words None,
     True and False are read as their JSON counterparts.
     """
-    c = strip(c)
-    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        c = F.when(c.startswith("["), F.regexp_replace(c, rf"(?<=[:,\[]\s{{0,9}}){word}(?=\s*[,}}\]])", json)).otherwise(c)
+    none = F.array().cast("array<string>")
     quotes = {"allowSingleQuotes": "true"}
-    dicts = F.from_json(c, "array<struct<name:string>>", quotes)["name"]
-    strings = F.from_json(c, "array<string>", quotes)
-    split = F.split(c, "\\" + sep)
-    parsed = (
-        F.when(c.isNull(), F.array().cast("array<string>"))
-        .when(c.rlike(r"^\[\s*\{"), dicts)
-        .when(c.startswith("["), strings)
-        .otherwise(split)
-    )
-    return F.transform(F.coalesce(parsed, F.array().cast("array<string>")), lambda x: F.lower(strip(x)))
+
+    # One-element transforms hold a text, so that each step is worked out once however often it is used.
+    def from_json(text: Column) -> Column:
+        for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+            text = F.regexp_replace(text, rf"(?<=[:,\[]\s{{0,9}}){word}(?=\s*[,}}\]])", json)
+        dicts = lambda x: F.from_json(x, "array<struct<name:string>>", quotes)["name"]
+        parsed = lambda x: F.when(x.rlike(r"^\[\s*\{"), dicts(x)).otherwise(F.from_json(x, "array<string>", quotes))
+        return F.get(F.transform(F.array(text), parsed), F.lit(0))
+
+    parsed = lambda x: F.when(x.isNull(), none).when(x.startswith("["), from_json(x)).otherwise(F.split(x, "\\" + sep))
+    names = F.get(F.transform(F.array(strip(c)), parsed), F.lit(0))
+    return F.transform(F.coalesce(names, none), lambda x: F.lower(strip(x)))

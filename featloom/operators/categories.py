@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featloom.operators import sparse
 from featloom.session import materialize
 
 
@@ -97,32 +99,95 @@ def fit_popularity(df: DataFrame, categories: str, measure: str | None = None) -
     return materialize(popularity(df, categories, measure))
 
 
-def category_vectors(df: DataFrame, categories: str, weights: DataFrame, out: str, buckets: int = 512) -> DataFrame:
-    """``df`` with a vector of ``2 * buckets`` numbers: weighted counts by hashed category, then products by hashed pair.
+def list_rows(df: DataFrame, categories: str) -> DataFrame:
+    """(row, list, weight): each distinct list once, with the number of its rows; rows without a list are not there."""
+    key = F.sha2(F.to_json(F.array_sort(F.col(categories))), 256)
+    return df.select(key.alias("row"), F.array_sort(F.col(categories)).alias("list")).where("list IS NOT NULL").groupBy("row").agg(
+        F.first("list").alias("list"), F.count(F.lit(1)).alias("weight")
+    )
+
+
+def _counted(lists: DataFrame) -> DataFrame:
+    """(row, category, n, weight): how often each category stands in a list."""
+    each = lists.select("row", "weight", F.explode("list").alias("category")).where("category IS NOT NULL")
+    return each.groupBy("row", "weight", "category").agg(F.count("*").alias("n"))
+
+
+def _pairs(known: DataFrame) -> DataFrame:
+    """(row, pair, value, weight): products of the weights of every two categories of a list; a list's own categories bound its pairs."""
+    held = F.array_sort(F.collect_list(F.struct("category", "value")))
+    joined = F.transform("_u", lambda a, i: F.transform(
+        F.slice("_u", i + 2, F.size("_u")),
+        lambda b: F.struct(F.concat_ws("\x00", a.category, b.category).alias("pair"), (a.value * b.value).alias("value")),
+    ))
+    each = known.groupBy("row", "weight").agg(held.alias("_u")).select("row", "weight", F.explode(F.flatten(joined)).alias("_p"))
+    return each.select("row", "_p.pair", "_p.value", "weight")
+
 
-    ``weights`` is a fitted (category, popularity); categories without one are
-    left out, NULL popularity counts 0. The width does not depend on how many
-    categories there are, and nothing about them reaches the driver. Each distinct
-    list is worked out once and joined back; rows without a list get zeros.
+@dataclass(frozen=True)
+class CategoryVectors:
+    """Weighted counts by category, then products by pair, each at a position of its own.
+
+    ``singles`` is (category, w, position, hot), ``pairs`` (pair, position, hot), both
+    written; pairs follow the categories. What the fit has not seen is left out,
+    a category without a popularity counts 0.
     """
-    one = lambda side, bucket, value: F.struct((F.lit(side * buckets) + F.pmod(bucket, F.lit(buckets))).cast("int").alias("at"), value.alias("v"))
-    lists = df.select(F.col(categories).alias("_list")).where("_list IS NOT NULL").distinct()
-    count = lambda g: F.size(F.filter("_list", lambda x: x == g))
-    known = (
-        lists.select("_list", F.explode(F.transform(F.array_distinct("_list"), lambda g: F.struct(g.alias("g"), count(g).alias("n")))).alias("_e"))
-        .select("_list", F.col("_e.g").alias("category"), "_e.n")
-        .join(weights.select("category", F.coalesce("popularity", F.lit(0.0)).alias("w")), "category")
-        .groupBy("_list").agg(F.array_sort(F.collect_list(F.struct("category", (F.col("n") * F.col("w")).alias("v")))).alias("_u"))
-    )
-    singles = F.transform("_u", lambda a: one(0, F.xxhash64(a.category), a.v))
-    pairs = F.flatten(F.transform("_u", lambda a, i: F.transform(
-        F.slice("_u", i + 2, F.size("_u")), lambda b: one(1, F.xxhash64(a.category, b.category), a.v * b.v)
-    )))
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(2 * buckets - 1)),
-        lambda at: F.aggregate(F.filter("_cells", lambda c: c.at == at), F.lit(0.0), lambda s, c: s + c.v),
-    )
-    vectors = materialize(known.select("_list", F.concat(singles, pairs).alias("_cells")).select("_list", dense.alias("_v")), "category-vectors")
-    joined = df.join(vectors, df[categories] == vectors["_list"], "left").drop("_list")
-    zeros = F.array_repeat(F.lit(0.0), 2 * buckets)
-    return joined.withColumn(out, array_to_vector(F.coalesce("_v", zeros))).drop("_v")
+
+    categories: str
+    size: int
+    singles: DataFrame
+    pairs: DataFrame
+
+    def cells(self, lists: DataFrame) -> DataFrame:
+        """(row, position, value, weight) of ``list_rows``."""
+        known = _weighed(lists, self.singles)
+        pairs = sparse.join_known(_pairs(known), self.pairs, "pair", "row")
+        columns = ["row", "position", "value", "weight"]
+        return known.select(*columns).unionByName(pairs.select(*columns)).where("value <> 0")
+
+    def transform(self, df: DataFrame, out: str) -> DataFrame:
+        """``df`` with a sparse vector, written."""
+        held = sparse.packed(self.cells(list_rows(df, self.categories)), "row", self.size, out)
+        return sparse.as_vectors(join_lists(df, self.categories, held, out, sparse.no_cells(self.size)), [out])
+
+
+def _weighed(lists: DataFrame, singles: DataFrame) -> DataFrame:
+    return sparse.join_known(_counted(lists), singles, "category", "row").withColumn("value", F.col("n") * F.col("w"))
+
+
+def join_lists(df: DataFrame, categories: str, found: DataFrame, out: str, absent: Column) -> DataFrame:
+    """``df`` with ``out`` of its category lists from (row, out); ``absent`` where there is none."""
+    key = F.sha2(F.to_json(F.array_sort(F.col(categories))), 256)
+    held = df.drop(out).withColumn("_row", key).join(found.select(F.col("row").alias("_row"), out), "_row", "left").drop("_row")
+    return held.withColumn(out, F.coalesce(out, absent))
+
+
+def fit_category_vectors(df: DataFrame, categories: str, weights: DataFrame) -> CategoryVectors:
+    """Positions for the categories of ``weights`` (category, popularity) and for every pair that a row of ``df`` holds."""
+    lists = materialize(list_rows(df, categories), "category-lists")
+    used = _counted(lists).groupBy("category").agg(F.sum("weight").alias("_n"))
+    singles = weights.select("category", F.coalesce("popularity", F.lit(0.0)).alias("w")).join(used, "category", "left").fillna(0, ["_n"])
+    singles = sparse.mark_hot(materialize(singles, "categories"), "_n").select("category", "w", "hot")
+    singles = materialize(sparse.dictionary(singles, ["category"]), "category-positions")
+    n = singles.count()
+    seen = _pairs(_weighed(lists, singles)).groupBy("pair").agg(F.sum("weight").alias("_n"))
+    pairs = sparse.dictionary(sparse.mark_hot(materialize(seen, "category-pairs"), "_n").select("pair", "hot"), ["pair"])
+    pairs = materialize(pairs.withColumn("position", F.col("position") + n), "pair-positions")
+    return CategoryVectors(categories, max(n + pairs.count(), 1), singles, pairs)
+
+
+@dataclass(frozen=True)
+class CategoryComponents:
+    vectors: CategoryVectors
+    out: str
+    components: sparse.Components
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        found = self.components.project(self.vectors.cells(list_rows(df, self.vectors.categories)), "row")
+        found = found.select("row", array_to_vector("components").alias(self.out))
+        return join_lists(df, self.vectors.categories, found, self.out, array_to_vector(self.components.at_zero()))
+
+
+def fit_category_components(df: DataFrame, vectors: CategoryVectors, k: int, out: str) -> CategoryComponents:
+    cells = materialize(vectors.cells(list_rows(df, vectors.categories)), "category-cells")
+    return CategoryComponents(vectors, out, sparse.fit_components(cells, df.count(), k))

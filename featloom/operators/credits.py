@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featloom.operators import sparse
+
 
 def distinct_per_key(links: DataFrame, key: str, person: str, alias: str) -> DataFrame:
     """Distinct persons per title (missing persons are not counted)."""
@@ -146,6 +147,13 @@ def person_stats(links: DataFrame, key: str, person: str, rating: str | None = N
     return links.where(F.col(person).isNotNull()).groupBy(person).agg(*aggs)
 
 
+def title_person_stats(links: DataFrame, stats: DataFrame, key: str, person: str) -> DataFrame:
+    """(key, statistics...): means of the statistics of ``person_stats`` over a title's distinct persons."""
+    numbers = [c for c in stats.columns if c != person]
+    held = links.select(key, person).distinct().join(stats, person)
+    return held.groupBy(key).agg(*[F.avg(c).alias(c) for c in numbers])
+
+
 # --- fan-out counts --------------------------------------------------------
 
 
@@ -252,12 +260,10 @@ def expertise_columns(long: DataFrame, key: str, names: Sequence[str], suffix: s
     return wide.select(key, *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n + suffix) for n in names])
 
 
-def expertise_vector(long: DataFrame, key: str, out: str, buckets: int) -> DataFrame:
-    """One vector of ``buckets`` numbers per title, categories hashed to its positions."""
-    cells = long.groupBy(key, F.pmod(F.xxhash64("category"), F.lit(buckets)).cast("int").alias("at")).agg(F.sum("expertise").alias("v"))
-    held = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda at: F.coalesce(F.col("_m")[at], F.lit(0.0)))
-    return held.select(key, array_to_vector(dense).alias(out))
+def expertise_vector(long: DataFrame, key: str, out: str, positions: DataFrame, size: int) -> DataFrame:
+    """One sparse vector per title in storage form; ``positions`` is (category, position, hot), one for each category."""
+    cells = sparse.join_known(long, positions, "category", key)
+    return sparse.packed(cells, key, size, out, value="expertise")
 
 
 def category_names(df: DataFrame, categories: str) -> list[str]:

@@ -8,7 +8,7 @@ task; with a handful of groups (columns, labels) neither holds on a large table.
 So the pass that takes counts and moments also takes a quantile sketch: cuts of
 equal depth whose ranks are off by a known share at most. Each rank is bracketed
 between two cuts, and the next pass counts what lies below each bracket and the
-values inside it. The counts fix the exact value. Where a bracket may still hold
+values inside it. Every value falls into one cell, so no row is multiplied, and the counts fix the exact value. Where a bracket may still hold
 more than ``rank_rows`` values, that pass takes a sketch of the bracket instead
 and the step repeats, so no group is ever held in one task.
 """
@@ -73,17 +73,34 @@ def brackets(summary: DataFrame, keys: Sequence[str], ranks: Sequence[Column]) -
     return out.select(*keys, "rank", lo.alias("lo"), F.col("hi"), "most")
 
 
-def _met(values: DataFrame, keys: Sequence[str], state: DataFrame) -> DataFrame:
-    """(keys..., rank, lo, hi, place): each value once for every bracket it is not above; null where it lies below."""
-    packed = state.groupBy(*keys).agg(F.collect_list(F.struct("rank", "lo", "hi")).alias("_targets"))
-    hit = values.join(packed, list(keys)).select(
-        *keys, "value", F.explode(F.filter("_targets", lambda t: F.col("value") <= t.hi)).alias("_t")
-    )
-    return hit.select(*keys, "_t.*", F.when(F.col("value") >= F.col("_t.lo"), F.col("value")).alias("place"))
+def _wide(state: DataFrame, keys: Sequence[str], ranks: int) -> DataFrame:
+    """(keys..., _lo0, _hi0, _lo1, ...): the brackets of a group in the order of their ranks, one row per group."""
+    packed = state.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", "lo", "hi"))).alias("_t"))
+    ends = [F.get("_t", F.lit(k))[end].alias(f"_{end}{k}") for k in range(ranks) for end in ("lo", "hi")]
+    return packed.select(*keys, *ends)
+
+
+def _cell(value: Column, ranks: int) -> tuple[Column, Column]:
+    """Number of the first bracket the value is not above, and the value where it lies inside; null where it lies below.
+
+    A greater rank has a value no smaller, so the brackets in the order of their
+    ranks put all values in order: by cell number, those below the bracket first.
+    """
+    number, place = F.lit(ranks), F.lit(None).cast("double")
+    for k in reversed(range(ranks)):
+        number = F.when(value <= F.col(f"_hi{k}"), k).otherwise(number)
+        place = F.when(value < F.col(f"_lo{k}"), F.lit(None)).when(value <= F.col(f"_hi{k}"), value).otherwise(place)
+    return number.cast("int"), place
+
 
+def _met(values: DataFrame, keys: Sequence[str], state: DataFrame, ranks: int) -> DataFrame:
+    """(keys..., cell, place): each value once."""
+    cell, place = _cell(F.col("value"), ranks)
+    return values.join(_wide(state, keys, ranks), list(keys)).select(*keys, cell.alias("cell"), place.alias("place"))
 
-def order_statistics(values: DataFrame, keys: Sequence[str], state: DataFrame, rank_rows: int = RANK_ROWS) -> DataFrame:
-    """(keys..., rank, value): the values at the ranks of ``brackets``."""
+
+def order_statistics(values: DataFrame, keys: Sequence[str], state: DataFrame, ranks: int, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """(keys..., rank, value): the values at the ranks of ``brackets``, at most ``ranks`` in a group."""
     keys = list(keys)
     state = materialize(state, "brackets")
     before = None
@@ -92,21 +109,31 @@ def order_statistics(values: DataFrame, keys: Sequence[str], state: DataFrame, r
         if most <= rank_rows or most == before:
             break  # few enough values, or a bracket of few but very frequent ones, which are counted anyway
         before = most
-        sketched = _met(values, keys, state).groupBy(*keys, "rank", "lo", "hi").agg(
-            F.count_if(F.col("place").isNull()).alias("below"), F.count("place").alias("inside"), _cuts("place").alias("cuts")
-        )
-        inner = _bracket(F.col("rank") - F.col("below"), F.col("inside"), F.col("cuts"))
-        inner = sketched.withColumn("_b", inner).select(
-            *keys, "rank", F.greatest("lo", "_b.lo").alias("lo"), F.least("hi", "_b.hi").alias("hi"), "_b.most"
+        sketched = _met(values, keys, state, ranks).groupBy(*keys, "cell").agg(
+            F.count_if(F.col("place").isNull()).alias("gap"), F.count("place").alias("inside"), _cuts("place").alias("cuts")
         )
-        state = materialize(inner, "brackets")
-    return _picked(materialize(_met(values, keys, state).groupBy(*keys, "rank", "place").agg(F.count("*").alias("n")), "bracket-counts"), keys)
+        earlier = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        below = F.coalesce(F.sum(F.col("gap") + F.col("inside")).over(earlier), F.lit(0)) + F.col("gap")
+        inner = _ranks_of(sketched.withColumn("below", below), keys, state, F.col("below"), F.col("below") + F.col("inside"))
+        inner = inner.withColumn("_b", _bracket(F.col("rank") - F.col("below"), F.col("inside"), F.col("cuts")))
+        inner = state.select(*keys, "rank", "lo", "hi").join(inner.select(*keys, "rank", "_b"), [*keys, "rank"])
+        state = materialize(inner.select(*keys, "rank", F.greatest("lo", "_b.lo").alias("lo"), F.least("hi", "_b.hi").alias("hi"), "_b.most"), "brackets")
+    counts = _met(values, keys, state, ranks).groupBy(*keys, "cell", "place").agg(F.count("*").alias("n"))
+    return _picked(materialize(counts, "bracket-counts"), keys, state)
+
 
+def _ranks_of(rows: DataFrame, keys: Sequence[str], state: DataFrame, first: Column, end: Column) -> DataFrame:
+    """``rows`` once for each rank of their group from ``first`` to before ``end``."""
+    packed = state.groupBy(*keys).agg(F.collect_set("rank").alias("_ranks"))
+    held = F.filter("_ranks", lambda r: (r >= first) & (r < end))
+    return rows.join(packed, list(keys)).select(*rows.columns, F.explode(held).alias("rank"))
 
-def _picked(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    upto = F.sum("n").over(Window.partitionBy(*keys, "rank").orderBy(F.col("place").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
-    at = counts.withColumn("upto", upto).where((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto")))
-    return at.select(*keys, "rank", F.col("place").alias("value"))
+
+def _picked(counts: DataFrame, keys: Sequence[str], state: DataFrame) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy("cell", F.col("place").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    counted = counts.withColumn("upto", F.sum("n").over(order))
+    found = _ranks_of(counted, keys, state, F.col("upto") - F.col("n"), F.col("upto"))
+    return found.select(*keys, "rank", F.col("place").alias("value"))
 
 
 def _quantile_ranks(p: float):
@@ -136,7 +163,7 @@ def quantiles(
     keys = list(keys)
     summary = materialize(summarize(values, keys), "summary") if summary is None else summary
     ranks = [r for p in probs.values() for r in _quantile_ranks(p)[:2]]
-    picked = order_statistics(values, keys, brackets(summary, keys, ranks), rank_rows)
+    picked = order_statistics(values, keys, brackets(summary, keys, ranks), len(ranks), rank_rows)
     found = summary.join(_rank_map(picked, keys), keys).withColumns({name: _quantile(p) for name, p in probs.items()})
     return found.drop("_at", "cuts")
 
@@ -163,7 +190,7 @@ def robust_summary(
     summary = materialize(summarize(values, keys), "summary")
     cut = F.floor(F.lit(trim) * F.col("n")).cast("bigint")
     ranks = [r for p in (0.25, 0.5, 0.75) for r in _quantile_ranks(p)[:2]] + [cut, F.col("n") - cut - 1]
-    picked = order_statistics(values, keys, brackets(summary, keys, ranks), rank_rows)
+    picked = order_statistics(values, keys, brackets(summary, keys, ranks), len(ranks), rank_rows)
     names = {"p25": _quantile(0.25), "median": _quantile(0.5), "p75": _quantile(0.75)}
     cuts = {"cut_lo": F.col("_at")[cut], "cut_hi": F.col("_at")[F.col("n") - cut - 1]}
     quartiles = summary.drop("cuts").join(_rank_map(picked, keys), keys).withColumns({**names, **cuts, "cut": cut}).drop("_at")
@@ -215,27 +242,25 @@ def _with_deviations(values: DataFrame, keys: list[str], fenced: DataFrame, rank
     state = materialize(brackets(bounds, keys, _quantile_ranks(0.5)[:2]), "brackets")
     if (state.where("lo < hi").agg(F.max("most")).first()[0] or 0) > rank_rows:
         # Further narrowing takes passes of its own; the brackets then are the exact values.
-        exact = order_statistics(away.drop("raw"), keys, state, rank_rows)
+        exact = order_statistics(away.drop("raw"), keys, state, 2, rank_rows)
         state = materialize(exact.select(*keys, "rank", F.col("value").alias("lo"), F.col("value").alias("hi"), F.lit(1).cast("bigint").alias("most")), "brackets")
     margin = 1e-9
-    reach = state.groupBy(*keys).agg(
-        F.collect_list(F.struct("rank", "lo", "hi")).alias("_targets"),
-        (3 * F.min("lo") * (1 - margin)).alias("_sure_in"), (3 * F.max("hi") * (1 + margin)).alias("_sure_out"),
-    )
+    reach = state.groupBy(*keys).agg((3 * F.min("lo") * (1 - margin)).alias("_sure_in"), (3 * F.max("hi") * (1 + margin)).alias("_sure_out"))
     v = F.col("value")
-    none = F.lit(None).cast("double")
-    target = F.struct(F.lit(-1).cast("bigint").alias("rank"), F.when(v <= F.col("_sure_out"), F.col("raw")).alias("place"))
-    inside = F.transform(
-        F.filter("_targets", lambda t: v <= t.hi), lambda t: F.struct(t.rank.alias("rank"), F.when(v >= t.lo, v).otherwise(none).alias("place"))
+    cell, place = _cell(v, 2)
+    far = v >= F.col("_sure_in")
+    counts = (
+        away.join(_wide(state, keys, 2).join(reach, keys), keys)
+        .select(*keys, cell.alias("cell"), place.alias("place"), far.alias("far"), F.when(far & (v <= F.col("_sure_out")), F.col("raw")).alias("raw"))
+        .groupBy(*keys, "cell", "place", "far", "raw").agg(F.count("*").alias("n"))
     )
-    cells = F.concat(inside, F.when(v >= F.col("_sure_in"), F.array(target)).otherwise(F.slice(F.array(target), 1, 0)))
-    counts = away.join(reach, keys).select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.*").groupBy(*keys, "rank", "place").agg(F.count("*").alias("n"))
     counts = materialize(counts, "deviation-counts")
-    at = _rank_map(_picked(counts.where("rank >= 0"), keys), keys)
+    placed = counts.groupBy(*keys, "cell", "place").agg(F.sum("n").alias("n"))
+    at = _rank_map(_picked(placed, keys, state), keys)
     mads = materialize(fenced.select(*keys, "n", "median").join(at, keys).select(*keys, "median", _quantile(0.5).alias("mad")), "deviations")
-    place = F.col("place")
-    beyond = place.isNull() | (place < F.col("median") - 3 * F.col("mad")) | (place > F.col("median") + 3 * F.col("mad"))
-    outside = counts.where("rank = -1").join(mads, keys).groupBy(*keys).agg(F.sum(F.when(beyond, F.col("n"))).alias("mad_outliers"))
+    raw = F.col("raw")
+    beyond = raw.isNull() | (raw < F.col("median") - 3 * F.col("mad")) | (raw > F.col("median") + 3 * F.col("mad"))
+    outside = counts.where("far").join(mads, keys).groupBy(*keys).agg(F.sum(F.when(beyond, F.col("n"))).alias("mad_outliers"))
     return fenced.join(mads.select(*keys, "mad"), keys).join(outside, keys, "left").withColumn(
         "mad_outliers", F.coalesce("mad_outliers", F.lit(0).cast("bigint"))
     )

@@ -49,7 +49,7 @@ def binned_counts(df: DataFrame, column: str, width: int) -> DataFrame:
     value = F.col(column).cast("bigint")
     present = df.where(F.col(column).isNotNull()).select(value.alias("v"))
     bounds = materialize(
-        present.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo IS NOT NULL"), 1
+        present.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo IS NOT NULL"), "bounds"
     ).first()
     if bounds is None:
         return present.select(F.lit("").alias("bin"), F.lit(0).cast("bigint").alias("n")).limit(0)
@@ -157,13 +157,15 @@ def robust_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     return wide.select(*by, F.explode(cells).alias("_m")).select(*by, "_m.metric", "_m.value")
 
 
-def outlier_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Quartile-fence and median-deviation outlier counts with their bounds, per column."""
-    s = robust_summary(long_values(df, columns), ["column"])
+def outlier_counts(df: DataFrame, columns: Sequence[str], deviations: bool = True) -> DataFrame:
+    """Quartile-fence and, with ``deviations``, median-deviation outlier counts with their bounds, per column."""
+    s = robust_summary(long_values(df, columns), ["column"], deviations=deviations)
     reach = 1.5 * (F.col("p75") - F.col("p25"))
+    fenced = ["column", "p25", "p75", (F.col("p25") - reach).alias("iqr_low"), (F.col("p75") + reach).alias("iqr_high"), "iqr_outliers"]
+    if not deviations:
+        return s.select(*fenced)
     return s.select(
-        "column", "p25", "p75", (F.col("p25") - reach).alias("iqr_low"), (F.col("p75") + reach).alias("iqr_high"),
-        "iqr_outliers", "median", "mad", (F.col("median") - 3 * F.col("mad")).alias("mad_low"),
+        *fenced, "median", "mad", (F.col("median") - 3 * F.col("mad")).alias("mad_low"),
         (F.col("median") + 3 * F.col("mad")).alias("mad_high"), "mad_outliers",
     )
 

@@ -2,32 +2,22 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    CountVectorizer,
-    CountVectorizerModel,
-    IDF,
-    ElementwiseProduct,
-    HashingTF,
-    Normalizer,
-    SQLTransformer,
-    StopWordsRemover,
-    Word2Vec,
-)
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import HashingTF, Normalizer, SQLTransformer, StopWordsRemover
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 from pyspark.sql.window import Window
 
 from featloom.functions import columns as fc
 from featloom.functions import text as ft
+from featloom.operators import sparse
 from featloom.session import materialize
 
 # Fixed value: a term is a run of two or more letters, digits or underscores, in any script.
@@ -103,38 +93,39 @@ def lexicon_sentiment(
     )
 
 
-# --- TF-IDF, long form -----------------------------------------------------
+# --- TF-IDF ----------------------------------------------------------------
 
 
 def term_counts(
-    df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = TERM_PATTERN
+    df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = TERM_PATTERN, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """(key, term, tf). A text's tokens arise in one task, so the map-side combine does nearly all the work."""
-    tokens = df.select(key, F.explode(ft.words(ft.tfidf_clean(text), pattern)).alias("term"))
+    """(key, keep..., term, tf). A text's tokens arise in one task, so the map-side combine does nearly all the work."""
+    tokens = df.select(key, *keep, F.explode(ft.words(ft.tfidf_clean(text), pattern)).alias("term"))
     if stop_words:
         tokens = tokens.where(~F.col("term").isin(*stop_words))
-    return tokens.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    return tokens.groupBy(key, *keep, "term").agg(F.count("*").alias("tf"))
 
 
-def inverse_document_frequency(counts: DataFrame, n_docs: int) -> DataFrame:
-    """(term, df, idf) with the smoothed form ln((1+n)/(1+df)) + 1."""
-    per_term = counts.groupBy("term").agg(F.count("*").alias("df"))
+def inverse_document_frequency(counts: DataFrame, n_docs: int, copies: Column | None = None) -> DataFrame:
+    """(term, df, idf) with the smoothed form ln((1+n)/(1+df)) + 1; ``copies`` tells how many texts a row stands for."""
+    per_term = counts.groupBy("term").agg((F.count("*") if copies is None else F.sum(copies)).alias("df"))
     return per_term.withColumn("idf", F.ln(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1)
 
 
-def weigh_terms(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """(key, term, tfidf), rows of unit length per text; terms without an idf are ignored.
+def weigh_terms(counts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """``counts`` with the columns of ``terms`` and ``tfidf``, rows of unit length per text; unknown terms are ignored.
 
-    The norm is taken over one text's own distinct terms, so a window partition
-    is never larger than a text.
+    ``terms`` has (term, idf, hot, ...); see ``sparse.join_known``. The norm is
+    taken over one text's own distinct terms, so a window partition is never larger
+    than a text.
     """
-    weighted = counts.join(idf.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", (F.col("w") / norm).alias("tfidf"))
+    weighted = sparse.join_known(counts, terms, "term", key).withColumn("_w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+    return weighted.withColumn("tfidf", F.col("_w") / norm).drop("_w")
 
 
 def tfidf_long(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), pattern: str = TERM_PATTERN) -> DataFrame:
-    """Fit and apply in one go: the whole vocabulary, no vocabulary on the driver.
+    """(key, term, tfidf), fitted and applied in one go: the whole vocabulary, no vocabulary on the driver.
 
     Term counts are written once and used twice (document frequencies, weights),
     instead of tokenising every text twice. The idf table is written too: its
@@ -142,62 +133,55 @@ def tfidf_long(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (
     """
     counts = materialize(term_counts(df, key, text, stop_words, pattern), "term-counts")
     idf = materialize(inverse_document_frequency(counts, df.count()), "idf")
-    return weigh_terms(counts, idf, key)
+    return weigh_terms(counts, sparse.mark_hot(idf.select("term", "df", "idf"), "df").drop("df"), key).select(key, "term", "tfidf")
 
 
-# --- TF-IDF, vector form ---------------------------------------------------
+def distinct_texts(df: DataFrame, text: str) -> DataFrame:
+    """(row, text, weight): each text once, with a digest as its row and the number of its rows; null counts as empty."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return df.select(F.sha2(body, 256).alias("row"), body.alias("text")).groupBy("row").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("weight"))
+
+
+def join_texts(df: DataFrame, text: str, found: DataFrame, out: str, absent: Column) -> DataFrame:
+    """``df`` with ``out`` of its texts from (row, out); ``absent`` where a text has none."""
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    held = df.drop(out).withColumn("_row", digest).join(found.select(F.col("row").alias("_row"), out), "_row", "left").drop("_row")
+    return held.withColumn(out, F.coalesce(out, absent))
 
 
 @dataclass(frozen=True)
 class TfidfVectors:
-    """Fitted TF-IDF vectorizer: tokens, stop words, counts, smoothed idf, unit length."""
+    """Fitted TF-IDF: ``terms`` is (term, df, idf, hot, position), written; every term has a position of its own."""
 
     text: str
-    model: PipelineModel
+    out: str
+    stop_words: tuple[str, ...]
+    size: int
+    terms: DataFrame
+
+    def cells(self, texts: DataFrame) -> DataFrame:
+        """(row, position, value, weight) of ``distinct_texts``."""
+        counts = term_counts(texts, "row", "text", self.stop_words, keep=["weight"])
+        weighed = weigh_terms(counts, self.terms.select("term", "idf", "hot", "position"), "row")
+        return weighed.select("row", "position", F.col("tfidf").alias("value"), "weight")
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """``df`` with a sparse vector in storage form; each distinct text is worked out once."""
+        held = sparse.packed(self.cells(distinct_texts(df, self.text)), "row", self.size, self.out)
+        return join_texts(df, self.text, held, self.out, sparse.no_cells(self.size))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(_tokens(df, self.text))
-        return out.drop(*[c for c in out.columns if c.startswith("_tf_")])
-
-    @property
-    def vocabulary(self) -> list[str]:
-        return next(s for s in self.model.stages if isinstance(s, CountVectorizerModel)).vocabulary
-
-
-def _tokens(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("_tf_tokens", ft.words(ft.tfidf_clean(text), TERM_PATTERN))
+        """``df`` with a sparse vector, written."""
+        return sparse.as_vectors(self.rows(df), [self.out])
 
 
-def fit_tfidf_vectors(
-    df: DataFrame,
-    text: str,
-    out: str = "tfidf_vec",
-    stop_words: Sequence[str] = (),
-    features: int | None = None,
-) -> TfidfVectors:
-    """Sparse TF-IDF vectors over all terms.
-
-    With ``features`` terms are hashed to that many positions and the driver holds
-    a number for each, whatever the corpus. Without it every term has a position
-    of its own and the driver holds the whole vocabulary; ``tfidf_long`` is the
-    exact form for corpora whose vocabulary is too large for that.
-    """
-    stop_words = [w for word in stop_words for w in {word, word.replace("'", "")}]
-    stop = StopWordsRemover(inputCol="_tf_tokens", outputCol="_tf_terms", stopWords=list(stop_words), caseSensitive=True)
-    tokens = stop.transform(_tokens(df, text))
-    if features:
-        counter = HashingTF(numFeatures=features, inputCol="_tf_terms", outputCol="_tf_counts")
-    else:
-        counter = CountVectorizer(inputCol="_tf_terms", outputCol="_tf_counts", vocabSize=2**31 - 1).fit(tokens)
-    seen = IDF(inputCol="_tf_counts", outputCol="_tf_unused").fit(counter.transform(tokens))
-    n = seen.numDocs
-    weights = Vectors.dense([math.log((1 + n) / (1 + df_)) + 1 for df_ in seen.docFreq])
-    return TfidfVectors(text, PipelineModel([
-        stop,
-        counter,
-        ElementwiseProduct(scalingVec=weights, inputCol="_tf_counts", outputCol="_tf_weighted"),
-        Normalizer(p=2.0, inputCol="_tf_weighted", outputCol=out),
-    ]))
+def fit_tfidf_vectors(df: DataFrame, text: str, out: str = "tfidf_vec", stop_words: Sequence[str] = ()) -> TfidfVectors:
+    """TF-IDF over all terms of the texts; nothing of the vocabulary reaches the driver."""
+    stop_words = tuple(sorted({w for word in stop_words for w in (word, word.replace("'", ""))}))
+    counts = materialize(term_counts(distinct_texts(df, text), "row", "text", stop_words, keep=["weight"]), "term-counts")
+    idf = materialize(inverse_document_frequency(counts, df.count(), F.col("weight")), "idf")
+    terms = materialize(sparse.dictionary(sparse.mark_hot(idf, "df"), ["term"]), "terms")
+    return TfidfVectors(text, out, stop_words, max(terms.count(), 1), terms)
 
 
 # --- embeddings ------------------------------------------------------------
@@ -221,40 +205,143 @@ def encode_text(
     return df.mapInPandas(run, schema)
 
 
-def word_vector_stages(out: str, size: int = 32, min_count: int = 1, seed: int = 42, partitions: int | None = None) -> Pipeline:
-    """Averaged word vectors trained on the texts themselves; the vocabulary lives on the driver.
+def _tokens(text: Column | str) -> Column:
+    return ft.words(ft.embedding_clean(text, null_as_empty=True), r"\w+")
+
+
+CHUNK = 1024  # words of a text whose pairs are formed at a time
+
 
-    Training runs in ``partitions`` tasks, by default one for each core of the session.
+def word_pairs(texts: DataFrame, window: int) -> DataFrame:
+    """(a, b, n): how often the words of the texts (text, weight) stand at most ``window`` words apart, both ways round.
+
+    Long texts are cut into pieces that overlap by the window, so a row never holds more than a piece's pairs.
     """
-    partitions = partitions or SparkSession.active().sparkContext.defaultParallelism
-    return Pipeline(stages=[
-        Word2Vec(vectorSize=size, minCount=min_count, inputCol="_words", outputCol=out, seed=seed, numPartitions=partitions),
-        SQLTransformer(statement="SELECT * EXCEPT (_words) FROM __THIS__"),
-    ])
+    words = texts.select("weight", _tokens("text").alias("_w"))
+    pieces = words.select("weight", "_w", F.explode(F.sequence(F.lit(0), F.greatest((F.size("_w") - 1) / CHUNK, F.lit(0)).cast("int"))).alias("_k"))
+    pieces = pieces.select("weight", F.slice("_w", F.col("_k") * CHUNK + 1, CHUNK + window).alias("_w"))
+    ahead = lambda o: F.zip_with(
+        F.slice("_w", F.lit(1), F.least(F.lit(CHUNK), F.greatest(F.size("_w") - o, F.lit(0)))),
+        F.slice("_w", o + 1, F.least(F.lit(CHUNK), F.greatest(F.size("_w") - o, F.lit(0)))), lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+    )
+    pairs = pieces.select("weight", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), ahead))).alias("_p"))
+    counted = pairs.groupBy(F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(F.sum("weight").alias("n"))
+    return counted.unionByName(counted.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+@dataclass(frozen=True)
+class WordVectors:
+    """Averaged word vectors: ``words`` is (term, hot, z0, z1, ...), written."""
 
+    text: str
+    out: str
+    size: int
+    words: DataFrame
+
+    def vectors(self, texts: DataFrame) -> DataFrame:
+        """(row, vector array, weight) of ``distinct_texts``: the mean over the known words of a text."""
+        counts = texts.select("row", "weight", F.explode(_tokens("text")).alias("term")).groupBy("row", "weight", "term").agg(F.count("*").alias("n"))
+        known = sparse.join_known(counts, self.words, "term", "row")
+        means = [(F.sum(F.col("n") * F.col(f"z{i}")) / F.sum("n")).alias(f"z{i}") for i in range(self.size)]
+        return known.groupBy("row", "weight").agg(*means).select("row", F.array(*[f"z{i}" for i in range(self.size)]).alias("vector"), "weight")
+
+    def cells(self, texts: DataFrame) -> DataFrame:
+        return self.vectors(texts).select("row", F.posexplode("vector").alias("position", "value"), "weight")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        found = self.vectors(distinct_texts(df, self.text)).select("row", array_to_vector("vector").alias(self.out))
+        return join_texts(df, self.text, found, self.out, array_to_vector(F.array_repeat(F.lit(0.0), self.size)))
 
-def hashed_vector_stages(out: str, size: int = 384) -> Pipeline:
-    """Unit-length hashed bags of words: no fitted state, for corpora of any size."""
-    return Pipeline(stages=[
+
+def fit_word_vectors(df: DataFrame, text: str, out: str = "emb_vec", size: int = 100, window: int = 5, min_count: int = 1) -> WordVectors:
+    """Vectors of words by the company they keep: positive pointwise mutual information, factorised.
+
+    Words that stand at most ``window`` words apart are counted as pairs; a pair
+    weighs ``ln(n(a, b) * n / (n(a) * n(b)))`` where that is positive, and the words'
+    rows of weights are reduced to ``size`` numbers by ``sparse.fit_components``
+    (not centred). Words in fewer than ``min_count`` pairs have no vector. Counts,
+    weights and vectors are tables; the vocabulary never reaches the driver, and
+    the vectors do not depend on the number of cores.
+    """
+    pairs = materialize(word_pairs(distinct_texts(df, text), window), "word-pairs")
+    sums = pairs.groupBy(F.col("a").alias("term")).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    known = materialize(sparse.dictionary(sparse.mark_hot(materialize(sums, "word-counts"), "n"), ["term"]), "words")
+    total = known.agg(F.sum("n")).first()[0] or 0
+    side = lambda c: known.select(F.col("term").alias(c), "hot", F.col("n").alias(f"n_{c}"), F.col("position").alias(f"p_{c}"))
+    met = sparse.join_known(sparse.join_known(pairs, side("a"), "a", "b"), side("b"), "b", "a")
+    weight = F.ln(F.col("n").cast("double") * total / (F.col("n_a").cast("double") * F.col("n_b")))
+    cells = met.select(F.col("p_a").alias("row"), F.col("p_b").alias("position"), weight.alias("value")).where("value > 0")
+    cells = materialize(cells, "word-weights")
+    found = sparse.fit_components(cells, known.count(), size, centre=False)
+    width = max(len(found.variances), 1)
+    numbers = [F.coalesce(F.get("components", F.lit(i)), F.lit(0.0)).alias(f"z{i}") for i in range(width)]
+    points = found.project(cells, "row").select(F.col("row").alias("position"), *numbers)
+    words = materialize(known.join(points, "position").select("term", "hot", *[f"z{i}" for i in range(width)]), "word-vectors")
+    return WordVectors(text, out, width, words)
+
+
+@dataclass(frozen=True)
+class HashedEmbedding:
+    """Unit-length hashed bags of words: no fitted vocabulary, a width of the caller's choice."""
+
+    text: str
+    out: str
+    size: int
+    model: PipelineModel
+
+    def cells(self, texts: DataFrame) -> DataFrame:
+        """(row, position, value, weight) of ``distinct_texts``."""
+        held = self.model.transform(texts.withColumn("_words", _tokens("text")))
+        return held.select("row", "weight", F.posexplode(vector_to_array(self.out)).alias("position", "value")).where("value <> 0").select(
+            "row", "position", "value", "weight"
+        )
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(df.withColumn("_words", _tokens(self.text)))
+
+
+def fit_hashed_embedding(df: DataFrame, text: str, out: str = "emb_vec", size: int = 384) -> HashedEmbedding:
+    stages = Pipeline(stages=[
         HashingTF(numFeatures=size, inputCol="_words", outputCol="_hashed"),
         Normalizer(p=2.0, inputCol="_hashed", outputCol=out),
         SQLTransformer(statement="SELECT * EXCEPT (_words, _hashed) FROM __THIS__"),
     ])
+    return HashedEmbedding(text, out, size, stages.fit(df.withColumn("_words", _tokens(text))))
+
+
+def fit_embedding(df: DataFrame, text: str, out: str = "emb_vec", method: str = "cooccurrence", **options):
+    """Text vectors by the company of their words, or by hashing (``hashing``)."""
+    return {"cooccurrence": fit_word_vectors, "hashing": fit_hashed_embedding}[method](df, text, out, **options)
+
+
+# --- both together ---------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class TextEmbedding:
-    text: str
-    model: PipelineModel
+class TextComponents:
+    """TF-IDF and word vectors side by side, reduced together; every term keeps its own position up to the reduction."""
+
+    tfidf: TfidfVectors
+    embedding: WordVectors | HashedEmbedding
+    out: str
+    components: sparse.Components
+
+    def cells(self, texts: DataFrame) -> DataFrame:
+        return combined_cells(self.tfidf, self.embedding, texts)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_words(df, self.text))
+        found = self.components.project(self.cells(distinct_texts(df, self.tfidf.text)), "row")
+        found = found.select("row", array_to_vector("components").alias(self.out))
+        return join_texts(df, self.tfidf.text, found, self.out, array_to_vector(self.components.at_zero()))
 
 
-def _words(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("_words", ft.words(ft.embedding_clean(text, null_as_empty=True), r"\w+"))
+def combined_cells(tfidf: TfidfVectors, embedding: WordVectors | HashedEmbedding, texts: DataFrame) -> DataFrame:
+    """(row, position, value, weight): the terms first, then the numbers of the word vectors."""
+    beside = embedding.cells(texts).withColumn("position", F.col("position") + F.lit(tfidf.size).cast("long"))
+    return tfidf.cells(texts).unionByName(beside)
 
 
-def fit_embedding(df: DataFrame, text: str, out: str = "emb_vec", method: str = "word2vec", **options) -> TextEmbedding:
-    stages = {"word2vec": word_vector_stages, "hashing": hashed_vector_stages}[method](out, **options)
-    return TextEmbedding(text, stages.fit(_words(df, text)))
+def fit_text_components(df: DataFrame, tfidf: TfidfVectors, embedding: WordVectors | HashedEmbedding, k: int, out: str = "text_pca_wide") -> TextComponents:
+    texts = materialize(distinct_texts(df, tfidf.text), "distinct-texts")
+    cells = materialize(combined_cells(tfidf, embedding, texts), "text-cells")
+    return TextComponents(tfidf, embedding, out, sparse.fit_components(cells, df.count(), k))

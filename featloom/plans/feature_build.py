@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.functions import text as ft
 from featloom.operators import categories as cat
-from featloom.operators import cleaning, credits, joins, model, temporal
+from featloom.operators import cleaning, credits, joins, model, sparse, temporal
 from featloom.operators import text_features as text
 from featloom.session import materialize
 from featloom.sources import readers
@@ -62,15 +62,14 @@ def load_inputs(
 class FeatureBuild:
     as_of_year: int
     feature_method: str = "combined"
-    embedding: str = "word2vec"
+    embedding: str = "cooccurrence"
     embedding_size: int = 100
     text_components: int = 50
     final_components: int = 10
     genre_components: int = 20
-    tfidf_features: int = 1 << 18  # hashed terms of the sparse family
-    reduced_features: int = 1 << 9  # hashed terms that go into the reduction of the combined family
-    category_buckets: int = 256
-    expertise: str = "columns"  # or "vector": hashed, for any number of categories
+    expertise: str = "vector"  # a position for each category; or "columns", one for each, for few categories
+    keep_wide: bool = False  # keep the unreduced category vectors too
+    genre_columns: tuple[str, ...] = ("genres", "genre_names")
     title_columns: tuple[str, ...] = ("title", "primaryTitle")
 
     def fit(self, inputs: MovieInputs) -> FeatureModel:
@@ -88,7 +87,10 @@ class FeatureBuild:
                 credits.top_people_flags(facts, inputs.directors, inputs.writers, KEY, "director", "writer", "numVotes")
             )
         expertise = _fit_expertise(inputs, facts, self)
-        joined = _join(inputs, facts, top, expertise, self)
+        people = _fit_people(inputs)
+        joined = _join(inputs, facts, top, expertise, people, self)
+        # Titles without a rated director get the median title's rating.
+        ratings = cleaning.fit_median_fill(joined, ["dir_avg_rating"]) if people is not None else cleaning.FillModel({})
 
         measure = next((c for c in ("numVotes", "vote_average") if c in joined.columns), None)
         popularity = None
@@ -98,43 +100,35 @@ class FeatureBuild:
 
         title = next((c for c in self.title_columns if c in joined.columns), None)
         fitted = []
-        featured = _row_features(joined, self, popularity, years)
-        wanted = [c for c in (title, "genre_vec") if c and c in featured.columns]
+        featured = _row_features(joined, self, years)
+        wanted = [c for c in (title, "genres") if c and c in featured.columns]
         base = materialize(featured.select(KEY, *wanted), "fit-input")  # every fit below reads this, not the joins
         if title and self.feature_method in ("tfidf", "combined"):
-            width = self.tfidf_features if self.feature_method == "tfidf" else self.reduced_features
-            fitted.append(text.fit_tfidf_vectors(base, title, stop_words=text.english_stop_words(), features=width))
+            fitted.append(text.fit_tfidf_vectors(base, title, stop_words=text.english_stop_words()))
         if title and self.feature_method in ("embedding", "combined"):
             fitted.append(text.fit_embedding(base, title, method=self.embedding, size=self.embedding_size))
         if title and self.feature_method == "combined":
-            both = base
-            for stage in fitted:
-                both = stage.transform(both)
-            both = materialize(model.combine_vectors(both, ["tfidf_vec", "emb_vec"], "text_vec").select(KEY, "text_vec"), "text-vectors")
-            fitted.append(CombinedText())
-            fitted.append(model.fit_pca(both, "text_vec", "text_pca_wide", self.text_components))
-            wide = materialize(fitted[-1].transform(both).select("text_pca_wide"), "text-components")
+            fitted = [text.fit_text_components(base, *fitted, self.text_components, "text_pca_wide")]
+            wide = materialize(fitted[-1].transform(base).select("text_pca_wide"), "text-components")
             fitted.append(model.fit_pca(wide, "text_pca_wide", "text_pca", self.final_components))
         if popularity is not None:
-            fitted.append(model.fit_pca(base, "genre_vec", "genre_pca", self.genre_components))
-        result = FeatureModel(self, fills, top, expertise, popularity, years, tuple(fitted))
+            vectors = cat.fit_category_vectors(base, "genres", popularity)
+            fitted.append(cat.fit_category_components(base, vectors, self.genre_components, "genre_pca"))
+        result = FeatureModel(self, fills, top, expertise, people, ratings, years, tuple(fitted))
         return result, result.apply(joined)
 
 
-@dataclass(frozen=True)
-class CombinedText:
-    """TF-IDF and embedding side by side."""
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return model.combine_vectors(df, ["tfidf_vec", "emb_vec"], "text_vec")
-
-
 @dataclass(frozen=True)
 class Expertise:
-    """Category shares of each person, counted once on the training titles: (person, category, share), written."""
+    """Category shares of each person, counted once on the training titles: (person, category, share), written.
+
+    ``positions`` (category, position, hot) are those of the vectors, ``names`` the columns, where columns are wanted.
+    """
 
     shares: Mapping[str, DataFrame]
-    names: tuple[str, ...]
+    positions: DataFrame
+    size: int
+    names: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -143,51 +137,54 @@ class FeatureModel:
     fills: cleaning.FillModel
     top: DataFrame | None
     expertise: Expertise | None
-    popularity: DataFrame | None
+    people: DataFrame | None
+    ratings: cleaning.FillModel
     years: DataFrame | None
     stages: tuple = field(default=())
 
     def transform(self, inputs: MovieInputs) -> DataFrame:
         facts = self.fills.transform(clean_titles(inputs.titles, self.build.as_of_year))
-        return self.apply(_join(inputs, facts, self.top, self.expertise, self.build))
+        return self.apply(_join(inputs, facts, self.top, self.expertise, self.people, self.build))
 
     def apply(self, joined: DataFrame) -> DataFrame:
-        out = _row_features(joined, self.build, self.popularity, self.years)
+        out = _row_features(self.ratings.transform(joined), self.build, self.years)
         for stage in self.stages:
             out = stage.transform(out)
+            if self.build.keep_wide and isinstance(stage, cat.CategoryComponents):
+                out = stage.vectors.transform(out, "genre_vec")
         # Reduced families replace their inputs.
-        dropped = ["genres", "genre_vec"] if self.popularity is not None else ["genres"]
-        if self.build.feature_method == "combined":
-            dropped += ["tfidf_vec", "emb_vec", "text_vec", "text_pca_wide"]
-        return out.drop(*dropped)
+        return out.drop("genres", "text_pca_wide")
 
 
 def clean_titles(titles: DataFrame, as_of_year: int) -> DataFrame:
     return cleaning.unify_release_year(cleaning.clean_records(titles), as_of_year)
 
 
-def _with_genres(df: DataFrame) -> DataFrame:
-    """Category text, in any spelling, as a list; missing text stays missing."""
-    if dict(df.dtypes).get("genres") != "string":
+def _with_genres(df: DataFrame, build: FeatureBuild) -> DataFrame:
+    """Category text, in any spelling and under the first of the names present, as the list ``genres``; missing text stays missing."""
+    name = next((c for c in build.genre_columns if c in df.columns), None)
+    if name is None:
         return df
-    return df.withColumn("genres", F.when(F.col("genres").isNotNull(), ft.parse_categories("genres")))
+    if dict(df.dtypes)[name] != "string":
+        return df.withColumnRenamed(name, "genres")
+    return df.withColumn(name, F.when(F.col(name).isNotNull(), ft.parse_categories(name))).withColumnRenamed(name, "genres")
 
 
-def _titles_with_genres(inputs: MovieInputs, facts: DataFrame) -> DataFrame:
-    out = _with_genres(facts)
+def _titles_with_genres(inputs: MovieInputs, facts: DataFrame, build: FeatureBuild) -> DataFrame:
+    out = _with_genres(facts, build)
     if inputs.catalogue is not None and "originalTitle" in out.columns and "genres" not in out.columns:
-        out = joins.join_by_title(out, _with_genres(inputs.catalogue), "originalTitle", "title", ["genres"], dedupe_right=True, order=["genres"])
+        out = joins.join_by_title(out, _with_genres(inputs.catalogue, build), "originalTitle", "title", ["genres"], dedupe_right=True, order=["genres"])
     return out
 
 
-ROLES = (("director", "dir_expertise"), ("writer", "wri_expertise"))
+ROLES = (("director", "dir"), ("writer", "wri"))
 
 
 def _fit_expertise(inputs: MovieInputs, facts: DataFrame, build: FeatureBuild) -> Expertise | None:
     """Counted on the training titles only, so that a title's features never depend on the rows it is scored with."""
     if inputs.catalogue is None:
         return None
-    titles = _titles_with_genres(inputs, facts)
+    titles = _titles_with_genres(inputs, facts, build)
     if "genres" not in titles.columns:
         return None
     titles = materialize(titles.select(KEY, "genres"), "title-genres")
@@ -197,31 +194,48 @@ def _fit_expertise(inputs: MovieInputs, facts: DataFrame, build: FeatureBuild) -
         if links is not None:
             # A person's expertise counts the genres of their titles, matched by id.
             shares[person] = materialize(credits.category_expertise(links, titles, KEY, person, "genres"), f"{person}-expertise")
-    names = credits.category_names(_with_genres(inputs.catalogue), "genres") if build.expertise == "columns" else ()
-    return Expertise(shares, tuple(names))
+    if not shares:
+        return None
+    held = reduce(DataFrame.unionByName, [s.select("category", "genre_count") for s in shares.values()])
+    counts = materialize(held.groupBy("category").agg(F.sum("genre_count").alias("n")), "expertise-categories")
+    positions = materialize(sparse.dictionary(sparse.mark_hot(counts, "n").select("category", "hot"), ["category"]), "expertise-positions")
+    names = credits.category_names(_with_genres(inputs.catalogue, build), "genres") if build.expertise == "columns" else ()
+    return Expertise(shares, positions, max(positions.count(), 1), tuple(names))
+
+
+RATING = "averageRating"
+
+
+def _fit_people(inputs: MovieInputs) -> DataFrame | None:
+    """Titles per director and their mean rating in the training links, where these carry one."""
+    if inputs.directors is None or RATING not in inputs.directors.columns:
+        return None
+    return materialize(credits.person_stats(inputs.directors, KEY, "director", RATING), "director-stats")
 
 
-def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, expertise: Expertise | None, build: FeatureBuild) -> DataFrame:
+def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, expertise: Expertise | None, people: DataFrame | None, build: FeatureBuild) -> DataFrame:
     """Credits, genres, expertise, metadata and sentiment: all steps that shuffle, written once."""
-    out = _with_genres(facts)
+    out = _with_genres(facts, build)
     if inputs.directors is not None and inputs.writers is not None and top is not None:
         out = credits.credit_features(out, inputs.directors, inputs.writers, top=top)
-    out = _titles_with_genres(inputs, out)
-    for person, name in ROLES:
+    out = _titles_with_genres(inputs, out, build)
+    if people is not None and inputs.directors is not None:
+        out = out.join(credits.title_person_stats(inputs.directors, people, KEY, "director"), KEY, "left")
+    for person, prefix in ROLES:
         links = getattr(inputs, f"{person}s")
         if expertise is None or links is None or person not in expertise.shares:
             continue
         long = credits.title_expertise(links, expertise.shares[person], KEY, person)
         if build.expertise == "columns":
-            added = credits.expertise_columns(long, KEY, expertise.names, f"_{name}")
-            out = out.join(added, KEY, "left").fillna(0.0, [f"{n}_{name}" for n in expertise.names])
+            added = credits.expertise_columns(long, KEY, expertise.names, f"_{prefix}_expertise")
+            out = out.join(added, KEY, "left").fillna(0.0, [f"{n}_{prefix}_expertise" for n in expertise.names])
         else:
-            added = credits.expertise_vector(long, KEY, f"{name}_vec", build.category_buckets)
-            zeros = array_to_vector(F.array_repeat(F.lit(0.0), build.category_buckets))
-            out = out.join(added, KEY, "left").withColumn(f"{name}_vec", F.coalesce(f"{name}_vec", zeros))
+            name = f"{prefix}_expertise_vec"
+            added = credits.expertise_vector(long, KEY, name, expertise.positions, expertise.size)
+            out = out.join(added, KEY, "left").withColumn(name, F.coalesce(name, sparse.no_cells(expertise.size)))
     if inputs.metadata is not None and "originalTitle" in out.columns:
-        out = joins.merge_metadata(out, _with_genres(inputs.metadata), dedupe_right=True)
-    out = materialize(out, "joined")
+        out = joins.merge_metadata(out, _with_genres(inputs.metadata, build), dedupe_right=True)
+    out = sparse.as_vectors(out, [f"{prefix}_expertise_vec" for _, prefix in ROLES])
     worded = text.combined_text(out)
     if inputs.lexicon is not None and worded is not None:
         # Reads the written table twice instead of running the joins twice.
@@ -230,14 +244,12 @@ def _join(inputs: MovieInputs, facts: DataFrame, top: DataFrame | None, expertis
     return out
 
 
-def _row_features(joined: DataFrame, build: FeatureBuild, popularity: DataFrame | None, years: DataFrame | None) -> DataFrame:
-    """Features computed inside each row; the only joins are with the year counts and the vectors of distinct category lists."""
+def _row_features(joined: DataFrame, build: FeatureBuild, years: DataFrame | None) -> DataFrame:
+    """Features computed inside each row; the only join is with the year counts."""
     out = text.add_title_length(joined, build.title_columns)
     out = text.add_title_patterns(out, build.title_columns)
     if years is not None:
         out = temporal.add_temporal_features(out, build.as_of_year, counts=years)
-    if popularity is not None:
-        out = cat.category_vectors(out, "genres", popularity, "genre_vec", build.category_buckets)
     return out
 
 

@@ -3,64 +3,71 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict
+from collections.abc import Mapping
+from dataclasses import fields, is_dataclass
 
-from pyspark.ml import PipelineModel
+import numpy as np
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.operators.cleaning import FillModel
-from featloom.operators.model import CentredPCA, ScoringModel, Search
-from featloom.operators.text_features import TextEmbedding, TfidfVectors
-from featloom.plans.feature_build import CombinedText, Expertise, FeatureBuild, FeatureModel
+from featloom.operators import categories, cleaning, model, sparse
+from featloom.operators import text_features as text
+from featloom.plans import feature_build
 from featloom.plans.train_score import TrainedPlan
 
-KINDS = {"tfidf": (TfidfVectors, "text"), "embedding": (TextEmbedding, "text"), "pca": (CentredPCA, "out"), "combined": (CombinedText, None)}
+#: What a plan may consist of, beside tables, fitted pipelines, numbers, names, tuples and mappings.
+PARTS = {
+    c.__name__: c
+    for c in (
+        TrainedPlan, feature_build.FeatureModel, feature_build.FeatureBuild, feature_build.Expertise, cleaning.FillModel, model.Search,
+        model.ScoringModel, model.CentredPCA, sparse.Components, text.TfidfVectors, text.WordVectors, text.HashedEmbedding, text.TextComponents,
+        categories.CategoryVectors, categories.CategoryComponents,
+    )
+}
 
 
 def save(plan: TrainedPlan, path: str) -> None:
     """Write everything the plan needs below ``path``, which must not exist: tables as Parquet, fitted stages in their own format."""
-    spark = SparkSession.active()
-    fitted, search = plan.features, plan.search
-    for name, table in _tables(fitted).items():
-        table.write.parquet(f"{path}/tables/{name}")
-    stages = []
-    for i, stage in enumerate(fitted.stages):
-        kind = next(k for k, (cls, _) in KINDS.items() if isinstance(stage, cls))
-        field = KINDS[kind][1]
-        stages.append({"kind": kind, "name": getattr(stage, field) if field else None})
-        if field:
-            stage.model.write().save(f"{path}/stages/{i}")
-    search.model.scaler.write().save(f"{path}/scaler")
-    PipelineModel([search.model.classifier]).write().save(f"{path}/classifier")
-    meta = {
-        "build": asdict(fitted.build), "fills": dict(fitted.fills.values), "tables": sorted(_tables(fitted)), "stages": stages,
-        "names": list(fitted.expertise.names) if fitted.expertise else None, "features": list(search.model.features),
-        "scores": list(search.scores), "best": search.best,
-    }
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.text(f"{path}/meta")
+    spark, count = SparkSession.active(), iter(range(1 << 30))
+
+    def put(value):
+        if is_dataclass(value):
+            return {"part": type(value).__name__, "fields": {f.name: put(getattr(value, f.name)) for f in fields(value)}}
+        if isinstance(value, DataFrame):
+            value.write.parquet(f"{path}/tables/{(n := next(count))}")
+            return {"table": n}
+        if isinstance(value, Model):
+            single = not isinstance(value, PipelineModel)
+            (PipelineModel([value]) if single else value).write().save(f"{path}/stages/{(n := next(count))}")
+            return {"stage": n, "single": single}
+        if isinstance(value, np.ndarray):
+            return {"array": value.tolist()}
+        if isinstance(value, Mapping):
+            return {"map": {k: put(v) for k, v in value.items()}}
+        if isinstance(value, (tuple, list)):
+            return {"items": [put(v) for v in value]}
+        return value
+
+    spark.createDataFrame([(json.dumps(put(plan)),)], "meta string").coalesce(1).write.text(f"{path}/meta")
 
 
 def load(spark: SparkSession, path: str) -> TrainedPlan:
     """The plan that ``save`` wrote."""
-    meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    tables = {name: spark.read.parquet(f"{path}/tables/{name}") for name in meta["tables"]}
-    stages = []
-    for i, stage in enumerate(meta["stages"]):
-        cls, field = KINDS[stage["kind"]]
-        stages.append(cls(stage["name"], PipelineModel.load(f"{path}/stages/{i}")) if field else cls())
-    shares = {name.removeprefix("shares-"): t for name, t in tables.items() if name.startswith("shares-")}
-    build = FeatureBuild(**{k: tuple(v) if isinstance(v, list) else v for k, v in meta["build"].items()})
-    expertise = Expertise(shares, tuple(meta["names"])) if meta["names"] is not None else None
-    fitted = FeatureModel(
-        build, FillModel(meta["fills"]), tables.get("top"), expertise, tables.get("popularity"), tables.get("years"), tuple(stages)
-    )
-    classifier = PipelineModel.load(f"{path}/classifier").stages[0]
-    model = ScoringModel(tuple(meta["features"]), PipelineModel.load(f"{path}/scaler"), classifier)
-    return TrainedPlan(fitted, Search(model, tuple(meta["scores"]), meta["best"]))
 
+    def get(value):
+        if not isinstance(value, dict):
+            return value
+        if "part" in value:
+            return PARTS[value["part"]](**{k: get(v) for k, v in value["fields"].items()})
+        if "table" in value:
+            return spark.read.parquet(f"{path}/tables/{value['table']}")
+        if "stage" in value:
+            held = PipelineModel.load(f"{path}/stages/{value['stage']}")
+            return held.stages[0] if value["single"] else held
+        if "array" in value:
+            return np.array(value["array"])
+        if "map" in value:
+            return {k: get(v) for k, v in value["map"].items()}
+        return tuple(get(v) for v in value["items"])
 
-def _tables(fitted: FeatureModel) -> dict[str, DataFrame]:
-    found = {"top": fitted.top, "popularity": fitted.popularity, "years": fitted.years}
-    if fitted.expertise:
-        found |= {f"shares-{person}": shares for person, shares in fitted.expertise.shares.items()}
-    return {name: table for name, table in found.items() if table is not None}
+    return get(json.loads(spark.read.text(f"{path}/meta").first()[0]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from featloom.operators import credits as op
 from featloom.operators import joins
-from featloom.queries.registry import DIRECTORS, MOVIES, WRITERS, Tables, query
+from featloom.queries.registry import DIRECTORS, MOVIES, WORDS, WRITERS, Tables, query
 
 # The category vocabulary of the test titles, in alphabetical order, read from the data by the queries.
 GENRES_SQL = f"(SELECT tconst, unnest(genres) AS category FROM {MOVIES})"
@@ -187,18 +187,20 @@ def genre_expertise(t: Tables):
     return expertise(t)
 
 
-PIVOT = f"""(PIVOT (SELECT director, category, genre_count / total_count AS share FROM {EXPERTISE}) ON category USING max(share) GROUP BY director)"""
+def wide(suffix: str = "") -> str:
+    """One column for each category, absent ones 0."""
+    return ", ".join(f"coalesce(max(CASE WHEN category = '{w}' THEN genre_count / total_count END), 0) AS {w}{suffix}" for w in WORDS)
 
 
-@query("genre_pivot", f"SELECT director, coalesce(COLUMNS(* EXCLUDE (director)), 0) FROM {PIVOT}")
+@query("genre_pivot", f"SELECT director, {wide()} FROM {EXPERTISE} GROUP BY director")
 def genre_pivot(t: Tables):
     return op.expertise_matrix(expertise(t), "director", op.category_names(t.movies, "genres"))
 
 
 @query(
     "expertise_join",
-    f"""SELECT tconst, director, coalesce(COLUMNS(* EXCLUDE (tconst, director)), 0) AS "\\0_dir_expertise"
-        FROM (SELECT DISTINCT tconst, director FROM {DIRECTORS}) LEFT JOIN {PIVOT} USING (director)""",
+    f"""SELECT tconst, director, {wide("_dir_expertise")}
+        FROM (SELECT DISTINCT tconst, director FROM {DIRECTORS}) LEFT JOIN {EXPERTISE} USING (director) GROUP BY tconst, director""",
 )
 def expertise_join(t: Tables):
     names = op.category_names(t.movies, "genres")

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from featloom.functions import text as ft
 from featloom.operators import categories as cat
-from featloom.operators import model, temporal
+from featloom.operators import model, sparse, temporal
 from featloom.operators.credits import category_names
 from featloom.operators import text_features as text_op
 from featloom.plans.feature_build import FeatureBuild, movie_inputs
 from featloom.queries.cleaning import RELEASE, release_years
-from featloom.queries.registry import AS_OF_YEAR, DIRECTORS, MOVIES, NUMBERS, WRITERS, Tables, query, r
+from featloom.queries.registry import AS_OF_YEAR, DIRECTORS, MOVIES, NUMBERS, WORDS, WRITERS, Tables, query, r
 
 
 @query("movie_age", f"SELECT tconst, {AS_OF_YEAR} - releaseYear AS movie_age FROM {RELEASE}")
@@ -50,8 +50,8 @@ def parse_genres(t: Tables):
     dicts = F.concat(F.lit("[{'id': None, 'name': '"), F.array_join(F.transform(words, F.initcap), "'}, {'id': 2, 'main': True, 'name': '"), F.lit("'}]"))
     spelled = F.when(k % 3 == 0, quoted).when(k % 3 == 1, dicts).otherwise(F.array_join(words, "|"))
     spelled = F.when(k % 7 == 0, F.when(k % 2 == 0, "[]")).otherwise(spelled)
-    parsed = ft.parse_categories(spelled)
-    return t.part.select("p_partkey", F.array_join(parsed, "|").alias("genres"), F.size(parsed).alias("n"))
+    parsed = t.part.select("p_partkey", ft.parse_categories(spelled).alias("parsed"))
+    return parsed.select("p_partkey", F.array_join("parsed", "|").alias("genres"), F.size("parsed").alias("n"))
 
 
 POPULARITY = f"(SELECT g AS category, avg(numVotes) AS popularity FROM (SELECT unnest(list_distinct(genres)) AS g, numVotes FROM {MOVIES}) GROUP BY g)"
@@ -73,8 +73,8 @@ def genre_weighted_onehot(t: Tables):
 
 @query(
     "genre_multi_hot",
-    f"""SELECT tconst, round(coalesce(COLUMNS(* EXCLUDE (tconst)), 0), 6) AS "genre_\\0" FROM (SELECT tconst FROM {MOVIES})
-        LEFT JOIN (PIVOT {WEIGHTED} ON category USING max(weight) GROUP BY tconst) USING (tconst)""",
+    f"""SELECT tconst, {', '.join(f"round(coalesce(max(CASE WHEN category = '{w}' THEN weight END), 0), 6) AS genre_{w}" for w in WORDS)}
+        FROM (SELECT tconst FROM {MOVIES}) LEFT JOIN {WEIGHTED} USING (tconst) GROUP BY tconst""",
 )
 def genre_multi_hot(t: Tables):
     movies = t.movies
@@ -165,17 +165,15 @@ def pca_columns(t: Tables):
         SELECT p_partkey, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY p_partkey)), 6) AS tfidf, CAST(10 AS INTEGER) AS reduced FROM x""",
 )
 def combine_text_features(t: Tables):
-    """TF-IDF and the reduced embedding in one vector; its terms are shown one by one."""
+    """TF-IDF and the reduced embedding in one sparse row; its terms are shown one by one."""
     titles = t.part.select("p_partkey", "p_name")
     fitted = text_op.fit_tfidf_vectors(titles, "p_name")
-    out = text_op.fit_embedding(titles, "p_name", size=16).transform(fitted.transform(titles))
+    out = text_op.fit_embedding(titles, "p_name", size=16).transform(fitted.rows(titles))
     out = model.fit_pca(out, "emb_vec", "emb_pca", 10).transform(out)
-    both = model.combine_vectors(out, ["tfidf_vec", "emb_pca"], "text_vec")
-    n, v = len(fitted.vocabulary), vector_to_array("text_vec")
-    terms = F.arrays_zip(F.array(*[F.lit(w) for w in fitted.vocabulary]).alias("term"), F.slice(v, 1, n).alias("tfidf"))
-    return both.select("p_partkey", (F.size(v) - n).alias("reduced"), F.explode(terms).alias("t")).where("t.tfidf <> 0").select(
-        "p_partkey", "t.term", r(F.col("t.tfidf")).alias("tfidf"), "reduced"
-    )
+    both = out.select("p_partkey", sparse.beside("tfidf_vec", vector_to_array("emb_pca")).alias("text_vec"))
+    cells = sparse.unpacked(both, "p_partkey", "text_vec").join(fitted.terms.select("position", "term"), "position")
+    sizes = both.select("p_partkey", (F.col("text_vec.size") - fitted.size).alias("reduced"))
+    return cells.join(sizes, "p_partkey").select("p_partkey", "term", r("value").alias("tfidf"), "reduced")
 
 
 # The same build as SQL, for the columns that do not come from a fitted vocabulary or decomposition.
@@ -186,15 +184,30 @@ TITLES = """(SELECT p_partkey AS tconst, p_name, p_size >= 26 AS label,
 
 
 def expertise_sql(person: str, links: str, fitted: str = "true", shown: str = "true") -> str:
-    """(tconst, one column per category): mean share over a title's persons, counted on the ``fitted`` titles for the ``shown`` ones."""
-    suffix = {"director": "dir", "writer": "wri"}[person]
-    return f"""(PIVOT (WITH g AS (SELECT p_partkey AS tconst, unnest(string_split(p_name, ' ')) AS category FROM part),
+    """(tconst, category, mean): mean share over a title's persons, counted on the ``fitted`` titles for the ``shown`` ones."""
+    return f"""(WITH g AS (SELECT p_partkey AS tconst, unnest(string_split(p_name, ' ')) AS category FROM part),
         s AS (SELECT {person} AS p, category, count(*) / sum(count(*)) OVER (PARTITION BY {person}) AS share
               FROM {links} JOIN g USING (tconst) WHERE {fitted.format('tconst')} GROUP BY {person}, category),
         x AS (SELECT DISTINCT tconst, {person} AS p FROM {links} WHERE {shown.format('tconst')} AND {person} IN (SELECT p FROM s)),
         n AS (SELECT tconst, count(*) AS n FROM x GROUP BY 1)
-      SELECT tconst, category || '_{suffix}_expertise' AS name, sum(share) / any_value(n) AS mean
-      FROM x JOIN n USING (tconst) JOIN s USING (p) GROUP BY tconst, category) ON name USING max(mean) GROUP BY tconst)"""
+      SELECT tconst, category, sum(share) / any_value(n) AS mean
+      FROM x JOIN n USING (tconst) JOIN s USING (p) GROUP BY tconst, category)"""
+
+
+EXPERTISE_SQL = {"dir": expertise_sql("director", DIRECTORS), "wri": expertise_sql("writer", WRITERS)}
+
+
+def expertise_columns_sql(suffix: str) -> str:
+    columns = ", ".join(f"max(CASE WHEN category = '{w}' THEN mean END) AS {w}_{suffix}_expertise" for w in WORDS)
+    return f"(SELECT tconst, {columns} FROM {EXPERTISE_SQL[suffix]} GROUP BY tconst)"
+
+
+def expertise_length_sql(suffix: str) -> str:
+    return f"(SELECT tconst, sum(mean * mean) AS {suffix}_squares FROM {EXPERTISE_SQL[suffix]} GROUP BY tconst)"
+
+
+def plain_sql(more: str, joins: str) -> str:
+    return PLAIN_SQL.replace("<more>", more).replace("<joins>", joins)
 
 
 PLAIN_SQL = f"""WITH t AS {TITLES},
@@ -210,52 +223,67 @@ PLAIN_SQL = f"""WITH t AS {TITLES},
           round(coalesce(runtime, (SELECT avg(runtime) FROM t)), 4) AS "runtimeMinutes",
           round(coalesce(votes, (SELECT avg(votes) FROM t)), 4) AS "numVotes",
           coalesce(d.n, 0) AS director_count, coalesce(w.n, 0) AS writer_count,
-          round(coalesce(COLUMNS(x.* EXCLUDE (tconst)), 0), 6), round(coalesce(COLUMNS(y.* EXCLUDE (tconst)), 0), 6),
-          budget, round(coalesce(polarity, 0), 6) AS text_sentiment_polarity,
+          <more>, budget, round(coalesce(polarity, 0), 6) AS text_sentiment_polarity,
           CAST(length(replace(t.p_name, ' ', '')) AS INTEGER) AS title_length, {AS_OF_YEAR} - CAST(year AS BIGINT) AS movie_age,
           count(*) OVER (PARTITION BY year) AS movies_in_year
-        FROM t LEFT JOIN d ON t.tconst = d.tconst LEFT JOIN w ON t.tconst = w.tconst LEFT JOIN {expertise_sql('director', DIRECTORS)} x ON t.tconst = x.tconst
-          LEFT JOIN {expertise_sql('writer', WRITERS)} y ON t.tconst = y.tconst LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name"""
+        FROM t LEFT JOIN d ON t.tconst = d.tconst LEFT JOIN w ON t.tconst = w.tconst <joins> LEFT JOIN rate ON t.p_name = rate.p_name LEFT JOIN pol ON t.p_name = pol.p_name"""
 
 
-@query("feature_build_columns", PLAIN_SQL)
+@query("feature_build_columns", plain_sql(
+    ", ".join(f"round(coalesce({w}_{suffix}_expertise, 0), 6) AS {w}_{suffix}_expertise" for suffix in EXPERTISE_SQL for w in WORDS),
+    " ".join(f"LEFT JOIN {expertise_columns_sql(suffix)} {suffix} ON t.tconst = {suffix}.tconst" for suffix in EXPERTISE_SQL),
+))
 def feature_build_columns(t: Tables):
-    """The plain columns of the feature build, which SQL can check."""
+    """The plain columns of the feature build and a column for each category of expertise."""
     inputs = movie_inputs(t.part, t.lineitem)
-    table = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2).fit_transform(inputs)[1]
-    return _plain(table)
+    build = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2, expertise="columns")
+    table = build.fit_transform(inputs)[1]
+    return _plain(table, *[r(c).alias(c) for c in table.columns if c.endswith("_expertise")])
+
 
+GENRE_SQL = """(WITH v AS (SELECT tconst, coalesce(votes, avg(votes) OVER ()) AS votes, string_split(p_name, ' ') AS g FROM t),
+    p AS (SELECT c, avg(votes) AS p FROM (SELECT votes, unnest(list_distinct(g)) AS c FROM v) GROUP BY c),
+    w AS (SELECT tconst, c, any_value(p) * count(*) AS w FROM (SELECT tconst, unnest(g) AS c FROM v) JOIN p USING (c) GROUP BY ALL),
+    q AS (SELECT tconst, w * w AS q FROM w UNION ALL SELECT l.tconst, pow(l.w * r.w, 2) FROM w l JOIN w r ON l.tconst = r.tconst AND l.c < r.c)
+  SELECT tconst, sqrt(sum(q)) AS genre_length FROM q GROUP BY tconst)"""
 
-@query("feature_build", f"SELECT *, CAST(10 AS INTEGER) AS text_components, CAST(20 AS INTEGER) AS genre_components FROM ({PLAIN_SQL})")
+
+@query("feature_build", plain_sql(
+    "CAST(10 AS INTEGER) AS text_components, CAST(20 AS INTEGER) AS genre_components, round(coalesce(dir_squares, 0), 6) AS dir_squares,"
+    " round(coalesce(wri_squares, 0), 6) AS wri_squares, round(genre_length / 1e6, 4) AS genre_length",
+    " ".join(f"LEFT JOIN {expertise_length_sql(suffix)} {suffix} ON t.tconst = {suffix}.tconst" for suffix in EXPERTISE_SQL)
+    + f" LEFT JOIN {GENRE_SQL} gl ON t.tconst = gl.tconst",
+))
 def feature_build(t: Tables):
     """The whole feature build, with its default sizes, on titles made from the part and line item tables."""
-    table = FeatureBuild(AS_OF_YEAR, "combined").fit_transform(movie_inputs(t.part, t.lineitem))[1]
-    sizes = {f"{family}_components": F.size(vector_to_array(f"{family}_pca")) for family in ("text", "genre")}
-    return _plain(table, *[size.alias(name) for name, size in sizes.items()])
+    table = FeatureBuild(AS_OF_YEAR, "combined", keep_wide=True).fit_transform(movie_inputs(t.part, t.lineitem))[1]
+    sizes = [F.size(vector_to_array(f"{family}_pca")).alias(f"{family}_components") for family in ("text", "genre")]
+    squares = lambda c: F.aggregate(vector_to_array(c), F.lit(0.0), lambda s, x: s + x * x)
+    expertise = [r(squares(f"{suffix}_expertise_vec")).alias(f"{suffix}_squares") for suffix in EXPERTISE_SQL]
+    return _plain(table, *sizes, *expertise, r(F.sqrt(squares("genre_vec")) / 1e6, 4).alias("genre_length"))
 
 
 def _plain(table, *more):
     return table.select(
         *more, "tconst", "label", "releaseYear", r("runtimeMinutes", 4).alias("runtimeMinutes"), r("numVotes", 4).alias("numVotes"),
-        "director_count", "writer_count", *_expertise(table), F.col("budget").cast("double").alias("budget"),
+        "director_count", "writer_count", F.col("budget").cast("double").alias("budget"),
         r("text_sentiment_polarity").alias("text_sentiment_polarity"), "title_length", "movie_age", "movies_in_year",
     )
 
 
-def _expertise(table):
-    return [r(c).alias(c) for c in table.columns if c.endswith("_expertise")]
-
-
-@query(
-    "feature_build_scored",
-    f"""SELECT p_partkey AS tconst, round(coalesce(COLUMNS(x.* EXCLUDE (tconst)), 0), 6), round(coalesce(COLUMNS(y.* EXCLUDE (tconst)), 0), 6)
-        FROM part LEFT JOIN {expertise_sql('director', DIRECTORS, '{} % 5 <> 0', '{} % 5 = 0')} x ON p_partkey = x.tconst
-          LEFT JOIN {expertise_sql('writer', WRITERS, '{} % 5 <> 0', '{} % 5 = 0')} y ON p_partkey = y.tconst WHERE p_partkey % 5 = 0""",
-)
+@query("feature_build_scored", " UNION ALL ".join(
+    f"SELECT tconst, '{person}' AS role, category, round(mean, 6) AS expertise FROM {expertise_sql(person, links, '{} % 5 <> 0', '{} % 5 = 0')}"
+    for person, links in (("director", DIRECTORS), ("writer", WRITERS))
+))
 def feature_build_scored(t: Tables):
     """Titles that were not in the fit: expertise comes from the training titles alone."""
     inputs = movie_inputs(t.part, t.lineitem)
     build = FeatureBuild(AS_OF_YEAR, "embedding", embedding="hashing", embedding_size=16, genre_components=2)
     fitted = build.fit(replace(inputs, titles=inputs.titles.where("tconst % 5 <> 0")))
     table = fitted.transform(replace(inputs, titles=inputs.titles.where("tconst % 5 = 0")))
-    return table.select("tconst", *_expertise(table))
+    names = fitted.expertise.positions.select("position", "category")
+    shown = []
+    for role, suffix in (("director", "dir"), ("writer", "wri")):
+        cells = table.select("tconst", F.posexplode(vector_to_array(f"{suffix}_expertise_vec")).alias("position", "value")).where("value <> 0")
+        shown.append(cells.join(names, "position").select("tconst", F.lit(role).alias("role"), "category", r("value").alias("expertise")))
+    return shown[0].unionByName(shown[1])

@@ -107,7 +107,7 @@ def robust_stats_by_label(t: Tables):
           count(*) FILTER (WHERE v < p25 - 1.5 * (p75 - p25) OR v > p75 + 1.5 * (p75 - p25)) AS iqr_outliers
         FROM {ROBUST} s JOIN {LONG} l ON s."column" = l."column" GROUP BY 1""")
 def iqr_outliers(t: Tables):
-    return op.outlier_counts(t.numbers, STATS).select("column", "p25", "p75", "iqr_low", "iqr_high", "iqr_outliers")
+    return op.outlier_counts(t.numbers, STATS, deviations=False).select("column", "p25", "p75", "iqr_low", "iqr_high", "iqr_outliers")
 
 
 LINES = """(SELECT 'l_extendedprice' AS "column", l_extendedprice AS v FROM lineitem

@@ -127,6 +127,9 @@ NUMBERS = """(SELECT o_orderkey AS tconst,
  CAST(floor(o_totalprice) AS BIGINT) % 240 AS runtimeMinutes, CAST(year(o_orderdate) AS BIGINT) AS startYear,
  o_orderstatus = 'F' AS label FROM orders)"""
 
+# The words of the test titles, which are their categories.
+WORDS = ("anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod", "small", "widget")
+
 # Text normalisation as SQL.
 BLANKS = "' ' || chr(9) || chr(10) || chr(13)"
 MISSING = r"('\n', 'nan', 'none', 'null', 'na', '-', '?', '')"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from featloom.functions import text as ft
 from featloom.operators import text_features as op
 from featloom.operators.categories import explode_list
+from featloom.operators.sparse import unpacked
 from featloom.queries.registry import (
     Tables, query, r, rounded, sql_embedding_clean, sql_fingerprint_tokens, sql_fold, sql_no_punctuation, sql_strip,
 )
@@ -65,48 +66,58 @@ STOP_WORDS = ("the", "of", "and", "in", "to", "is", "for", "on", "with", "la", "
 STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
-@query(
-    "tfidf_long",
-    rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower({sql_no_punctuation(sql_strip('text'))}), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term
+TFIDF_SQL = rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower({sql_no_punctuation(sql_strip('text'))}), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term
                 FROM documents),
          c AS (SELECT doc_id, term, count(*) AS tf FROM w WHERE term NOT IN ({STOP}) GROUP BY ALL),
          i AS (SELECT term, ln((1.0 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf FROM c GROUP BY term),
          x AS (SELECT doc_id, c.term, tf * idf AS v FROM c JOIN i ON c.term = i.term)
-       SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM x""",
-)
-def tfidf_long(t: Tables):
-    return rounded(op.tfidf_long(t.texts, "doc_id", "text", STOP_WORDS), "tfidf")
+       SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM x"""
 
 
-def _norm(vector: str):
-    return r(F.sqrt(F.aggregate(vector_to_array(vector), F.lit(0.0), lambda s, x: s + x * x))).alias("norm")
+@query("tfidf_long", TFIDF_SQL)
+def tfidf_long(t: Tables):
+    return rounded(op.tfidf_long(t.texts, "doc_id", "text", STOP_WORDS), "tfidf")
 
 
-@query(
-    "tfidf_vector",
-    rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower({sql_no_punctuation(sql_strip('text'))}), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term
-                FROM documents)
-         SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM w WHERE term NOT IN ({STOP})) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
-         FROM documents""",
-)
+@query("tfidf_vector", TFIDF_SQL)
 def tfidf_vector(t: Tables):
-    """Hashed TF-IDF vectors: of unit length where a text has a term."""
+    """TF-IDF vectors with a position for every term, shown as terms again."""
     texts = t.texts
-    fitted = op.fit_tfidf_vectors(texts, "text", stop_words=STOP_WORDS, features=1 << 12)
-    return fitted.transform(texts).select("doc_id", _norm("tfidf_vec"))
+    fitted = op.fit_tfidf_vectors(texts, "text", stop_words=STOP_WORDS)
+    cells = unpacked(fitted.rows(texts), "doc_id", "tfidf_vec")
+    return cells.join(fitted.terms.select("position", "term"), "position").select("doc_id", "term", r("value").alias("tfidf"))
+
+
+# Titles of few words: with as many numbers as words, products of word vectors are those of their rows of weights.
+WORD_WEIGHTS = """w AS (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part),
+  o AS (SELECT w, unnest(range(1, len(w))) AS i FROM w),
+  s AS (SELECT w, i, unnest(range(i + 1, least(i + 5, len(w)) + 1)) AS j FROM o),
+  p AS (SELECT w[i] AS a, w[j] AS b FROM s UNION ALL SELECT w[j], w[i] FROM s),
+  n AS (SELECT a, b, count(*) AS n FROM p GROUP BY ALL),
+  m AS (SELECT a, sum(n) AS m FROM n GROUP BY a),
+  x AS (SELECT n.a, n.b, ln(n.n::DOUBLE * (SELECT sum(n) FROM n) / (l.m::DOUBLE * r.m)) AS x FROM n JOIN m l ON n.a = l.a JOIN m r ON n.b = r.a),
+  g AS (SELECT l.a, r.a AS c, sum(l.x * r.x) AS g FROM x l JOIN x r ON l.b = r.b WHERE l.x > 0 AND r.x > 0 GROUP BY ALL)"""
 
 
 @query(
     "embed_text",
-    "SELECT p_partkey, min(p_partkey) OVER (PARTITION BY list_sort(string_split(p_name, ' '))) AS same_as FROM part",
+    f"""WITH {WORD_WEIGHTS}, t AS (SELECT p_partkey, len(w) AS k, unnest(w) AS a FROM w)
+        SELECT l.p_partkey, round(sum(coalesce(g, 0)) / any_value(l.k * l.k), 6) AS squares
+        FROM t l JOIN t r ON l.p_partkey = r.p_partkey LEFT JOIN g ON g.a = l.a AND g.c = r.a GROUP BY 1""",
 )
 def embed_text(t: Tables):
-    """Averaged word vectors: titles of the same words, and no others, share a vector."""
+    """Averaged word vectors of the titles, by the company of their words: squared lengths."""
     titles = t.part.select("p_partkey", "p_name")
-    out = op.fit_embedding(titles, "p_name", size=16).transform(titles)
-    rounded_vector = F.transform(vector_to_array("emb_vec"), lambda x: F.round(x, 9))
-    out = out.select("p_partkey", rounded_vector.alias("v"))
-    return out.join(out.groupBy("v").agg(F.min("p_partkey").alias("same_as")), "v").select("p_partkey", "same_as")
+    out = op.fit_embedding(titles, "p_name", size=1 << 8).transform(titles)
+    squares = F.aggregate(vector_to_array("emb_vec"), F.lit(0.0), lambda s, x: s + x * x)
+    return out.select("p_partkey", r(squares).alias("squares"))
+
+
+@query("embed_documents")
+def embed_documents(t: Tables):
+    """Averaged word vectors of whole documents."""
+    texts = t.texts
+    return op.fit_embedding(texts, "text", size=16, min_count=50).transform(texts).select("doc_id", vector_to_array("emb_vec").alias("vector"))
 
 
 @query(
@@ -116,7 +127,8 @@ def embed_text(t: Tables):
 )
 def embed_text_hashed(t: Tables):
     texts = t.texts
-    return op.fit_embedding(texts, "text", method="hashing").transform(texts).select("doc_id", _norm("emb_vec"))
+    norm = F.sqrt(F.aggregate(vector_to_array("emb_vec"), F.lit(0.0), lambda s, x: s + x * x))
+    return op.fit_embedding(texts, "text", method="hashing").transform(texts).select("doc_id", r(norm).alias("norm"))
 
 
 @query(

@@ -36,7 +36,9 @@ def compare(spark, con, query, sf_dir: str) -> str | None:
     """None when equal, else what differs."""
     df = query.run(spark, sf_dir)
     got_names, got = _sorted(df.columns, df.collect())
-    rel = con.execute(query.sql)
+    # A check must also hold as a view, as the driver may keep it.
+    con.execute(f"CREATE OR REPLACE VIEW checked AS {query.sql}")
+    rel = con.execute("SELECT * FROM checked")
     want_names, want = _sorted([d[0] for d in rel.description], rel.fetchall())
     if got_names != want_names:
         return f"columns {got_names} != {want_names}"

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featloom import session
-from featloom.operators import categories, cleaning, credits, model, profile, text_features
+from featloom.operators import categories, cleaning, credits, model, profile, sparse, text_features
 from featloom.plans import saved
 from featloom.plans.feature_build import FeatureBuild, MovieInputs, movie_inputs
 from featloom.plans.train_score import run, train
@@ -82,10 +82,10 @@ def test_files_to_predictions(spark, files, tmp_path):
     for expected in (
         "numVotes", "releaseYear", "director_count", "is_top_10_writer", "budget", "text_sentiment_polarity", "title_length",
         "title_contains_part", "movie_age", "movies_in_year", "season_winter", "text_pca", "genre_pca",
-        "car_dir_expertise", "night_wri_expertise",
+        "dir_expertise_vec", "wri_expertise_vec",
     ):
         assert expected in names, expected
-    assert {"drama", "car"} <= {r["category"] for r in plan.features.popularity.collect()}
+    assert {"drama", "car"} <= {r["category"] for r in plan.features.stages[-1].vectors.singles.collect()}
     for split in ("validation", "validation_hidden"):
         back = readers.read_csv(spark, f"{tmp_path}/{split}_predictions")
         assert back.columns == ["tconst", "prediction"] and back.count() == 40
@@ -129,8 +129,7 @@ LAZY = [
 def test_every_model_takes_every_family(spark, method, model_type, ranges):
     tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")}
     inputs = movie_inputs(tables["part"], tables["lineitem"])
-    build = FeatureBuild(2024, method, embedding="hashing", embedding_size=8, text_components=4, final_components=3, genre_components=2,
-                         tfidf_features=64, reduced_features=32)
+    build = FeatureBuild(2024, method, embedding="hashing", embedding_size=8, text_components=4, final_components=3, genre_components=2)
     plan = train(inputs, build, model_type, trials=1, folds=2, ranges=ranges)
     assert plan.score(inputs).count() == inputs.titles.count()
 
@@ -171,41 +170,66 @@ def test_fitted_tables_are_written(spark):
 
 
 def test_any_number_of_categories(spark):
-    """20,000 categories: vectors keep their width and the long form has one row each."""
-    df = spark.range(20_000).selectExpr("id AS k", "array(concat('g', id), concat('g', (id * 7 + 1) % 20000)) AS genres", "id AS v")
+    """20,000 categories and as many pairs: each has a position of its own."""
+    df = spark.range(20_000).selectExpr("id AS k", "array(concat('g', id), concat('g', (id * 7 + 1) % 20000)) AS genres", "id + 1 AS v")
     weights = categories.fit_popularity(df, "genres", "v")
-    out = categories.category_vectors(df, "genres", weights, "vec", buckets=8)
-    assert out.count() == 20_000 and {len(r.vec) for r in out.limit(50).collect()} == {16}
+    vectors = categories.fit_category_vectors(df, "genres", weights)
+    assert vectors.size == 20_000 + vectors.pairs.count() and vectors.pairs.agg(F.min("position")).first()[0] == 20_000
+    out = vectors.transform(df, "vec")
+    assert out.count() == 20_000 and {r.vec.numNonzeros() for r in out.where("k <> 3333").limit(50).collect()} == {3}
+    found = categories.fit_category_components(df, vectors, 3, "pca").transform(df)
+    assert found.count() == 20_000 and len(found.first()["pca"]) == 3
     links = df.selectExpr("k AS tconst", "k % 100 AS director")
     shares = credits.category_expertise(links, df.selectExpr("k AS tconst", "genres"), "tconst", "director", "genres")
     long = credits.title_expertise(links, shares, "tconst", "director")
     assert abs(long.agg(F.sum("expertise")).first()[0] - 20_000) < 1e-6
-    vectors = credits.expertise_vector(long.where("tconst < 50"), "tconst", "vec", 16)
-    assert all(abs(sum(r.vec) - 1) < 1e-9 for r in vectors.collect())
+    places = vectors.singles.select("category", "position", "hot")
+    held = credits.expertise_vector(long.where("tconst < 50"), "tconst", "vec", places, 20_000)
+    assert all(abs(sum(r.vec.toArray()) - 1) < 1e-9 for r in sparse.as_vectors(held, ["vec"]).collect())
 
 
-def test_more_terms_than_positions(spark):
+def test_every_term_has_a_position(spark):
     df = spark.range(2000).selectExpr("id", "concat_ws(' ', transform(sequence(0, 600), i -> concat('t', id * 601 + i))) AS text")
-    fitted = text_features.fit_tfidf_vectors(df, "text", features=1 << 16)
+    fitted = text_features.fit_tfidf_vectors(df, "text")
     row = fitted.transform(df).select("tfidf_vec").first()[0]
-    assert row.size == 1 << 16 and abs(row.norm(2) - 1) < 1e-9
+    assert row.size == fitted.size == 2000 * 601 and row.numNonzeros() == 601 and abs(row.norm(2) - 1) < 1e-9
+
+
+def test_person_statistics_enter_the_build(spark):
+    inputs = movie_inputs(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("part", "lineitem")))
+    rated = inputs.directors.withColumn("averageRating", F.pmod("tconst", F.lit(10)).cast("double")).where("tconst % 5 <> 0")
+    rated = rated.unionByName(inputs.directors.where("tconst % 5 = 1").withColumn("averageRating", F.lit(None).cast("double")))
+    build = FeatureBuild(2024, "embedding", embedding="hashing", embedding_size=8, genre_components=2)
+    fitted, table = build.fit_transform(replace(inputs, directors=rated, writers=None))
+    rows = {r.tconst: r for r in table.select("tconst", "dir_movie_count", "dir_avg_rating").collect()}
+    assert table.count() == 200 and all(r.dir_avg_rating is not None for r in rows.values())
+    fill = fitted.ratings.values["dir_avg_rating"]
+    assert all(rows[k].dir_movie_count is None and rows[k].dir_avg_rating == fill for k in (5, 10, 15))
+
+
+def test_category_column_by_its_other_name(spark):
+    inputs = movie_inputs(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("part", "lineitem")))
+    titles = inputs.titles.withColumn("genre_names", F.lit("['Drama', 'War']"))
+    _, table = FeatureBuild(2024, "embedding", embedding="hashing", embedding_size=8, genre_components=2, keep_wide=True).fit_transform(MovieInputs(titles))
+    row = table.first()
+    assert row.genre_vec.size == 3 and row.genre_vec.numNonzeros() == 3 and "genres" not in table.columns
 
 
 def test_a_title_has_the_same_features_alone_and_among_others(spark):
     tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")}
     inputs = movie_inputs(tables["part"], tables["lineitem"])
-    build = FeatureBuild(2024, "embedding", embedding="hashing", embedding_size=8, genre_components=2, expertise="vector")
+    build = FeatureBuild(2024, "embedding", embedding="hashing", embedding_size=8, genre_components=2)
     fitted = build.fit(inputs)
     one = inputs.titles.where("tconst = 7")
     alone, among = (fitted.transform(replace(inputs, titles=t)).where("tconst = 7").drop("movies_in_year").first().asDict() for t in (one, inputs.titles))
-    assert alone == among and len(alone["dir_expertise_vec"]) == build.category_buckets
+    assert alone == among and alone["dir_expertise_vec"].size == fitted.expertise.size
 
 
 @pytest.mark.parametrize("method", ["combined", "tfidf"])
 def test_a_saved_plan_scores_alike_in_another_session(spark, tmp_path, method):
     tables = {n: spark.read.parquet(f"{SF}/{n}.parquet") for n in ("part", "lineitem")}
     inputs = movie_inputs(tables["part"], tables["lineitem"])
-    build = FeatureBuild(2024, method, embedding_size=8, text_components=4, final_components=3, genre_components=2, tfidf_features=64, reduced_features=32)
+    build = FeatureBuild(2024, method, embedding_size=8, text_components=4, final_components=3, genre_components=2)
     plan = train(inputs, build, "rf", trials=1, folds=2, ranges={"n_trees": (3, 3), "depth": (3, 3)})
     saved.save(plan, f"{tmp_path}/plan")
     other = spark.newSession()
