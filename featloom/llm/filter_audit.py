@@ -20,6 +20,8 @@ CONDITIONS: dict[str, Callable[[Column, Column], Column]] = {
     "C": lambda text, words: F.regexp_count(text, F.lit("[A-Z]")).cast("long") * 100 > F.length(text).cast("long") * 2,
     "D": lambda text, words: text.rlike("[#$%&*|]"),
 }
+#: Digests fall into so many buckets; the list of those in use is broadcast, at most 2^20 numbers.
+BUCKETS = 1 << 20
 #: A text counts as hot where it holds more than this share of all rows; so there are at most 1,000 hot texts.
 HOT = 1000
 
@@ -32,17 +34,22 @@ def copies(docs: DataFrame, ids: DataFrame, key: str = "doc_id", text: str = "te
     whole text and a smaller id; the other side holds each different text once,
     with its smallest id. A digest with more than a thousandth of the rows is dealt
     into slices on both sides, by a broadcast list of at most ``HOT`` digests.
+    Texts move only where the bucket of their digest holds a shared one, by a
+    broadcast list of at most ``BUCKETS`` numbers.
     """
     total = ids.agg(F.sum("n")).head()[0] or 0
     shared = ids.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.sum("n").alias("n")).where("least < most")
     share = F.col("n") * HOT / F.lit(float(max(total, 1)))
     shared = materialize(shared.select("digest", "least", F.when(share > 1, F.ceil(share).cast("int")).otherwise(1).alias("slices")), "shared-digests")
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(BUCKETS))
+    used = F.broadcast(shared.select(bucket.alias("bucket")).distinct())
     hot = F.broadcast(shared.where("slices > 1").select("digest", "slices"))
     rows = docs.select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256))).join(hot, "digest", "left")
+    rows = rows.where("id IS NOT NULL").withColumn("digest", F.unhex(F.sha2("text", 256)))
+    rows = rows.withColumn("bucket", bucket).join(used, "bucket", "left_semi").join(hot, "digest", "left")
     rows = rows.withColumn("slice", F.pmod(F.xxhash64("id"), F.coalesce("slices", F.lit(1))).cast("int")).drop("slices")
     dealt = shared.select("digest", "slices", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    rows = materialize(rows.where("id IS NOT NULL").join(dealt, ["digest", "slice"]).select("digest", "slice", "slices", "id", "text"), "shared-texts")
+    rows = materialize(rows.join(dealt, ["digest", "slice"]).select("digest", "slice", "slices", "id", "text"), "shared-texts")
     first = rows.groupBy("digest", "text").agg(F.min("id").alias("least"), F.max("slices").alias("slices"))
     first = first.select("digest", "text", "least", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
     l, r = rows.alias("l"), first.alias("r")
