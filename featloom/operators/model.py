@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 import math
-import random
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from featloom.functions import columns as fc
+from featloom.operators.boosting import SecondOrderBooster, SecondOrderTrees
 from featloom.operators.cleaning import first_per_key
+from featloom.operators.network import Network, NeuralNetwork
+from featloom.operators.search import search, space_of
 from featloom.session import materialize
 
 # Columns never used as features.
@@ -30,11 +30,16 @@ NON_FEATURES = (
 )
 
 # Search ranges (low, high), or the choices of a layout.
-FOREST_RANGES = {"n_trees": (50, 500), "depth": (4, 20), "min_leaf": (1, 10)}
+FOREST_RANGES = {"n_trees": (50, 500), "depth": (4, 20), "min_split": (2, 20), "min_leaf": (1, 10)}
 BOOST_RANGES = {"n_trees": (50, 500), "step": (0.01, 0.3), "depth": (3, 10), "subsample": (0.5, 1.0)}
-BOOST_COLUMNS_RANGES = {"n_trees": (100, 1000), "step": (0.01, 0.3), "depth": (3, 10), "subsample": (0.5, 1.0), "columns": (0.5, 1.0)}
-NETWORK_LAYOUTS = ((64,), (128,), (64, 32), (128, 64))
-NETWORK_RANGES = {"max_iter": (200, 500)}
+SECOND_ORDER_RANGES = {
+    "n_trees": (100, 1000), "step": (0.01, 0.3), "depth": (3, 10), "subsample": (0.5, 1.0), "columns": (0.5, 1.0),
+    "reg_alpha": (0.0, 1.0), "reg_lambda": (0.0, 1.0),
+}
+NETWORK_RANGES = {
+    "hidden": ((64,), (128,), (64, 32), (128, 64)), "activation": ("relu", "tanh", "logistic"),
+    "alpha": (1e-5, 1e-2, "log"), "rate": (1e-4, 1e-2, "log"), "max_iter": (200, 500),
+}
 # Vector columns that are scaled without centring, so that they stay sparse.
 SPARSE_FAMILIES = ("tfidf_vec",)
 SEED = 42
@@ -201,9 +206,10 @@ def positive_probability(column: str = "probability") -> Column:
 # --- classifiers -----------------------------------------------------------
 
 
-def random_forest(n_trees: int = 100, depth: int = 10, min_leaf: int = 1, seed: int = SEED) -> RandomForestClassifier:
+def random_forest(n_trees: int = 100, depth: int = 10, min_leaf: int = 1, min_split: int = 2, seed: int = SEED) -> RandomForestClassifier:
+    """No node of fewer than ``min_split`` rows is split: each side must hold half of them, or ``min_leaf`` rows."""
     return RandomForestClassifier(
-        numTrees=n_trees, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed, labelCol="_y", featuresCol="features"
+        numTrees=n_trees, maxDepth=depth, minInstancesPerNode=max(min_leaf, -(-min_split // 2)), seed=seed, labelCol="_y", featuresCol="features"
     )
 
 
@@ -217,19 +223,13 @@ def boosted_trees(
     )
 
 
-def neural_network(inputs: int, hidden: Sequence[int] = (64,), max_iter: int = 100, seed: int = SEED) -> MultilayerPerceptronClassifier:
-    return MultilayerPerceptronClassifier(
-        layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed, labelCol="_y", featuresCol="features"
-    )
-
-
 @dataclass(frozen=True)
 class ScoringModel:
     """Fitted features, scaling and classifier, with the column contract for new rows."""
 
     features: tuple[str, ...]
     scaler: PipelineModel
-    classifier: Model
+    classifier: Model | SecondOrderTrees | Network
 
     def prepare(self, df: DataFrame, key: str, label: str | None = None, order: Sequence[str] = ()) -> DataFrame:
         """One row per key with scaled features and, where present, the label."""
@@ -278,7 +278,10 @@ def vector_size(scaler: PipelineModel) -> int:
     return sum(len(s.std) for s in scaler.stages if isinstance(s, StandardScalerModel))
 
 
-def train(df: DataFrame, features: Sequence[str], classifier: Estimator, label: str = "label") -> ScoringModel:
+Classifier = Estimator | SecondOrderBooster | NeuralNetwork
+
+
+def train(df: DataFrame, features: Sequence[str], classifier: Classifier, label: str = "label") -> ScoringModel:
     ready, scaler = training_vectors(df, features, label)
     return ScoringModel(tuple(features), scaler, classifier.fit(ready.select("features", "_y")))
 
@@ -286,26 +289,13 @@ def train(df: DataFrame, features: Sequence[str], classifier: Estimator, label:
 # --- search ----------------------------------------------------------------
 
 
-def _draw(rng: random.Random, low, high):
-    return rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
-
-
-def draw_trials(model_type: str, inputs: int, trials: int = TRIALS, seed: int = SEED, ranges: dict | None = None) -> list[Estimator]:
-    """Seeded random draws from the search ranges of a model type: ``rf``, ``xgb``, ``gb`` or ``nn``."""
-    spaces = {"rf": FOREST_RANGES, "xgb": BOOST_COLUMNS_RANGES, "gb": BOOST_RANGES, "nn": NETWORK_RANGES}
-    builders = {"rf": random_forest, "xgb": boosted_trees, "gb": boosted_trees}
-    if model_type not in spaces:
-        raise ValueError(f"unsupported model type: {model_type}")
-    space = {**spaces[model_type], **(ranges or {})}
-    rng = random.Random(seed)
-    drawn = []
-    for _ in range(trials):
-        params = {name: _draw(rng, *bounds) for name, bounds in space.items()}
-        if model_type == "nn":
-            drawn.append(neural_network(inputs, rng.choice(NETWORK_LAYOUTS), **params))
-        else:
-            drawn.append(builders[model_type](**params))
-    return drawn
+def classifier_of(model_type: str, inputs: int, params: Mapping, seed: int = SEED) -> Classifier:
+    """A classifier of a type: ``rf``, ``xgb`` (second order), ``gb`` or ``nn``."""
+    builders = {
+        "rf": random_forest, "gb": boosted_trees, "xgb": SecondOrderBooster,
+        "nn": lambda hidden=(64,), **more: NeuralNetwork(inputs, tuple(hidden), **more),
+    }
+    return builders[model_type](**params, seed=seed)
 
 
 @dataclass(frozen=True)
@@ -327,35 +317,32 @@ def tune(
     parallelism: int = 4,
     ranges: dict | None = None,
 ) -> Search:
-    """Random search by mean accuracy over stratified folds, refitted on all rows.
+    """Model-based search by mean accuracy over stratified folds, the best parameters refitted on all rows.
 
-    Scaled vectors and folds are written once for all trials. The cross validator runs the
-    trials as concurrent Spark jobs and refits the best on the whole table.
+    Scaled vectors and folds are written once for all trials. Densities of the
+    trials so far propose the next ones (``search``); the trials of a round run
+    as concurrent Spark jobs. ``ranges`` replaces search ranges by name.
     """
+    spaces = {"rf": FOREST_RANGES, "xgb": SECOND_ORDER_RANGES, "gb": BOOST_RANGES, "nn": NETWORK_RANGES}
+    if model_type not in spaces:
+        raise ValueError(f"unsupported model type: {model_type}")
     ready, scaler = training_vectors(df, features, label)
     folded = materialize(
-        stratified_folds(ready.select(key, label, "features", "_y"), key, label, folds, seed), "folds"
+        stratified_folds(ready.select(key, label, "features", "_y"), key, label, folds, seed).select("features", "_y", "fold"), "folds"
     )
-    drawn = draw_trials(model_type, vector_size(scaler), trials, seed, ranges)
-    base = drawn[0]
-    set_params = [{p.name: e.getOrDefault(p) for p in e.params if e.isSet(p)} for e in drawn]
-    maps = [{base.getParam(name): value for name, value in params.items()} for params in set_params]
-    evaluator = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="_y")
-    fitted: CrossValidatorModel = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold",
-        parallelism=parallelism, seed=seed,
-    ).fit(folded)
-    best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
-    return Search(
-        ScoringModel(tuple(features), scaler, fitted.bestModel),
-        tuple(fitted.avgMetrics),
-        {p.name: v for p, v in maps[best].items()},
-    )
-
-
-def grid(base: Estimator, **choices: Sequence) -> list[dict]:
-    """Full parameter grid for the cross validator."""
-    builder = ParamGridBuilder()
-    for name, values in choices.items():
-        builder = builder.addGrid(base.getParam(name), list(values))
-    return builder.build()
+    inputs = vector_size(scaler)
+
+    def score(params: dict) -> float:
+        classifier = classifier_of(model_type, inputs, params, seed)
+        found = []
+        for fold in range(folds):
+            scored = classifier.fit(folded.where(F.col("fold") != fold)).transform(folded.where(F.col("fold") == fold))
+            right = (threshold(positive_probability()) == (F.col("_y") > 0.5)).cast("double")
+            found.append(scored.agg(F.avg(right)).first()[0])
+        found = [f for f in found if f is not None]  # a fold without rows tells nothing
+        return sum(found) / len(found) if found else 0.0
+
+    done = search(space_of({**spaces[model_type], **(ranges or {})}), score, trials, seed, parallelism)
+    best = max(done, key=lambda t: t[1])[0]
+    fitted = classifier_of(model_type, inputs, best, seed).fit(folded)
+    return Search(ScoringModel(tuple(features), scaler, fitted), tuple(s for _, s in done), best)

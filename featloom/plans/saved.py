@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from featloom.operators import categories, cleaning, model, sparse
+from featloom.operators import boosting, categories, cleaning, model, network, sparse
 from featloom.operators import text_features as text
 from featloom.plans import feature_build
 from featloom.plans.train_score import TrainedPlan
@@ -21,7 +21,7 @@ PARTS = {
     for c in (
         TrainedPlan, feature_build.FeatureModel, feature_build.FeatureBuild, feature_build.Expertise, cleaning.FillModel, model.Search,
         model.ScoringModel, model.CentredPCA, sparse.Components, text.TfidfVectors, text.WordVectors, text.HashedEmbedding, text.TextComponents,
-        categories.CategoryVectors, categories.CategoryComponents,
+        categories.CategoryVectors, categories.CategoryComponents, boosting.SecondOrderTrees, boosting.Tree, boosting.Split, network.Network,
     )
 }
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from featloom.functions import text as ft
 from featloom.operators import model as op
+from featloom.operators.network import shaped, start
 from featloom.queries.registry import NUMBERS, Tables, query, r
 from featloom.session import materialize, scratch_path
 from featloom.sources.readers import read_csv, write_predictions
@@ -94,15 +95,15 @@ def train_gb(t: Tables):
 
 @query("train_mlp", SCORED_SQL)
 def train_mlp(t: Tables):
-    return _fit(t, op.neural_network(len(DOC_FEATURES), (64, 32), max_iter=30))
+    return _fit(t, op.NeuralNetwork(len(DOC_FEATURES), (64, 32), rate=0.01, max_iter=30))
 
 
-@query("tune_random", "SELECT CAST(range AS INTEGER) AS trial, true AS in_range, true AS beats_majority FROM range(3)")
-def tune_random(t: Tables):
-    """A reduced search (trials, folds and tree counts are arguments) over all labelled rows."""
+@query("tune_search", "SELECT CAST(range AS INTEGER) AS trial, true AS in_range, true AS beats_majority FROM range(20)")
+def tune_search(t: Tables):
+    """A search of 20 trials and 3 folds for small forests over all labelled rows; sizes are arguments."""
     rows = training_table(t)
     found = op.tune(
-        rows, op.select_features(rows), "rf", trials=3, folds=3, ranges={"n_trees": (5, 15), "depth": (3, 6)}
+        rows, op.select_features(rows), "rf", folds=3, ranges={"n_trees": (5, 15), "depth": (3, 6)}
     )
     scores = [(i, float(s)) for i, s in enumerate(found.scores)]
     trials = rows.sparkSession.createDataFrame(scores, "trial int, mean_accuracy double")
@@ -139,6 +140,88 @@ def prepare_eval(t: Tables):
     return out.select("tconst", "label", *[r(v[features.index(c)], 4).alias(c) for c in shown])
 
 
+PLAIN_FEATURES = ("chars", "blanks", "words", "lines", "digits")
+BOOSTER = op.SecondOrderBooster(n_trees=1, step=0.3, depth=3, reg_alpha=0.5, reg_lambda=1.0, bins=16)
+
+
+def booster_sql(b: op.SecondOrderBooster) -> str:
+    """The first tree by plain sums over bins, level by level: its splits and the weights of its leaves."""
+    shrunk = lambda g: f"(sign({g}) * greatest(abs({g}) - {b.reg_alpha}, 0.0))"
+    score = lambda g, h: f"({shrunk(g)} * {shrunk(g)} / ({h} + {b.reg_lambda}))"
+    weight = lambda g, h: f"{b.step} * (-{shrunk(g)} / ({h} + {b.reg_lambda}))"
+    parts = []
+    for level in range(b.depth):
+        n = f"n{level}"
+        parts.append(f"""t{level} AS (SELECT node, sum(g) AS tg, sum(h) AS th FROM {n} GROUP BY node),
+        s{level} AS (SELECT node, f, bin, sum(g) AS g, sum(h) AS h FROM {n} JOIN b USING (id) GROUP BY ALL),
+        a{level} AS (SELECT node, f, bin, sum(g) AS g, sum(h) AS h FROM (SELECT * FROM s{level} UNION ALL
+          SELECT node, f, any_value(zero), any_value(tg) - sum(g), any_value(th) - sum(h) FROM s{level} JOIN t{level} USING (node) JOIN e USING (f) GROUP BY node, f) GROUP BY ALL),
+        c{level} AS (SELECT node, f, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl, tg, th, e[bin + 1] AS threshold
+          FROM a{level} JOIN t{level} USING (node) JOIN e USING (f) WINDOW w AS (PARTITION BY node, f ORDER BY bin)),
+        k{level} AS (SELECT *, ({score('gl', 'hl')} + {score('(tg - gl)', '(th - hl)')} - {score('tg', 'th')}) / 2 AS gain FROM c{level}
+          WHERE hl >= {b.min_weight} AND th - hl >= {b.min_weight} AND threshold IS NOT NULL),
+        best{level} AS (SELECT * FROM k{level} WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, bin) = 1),
+        n{level + 1} AS (SELECT n.id, n.g, n.h, 2 * n.node + (v > threshold)::INT AS node FROM {n} n JOIN best{level} s ON n.node = s.node JOIN r ON r.id = n.id AND r.f = s.f)""")
+    best = " UNION ALL ".join(f"SELECT * FROM best{level}" for level in range(b.depth))
+    names = ", ".join(f"'{f}'" for f in PLAIN_FEATURES)
+    grid = ", ".join(str(k / b.bins) for k in range(1, b.bins))
+    return f"""WITH d AS {DOC_SQL}, r AS (SELECT tconst AS id, unnest(range({len(PLAIN_FEATURES)})) AS f, unnest([{', '.join(PLAIN_FEATURES)}]::DOUBLE[]) AS v FROM d),
+        q AS (SELECT f, list_sort(list_distinct(list_append(quantile_disc(v, [{grid}]), 0.0))) AS e FROM r WHERE v <> 0 GROUP BY f),
+        e AS (SELECT f, e, len(list_filter(e, lambda x: x < 0)) AS zero FROM q),
+        b AS (SELECT id, f, len(list_filter(e, lambda x: x < v)) AS bin FROM r JOIN e USING (f) WHERE v <> 0),
+        n0 AS (SELECT tconst AS id, 0.5::DOUBLE - label AS g, 0.25::DOUBLE AS h, 1 AS node FROM d),
+        {', '.join(parts)},
+        best AS ({best}),
+        leaf AS (SELECT 2 * node AS node, gl AS g, hl AS h FROM best UNION ALL SELECT 2 * node + 1, tg - gl, th - hl FROM best)
+        SELECT node::BIGINT AS node, [{names}][f + 1] AS feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, NULL::DOUBLE AS weight FROM best
+        UNION ALL SELECT node::BIGINT, NULL, NULL, NULL, round({weight('g', 'h')}, 6) FROM leaf WHERE node NOT IN (SELECT node FROM best)"""
+
+
+@query("train_xgb", booster_sql(BOOSTER))
+def train_xgb(t: Tables):
+    """The splits and leaves of the first tree over all labelled texts."""
+    rows = training_table(t)
+    ready = op.assemble(rows, PLAIN_FEATURES).withColumn("_y", F.col("label").cast("double"))
+    [tree] = BOOSTER.fit(ready).trees
+    found = [(s.node, PLAIN_FEATURES[s.feature], s.threshold, s.gain, None) for s in tree.splits] + [(n, None, None, None, w) for n, w in tree.weights]
+    out = t.spark.createDataFrame(found, "node long, feature string, threshold double, gain double, weight double")
+    return out.select("node", "feature", *[r(c).alias(c) for c in ("threshold", "gain", "weight")])
+
+
+@query("train_xgb_scored", SCORED_SQL)
+def train_xgb_scored(t: Tables):
+    return _fit(t, op.SecondOrderBooster(n_trees=10, step=0.3, depth=3, subsample=0.8, columns=0.8, reg_alpha=0.1))
+
+
+NETWORK = op.NeuralNetwork(len(PLAIN_FEATURES), (3,), activation="tanh", batches=1, validation=0.0)
+
+
+def network_sql(n: op.NeuralNetwork) -> str:
+    """Summed gradient of the network at its start, weight by weight in the order of the layers."""
+    (w, b), (v, c) = shaped(start(n.sizes, n.activation, n.seed), n.sizes)
+    number = lambda x: f"{float(x)!r}::DOUBLE"
+    x = [f"x{i}" for i in range(n.inputs)]
+    scaled = ", ".join(f"({f} - avg({f}) OVER ()) / stddev_pop({f}) OVER () AS {x[i]}" for i, f in enumerate(PLAIN_FEATURES))
+    hidden = ", ".join("tanh(" + " + ".join([*(f"{x[i]} * {number(w[i, j])}" for i in range(n.inputs)), number(b[j])]) + f") AS a{j}" for j in range(3))
+    top = " + ".join([*(f"a{j} * {number(v[j, 0])}" for j in range(3)), number(c[0])])
+    back = [f"d * {number(v[j, 0])} * (1 - a{j} * a{j})" for j in range(3)]
+    sums = [f"{x[i]} * {back[j]}" for i in range(n.inputs) for j in range(3)] + back + [f"d * a{j}" for j in range(3)] + ["d"]
+    return f"""WITH d AS {DOC_SQL}, s AS (SELECT label, {scaled} FROM d), h AS (SELECT *, {hidden} FROM s),
+        p AS (SELECT *, 1 / (1 + exp(-({top}))) - label AS d FROM h)
+        SELECT CAST(unnest(range({len(sums)})) AS BIGINT) AS place, round(unnest([{', '.join(f'sum({e})' for e in sums)}]), 4) AS slope FROM p"""
+
+
+@query("network_gradient", network_sql(NETWORK))
+def network_gradient(t: Tables):
+    """The gradient that all tasks add up for the first step of a small network."""
+    rows = training_table(t).select("tconst", "label", *PLAIN_FEATURES)
+    ready, _ = op.training_vectors(rows, PLAIN_FEATURES, "label")
+    ready = ready.select(F.monotonically_increasing_id().alias("row"), "features", F.col("_y").alias("y"))
+    slope, *_ = NETWORK.summed(materialize(ready, "network-rows"), start(NETWORK.sizes, NETWORK.activation, NETWORK.seed), 0, 0)
+    out = t.spark.createDataFrame([(i, float(v)) for i, v in enumerate(slope)], "place long, slope double")
+    return out.select("place", r("slope", 4).alias("slope"))
+
+
 def _batch(t: Tables):
     rows = training_table(t)
     fitted = op.train(rows, op.select_features(rows), op.random_forest(n_trees=10, depth=5))
