@@ -121,6 +121,102 @@ def ascii_fold(c: Column | str) -> Column:
     return F.when(~c.rlike(non_ascii), c).when(has_multiple, to_ascii(expanded)).otherwise(to_ascii(c))
 
 
+# Letters whose name does not show their sound.
+LETTER_NAMES = {
+    "SHARP S": "ss", "ETH": "d", "THORN": "th", "ENG": "ng", "KRA": "q", "LONG S": "s", "SCHWA": "e", "OPEN E": "e", "OPEN O": "o", "EZH": "zh", "ESH": "sh",
+    "WYNN": "w", "YOGH": "y", "HWAIR": "hv", "GAMMA": "g", "IOTA": "i", "UPSILON": "u", "ALPHA": "a", "DOTLESS I": "i", "DOTLESS J": "j", "CHI": "kh",
+    "HARD SIGN": "", "SOFT SIGN": "", "YERU": "y", "GHE": "g", "IE": "e", "SHORT I": "i", "KHA": "kh", "HA": "kh", "AIN": "a", "AYIN": "a", "ALEF": "a", "HAMZA": "",
+    "THAL": "dh", "TATWEEL": "", "BYELORUSSIAN-UKRAINIAN I": "i", "UKRAINIAN IE": "ye",
+}
+LETTERS = 8  # a character of more letters (some whole words written as one) is dropped
+SOUNDS = ("TH", "PH", "CH", "PS", "TS", "SH", "KH", "GH", "DZ", "ZH", "SHCH")
+
+
+def _romanized(char: str) -> str | None:
+    """ASCII letters for one character, read from its Unicode name; None where the name tells none."""
+    name = unicodedata.name(char, "")
+    script, _, rest = name.partition(" ")
+    small = " CAPITAL " not in f" {name} " or not char.isupper()
+    if script == "HANGUL" and rest.startswith("SYLLABLE "):
+        return rest.removeprefix("SYLLABLE ").lower()
+    if " LETTER " not in f" {rest} " and " LIGATURE " not in f" {rest} ":
+        return None
+    letter = re.split(r"\b(?:LETTER|LIGATURE) ", rest, maxsplit=1)[-1]
+    letter = re.sub(r" (?:WITH|ABOVE|DIGRAPH|SYMBOL)\b.*| (?:ISOLATED|INITIAL|MEDIAL|FINAL) FORM$", "", letter)
+    letter = re.sub(r"^(?:FINAL|SMALL|SMALL CAPITAL|TURNED|REVERSED|BARRED|AFRICAN|LATIN|HALFWIDTH) ", "", letter)
+    if letter in LETTER_NAMES:
+        sound = LETTER_NAMES[letter]
+    elif script in ("HIRAGANA", "KATAKANA"):
+        sound = letter.lower() if letter.isalpha() else None
+    elif script == "LATIN":
+        sound = letter.lower() if re.fullmatch("[A-Z]{1,2}", letter) else None
+    elif script in ("GREEK", "HEBREW", "ARABIC"):
+        first = next((s for s in SOUNDS if letter.startswith(s)), letter[:1])
+        sound = ("kh" if script == "GREEK" and first == "CH" else first.lower()) if first.isalpha() else None
+    elif script == "CYRILLIC":
+        held = letter.split(" ")[-1]
+        if re.fullmatch("[AEIOUY][AEIOUY]?", held):
+            sound = held.lower()
+        else:
+            sound = (held[1:] if re.fullmatch("E[LMNRSF]", held) else re.sub("[AEIOU]+$", "", held)).lower()
+    else:
+        sound = None
+    return None if sound is None else sound if small else sound.capitalize()
+
+
+@functools.lru_cache(maxsize=1)
+def _romanizations() -> dict[str, str]:
+    """ASCII for every character of the basic plane that decomposes to it or whose name tells its sound."""
+    out = {}
+    for point in range(0x80, 0x10000):
+        if 0xD800 <= point < 0xE000:
+            continue
+        char = chr(point)
+        parts = unicodedata.normalize("NFKD", char)
+        plain = parts.encode("ascii", "ignore").decode("ascii")
+        held = [_romanized(char)] if char == parts else [_romanized(p) if not p.isascii() else p for p in parts if not unicodedata.combining(p)]
+        if unicodedata.name(char, "").startswith(("HANGUL SYLLABLE", "HIRAGANA", "KATAKANA")):
+            held = [_romanized(char)]
+        sound = "".join(h for h in held if h) if any(h is not None for h in held) else plain
+        if sound and sound.isascii() and len(sound) <= LETTERS:
+            out[char] = sound
+    return out
+
+
+def transliterate(c: Column | str) -> Column:
+    """ASCII in place of letters: ``é`` -> ``e``, ``ß`` -> ``ss``, ``ł`` -> ``l``, ``Ж`` -> ``Zh``, ``λ`` -> ``l``, ``か`` -> ``ka``.
+
+    Latin letters with strokes and ligatures, Greek, Cyrillic, Hebrew, Arabic, kana
+    and Hangul are read from the characters' names; other characters beyond ASCII
+    are dropped. A character of several letters is spread over as many columns of
+    one-to-one translations, which are then read across, so that long texts and large
+    tables of letters cost no look-up per character. Plain ASCII is left as it is.
+    """
+    c = _col(c)
+    table = _romanizations()
+    of = lambda low, high: {k: v for k, v in table.items() if low <= len(v) <= high}
+    single = of(1, 1)
+    blank = "\ue000"  # a private character that stands for no letter
+
+    def ascii_only(x: Column) -> Column:
+        return F.regexp_replace(F.translate(x, "".join(single), "".join(single.values())), r"[^\x00-\x7F]+", "")
+
+    def spread(width: int) -> Column:
+        longer = of(2, width)
+        keys = "".join(longer)
+        columns = [F.split(F.translate(c, keys, "".join(v[0] for v in longer.values())), "")]
+        others = F.regexp_replace(c, r"[\x00-\x7F]", blank)
+        for k in range(1, width):
+            nth = F.translate(others, keys, "".join(v[k] if len(v) > k else blank for v in longer.values()))
+            # What has no letters of its own must not be shown again.
+            columns.append(F.split(F.regexp_replace(nth, r"[^\x00-\x7F]", blank), ""))
+        across = functools.reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat(x, y)), columns)
+        return ascii_only(F.translate(F.array_join(across, ""), blank, ""))
+
+    has = lambda low: F.length(F.translate(c, "".join(of(low, LETTERS)), "")) < F.length(c)
+    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).when(has(3), spread(LETTERS)).when(has(2), spread(2)).otherwise(ascii_only(c))
+
+
 def embedding_clean(c: Column | str, null_as_empty: bool = False) -> Column:
     """Strip, drop control characters, lower, fold to ASCII; order and punctuation stay."""
     out = ascii_fold(F.lower(strip_control(strip(c))))

@@ -230,19 +230,106 @@ def k2_statistic(n: Column, skew: Column, kurt: Column) -> Column:
     return z_skew * z_skew + z_kurt * z_kurt
 
 
-def _with_normality(summary: DataFrame) -> DataFrame:
+# Published rational approximation of the normal quantile (near the middle, and towards the ends).
+MIDDLE = (
+    (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4, 4.5921953931549871457e4,
+     6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+    (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3, 2.1213794301586595867e4, 3.9307895800092710610e4,
+     2.8729085735721942674e4, 5.2264952788528545610e3),
+)
+ENDS = (
+    (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0, 1.27045825245236838258e0,
+     2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1, 1.48103976427480074590e-1, 1.51986665636164571966e-2,
+     5.47593808499534494600e-4, 1.05075007164441684324e-9),
+)
+# Published coefficients of the W test: weights of the two outer ranks, then location and scale of its transform.
+OUTER = ((0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056), (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633))
+SMALL = ((-2.273, 0.459), (0.544, -0.39978, 0.025054, -6.714e-4), (1.3822, -0.77857, 0.062767, -0.0020322))
+LARGE = ((-1.5861, -0.31082, -0.083751, 0.0038915), (-0.4803, -0.082676, 0.0030302))
+# Published approximation of the normal tail.
+TAIL = (0.2316419, (0.0, 0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429))
+#: The W test serves columns of fewer values, the moments beyond.
+W_ROWS = 5000
+
+
+def polynomial(coefficients: Sequence[float], x: Column) -> Column:
+    out = F.lit(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_quantile(p: Column) -> Column:
+    """The value below which a share ``p`` of the normal distribution lies, for shares no nearer to 0 or 1 than 1e-10."""
+    q = p - 0.5
+    near = 0.180625 - q * q
+    far = F.sqrt(-F.ln(F.least(p, 1 - p))) - 1.6
+    ratio = lambda parts, x: polynomial(parts[0], x) / polynomial(parts[1], x)
+    return F.when(F.abs(q) <= 0.425, q * ratio(MIDDLE, near)).otherwise(F.signum(q) * ratio(ENDS, far))
+
+
+def normal_tail(z: Column) -> Column:
+    """The share of the normal distribution above ``z``, to seven places."""
+    t = 1 / (1 + TAIL[0] * F.abs(z))
+    above = polynomial(TAIL[1], t) * F.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+    return F.when(z >= 0, above).otherwise(1 - above)
+
+
+def w_statistics(values: DataFrame, keys: Sequence[str] = ("column",)) -> DataFrame:
+    """(keys..., n, w, p_value) of the Shapiro-Wilk test, for every group of 3 to ``W_ROWS`` values at a time.
+
+    Expected normal order statistics come from the rank, the weights from their
+    squares summed over the group; ranks and sums are of fewer than ``W_ROWS`` rows a
+    group, and the groups are spread over the tasks. Equal values have w = 1 and p = 1.
+    """
+    keys = list(keys)
+    sizes = values.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("value").alias("mean")).where(F.col("n").between(3, W_ROWS - 1))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("value"))
+    ranked = values.join(materialize(sizes, "w-sizes"), keys).withColumn("i", rank.cast("double"))
+    n, i = F.col("n").cast("double"), F.col("i")
+    m = lambda at: normal_quantile((at - 0.375) / (n + 0.25))
+    group = Window.partitionBy(*keys)
+    ranked = ranked.withColumn("m", m(i)).withColumns({"squares": F.sum(F.col("m") * F.col("m")).over(group), "m1": m(F.lit(1.0)), "m2": m(F.lit(2.0))})
+    s, m1, m2 = (F.col(c) for c in ("squares", "m1", "m2"))
+    root = 1 / F.sqrt(n)
+    a1 = polynomial(OUTER[0], root) - m1 / F.sqrt(s)
+    a2 = polynomial(OUTER[1], root) - m2 / F.sqrt(s)
+    wide = F.sqrt((s - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2))
+    narrow = F.sqrt((s - 2 * m1 * m1) / (1 - 2 * a1 * a1))
+    outer = F.least(i, n + 1 - i)
+    size = F.when(n == 3, F.when(outer == 1, math.sqrt(0.5)).otherwise(0.0)).when(outer == 1, a1).when((outer == 2) & (n > 5), a2).otherwise(
+        F.abs(F.col("m")) / F.when(n > 5, wide).otherwise(narrow)
+    )
+    weight = F.signum(F.col("m")) * size
+    away = F.col("value") - F.col("mean")
+    sums = ranked.groupBy(*keys, "n").agg(F.sum(weight * F.col("value")).alias("b"), F.sum(away * away).alias("ss"))
+    w = F.when(F.col("ss") > 0, F.least(F.col("b") * F.col("b") / F.col("ss"), F.lit(1.0))).otherwise(F.lit(1.0))
+    y = F.ln(1 - F.col("w"))
+    gamma = polynomial(SMALL[0], n)
+    few = F.when(y >= gamma, 0.0).otherwise(normal_tail((-F.ln(gamma - y) - polynomial(SMALL[1], n)) / F.exp(polynomial(SMALL[2], n))))
+    many = normal_tail((y - polynomial(LARGE[0], F.ln(n))) / F.exp(polynomial(LARGE[1], F.ln(n))))
+    three = F.greatest(F.lit(0.0), 6 / math.pi * (F.asin(F.sqrt(F.col("w"))) - math.asin(math.sqrt(0.75))))
+    p = F.when(F.col("w") >= 1, 1.0).when(n == 3, three).when(n <= 11, few).otherwise(many)
+    return sums.withColumn("w", w).select(*keys, "n", "w", p.alias("p_value"))
+
+
+def _with_normality(summary: DataFrame, values: DataFrame, keys: Sequence[str] = ("column",)) -> DataFrame:
+    """``summary`` with ``k2``, ``w`` and the ``p_value`` of the W test for fewer than ``W_ROWS`` values, of the moments beyond."""
     out = summary.withColumn("k2", k2_statistic(F.col("n"), F.col("skew"), F.col("kurt")))
-    out = out.withColumn("p_value", F.exp(-F.col("k2") / 2))
+    tested = w_statistics(values, keys).select(*keys, "w", F.col("p_value").alias("_p"))
+    out = out.join(tested, list(keys), "left")
+    out = out.withColumn("p_value", F.when(F.col("n") < W_ROWS, F.col("_p")).otherwise(F.exp(-F.col("k2") / 2))).drop("_p")
     return out.withColumn("is_normal", F.col("p_value") > 0.05)
 
 
 def normality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, n, skew, kurt, k2, p_value, is_normal), one pass over all columns."""
+    """(column, n, skew, kurt, k2, w, p_value, is_normal) of all columns: Shapiro-Wilk below ``W_ROWS`` values, else by skewness and kurtosis."""
     values = long_values(df, columns)
     s = values.groupBy("column").agg(
         F.count("*").alias("n"), F.skewness("value").alias("skew"), F.kurtosis("value").alias("kurt")
     )
-    return _with_normality(s)
+    return _with_normality(s, values)
 
 
 def outlier_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -251,7 +338,7 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[flo
     keys = ["column"]
     moments = {"skew": F.skewness("value"), "kurt": F.kurtosis("value")}
     summary = materialize(summarize(values, keys, moments))
-    tested = materialize(_with_normality(quantiles(values, keys, {"median": 0.5}, summary=summary)))
+    tested = materialize(_with_normality(quantiles(values, keys, {"median": 0.5}, summary=summary), values))
     centre = tested.select("column", "median")
     deviations = values.join(centre, keys).select("column", F.abs(F.col("value") - F.col("median")).alias("value"))
     mads = quantiles(deviations, keys, {"mad": 0.5}).select("column", "mad")

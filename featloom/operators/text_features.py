@@ -93,6 +93,87 @@ def lexicon_sentiment(
     )
 
 
+# Words that turn the meaning of what follows.
+NEGATIONS = ("no", "not", "never", "nor", "neither", "without", "cannot", "n't")
+NEGATED = -0.5  # factor on a negated polarity
+REACH = 3  # words after a negation in which it holds
+
+
+def modified_sentiment(
+    df: DataFrame,
+    key: str,
+    text: Column | str,
+    lexicon: DataFrame,
+    negations: Sequence[str] = NEGATIONS,
+    reach: int = REACH,
+    word_pattern: str = r"n't|[a-z]+?(?=n't)|[a-z]+",
+) -> DataFrame:
+    """(key, polarity, subjectivity): means over the rated words of each text, with intensity and negation.
+
+    ``lexicon`` has (word, polarity, subjectivity, intensity), one row per word.
+    A word whose intensity is neither null nor 1 is a modifier: directly before
+    a rated word it scales that word's numbers (held between -1 and 1, chains of
+    modifiers multiply) and does not count itself; elsewhere it counts as a word.
+    A negation turns the polarity of the rated words within ``reach`` words by
+    ``NEGATED``, up to and with the first of them that is no modifier.
+    Each text is one ordered fold over its rated words and negations, which carry
+    their places through the join with the lexicon. Texts without a rated word,
+    null texts too, get 0. Rows that share a key are one text, in no fixed order.
+    """
+    folded = ft.ascii_fold(F.lower(F.regexp_replace(F.col(text) if isinstance(text, str) else text, "\u2019", "'")))
+    words = df.select(key, F.posexplode(ft.words(folded, word_pattern)).alias("at", "word"))
+    placed = words.groupBy(key, "word").agg(F.collect_list("at").alias("places"))
+    turns = F.col("word").isin(*negations) if negations else F.lit(False)
+    rated = lexicon.select("word", F.struct("polarity", "subjectivity", F.coalesce("intensity", F.lit(1.0)).alias("scale")).alias("r"))
+    known = placed.join(rated, "word", "left").where(F.col("r").isNotNull() | turns)
+    token = F.transform("places", lambda at: F.struct(
+        at.alias("at"), turns.alias("turns"), F.coalesce("r.polarity", F.lit(0.0)).alias("p"), F.coalesce("r.subjectivity", F.lit(0.0)).alias("s"),
+        F.coalesce("r.scale", F.lit(1.0)).alias("scale"),
+    ))
+    tokens = known.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list(token))).alias("_t"))
+    scored = tokens.select(key, F.aggregate("_t", _start(), lambda a, t: _read(a, t, reach), _finish).alias("_m"))
+    return df.select(key).distinct().join(scored, key, "left").select(
+        key, F.coalesce("_m.p", F.lit(0.0)).alias("text_sentiment_polarity"), F.coalesce("_m.s", F.lit(0.0)).alias("text_sentiment_subjectivity")
+    )
+
+
+def _state(at, scale, waiting, wp, ws, turned, p, s, n) -> Column:
+    """Place of the last word, scale it leaves, whether it waits as a modifier with which numbers, place of the last negation, sums, count."""
+    return F.struct(
+        at.cast("long").alias("at"), scale.cast("double").alias("scale"), waiting.alias("waiting"), wp.cast("double").alias("wp"),
+        ws.cast("double").alias("ws"), turned.cast("long").alias("turned"), p.cast("double").alias("p"), s.cast("double").alias("s"), n.cast("long").alias("n"),
+    )
+
+
+def _start() -> Column:
+    zero = F.lit(0)
+    return _state(F.lit(-2), F.lit(1), F.lit(False), zero, zero, F.lit(None), zero, zero, zero)
+
+
+def _read(a: Column, t: Column, reach: int) -> Column:
+    """The state after one more rated word or negation."""
+    modifier = ~t.turns & (t.scale != 1)
+    beside = a.waiting & (t.at == a.at + 1) & ~t.turns
+    scale = F.when(beside, a.scale).otherwise(1.0)
+    counted = a.waiting & ~beside  # the modifier before turns out to stand alone
+    held = lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x * scale))
+    turned = F.coalesce(t.at - a.turned <= reach, F.lit(False))
+    p, s = held(t.p) * F.when(turned, NEGATED).otherwise(1.0), held(t.s)
+    plain = ~t.turns & ~modifier
+    add = lambda total, waiting, own: total + F.when(counted, waiting).otherwise(0.0) + F.when(plain, own).otherwise(0.0)
+    return _state(
+        t.at, F.when(modifier, scale * t.scale).otherwise(1.0), modifier, F.when(modifier, p).otherwise(0.0), F.when(modifier, s).otherwise(0.0),
+        F.when(t.turns, t.at).when(plain, F.lit(None)).otherwise(a.turned), add(a.p, a.wp, p), add(a.s, a.ws, s),
+        a.n + F.when(counted, 1).otherwise(0) + F.when(plain, 1).otherwise(0),
+    )
+
+
+def _finish(a: Column) -> Column:
+    n = a.n + F.when(a.waiting, 1).otherwise(0)
+    mean = lambda total, waiting: F.when(n > 0, (total + F.when(a.waiting, waiting).otherwise(0.0)) / n)
+    return F.struct(mean(a.p, a.wp).alias("p"), mean(a.s, a.ws).alias("s"))
+
+
 # --- TF-IDF ----------------------------------------------------------------
 
 

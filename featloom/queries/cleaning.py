@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featloom.functions import columns as fc
+from featloom.functions import text as ft
 from featloom.operators import cleaning as op
 from featloom.operators import model
 from featloom.queries.registry import (
@@ -80,6 +81,12 @@ def split_camel(t: Tables):
     return op.split_attached_words(t.part.select("p_partkey", attached.alias("words")), "words")
 
 
+@query("transliterate", f"SELECT doc_id, {sql_fold("replace(text, 'ß', 'ss')")} AS text FROM documents")
+def transliterate(t: Tables):
+    """Whole documents in ASCII, every letter kept."""
+    return t.texts.select("doc_id", ft.transliterate("text").alias("text"))
+
+
 @query("ascii_fold", f"SELECT doc_id, {sql_fold('text')} AS text FROM documents")
 def ascii_fold(t: Tables):
     return op.normalize_characters(t.documents.select("doc_id", "text"), "text")

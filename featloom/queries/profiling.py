@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featloom.operators import profile as op
+from featloom.operators.order_stats import long_values
 from featloom.operators.temporal import add_year_count
 from featloom.queries.cleaning import RELEASE, release_years
 from featloom.queries.registry import MOVIES, NUMBERS, Tables, query, r, rounded
@@ -194,9 +195,52 @@ K2_SQL = f"""(WITH m AS (SELECT "column", count(*)::DOUBLE AS n, avg(v) AS mu FR
 @query("normality_k2", f"""SELECT "column", n, round(g1, 6) AS skew, round(g2, 6) AS kurt, round(k2, 2) AS k2,
           round(exp(-k2 / 2), 6) AS p_value, exp(-k2 / 2) > 0.05 AS is_normal FROM {K2_SQL}""")
 def normality_k2(t: Tables):
-    out = op.normality(t.numbers, STATS)
+    """The test by moments, whatever the number of values."""
+    out = op.normality(t.numbers, STATS).withColumn("p_value", F.exp(-F.col("k2") / 2))
     return out.select("column", "n", r("skew").alias("skew"), r("kurt").alias("kurt"), r("k2", 2).alias("k2"),
-                      r("p_value").alias("p_value"), "is_normal")
+                      r("p_value").alias("p_value"), (F.col("p_value") > 0.05).alias("is_normal"))
+
+
+def _horner(coefficients, x: str) -> str:
+    out = repr(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+def _quantile_sql(p: str) -> str:
+    near, far = f"(0.180625 - ({p} - 0.5) * ({p} - 0.5))", f"(sqrt(-ln(least({p}, 1 - {p}))) - 1.6)"
+    ratio = lambda parts, x: f"{_horner(parts[0], x)} / {_horner(parts[1], x)}"
+    return f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(op.MIDDLE, near)} ELSE sign({p} - 0.5) * {ratio(op.ENDS, far)} END"
+
+
+def _tail_sql(z: str) -> str:
+    above = f"{_horner(op.TAIL[1], f'(1 / (1 + {op.TAIL[0]} * abs({z})))')} * exp(-({z}) * ({z}) / 2) / sqrt(2 * pi())"
+    return f"CASE WHEN {z} >= 0 THEN {above} ELSE 1 - {above} END"
+
+
+W_SQL = f"""WITH v AS (SELECT 'p_size' AS "column", p_size::DOUBLE AS v FROM part UNION ALL SELECT 'p_retailprice', p_retailprice FROM part
+      UNION ALL SELECT 's_acctbal', s_acctbal FROM supplier),
+    s AS (SELECT "column", count(*)::DOUBLE AS n, avg(v) AS mean FROM v GROUP BY 1 HAVING count(*) BETWEEN 3 AND {op.W_ROWS - 1}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY v)::DOUBLE AS i FROM v JOIN s USING ("column")),
+    p AS (SELECT *, (i - 0.375) / (n + 0.25) AS p, 0.625 / (n + 0.25) AS p1, 1.625 / (n + 0.25) AS p2 FROM r),
+    m AS (SELECT *, {_quantile_sql('p')} AS m, {_quantile_sql('p1')} AS m1, {_quantile_sql('p2')} AS m2 FROM p),
+    q AS (SELECT *, sum(m * m) OVER (PARTITION BY "column") AS s FROM m),
+    a AS (SELECT *, {_horner(op.OUTER[0], '(1 / sqrt(n))')} - m1 / sqrt(s) AS a1, {_horner(op.OUTER[1], '(1 / sqrt(n))')} - m2 / sqrt(s) AS a2 FROM q),
+    w AS (SELECT "column", n, sum(v * sign(m) * CASE WHEN least(i, n + 1 - i) = 1 THEN a1 WHEN least(i, n + 1 - i) = 2 AND n > 5 THEN a2
+            ELSE abs(m) / CASE WHEN n > 5 THEN sqrt((s - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2))
+                               ELSE sqrt((s - 2 * m1 * m1) / (1 - 2 * a1 * a1)) END END) AS b, sum((v - mean) * (v - mean)) AS ss FROM a GROUP BY ALL),
+    t AS (SELECT "column", n, b * b / ss AS w, ln(1 - b * b / ss) AS y FROM w),
+    z AS (SELECT *, CASE WHEN n <= 11 THEN (-ln({_horner(op.SMALL[0], 'n')} - y) - {_horner(op.SMALL[1], 'n')}) / exp({_horner(op.SMALL[2], 'n')})
+            ELSE (y - {_horner(op.LARGE[0], 'ln(n)')}) / exp({_horner(op.LARGE[1], 'ln(n)')}) END AS z FROM t)
+    SELECT "column", n::BIGINT AS n, round(w, 8) AS w, round({_tail_sql('z')}, 6) AS p_value FROM z"""
+
+
+@query("shapiro_wilk", W_SQL)
+def shapiro_wilk(t: Tables):
+    values = long_values(t.part, ["p_size", "p_retailprice"]).unionByName(long_values(t.supplier, ["s_acctbal"]))
+    out = op.w_statistics(values)
+    return out.select("column", "n", r("w", 8).alias("w"), r("p_value").alias("p_value"))
 
 
 def _bounds_sql(c: str) -> str:

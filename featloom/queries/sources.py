@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from featloom.queries.registry import MOVIES, Tables, query, r, sql_strip
 from featloom.session import scratch_path
 from featloom.sources import readers
+from featloom.sources.sniff import read_csv_sniffed
 
 
 @query(
@@ -33,6 +34,27 @@ def union_by_name(t: Tables):
     return readers.union_by_name([left, right])
 
 
+@query(
+    "scan_sniffed",
+    """SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderstatus = 'F' AS done,
+         'order; "' || o_orderkey || '", ' || o_orderpriority AS note, CASE WHEN o_orderkey % 3 = 0 THEN (o_custkey % 10)::DOUBLE ELSE o_custkey % 10 + 0.5 END AS mixed
+       FROM orders""",
+)
+def scan_sniffed(t: Tables):
+    """Three folders of files: commas, semicolons without a header, tabs with single quotes."""
+    path = scratch_path(t.spark, "orders-sniffed")
+    k = F.col("o_orderkey")
+    rows = t.orders.select(
+        k, F.round("o_totalprice", 2).cast("decimal(20,2)").alias("o_totalprice"), F.to_date("o_orderdate").alias("o_orderdate"),
+        (F.col("o_orderstatus") == "F").alias("done"), F.concat(F.lit('order; "'), k, F.lit('", '), "o_orderpriority").alias("note"),
+        F.when(k % 3 == 0, (F.col("o_custkey") % 10).cast("string")).otherwise((F.col("o_custkey") % 10 + 0.5).cast("string")).alias("mixed"),
+    )
+    forms = ({"sep": ",", "header": True, "escape": '"'}, {"sep": ";", "header": False, "escape": '"'}, {"sep": "\t", "header": True, "quote": "'", "escape": "'"})
+    for i, form in enumerate(forms):
+        rows.where(k % 3 == i).write.csv(f"{path}/part{i}", emptyValue="", **form)
+    return read_csv_sniffed(t.spark, f"{path}/part*/*.csv")
+
+
 @query("scan_drop_index", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def scan_drop_index(t: Tables):
     path = scratch_path(t.spark, "customer-csv")

@@ -162,6 +162,36 @@ def sentiment_lexicon(t: Tables):
     return rounded(out, "text_sentiment_polarity", "text_sentiment_subjectivity")
 
 
+# Common words of the test texts stand in for negations; short words scale.
+TURNS = ("not", "in", "la", "las", "und", "mit")
+MODIFIED_SQL = f"""WITH tok AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i
+      FROM (SELECT doc_id, regexp_extract_all({sql_fold('lower(text)')}, '[a-z]+') AS w FROM documents)),
+    lex AS (SELECT word, 2 * avg(quality) - 1 AS p, avg(toxic) AS s, CASE WHEN length(word) <= 2 THEN 1.25 ELSE 1 END AS k
+            FROM (SELECT DISTINCT doc_id, word FROM tok) d JOIN labels l ON d.doc_id = l.doc_id GROUP BY word),
+    t AS (SELECT doc_id, i, word IN {TURNS} AS turns, p, s, coalesce(k, 1) AS k FROM tok LEFT JOIN lex USING (word) WHERE p IS NOT NULL OR word IN {TURNS}),
+    m AS (SELECT *, NOT turns AND k <> 1 AS modifier FROM t),
+    o AS (SELECT *, lag(i) OVER w AS before, lag(modifier) OVER w AS after_modifier, lead(i) OVER w AS next, lead(turns) OVER w AS next_turns,
+            max(CASE WHEN turns THEN i END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_turn,
+            max(CASE WHEN NOT turns AND NOT modifier THEN i END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_plain
+          FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    c AS (SELECT *, sum(CASE WHEN after_modifier AND before = i - 1 AND NOT turns THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS chain FROM o),
+    x AS (SELECT *, coalesce(product(k) OVER (PARTITION BY doc_id, chain ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS scale FROM c),
+    v AS (SELECT doc_id, greatest(-1, least(1, p * scale)) * CASE WHEN last_turn IS NOT NULL AND i - last_turn <= 3 AND coalesce(last_plain < last_turn, true)
+              THEN -0.5 ELSE 1 END AS p, greatest(-1, least(1, s * scale)) AS s
+          FROM x WHERE NOT turns AND NOT (modifier AND coalesce(next = i + 1 AND NOT next_turns, false))),
+    a AS (SELECT doc_id, avg(p) AS p, avg(s) AS s FROM v GROUP BY 1)
+  SELECT doc_id, round(coalesce(p, 0), 6) AS text_sentiment_polarity, round(coalesce(s, 0), 6) AS text_sentiment_subjectivity
+  FROM documents LEFT JOIN a USING (doc_id)"""
+
+
+@query("sentiment_modified", MODIFIED_SQL)
+def sentiment_modified(t: Tables):
+    """Polarity of whole documents with modifiers and negations."""
+    lexicon = label_lexicon(t).withColumn("intensity", F.when(F.length("word") <= 2, 1.25))
+    out = op.modified_sentiment(t.texts, "doc_id", "text", materialize(lexicon, "lexicon"), TURNS, word_pattern="[a-z]+")
+    return rounded(out, "text_sentiment_polarity", "text_sentiment_subjectivity")
+
+
 def label_lexicon(t: Tables):
     """A lexicon from the labelled texts: mean quality and toxicity of the texts a word occurs in."""
     words = F.array_distinct(ft.words(ft.ascii_fold(F.lower("text")), "[a-z]+"))
