@@ -23,6 +23,23 @@ def keyed(df: DataFrame, key: str, name: str) -> DataFrame:
     return materialize(df.withColumn(key, F.monotonically_increasing_id()), name)
 
 
+BUCKETS = 1 << 20
+
+
+def parted(rows: DataFrame, table: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that ``table`` may hold by the columns ``on``, and those that it surely does not.
+
+    Keys fall into ``BUCKETS`` hash buckets; the list of those that ``table`` uses, at
+    most 2^20 numbers, is broadcast. So rows without a partner need not be moved to
+    find that out, however large the table; where it uses most buckets, most are.
+    """
+    bucket = F.pmod(F.xxhash64(*on), F.lit(BUCKETS))
+    name = fresh("bucket")
+    used = F.broadcast(table.select(bucket.alias(name)).distinct())
+    marked = rows.withColumn(name, bucket)
+    return marked.join(used, name, "left_semi").drop(name), marked.join(used, name, "left_anti").drop(name)
+
+
 def fresh(prefix: str) -> str:
     """A column name that no input has."""
     return f"_{prefix}_{uuid.uuid4().hex[:12]}"
@@ -87,4 +104,4 @@ def labelled(spans: Column, kind: str, order: int) -> Column:
     )
 
 
-__all__ = ["ascii_lower", "digest_of", "fresh", "keyed", "labelled", "listed", "materialize", "scratch_path", "with_spans"]
+__all__ = ["ascii_lower", "digest_of", "fresh", "keyed", "labelled", "listed", "materialize", "parted", "scratch_path", "with_spans"]

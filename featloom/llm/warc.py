@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.llm.common import fresh, materialize, scratch_path
@@ -52,9 +52,30 @@ def parse(raw: bytes) -> tuple[int | None, str | None, str, int | None, str, int
     return number(fields["WARC-Record-ID"]), url, kind, number(fields.get("WARC-Refers-To")), digest, int(fields["WARC-Payload-Length"]), payload if kind == "response" else None
 
 
+#: Schemes of the session's file systems and the names the archive reader and writer know them by.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with scheme and authority, by the session's Hadoop settings, so that all tasks mean the same place.
+
+    A path without a scheme belongs to the default file system of the session. A
+    folder whose file system the tasks can't reach by themselves is refused.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = store.makeQualified(path).toUri()
+    if whole.getScheme() not in SCHEMES:
+        raise ValueError(f"archives can't be kept in {whole}: name a folder in one of {', '.join(sorted(SCHEMES))}")
+    return whole.toString()
+
+
 def _store(place: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI or local path."""
-    return fs.FileSystem.from_uri(place) if ":/" in place else (fs.LocalFileSystem(), place)
+    """The file system and path of a qualified folder or file."""
+    scheme, _, rest = place.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{rest}")
 
 
 def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url: str = "url", html: str = "html", shortest: int = 100) -> DataFrame:
@@ -65,9 +86,11 @@ def write(pages: DataFrame, folder: str | None = None, key: str = "page_id", url
     come last, and where no key is known all are responses. Null html is an empty
     payload. Every attempt of a task writes a file of its own; the index names
     only the files of attempts that ended well, so a lost executor leaves no gap.
+    ``folder`` (by default a new one below the shared folder) is taken as the session's
+    Hadoop settings read it and must be shared by all executors; see ``qualified``.
     """
     spark = pages.sparkSession
-    folder = folder or scratch_path(spark, "warc")
+    folder = qualified(spark, folder or scratch_path(spark, "warc"))
     body = F.encode(F.coalesce(html, F.lit("")), "utf-8")
     rows = pages.select(F.col(key).cast("long").cast("string").alias("id"), F.col(url).alias("url"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     shared = pages.select(F.col(key).cast("long").alias("id"), body.alias("payload")).where(F.length("payload") >= shortest)

@@ -121,6 +121,15 @@ def test_mixing_meets_its_marginals(spark):
     assert mixing.sample(docs.where("false")).collect() == []
 
 
+def test_targets_that_no_weights_meet(spark, caplog):
+    """Each source has its own language, so different shares of both can't hold together; the last dimension of a round is met."""
+    docs = spark.createDataFrame([(i, "a b", "ab"[i % 2], ["en", "fr"][i % 2]) for i in range(40)], "doc_id long, text string, source string, lang string")
+    out = mixing.sample(docs, shares={"source": {"a": 1, "b": 1}, "lang": {"en": 1, "fr": 3}})
+    assert "not met together" in caplog.text
+    by = {r.lang: r.weight for r in out.select("lang", "weight").distinct().collect()}
+    assert by["fr"] == pytest.approx(3 * by["en"])
+
+
 def test_mixing_of_one_cell_takes_all(spark):
     docs = spark.createDataFrame([(i, "a b", "s", "en") for i in range(20)], "doc_id long, text string, source string, lang string")
     assert {(r.probability, r.sampled) for r in mixing.sample(docs).collect()} == {(1.0, True)}

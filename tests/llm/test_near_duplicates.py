@@ -1,5 +1,6 @@
 """SimHash groups, embedding groups and components against all pairs."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featloom.llm import embedding_dedup, near_text, simhash
+from featloom.llm import embedding_dedup, simhash
 from featloom.llm.graph import components
 
 
@@ -125,32 +126,40 @@ def test_embeddings_without_links(spark):
     assert got == sorted([(None, 0, None, False), (1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)], key=str)
 
 
-def plain_shingles(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-@pytest.mark.parametrize("limit", [400_000, 3_000])
-def test_near_duplicate_stage(spark, monkeypatch, limit):
-    monkeypatch.setattr(near_text, "SLICE", limit)
+def test_near_duplicate_stage(spark):
     rng = random.Random(6)
-    texts = []
-    for _ in range(30):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
-        texts.append(" ".join(words))
-        for changes in (4, 8, 12, 40):
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        for changes in (0, 1, 2, 60):
             copy = list(words)
-            for k in rng.sample(range(400), changes):
-                copy[k] = f"x{rng.randrange(10**6)}"
-            texts.append(" ".join(copy))
-    hot = [f"h{k}" for k in range(300)]  # a chain: each text is near the next ones, not the last one
-    for k in range(0, 120, 4):
-        texts.append(" ".join([f"y{j}" for j in range(k)] + hot[k:]))
-    texts += ["a b", "A  b", "a c", "one two three four five six"]
-    cut = [plain_shingles(t) for t in texts]
-    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(cut[i] & cut[j]) >= 0.8 * len(cut[i] | cut[j])]
-    want = {i for i, r in closure(range(len(texts)), links).items() if i == r}
-    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+            for at in rng.sample(range(300), changes):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (None, "only without an id"), (None, "only without an id"), (7, rows[7][1]), (7, rows[7][1]), (7, rows[90][1]), (900, None), (901, "")]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    prints = [plain_print(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3]
+    groups = closure(range(len(rows)), links)
+    want = []
+    for g in set(groups.values()):
+        mine = [rows[i] for i in range(len(rows)) if groups[i] == g]
+        want.append(min(mine, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, hashlib.sha256((r[1] or "").encode()).hexdigest())))
     out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
-    assert out.count() == out.select(F.countDistinct("doc_id")).head()[0] and {r.doc_id for r in out.collect()} == want
+    assert out.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str) and len(want) < 120
+
+
+def test_links_within_a_radius_are_all_found(spark):
+    """Every pair of prints within the radius is in one group, whichever bits differ."""
+    rng = random.Random(11)
+    prints = []
+    for _ in range(60):
+        p = rng.getrandbits(64)
+        prints += [p, p ^ sum(1 << b for b in rng.sample(range(64), rng.choice([1, 2, 3]))), p ^ sum(1 << b for b in rng.sample(range(64), 4))]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    got = {r.print: r.root for r in simhash.groups(spark.createDataFrame([(p,) for p in signed], "print long")).collect()}
+    links = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3]
+    want = closure(range(len(prints)), links)
+    assert all((got[signed[i]] == got[signed[j]]) == (want[i] == want[j]) for i in range(len(prints)) for j in range(i))

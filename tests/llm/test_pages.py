@@ -1,8 +1,11 @@
 """URL rules, archives and page text."""
 
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +148,69 @@ def test_frame_by_share_of_text():
     assert html_text.main_text(f"<div>{story}</div><article>Card</article><article>Card</article>") == f"{story} Card Card"
     assert html_text.main_text(f"<article>{story}</article><div id=comments><article class=comment>{story * 3}</article></div><div>More</div>") == story
     assert html_text.main_text(f"<div class=ad>{story}</div><article>Short</article>") == "Short"
+
+
+def test_headings_stay_with_their_article(spark):
+    body = "<body><nav><ul><li>Home<li>News {1}</ul></nav><article><h1>Title {0}</h1><h2>Background</h2><p>Story {0} of some length, {0} times told</p>" \
+        "<h2>Results</h2><p>Found {0} of {0}</p><p class=motto>Read us daily</p></article><div class=x><h2>Links</h2><p>Some link</p></div></body>"
+    rows = [(i, "http://heads.org/a", body.format(i, i % 3)) for i in range(40)]
+    for lists in (True, False):
+        got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), lists=lists).collect()}
+        assert got == {i: f"Title {i} Background Story {i} of some length, {i} times told Results Found {i} of {i}" for i in range(40)}
+
+
+def test_the_style_tree_alone_finds_the_article(spark):
+    """Without any list of names: menus, adverts and footers of the test pages go, and nothing of the articles."""
+    plain = lambda html: html_text.main_text("".join(re.findall("<article>.*?</article>", html, re.S)), lists=False)
+    for sf in ("0.1", "0.01"):
+        pages = spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet")
+        rows = pages.collect()
+        assert all(r.html.count("<nav>") == r.html.count("<footer>") == 1 and "class=\"ad\"" in r.html for r in rows)
+        found = {r.page_id: r.text for r in html_text.extract(pages, lists=False).collect()}
+        if sf == "0.1":
+            assert all(found[r.page_id] == plain(r.html) for r in rows)
+        else:  # hosts of one to six pages: some boilerplate beside short articles is left in doubt, no text of an article goes
+            assert all(plain(r.html) in found[r.page_id] for r in rows) and sum(found[r.page_id] != plain(r.html) for r in rows) < 0.15 * len(rows)
+
+
+def test_few_pages_are_judged_with_doubt(spark):
+    body = "<div class=a><p>Same line</p></div><div class=b><p>Story {0} and {0}</p></div>"
+    for n, gone in ((3, False), (30, True)):
+        rows = [(i, "http://few.org/", body.format(i)) for i in range(n)]
+        got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), lists=False).collect()
+        assert all(("Same line" not in r.text) == gone and f"Story {r.page_id} and" in r.text for r in got)
+
+
+def plain_importance(pages):
+    """Entropies by plain counts: {(host, path): (m, content, style, chars)}."""
+    found = {}
+    for host, html in {(h, b) for h, b in pages}:
+        for path, _, _, content, style, chars in html_text.branches_of(html):
+            found.setdefault((host, path), []).append((content, style, chars))
+    out = {}
+    for key, rows in found.items():
+        m = len(rows) + html_text.PRIOR
+        entropy = lambda k: -sum(n / m * math.log(n / m) for n in Counter(r[k] for r in rows).values()) + html_text.PRIOR / m * math.log(m)
+        out[key] = (len(rows), entropy(0) / math.log(m), entropy(1) / math.log(m), sum(r[2] for r in rows) / len(rows))
+    return out
+
+
+def test_importance_equals_plain_entropies(spark):
+    rng = random.Random(7)
+    word = lambda: rng.choice(["a", "bb", "ccc"])
+    pages = [(f"h{rng.randrange(3)}", f"<div class=m>{word()}</div><div>" + "".join(f"<p>{word()} {word()}</p>" for _ in range(rng.randrange(4))) + f"<h2>{word()}</h2></div>")
+             for _ in range(120)]
+    df = spark.createDataFrame(pages, "host string, html string").repartition(3).withColumn("page", F.xxhash64("html"))
+    got = {(r.host, r.path): (r.m, r.content, r.style, r.chars) for r in html_text.node_importance(html_text.page_nodes(df)).collect()}
+    want = plain_importance(pages)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+@pytest.mark.parametrize("body", [
+    "<a \"" + "<b x " * 1_000_000, "<a '" + "<b x '>" * 700_000, "<script " * 600_000, "</script " * 500_000 + "<script>" + "</script " * 500_000, "<!--" * 1_200_000,
+    "<!x" * 1_600_000, "<" * 5_000_000, "<p title=\"" + "x" * 5_000_000, "<p>" + "<i a=\"'>\">" * 450_000,
+])
+def test_hostile_pages_take_time_by_their_length(body):
+    start = time.process_time()
+    html_text.main_text(body)
+    assert time.process_time() - start < 25
