@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featloom.llm import decontaminate, language_id, mixing, pii, simhash
-from featloom.llm.common import materialize
+from featloom.llm.common import materialize, parted
 from featloom.llm.queries import REGISTRY, query
 from featloom.session import owned_stages, scratch_path
 
@@ -38,11 +38,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = marked(docs)
     groups = simhash.near_duplicates(rows.select(F.struct(*MARKS).alias("mark"), "text"), "mark", "text")
     fate = groups.groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("mark") == F.col("component")).alias("stays"))
-    # Most documents are the only ones of their group and not in this table, so they are not moved where it is small.
     fate = materialize(fate.where("n > 1 OR NOT stays").select("mark.*", "stays"), "fates")
-    once = rows.join(fate, MARKS, "left_anti")
-    again = rows.join(fate.where("stays"), MARKS, "left_semi").dropDuplicates(MARKS)
-    return once.unionByName(again).select(COLUMNS)
+    # Most documents are the only ones of their group; they are not in this table and stay where they are.
+    touched, others = parted(rows, fate, MARKS)
+    kept = touched.join(fate, MARKS, "left").where(F.coalesce("stays", F.lit(True))).dropDuplicates(MARKS)
+    return others.select(COLUMNS).unionByName(kept.select(COLUMNS))
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,9 @@ def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = marked(docs)
     judged = decontaminate.contamination(rows, items, keep=tuple(MARKS))
-    return rows.join(judged.where("n_hit > 0").select(*MARKS).distinct(), MARKS, "left_anti").select(COLUMNS)
+    bad = materialize(judged.where("n_hit > 0").select(*MARKS).distinct(), "contaminated")
+    touched, others = parted(rows, bad, MARKS)
+    return others.select(COLUMNS).unionByName(touched.join(bad, MARKS, "left_anti").select(COLUMNS))
 
 
 def redact_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
