@@ -105,43 +105,42 @@ def _names(n: int, prefix: str = "z") -> list[str]:
     return [f"{prefix}{i}" for i in range(n)]
 
 
-def _products(left: DataFrame, right: DataFrame, width: int) -> np.ndarray:
-    """Sum over positions of the outer products of the numbers of two tables: ``width`` x ``width`` numbers reach the driver."""
-    both = left.join(right.select("position", *[F.col(z).alias(f"r{z}") for z in _names(width)]), "position") if left is not right else left
-    other = [f"r{z}" for z in _names(width)] if left is not right else _names(width)
+def _products(table: DataFrame) -> np.ndarray:
+    """Sums over positions of the products of every two columns: their number squared reaches the driver."""
+    names = [c for c in table.columns if c != "position"]
+    width = len(names)
 
     def outer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((width, width))
         for frame in batches:
-            total += frame[_names(width)].to_numpy(float).T @ frame[other].to_numpy(float)
+            held = frame.to_numpy(float)
+            total += held.T @ held
         yield pd.DataFrame({"at": np.arange(width * width), "v": total.ravel()})
 
-    rows = both.drop("position").mapInPandas(outer, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    found = table.select(names).mapInPandas(outer, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
     out = np.zeros(width * width)
-    out[[r["at"] for r in rows]] = [r["v"] for r in rows]
+    out[found["at"].to_numpy()] = found["v"].to_numpy()
     return out.reshape(width, width)
 
 
-def _times(table: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """``table`` with its numbers multiplied by a small matrix."""
-    old, new = _names(matrix.shape[0]), _names(matrix.shape[1])
+def _times(table: DataFrame, names: Sequence[str], matrix: np.ndarray) -> DataFrame:
+    """(position, z0, z1, ...): the named columns of ``table`` multiplied by a small matrix."""
+    names, new = list(names), _names(matrix.shape[1])
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            out = pd.DataFrame(frame[old].to_numpy(float) @ matrix, columns=new)
+            out = pd.DataFrame(frame[names].to_numpy(float) @ matrix, columns=new)
             out.insert(0, "position", frame["position"].to_numpy())
             yield out
 
-    return table.mapInPandas(multiply, "position long, " + ", ".join(f"{z} double" for z in new))
+    return table.select("position", *names).mapInPandas(multiply, "position long, " + ", ".join(f"{z} double" for z in new))
 
 
-def _orthonormal(table: DataFrame, width: int) -> tuple[DataFrame, int]:
-    """Orthonormal columns with the same span, written; directions that hold nothing are left out."""
-    values, vectors = np.linalg.eigh(_products(table, table, width))
-    keep = values > max(values.max(), 0.0) * 1e-12
-    if not keep.any():
-        return table.limit(0), 0
-    return materialize(_times(table, vectors[:, keep] / np.sqrt(values[keep])), "basis"), int(keep.sum())
+def _whitening(gram: np.ndarray) -> np.ndarray:
+    """Columns that make what has these inner products orthonormal; directions that hold nothing are left out."""
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    keep = values > max(values.max(initial=0.0), 0.0) * 1e-12
+    return vectors[:, keep] / np.sqrt(values[keep])
 
 
 def _sums(width: int, weight: str | None = None) -> list[Column]:
@@ -179,46 +178,49 @@ def fit_components(cells: DataFrame, rows: int, k: int, centre: bool = True, ext
     turned into components by the small matrix of the last pass. The covariance is
     never formed: a pass sums the cells' products by row, then by position; the mean
     is taken off afterwards, so rows stay sparse. Tables hold positions x block
-    numbers, the driver block x block. ``rows`` counts rows without cells too; a
+    numbers; the driver gets the inner products of a block's columns, and the mean
+    and the norms follow from these. ``rows`` counts rows without cells too; a
     column ``weight``, where there is one, tells how many equal rows a row stands for.
-    Random directions are signs from a hash, so a fit repeats; the sign of a
-    component makes its cubes sum up to at least 0. Fewer components come back
-    where the cells have a smaller rank, none for an empty table.
+    Random directions are signs from a hash, so a fit repeats; the numbers of a
+    component sum up to at least 0. Fewer components come back where the cells
+    have a smaller rank, none for an empty table.
     """
     times = F.col("weight").cast("double") if "weight" in cells.columns else F.lit(1.0)
     cells = cells.select("row", "position", "value", times.alias("weight"))
     held = F.col("weight") * F.col("value")
-    stats = cells.groupBy("position").agg(F.sum(held).alias("sum"), F.sum(held * F.col("value")).alias("squares"))
-    stats = materialize(stats.withColumn("mean", F.col("sum") / F.lit(float(max(rows, 1))) if centre else F.lit(0.0)), "positions")
+    mean = F.sum(held) / F.lit(float(max(rows, 1))) if centre else F.lit(0.0)
+    stats = cells.groupBy("position").agg(F.sum(held).alias("sum"), F.sum(held * F.col("value")).alias("squares"), mean.alias("mean"))
+    stats = materialize(stats, "positions")
     over = float(max(rows - 1, 1)) if centre else 1.0
-    total = stats.agg(F.sum(F.col("squares") - F.col("mean") * F.col("sum")), F.count(F.lit(1))).first()
-    width = min(k + extra, total[1], max(rows, 1))
-    if not width:
-        return Components(stats.select("position"), (), (), 0.0)
+    total, positions = stats.agg(F.sum(F.col("squares") - F.col("mean") * F.col("sum")), F.count(F.lit(1))).first()
+    total = float(total or 0.0) / over
+    width = min(k + extra, positions, max(rows, 1))
     sign = lambda j: F.when(F.xxhash64("position", F.lit(seed), F.lit(j)).bitwiseAND(1) == 0, 1.0).otherwise(-1.0)
-    basis, width = _orthonormal(materialize(stats.select("position", *[sign(j).alias(f"z{j}") for j in range(width)]), "directions"), width)
-    for last in [False] * (passes - 1) + [True]:
-        along = stats.join(basis, "position").agg(*[F.sum(F.col("mean") * F.col(z)).alias(z) for z in _names(width)]).first()
-        by_row = cells.join(basis, "position").groupBy("row").agg(*_sums(width))
-        image = cells.join(by_row, "row").groupBy("position").agg(*_sums(width, "weight")).join(stats.select("position", "mean"), "position")
-        off = lambda z: F.col(z) - F.col("mean") * F.lit(float(rows * along[z]))
-        image = materialize(image.select("position", *[off(z).alias(z) for z in _names(width)]), "image")
-        if not last:
-            basis, width = _orthonormal(image, width)
+    basis = stats.select("position", *[sign(j).alias(f"z{j}") for j in range(width)])
+    for left in reversed(range(passes)):
         if not width:
-            return Components(stats.select("position"), (), (), float(total[0] or 0.0) / over)
-    values, vectors = np.linalg.eigh(_small(basis, image, width))
-    order = [i for i in np.argsort(-values)[:k] if values[i] > max(values.max(), 0.0) * 1e-12]
-    found = materialize(_times(basis, vectors[:, order]), "components")
-    names = _names(len(order))
-    row = found.join(stats.select("position", "mean"), "position").agg(
-        *[F.sum(F.pow(z, F.lit(3))).alias(f"s{z}") for z in names], *[F.sum(F.col("mean") * F.col(z)).alias(z) for z in names]
-    ).first()
-    flip = {z: -1.0 if (row[f"s{z}"] or 0.0) < 0 else 1.0 for z in names}
-    basis = materialize(found.select("position", *[(F.col(z) * flip[z]).alias(z) for z in names]), "components")
-    return Components(basis, tuple((row[z] or 0.0) * flip[z] for z in names), tuple(float(values[i]) / over for i in order), float(total[0] or 0.0) / over)
-
-
-def _small(basis: DataFrame, image: DataFrame, width: int) -> np.ndarray:
-    t = _products(basis, image, width)
-    return (t + t.T) / 2
+            return Components(stats.select("position"), (), (), total)
+        by_row = cells.join(basis, "position").groupBy("row").agg(*_sums(width))
+        image = cells.join(by_row, "row").groupBy("position").agg(*_sums(width, "weight")).withColumnsRenamed({f"z{i}": f"w{i}" for i in range(width)})
+        known = stats.select("position", "mean", F.lit(1.0).alias("one"))
+        image = materialize(image.join(basis, "position").join(known, "position"), "image")
+        z, w = _names(width), _names(width, "w")
+        table = image.select("position", *z, *w, "mean", "one")
+        inner = _products(table)
+        zz, zw, ww = inner[:width, :width], inner[:width, width : 2 * width], inner[width : 2 * width, width : 2 * width]
+        mz, mw, mm, oz = inner[-2, :width], inner[-2, width : 2 * width], inner[-2, -2], inner[-1, :width]
+        # What the products of the raw rows hold too much: the mean row, as often as there are rows.
+        off = rows * mz
+        if left:
+            ww = ww - np.outer(off, mw) - np.outer(mw, off) + mm * np.outer(off, off)
+            step = _whitening(ww)
+            basis, width = _times(table, [*w, "mean"], np.vstack((step, -(off @ step)[None, :]))), step.shape[1]
+            continue
+        white = _whitening(zz)
+        small = white.T @ (zw - np.outer(mz, off)) @ white
+        values, vectors = np.linalg.eigh((small + small.T) / 2)
+        order = [i for i in np.argsort(-values)[:k] if values[i] > max(values.max(), 0.0) * 1e-12]
+        axes = white @ vectors[:, order]
+        axes = axes * np.where(oz @ axes < 0, -1.0, 1.0)
+        found = materialize(_times(table, z, axes), "components") if order else stats.select("position")
+        return Components(found, tuple((mz @ axes).tolist()), tuple(float(values[i]) / over for i in order), total)

@@ -68,8 +68,8 @@ def test_wide_family(spark):
     noise = rows.select("row", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")).select(
         "row", F.pmod(F.xxhash64("row", "k"), F.lit(50_000)).alias("position"), F.lit(0.3).alias("value")
     )
-    strong = rows.select("row", F.pmod("row", F.lit(12)).alias("g")).select(
-        "row", (F.lit(50_000) + F.col("g") * 40 + F.explode(F.sequence(F.lit(0), F.lit(39)))).alias("position"), (1 + F.col("g") / 6).alias("value")
+    strong = rows.select("row", F.pmod("row", F.lit(12)).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(39))).alias("k")).select(
+        "row", (F.lit(50_000) + F.col("g") * 40 + F.col("k")).alias("position"), (1 + F.col("g") / 6).alias("value")
     )
     cells = noise.unionByName(strong).groupBy("row", "position").agg(F.sum("value").alias("value")).cache()
     found = sparse.fit_components(cells, 3000, 10)
