@@ -104,6 +104,50 @@ def test_windows_cover_the_whole_text():
     assert net.predict(["ab" * 128 + "xy" * 1000, "xy" * 128 + "ab" * 1000, None])[0] == ["r", "l", "und"]
 
 
+def plain_forward(net, window):
+    """Probabilities of one window by plain loops over positions and filters."""
+    tops, i = [], 0
+    for width, table in net.tables.items():
+        for f in range(table.shape[2]):
+            best = max(sum(float(table[k, window[p + k], f]) for k in range(width)) for p in range(len(window) - width + 1))
+            tops.append(max(best + float(net.bias[i]), 0.0))
+            i += 1
+    z = [sum(t * net.dense[j, c] for j, t in enumerate(tops)) + net.offset[c] for c in range(len(net.labels))]
+    e = [np.exp(x - max(z)) for x in z]
+    return [x / sum(e) for x in e]
+
+
+def small_net(epochs):
+    x = np.concatenate([language_id.windows_of("abba nabo " * 30)[:, :24], language_id.windows_of("xyzz tzyk " * 30)[:, :24]])
+    return x, ["l"] * (len(x) // 2) + ["r"] * (len(x) // 2), language_id.train(x, ["l"] * (len(x) // 2) + ["r"] * (len(x) // 2), epochs=epochs, batch=1000)
+
+
+def test_forward_pass_equals_plain_loops():
+    x, _, net = small_net(2)
+    got = net.probabilities(x)
+    assert all(got[i] == pytest.approx(plain_forward(net, x[i]), abs=1e-4) for i in range(len(x)))
+
+
+def test_first_step_follows_the_slope():
+    """The first step of Adam moves every number against the sign of its slope, as finite differences tell it."""
+    x, labels, before = small_net(0)
+    after = small_net(1)[2]
+    y = [before.labels.index(v) for v in labels]
+    loss = lambda net: -np.mean([np.log(plain_forward(net, row)[c]) for row, c in zip(x[[0, -1]], [y[0], y[-1]])])
+    checked = 0
+    for j in range(0, before.dense.shape[0], 7):
+        for c in range(2):
+            up, down = (language_id.ByteNet(before.labels, before.tables, before.bias, before.dense.copy(), before.offset) for _ in range(2))
+            up.dense[j, c] += 1e-4
+            down.dense[j, c] -= 1e-4
+            full = lambda net: -np.mean(np.log(net.probabilities(x)[np.arange(len(x)), y]))
+            slope = (full(up) - full(down)) / 2e-4
+            if abs(slope) > 1e-3:
+                assert np.sign(after.dense[j, c] - before.dense[j, c]) == -np.sign(slope)
+                checked += 1
+    assert checked > 5 and loss(after) < loss(before)
+
+
 def test_mixing_meets_its_marginals(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randrange(1, 40), rng.choice("aab"), rng.choice([None, "en", "en", "fr"]), "x") for i in range(3000)]

@@ -137,3 +137,98 @@ def test_long_secrets_are_linked(spark):
     rows = [(n, "user: alice1 " + "aB3" * n + " at https://api.example.org/x") for n in (20, 117, 534)]
     for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         assert {s.kind for s in r.linked} == {"linked_id", "linked_secret", "linked_endpoint"}
+
+
+def plain_links(text, reach):
+    """Weak parts by comparing every part with every other."""
+    of = lambda pattern: [(m.start(), m.end(), m[0]) for m in re.finditer(pattern, text)]
+    strong = [(m.start(), m.end()) for m in re.finditer(SECRETS[0][1], text) if len(m[1]) >= 12] + [x[:2] for x in of("[0-9a-f]{16,}")]
+    opaque = [x[:2] for x in of(secrets.OPAQUE) if re.search("[0-9]", x[2]) and re.search("[a-z]", x[2]) and re.search("[A-Z]", x[2])]
+    access, users, ends = [x[:2] for x in of(secrets.ACCESS) if x[1] - x[0] >= 18], [x[:2] for x in of(secrets.USER)], [x[:2] for x in of(secrets.ENDPOINT)]
+    near = lambda a, b: a[0] <= b[1] + reach and b[0] <= a[1] + reach and not (a[0] < b[1] and b[0] < a[1])
+    found, both = set(), set()
+    for a in strong + opaque:
+        for b in access + users:
+            if near(a, b):
+                both.add(a)
+                found |= {(*b, "linked_id")} if b in users and b not in access else set()
+                found |= {(*a, "linked_secret")} if a in opaque else set()
+    found |= {(*e, "linked_endpoint") for e in ends for a in both if near(a, e)}
+    return sorted(f for f in found if not any(f[0] >= b[0] and f[1] <= b[1] for b in strong))
+
+
+@pytest.mark.parametrize("reach", [20, 200])
+def test_links_equal_a_plain_join(spark, reach):
+    rng = random.Random(12)
+    key = lambda n: "".join(rng.choice("abcXYZ0189") for _ in range(n)) + "aZ9"
+    parts = [lambda: f"username: u{rng.randrange(99)}", lambda: f"client_id={rng.randrange(10**6)}", lambda: key(rng.choice([18, 25, 60])), lambda: "AKIA" + "X7" * 9,
+             lambda: f"https://h{rng.randrange(9)}.example.org/p", lambda: f"password = '{key(12)}'", lambda: "%016x" % rng.getrandbits(64), lambda: "plain words"]
+    texts = ["".join(rng.choice(parts)() + " " * rng.choice([1, 5, 18, 21, 60, 199, 230]) + rng.choice(["", "so. ", "\n"]) for _ in range(rng.randrange(1, 14))) for _ in range(150)]
+    rows = secrets.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), reach=reach).collect()
+    got = {r.doc_id: sorted((s.start, s.end, s.kind) for s in r.linked) for r in rows}
+    want = {i: plain_links(t, reach) for i, t in enumerate(texts)}
+    assert got == want and {k for links in want.values() for *_, k in links} == set(secrets.LINKED)
+
+
+def plain_em(rows):
+    """Expectation and maximisation span by span."""
+    prior, shares = 0.5, {v: {1: (0.6, 0.3), -1: (0.1, 0.4), 0: (0.3, 0.3)} for v in pii.VOTERS}
+    for _ in range(pii.ROUNDS):
+        p = []
+        for r in rows:
+            yes, no = prior, 1 - prior
+            for v in pii.VOTERS:
+                yes, no = yes * shares[v][r[v]][0], no * shares[v][r[v]][1]
+            p.append(yes / (yes + no))
+        prior = (sum(p) + 1) / (len(rows) + 2)
+        shares = {
+            v: {s: ((sum(x for x, r in zip(p, rows) if r[v] == s) + 1) / (sum(p) + 3), (sum(1 - x for x, r in zip(p, rows) if r[v] == s) + 1) / (len(rows) - sum(p) + 3)) for s in (1, -1, 0)}
+            for v in pii.VOTERS
+        }
+    return prior, shares
+
+
+def test_reliabilities_equal_plain_em(spark):
+    rng = random.Random(13)
+    skill = {"format": 0.9, "gazetteer": 0.6, "context": 0.8, "against": 0.7, "edges": 0.95}
+    rows = []
+    for _ in range(800):
+        true = rng.random() < 0.4
+        votes = {v: (rng.choice([0, 1 if (rng.random() < q) == true else -1])) for v, q in skill.items()}
+        rows.append({"kind": rng.choice(pii.KINDS), "size": rng.randrange(5), "true": true, **votes})
+    columns = ["kind", "size", *pii.VOTERS]
+    df = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], "kind string, size int, " + ", ".join(f"{v} int" for v in pii.VOTERS)).repartition(5)
+    model = pii.fit(df)
+    prior, shares = plain_em(rows)
+    assert model.prior == pytest.approx(prior) and all(model.reliability[v][s] == pytest.approx(shares[v][s]) for v in pii.VOTERS for s in (1, 0, -1))
+    scored = df.select(*columns, model.probability().alias("p")).collect()
+    by = {tuple(r)[:-1]: r.p for r in scored}
+    right = sum((by[tuple(r[c] for c in columns)] >= 0.5) == r["true"] for r in rows)
+    assert right > 0.8 * len(rows)
+
+
+def plain_votes(kind, hit, before, after):
+    """The voters' opinions by Python's own patterns, for kinds beyond the base."""
+    digits = re.sub("[^0-9]", "", hit)
+    area = digits[:3]
+    form = {
+        "masked_email": lambda: 1 if re.search(rf"(?i)(?:\(|\[| )dot(?:\)|\]| ) ?(?:{pii.DOMAINS})$", hit) else -1,
+        "national_id": lambda: -1 if area in ("000", "666") or area >= "900" or re.search("-00-|-0000$", hit) else 1,
+        "local_phone": lambda: 1 if re.search(r"^\(?[2-9]", hit) else -1, "titled_name": lambda: 0,
+    }[kind]()
+    listed_ = {
+        "masked_email": lambda: 1 if re.search(rf"(?i)(?:{pii.DOMAINS})$", hit) else -1, "titled_name": lambda: 1 if re.search("^(?:Mrs|Herr|Frau|Mme|Se)", hit) else 0,
+    }.get(kind, lambda: 0)()
+    edge = -1 if (before and before[-1].isalnum()) or (after and after[0].isalnum()) else 1
+    return [form, listed_, 1 if re.search(pii.FOR, before) else 0, -1 if re.search(pii.AGAINST, before) else 0, edge]
+
+
+def test_votes_equal_plain_patterns(spark):
+    rows = [
+        ("masked_email", "bob at mail dot com", "mail ", "."), ("masked_email", "bob [at] mail [dot] zzz", "x", "y"), ("national_id", "123-45-6789", "my ssn ", " "),
+        ("national_id", "900-45-6789", "order ", "1"), ("national_id", "123-00-6789", "", ""), ("local_phone", "415-555-2671", "tel 1", ""), ("local_phone", "(115) 555-2671", "page (", "é"),
+        ("titled_name", "Frau Schmidt", "Name: ", "."), ("titled_name", "Dr. Who", "build é", " "),
+    ]
+    df = spark.createDataFrame(rows, "kind string, hit string, before string, after string").withColumns(pii._votes())
+    for r in df.collect():
+        assert [r[v] for v in pii.VOTERS] == plain_votes(r.kind, r.hit, r.before, r.after), r
