@@ -170,7 +170,7 @@ class Components:
         return F.array(*[F.lit(-c) for c in self.centre]).cast("array<double>")
 
 
-def fit_components(cells: DataFrame, rows: int, k: int, centre: bool = True, extra: int = 10, passes: int = 4, seed: int = 42) -> Components:
+def fit_components(cells: DataFrame, rows: int, k: int, centre: bool = True, extra: int = 10, passes: int = 3, seed: int = 42) -> Components:
     """The ``k`` leading principal components of sparse rows (row, position, value) of any width.
 
     Randomised subspace iteration: a block of ``k + extra`` random directions is
@@ -181,7 +181,7 @@ def fit_components(cells: DataFrame, rows: int, k: int, centre: bool = True, ext
     numbers; the driver gets the inner products of a block's columns, and the mean
     and the norms follow from these. ``rows`` counts rows without cells too; a
     column ``weight``, where there is one, tells how many equal rows a row stands for.
-    Random directions are signs from a hash, so a fit repeats; the numbers of a
+    Random directions come from a hash, so a fit repeats; the numbers of a
     component sum up to at least 0. Fewer components come back where the cells
     have a smaller rank, none for an empty table.
     """
@@ -195,11 +195,12 @@ def fit_components(cells: DataFrame, rows: int, k: int, centre: bool = True, ext
     total, positions = stats.agg(F.sum(F.col("squares") - F.col("mean") * F.col("sum")), F.count(F.lit(1))).first()
     total = float(total or 0.0) / over
     width = min(k + extra, positions, max(rows, 1))
-    sign = lambda j: F.when(F.xxhash64("position", F.lit(seed), F.lit(j)).bitwiseAND(1) == 0, 1.0).otherwise(-1.0)
-    basis = stats.select("position", *[sign(j).alias(f"z{j}") for j in range(width)])
-    for left in reversed(range(passes)):
-        if not width:
-            return Components(stats.select("position"), (), (), total)
+    if not width:
+        return Components(stats.select("position"), (), (), total)
+    number = lambda j: F.xxhash64("position", F.lit(seed), F.lit(j)) / F.lit(2.0**63)
+    basis = stats.select("position", *[number(j).alias(f"z{j}") for j in range(width)])
+    # A block as wide as the family spans it: one pass then tells all.
+    for left in reversed(range(1 if width == positions else passes)):
         by_row = cells.join(basis, "position").groupBy("row").agg(*_sums(width))
         image = cells.join(by_row, "row").groupBy("position").agg(*_sums(width, "weight")).withColumnsRenamed({f"z{i}": f"w{i}" for i in range(width)})
         known = stats.select("position", "mean", F.lit(1.0).alias("one"))
@@ -214,6 +215,8 @@ def fit_components(cells: DataFrame, rows: int, k: int, centre: bool = True, ext
         if left:
             ww = ww - np.outer(off, mw) - np.outer(mw, off) + mm * np.outer(off, off)
             step = _whitening(ww)
+            if not step.shape[1]:
+                return Components(stats.select("position"), (), (), total)
             basis, width = _times(table, [*w, "mean"], np.vstack((step, -(off @ step)[None, :]))), step.shape[1]
             continue
         white = _whitening(zz)

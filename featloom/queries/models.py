@@ -98,8 +98,8 @@ def train_mlp(t: Tables):
     return _fit(t, op.NeuralNetwork(len(DOC_FEATURES), (64, 32), rate=0.01, max_iter=30))
 
 
-@query("tune_search", "SELECT CAST(range AS INTEGER) AS trial, true AS in_range, true AS beats_majority FROM range(20)")
-def tune_search(t: Tables):
+@query("tune_random", "SELECT CAST(range AS INTEGER) AS trial, true AS in_range, true AS beats_majority FROM range(20)")
+def tune_random(t: Tables):
     """A search of 20 trials and 3 folds for small forests over all labelled rows; sizes are arguments."""
     rows = training_table(t)
     found = op.tune(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from pathlib import Path
 
 import duckdb
@@ -32,9 +33,24 @@ def _sorted(names, rows):
     return [names[i] for i in order], sorted(cells, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
-def compare(spark, con, query, sf_dir: str) -> str | None:
-    """None when equal, else what differs."""
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def check_plan(df) -> None:
+    """No cross join, no Python per row, no window over a whole table."""
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    for window in re.findall(r"Window \[.*", plan):
+        assert "windowspecdefinition(" in window and not re.search(r"windowspecdefinition\([^,]* (ASC|DESC)", window)
+
+
+def compare(spark, con, query, sf_dir: str, plan: bool = False) -> str | None:
+    """None when equal, else what differs; with ``plan`` the physical plan is looked at too."""
     df = query.run(spark, sf_dir)
+    if plan:
+        check_plan(df)
     got_names, got = _sorted(df.columns, df.collect())
     # A check must also hold as a view, as the driver may keep it.
     con.execute(f"CREATE OR REPLACE VIEW checked AS {query.sql}")

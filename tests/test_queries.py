@@ -15,7 +15,8 @@ def con():
 
 @pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if q.sql])
 def test_equals_sql(spark, con, name):
-    assert compare(spark, con, REGISTRY[name], SF) is None
+    fitted = name.startswith(("train_", "score_", "prepare_"))  # what scores rows runs a fitted model on them
+    assert compare(spark, con, REGISTRY[name], SF, plan=not fitted) is None
 
 
 @pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if not q.sql])
