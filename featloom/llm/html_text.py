@@ -302,11 +302,13 @@ def node_importance(nodes: DataFrame) -> DataFrame:
     values = F.explode(F.array(F.struct(F.lit("content").alias("feature"), F.col("content").alias("value")), F.struct(F.lit("style").alias("feature"), F.col("style").alias("value"))))
     counts = nodes.select("host", "path", values.alias("v")).groupBy("host", "path", "v.feature", "v.value").agg(F.count("*").alias("n"))
     sizes = nodes.groupBy("host", "path").agg(
-        F.count("*").alias("m"), F.avg("chars").alias("chars"), F.min("kind").alias("kind"), F.min("above").alias("above")
+        F.count("*").alias("m"), F.avg("chars").alias("chars"), F.min("kind").alias("kind"), F.first("above").alias("above")
     )
-    judged = counts.join(sizes.select("host", "path", F.col("m").cast("double").alias("m")), ["host", "path"]).groupBy("host", "path").agg(*[
-        (1 - F.sum(F.when(F.col("feature") == f, F.col("n") * F.log("n")).otherwise(0.0)) / ((F.max("m") + PRIOR) * F.log(F.max("m") + PRIOR))).alias(f)
-        for f in ("content", "style")
+    # Every page has one value of a feature, so a feature's counts add up to the pages.
+    of = lambda f, e: F.sum(F.when(F.col("feature") == f, e).otherwise(0.0))
+    n, m = F.col("n").cast("double"), F.lit(PRIOR)
+    judged = counts.groupBy("host", "path").agg(*[
+        (1 - of(f, n * F.log(n)) / ((of(f, n) + m) * F.log(of(f, n) + m))).alias(f) for f in ("content", "style")
     ])
     return sizes.join(judged, ["host", "path"]).withColumn("own", F.col("content") * F.col("chars"))
 
@@ -375,9 +377,9 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     # Pages of a host are parsed once for the tree and once for their text; what travels between is a few numbers a branch.
     nodes = materialize(page_nodes(rows), "page-nodes")
     low = materialize(style_tree(nodes), "unimportant-branches")
-    # Pages meet the branches one by one, so a page carries those of its own that go, whatever their number in the host.
-    paths = nodes.join(low, ["host", "path"]).groupBy("host", "page").agg(F.collect_list("path").alias("paths"))
-    rows = rows.join(materialize(paths, "page-branches"), ["host", "page"], "left")
+    # One row a site with the branches that go: paths of tags and classes, as many as its templates have.
+    paths = materialize(low.groupBy("host").agg(F.collect_list("path").alias("paths")), "site-branches")
+    rows = rows.join(paths, "host", "left")
 
     @F.pandas_udf("string")
     def text_of(bodies: pd.Series, noise: pd.Series) -> pd.Series:
