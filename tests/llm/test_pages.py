@@ -214,3 +214,12 @@ def test_hostile_pages_take_time_by_their_length(body):
     start = time.process_time()
     html_text.main_text(body)
     assert time.process_time() - start < 25
+
+
+def test_folders_belong_to_the_sessions_file_systems(spark, tmp_path):
+    assert warc.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert warc._store(f"file:{tmp_path}")[1] == warc._store(f"file://{tmp_path}")[1] == str(tmp_path)
+    for folder in ("nowhere:/x", "dbfs:/x"):  # the session has no such file system
+        with pytest.raises(Exception):
+            warc.qualified(spark, folder)
+    assert spark.read.format("binaryFile").load(warc.write(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"), str(tmp_path / "w")).head().file).count() == 1
