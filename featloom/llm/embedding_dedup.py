@@ -26,7 +26,7 @@ DIRECTIONS = 32  # random directions of one hash; it tells the nearest of these
 HASHES = 10  # hashes in a key, 6 bits each
 DEPTHS = 6  # hashes over which crowds are counted
 MOST = 32  # turns that are always worth it
-NUMBERS = 65_536  # numbers in a block of vectors that is compared as a whole
+NUMBERS = 16_384  # numbers in a block of vectors that is compared as a whole
 
 
 def residuals(vectors: np.ndarray, centre: np.ndarray) -> np.ndarray:
@@ -213,14 +213,17 @@ def exact_links(grouped: DataFrame, least: float, numbers: int = NUMBERS) -> Dat
     """``(a, b, n)`` inside groups: ``n`` links of vector ``a`` (copies counted) in one pair of blocks, ``b`` a branch of its forest or null.
 
     ``grouped`` has ``(group, id, copies, vec)``. A group is dealt by hash into
-    blocks of about ``numbers`` numbers (1,024 vectors of 64), each packed into one
+    blocks of about ``numbers`` numbers (256 vectors of 64), each packed into one
     row; every pair of blocks is one row of two packed sides, compared by a matrix
-    product. A group of n such vectors so moves n * n / 1,024 of them. Only counts and
+    product. A group of n such vectors so moves n * n / 256 of them. Only counts and
     spanning forests come out, whatever the size of the group.
     """
     sizes = grouped.groupBy("group").agg(F.ceil(F.sum(F.size("vec")) / numbers).cast("int").alias("blocks"))
+    sizes = materialize(sizes, "group-sizes")
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    packed = grouped.join(sizes, "group").withColumn("mine", mine).groupBy("group", "blocks", "mine").agg(
+    # Dealt by block, not by group: a group of any size is spread over as many tasks as it has blocks.
+    dealt = grouped.join(sizes, "group").withColumn("mine", mine).repartition("group", "mine")
+    packed = dealt.groupBy("group", "blocks", "mine").agg(
         F.collect_list(F.struct("id", "copies", "vec")).alias("rows")
     )
     packed = materialize(packed, "packed-vectors")
