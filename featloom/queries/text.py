@@ -197,7 +197,7 @@ def label_lexicon(t: Tables):
     words = F.array_distinct(ft.words(ft.ascii_fold(F.lower("text")), "[a-z]+"))
     labelled = t.texts.join(t.labels, "doc_id")
     return labelled.select(F.explode(words).alias("word"), "quality", "toxic").groupBy("word").agg(
-        (2 * F.avg("quality") - 1).alias("polarity"), F.avg("toxic").alias("subjectivity")
+        (2 * F.avg("quality") - 1).alias("polarity"), F.avg("toxic").alias("subjectivity"), F.count(F.lit(1)).alias("uses")
     )
 
 
