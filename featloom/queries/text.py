@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from featloom.functions import text as ft
 from featloom.operators import text_features as op
 from featloom.operators.categories import explode_list
-from featloom.operators.sparse import unpacked
+from featloom.operators.sparse import join_known, unpacked
 from featloom.queries.registry import (
     Tables, query, r, rounded, sql_embedding_clean, sql_fingerprint_tokens, sql_fold, sql_no_punctuation, sql_strip,
 )
@@ -84,8 +84,8 @@ def tfidf_vector(t: Tables):
     """TF-IDF vectors with a position for every term, shown as terms again."""
     texts = t.texts
     fitted = op.fit_tfidf_vectors(texts, "text", stop_words=STOP_WORDS)
-    cells = unpacked(fitted.rows(texts), "doc_id", "tfidf_vec")
-    return cells.join(fitted.terms.select("position", "term"), "position").select("doc_id", "term", r("value").alias("tfidf"))
+    cells = unpacked(materialize(fitted.rows(texts).select("doc_id", "tfidf_vec"), "vectors"), "doc_id", "tfidf_vec")
+    return join_known(cells, fitted.terms.select("position", "term", "hot"), "position").select("doc_id", "term", r("value").alias("tfidf"))
 
 
 # Titles of few words: with as many numbers as words, products of word vectors are those of their rows of weights.
