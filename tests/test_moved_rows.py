@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from featloom.operators import sparse
+from featloom.operators import credits, sparse
 from featloom.operators import text_features as op
 
 
@@ -56,3 +56,25 @@ def test_sentiments_do_not_depend_on_where_words_are_met(spark, monkeypatch):
         assert shown(both(lexicon.drop("uses"))) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_numbers_of_a_person_are_moved_by_slice_of_the_titles(spark, monkeypatch):
+    """Repeated links, null keys and persons, persons without credits, a missing category; several rows of numbers a person."""
+    links = [(k, p) for k in range(12) for p in range(k % 5 + 1)] * 2 + [(None, 1), (3, None), (77, 99), (77, 2)]
+    titles = [(k, [f"c{k % 7}", f"c{k % 3}", None if k % 4 == 0 else "c0"]) for k in range(12)]
+    held = {p: [c for k, q in links if q == p for t, cs in titles if t == k for c in cs] for p in range(5)}
+    want = {}
+    for k in {k for k, _ in links if k is not None}:
+        persons = [p for p in {p for t, p in links if t == k} if held.get(p)]
+        for c in {c for p in persons for c in held[p]}:
+            want[k, c] = round(sum(held[p].count(c) / len(held[p]) for p in persons) / len(persons), 9)
+    df = spark.createDataFrame(links, "tconst long, director long")
+    shares = credits.category_expertise(df, spark.createDataFrame(titles, "tconst long, genres array<string>"), "tconst", "director", "genres")
+    for tile, blocks in ((16, 32), (2, 3), (1, 1)):
+        monkeypatch.setattr(credits, "TILE", tile)
+        monkeypatch.setattr(credits, "BLOCKS", blocks)
+        long = credits.title_expertise(df, shares, "tconst", "director")
+        found = [((r.tconst, r.category), round(r.expertise, 9)) for r in long.collect()]
+        assert len(found) == len(want) and dict(found) == want
+    text = long._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in text and "collect_set" in text  # titles meet a person's numbers as lists, one for each slice
