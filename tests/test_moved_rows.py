@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from featloom.operators import credits, sparse
+from featloom.operators import categories, credits, joins, sparse
 from featloom.operators import text_features as op
 
 
@@ -78,3 +78,20 @@ def test_numbers_of_a_person_are_moved_by_slice_of_the_titles(spark, monkeypatch
         assert len(found) == len(want) and dict(found) == want
     text = long._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in text and "collect_set" in text  # titles meet a person's numbers as lists, one for each slice
+
+
+def test_rows_stay_where_few_titles_or_lists_are_joined(spark):
+    """What is joined is written first, so that its size is known; its sources have none."""
+    facts = spark.createDataFrame([(1, " Red", ["b", "a"]), (2, "blue (1999)", ["a"]), (3, None, None), (4, "red", ["a", "b"])], "k long, originalTitle string, genres array<string>")
+    known = spark.createDataFrame([("RED", "y"), ("red", "x"), ("Blue", "z")], "title string, tag string")
+    titled = joins.join_by_title(facts, known, "originalTitle", "title", ["tag"], dedupe_right=True, order=["tag"])
+    assert "BroadcastHashJoin" in plan(titled) and "SortMergeJoin" not in plan(titled)
+    assert {r.k: r.tag for r in titled.collect()} == {1: "x", 2: "z", 3: None, 4: "x"}
+    merged = joins.merge_metadata(facts, known.withColumnRenamed("title", "original_title"), dedupe_right=True)
+    assert "BroadcastHashJoin" in plan(merged) and "SortMergeJoin" not in plan(merged)
+    assert {r.k: r.tag for r in merged.collect()} == {1: "x", 2: None, 3: None, 4: "x"}
+    vectors = categories.fit_category_vectors(facts, "genres", spark.createDataFrame([("a", 2.0), ("b", 3.0)], "category string, popularity double"))
+    axis = sparse.Components(vectors.singles.select("position", F.lit(1.0).alias("z0")), (0.0,), (1.0,), 1.0)
+    out = categories.CategoryComponents(vectors, "pca", axis).transform(facts)
+    assert "BroadcastHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
+    assert {r.k: list(r.pca) for r in out.collect()} == {1: [5.0], 2: [2.0], 3: [0.0], 4: [5.0]}
