@@ -62,8 +62,8 @@ def test_word_vectors_move_tiles_not_pairs(spark, monkeypatch, pairs, band):
     whole = sparse.fit_symmetric_components
     monkeypatch.setattr(sparse, "fit_symmetric_components", lambda matrix, k: taken.append(matrix) or whole(matrix, k))
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").repartition(3)
-    fitted = op.fit_word_vectors(df, "text", size=400, min_count=12)
-    known, want = weights(texts, 5, 12)
+    fitted = op.fit_word_vectors(df, "text", size=400, min_count=60)
+    known, want = weights(texts, 5, 60)
     matrix, size = taken[0], len(known)
     assert matrix.table.count() <= matrix.shape.grid * (matrix.shape.grid + 1) // 2 < (want > 0).sum() / 2
     vectors = {r.term: np.array([r[f"z{i}"] for i in range(fitted.size)]) for r in fitted.words.collect()}
@@ -78,3 +78,56 @@ def test_word_vectors_move_tiles_not_pairs(spark, monkeypatch, pairs, band):
     sums = {r.position: (r.sum, r.squares) for r in matrix.sums().collect()}
     assert sorted(s for s, _ in sums.values()) == pytest.approx(sorted(want[met].sum(1))) and sum(q for _, q in sums.values()) == pytest.approx((want**2).sum())
     assert len(fitted.transform(df).where("id IS NOT NULL").collect()) == len(texts)
+
+
+SCALES = {"very": 1.1, "so": 0.9}
+
+
+def read_one_by_one(words, rated, negations, reach=3):
+    """(place, word) in order, read by one state."""
+    p = s = n = 0
+    waiting, last, scale, turned = None, None, 1.0, None
+    for at, w in words:
+        if w not in rated and w not in negations:
+            continue
+        turns, k = w in negations, SCALES.get(w, 1.0)
+        beside = waiting is not None and at == last + 1 and not turns
+        if waiting is not None and not beside:
+            p, s, n = p + waiting[0], s + waiting[1], n + 1
+        held = scale if beside else 1.0
+        clip = lambda x: max(-1.0, min(1.0, x * held))  # noqa: E731, B023
+        x = (clip(rated[w][0]) * (-0.5 if turned is not None and at - turned <= reach else 1.0), clip(rated[w][1])) if w in rated else (0.0, 0.0)
+        waiting, last, scale = None, at, 1.0
+        if turns:
+            turned = at
+        elif k != 1:
+            waiting, scale = x, held * k
+        else:
+            p, s, n, turned = p + x[0], s + x[1], n + 1, None
+    if waiting is not None:
+        p, s, n = p + waiting[0], s + waiting[1], n + 1
+    return (p / n, s / n) if n else (0.0, 0.0)
+
+
+def test_modified_sentiment_reads_blocks_not_rows_of_words(spark, monkeypatch):
+    """Texts stay whole: nothing is grouped by text; chains of modifiers, repeated and null keys, no texts at all."""
+    monkeypatch.setattr(coded, "WORDS", 300)
+    rng = random.Random(8)
+    rated = {w: (rng.uniform(-1, 1), rng.random()) for w in ("good", "bad", "odd", "very", "so", "not")}
+    lexicon = spark.createDataFrame([(w, p, s, SCALES.get(w)) for w, (p, s) in rated.items()], "word string, polarity double, subjectivity double, intensity double")
+    words = ["good", "bad", "odd", "very", "so", "not", "never", "x"]
+    texts = {i: [rng.choice(words) for _ in range(rng.choice([0, 2, 9, 50]))] for i in range(80)} | {80: ["very"] * 900 + ["good"], 81: ["never"] + ["so"] * 3}
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()] + [(82, None), (None, "good")], "id long, text string").repartition(2)
+    out = op.modified_sentiment(df, "id", "text", lexicon)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan and "aggregate(" not in plan
+    want = {k: read_one_by_one(list(enumerate(w)), rated, op.NEGATIONS) for k, w in texts.items()} | {82: (0.0, 0.0), None: (0.0, 0.0)}
+    got = {r.id: (r[1], r[2]) for r in out.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    again = df.unionByName(spark.createDataFrame([(0, "so x good"), (0, "not bad"), (82, "very bad"), (None, "bad")], df.schema))
+    rows = [(r.id, r[1], r[2]) for r in op.modified_sentiment(again, "id", "text", lexicon).collect()]
+    # Rows of a key are one text: its words by place, at one place negations last, then by their numbers.
+    merged = sorted([*enumerate(texts[0]), *enumerate(["so", "x", "good"]), *enumerate(["not", "bad"])], key=lambda w: (w[0], w[1] in op.NEGATIONS, rated.get(w[1], (0.0, 0.0)), SCALES.get(w[1], 1.0)))
+    want |= {0: read_one_by_one(merged, rated, op.NEGATIONS), 82: read_one_by_one([(0, "very"), (1, "bad")], rated, op.NEGATIONS)}
+    assert len(rows) == len(want) and all((p, s) == pytest.approx(want[k]) for k, p, s in rows)
+    assert op.modified_sentiment(df.where("false"), "id", "text", lexicon).collect() == []
