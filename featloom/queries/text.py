@@ -84,7 +84,7 @@ def tfidf_vector(t: Tables):
     """TF-IDF vectors with a position for every term, shown as terms again."""
     texts = t.texts
     fitted = op.fit_tfidf_vectors(texts, "text", stop_words=STOP_WORDS)
-    cells = unpacked(materialize(fitted.rows(texts).select("doc_id", "tfidf_vec"), "vectors"), "doc_id", "tfidf_vec")
+    cells = unpacked(materialize(fitted.rows(texts, keep=["doc_id"]), "vectors"), "doc_id", "tfidf_vec")
     return join_known(cells, fitted.terms.select("position", "term", "hot"), "position").select("doc_id", "term", r("value").alias("tfidf"))
 
 

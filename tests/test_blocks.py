@@ -131,3 +131,31 @@ def test_modified_sentiment_reads_blocks_not_rows_of_words(spark, monkeypatch):
     want |= {0: read_one_by_one(merged, rated, op.NEGATIONS), 82: read_one_by_one([(0, "very"), (1, "bad")], rated, op.NEGATIONS)}
     assert len(rows) == len(want) and all((p, s) == pytest.approx(want[k]) for k, p, s in rows)
     assert op.modified_sentiment(df.where("false"), "id", "text", lexicon).collect() == []
+
+
+def test_tfidf_vectors_move_dictionaries_not_terms_of_texts(spark, monkeypatch):
+    """The vector of a row is worked out where its text is, whole, with repeated, empty and null texts and null keys."""
+    monkeypatch.setattr(coded, "WORDS", 1000)
+    texts = [(i, t) for i, t in enumerate(zipf_texts(3, 80))] + [(200, None), (201, ""), (202, "w40 the w40"), (None, "w40 w41"), (None, "the")]
+    texts += [(300 + i, t) for i, t in texts[:20]]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    counted = []
+    inverse = op.inverse_document_frequency
+    monkeypatch.setattr(op, "inverse_document_frequency", lambda counts, *rest: counted.append(counts) or inverse(counts, *rest))
+    fitted = op.fit_tfidf_vectors(df, "text", stop_words=["the"])
+    assert counted[0].count() < sum(len({w for w in (t or "").split() if w != "the"}) for _, t in texts) / 2  # one row for a block, not for a text
+    place = {r.term: r.position for r in fitted.terms.collect()}
+    n = {w: sum(w in (t or "").split() for _, t in texts) for w in place}
+    want = []
+    for i, t in texts:
+        v = {place[w]: t.split().count(w) * (np.log((1 + len(texts)) / (1 + n[w])) + 1) for w in set((t or "").split()) - {"the"}}
+        want.append((i, [(p, round(v[p] / np.sqrt(sum(x * x for x in v.values())), 9)) for p in sorted(v)]))
+    assert set(place) == {w for _, t in texts for w in (t or "").split()} - {"the"}
+    out = fitted.rows(df, keep=["id"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "collect_list" not in plan
+    shown = lambda rows: sorted(((r.id, [(p, round(v, 9)) for p, v in zip(r.tfidf_vec["indices"], r.tfidf_vec["values"])]) for r in rows), key=str)
+    assert shown(out.collect()) == shown(fitted.rows(df).collect()) == sorted(want, key=str)
+    assert {(r.tfidf_vec.type, r.tfidf_vec["size"]) for r in out.collect()} == {(0, fitted.size)}
+    cells = {(r.position, round(r.value, 9), r.weight) for r in fitted.cells(op.distinct_texts(df, "text")).collect()}
+    assert {(p, v) for p, v, _ in cells} == {x for _, v in want for x in v} and {w for _, _, w in cells} == {1, 2}
