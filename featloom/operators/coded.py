@@ -30,7 +30,7 @@ class Block:
 
     lengths: np.ndarray
     codes: np.ndarray
-    terms: pa.Array
+    terms: pa.Array | range
     kept: dict[str, pa.Array]
     places: np.ndarray | None
 
@@ -117,10 +117,14 @@ def term_numbers(held: DataFrame) -> DataFrame:
     return held.select(F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("counts").alias("n"))).alias("_t")).select("_t.term", "_t.n")
 
 
-def meet(held: DataFrame, known: DataFrame, run: Callable[[Block, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``run`` of each block and its rows of ``known`` (block, code, ...), in no order; ``Block.kept`` has the columns in the order kept."""
+def meet(held: DataFrame, known: DataFrame, run: Callable[[Block, pa.Table], pa.Table], schema: str, spelled: bool = False) -> DataFrame:
+    """``run`` of each block and its rows of ``known`` (block, code, ...), in no order; ``Block.kept`` has the columns in the order kept.
+
+    Only their number is moved with a block, not the terms, unless ``run`` reads them ``spelled``.
+    """
     names = [c for c in held.columns if c.startswith("_k")]
     held = held.drop("counts").withColumnRenamed("block", "_block")  # ``known`` comes from ``held``
+    held = held if spelled else held.withColumn("terms", F.size("terms"))
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         one = {c: left.column(c)[0] for c in left.column_names}
@@ -129,7 +133,8 @@ def meet(held: DataFrame, known: DataFrame, run: Callable[[Block, pa.Table], pa.
         n = int(lengths.sum())
         codes = np.frombuffer(raw["codes"], np.uint16 if len(raw["codes"]) == 2 * n else np.int32).astype(np.int64)
         places = np.frombuffer(one["places"].as_py(), np.int32) if "places" in one else None
-        return run(Block(lengths, codes, one["terms"].values, {c: one[c].values for c in names}, places), right)
+        terms = one["terms"].values if spelled else range(one["terms"].as_py())
+        return run(Block(lengths, codes, terms, {c: one[c].values for c in names}, places), right)
 
     return held.groupBy("_block").cogroup(known.groupBy("block")).applyInArrow(both, schema)
 
